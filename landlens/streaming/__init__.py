@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analysed workload has no stream source, watermark, time window or state:
+its jobs are full-refresh batch loads.  Nothing here is needed to reproduce
+it, so no streaming operator is provided (see README, "Scope").
+"""
