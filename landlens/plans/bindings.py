@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landlens.operators.joins import broadcast_if_bounded
+from landlens.sources.readers import read_parquet
 
 # Class maps for the stand-in values (priorities and return flags).
 ZONING_AREA_T = {"residential": ["1-URGENT", "2-HIGH"],
@@ -36,8 +37,13 @@ USE_POSTAL_T = {"residential": ["R"]}
 SMALL_TABLE_ROWS = 100_000
 
 
+# Fact tables get the scan-parallelism floor; dimension tables are read as they are.
+FACT_TABLES = frozenset({"lineitem", "orders", "documents", "pages", "events", "conversations"})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet",
+                        min_partitions=None if name in FACT_TABLES else 0)
 
 
 def _s(c) -> F.Column:

@@ -11,12 +11,37 @@ from pyspark.sql import types as T
 from landlens.contracts import TableContract
 
 
+def with_parallelism_floor(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than ``min_partitions`` (default: the
+    cluster's default parallelism) round-robin over that many partitions.
+
+    A file with one row group is read by one task, and every narrow operator
+    after it would run in that task.  Large inputs have far more splits than
+    cores, so this is a no-op for them (no extra shuffle); it only spends one
+    small shuffle when the input is small.  Column pruning and filters still
+    reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_parquet(spark: SparkSession, path: str | Sequence[str],
-                 columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet scan; ``columns`` prunes the scan (ReadSchema) right away."""
+                 columns: Sequence[str] | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan; ``columns`` prunes the scan (ReadSchema) right away.
+
+    ``min_partitions`` (0 disables) sets the parallelism floor of
+    :func:`with_parallelism_floor`.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if min_partitions == 0:
+        return df
+    return with_parallelism_floor(df, min_partitions)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
