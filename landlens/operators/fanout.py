@@ -11,7 +11,7 @@ published figures) and Catalyst cannot push the aggregate below the joins.
 The rewrite aggregates first and joins small frames:
 
 * ``g``: tax grouped by (postal, year): sums, non-null counts, class counts
-* ``n``: tax rows per postal, derived from ``g`` (no second scan)
+* ``n``: tax rows per postal, a window sum over ``g`` (no second scan)
 * ``m``: permits grouped by (postal, area)
 * ``w = n * m`` on postal; ``g JOIN w`` on postal; group by (year, area):
   ``AVG = sum(sum_v * w) / sum(count_v * w)``, class counts ``= sum(c * w)``.
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,16 +40,20 @@ _MEASURES = (("average_land_value", "CURRENT_LAND_VALUE"),
              ("average_tax_levy", "TAX_LEVY"))
 
 
-def bridge_weights(tax: DataFrame, permits: DataFrame, weighting: str = "fanout") -> DataFrame:
+def bridge_weights(tax: DataFrame | None, permits: DataFrame, weighting: str = "fanout",
+                   tax_rows: DataFrame | None = None) -> DataFrame:
     """``(postal, LOCAL_AREA, w)``: how often one tax row of ``postal`` repeats in the area.
 
     This is the bridge (V6) in compressed form: V6 has exactly ``sum(w)`` rows.
+    ``tax_rows`` (``__postal, __n``) may be passed when the caller already has
+    the tax row count per postal code; otherwise it is counted from ``tax``.
     """
     m = (permits.groupBy(F.col("POSTAL_CODE").alias("__postal"),
                          F.col("GEO_LOCAL_AREA").alias("LOCAL_AREA"))
          .agg(F.count(F.lit(1)).alias("__m")))
-    n = (tax.groupBy(F.col("PROPERTY_POSTAL_CODE").alias("__postal"))
-         .agg(F.count(F.lit(1)).alias("__n")))
+    n = tax_rows if tax_rows is not None else (
+        tax.groupBy(F.col("PROPERTY_POSTAL_CODE").alias("__postal"))
+        .agg(F.count(F.lit(1)).alias("__n")))
     if weighting == "fanout":
         return m.join(n, "__postal").select("__postal", "LOCAL_AREA",
                                             (F.col("__m") * F.col("__n")).alias("__w"))
@@ -83,12 +87,23 @@ def property_tax_by_year_area(tax: DataFrame, permits: DataFrame,
         aggs += [F.sum(F.col(src)).cast(_WIDE).alias(f"__s_{name}"),
                  F.count(F.col(src)).alias(f"__c_{name}")]
     aggs += [F.sum(indicator("ZONING_CLASSIFICATION", res).cast("bigint")).alias("__res"),
-             F.sum(indicator("ZONING_CLASSIFICATION", non).cast("bigint")).alias("__non")]
+             F.sum(indicator("ZONING_CLASSIFICATION", non).cast("bigint")).alias("__non"),
+             F.count(F.lit(1)).alias("__rows")]
     g = tax.groupBy(F.col("PROPERTY_POSTAL_CODE").alias("__postal"),
                     F.col("REPORT_YEAR").alias("YEAR")).agg(*aggs)
-    w = bridge_weights(tax, permits, weighting)
-    j = g.join(w, "__postal")
-    wt = F.col("__w")
+    # n(p) as a window sum over the (postal, year) groups of p: one scan of the
+    # tax table, and the result is already partitioned by postal for the join.
+    g = g.withColumn("__n", F.sum("__rows").over(Window.partitionBy("__postal")))
+    m = (permits.groupBy(F.col("POSTAL_CODE").alias("__postal"),
+                         F.col("GEO_LOCAL_AREA").alias("LOCAL_AREA"))
+         .agg(F.count(F.lit(1)).alias("__m")))
+    j = g.join(m, "__postal")
+    if weighting == "fanout":
+        wt = F.col("__m") * F.col("__n")
+    elif weighting == "distinct":
+        wt = F.lit(1).cast("bigint")
+    else:
+        raise ValueError(f"unknown weighting {weighting!r}")
     out_aggs: list[Column] = []
     for name, _ in _MEASURES:
         out_aggs += [F.sum(F.col(f"__s_{name}") * wt.cast(T.DecimalType(20, 0))).cast(_WIDE).alias(f"__S_{name}"),

@@ -5,9 +5,9 @@ The source view joins the postal-level table to itself on postal code and
 (postal, investment year, follow-up year) with ``ROW_NUMBER() = 1`` over a
 constant order.  Any one row of the product is a legal answer, so we choose
 it up front (R2): one row per (postal, year) by a fixed tie-break, picked
-with ``min(struct(...))`` — a partial aggregate, no window, no sort, skew
-safe — and join those picks.  The join then emits at most ``horizon`` rows per
-input row instead of the full product of the rows of both years.
+with ``min(struct(...))`` — a partial aggregate, skew safe — and pair those
+picks: at most ``horizon`` rows out per row in, instead of the full product of
+the rows of both years.
 """
 
 from __future__ import annotations
@@ -38,13 +38,24 @@ def pick_one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 
 
 def investment_land_value_followup(v3: DataFrame, horizon: int = FOLLOWUP_HORIZON,
-                                   strategy: str = "explode",
+                                   strategy: str = "frame",
                                    tie_break: Sequence[str] = TIE_BREAK) -> DataFrame:
     """V5: for each postal code and year, the land value ``1..horizon`` years later.
 
-    ``strategy``: ``'explode'`` (R2 + R3, equi join), ``'range'`` (R2 + band
-    predicate) or ``'window'`` (the literal product + ``ROW_NUMBER``, for
-    equivalence tests; it picks the same rows).
+    ``strategy``:
+
+    * ``'frame'`` (default): after the pick there is one row per (postal,
+      year), so the follow-up partners of a row are the rows of its postal
+      code inside the window frame ``RANGE BETWEEN 1 FOLLOWING AND horizon
+      FOLLOWING`` on the year; ``collect_list`` over that frame holds at most
+      ``horizon`` entries.  One shuffle of the picked rows by postal code, no
+      self-join, and the pick is computed once.
+    * ``'explode'`` (R3): the band as an equi join on (postal, year) after
+      exploding each row into its candidate years.
+    * ``'range'``: equi join on postal code with the band as a residual predicate.
+    * ``'window'``: the literal product + ``ROW_NUMBER`` (equivalence tests only).
+
+    All four return the same rows.
     """
     if strategy == "window":
         return _followup_window(v3, horizon, tie_break)
@@ -53,9 +64,18 @@ def investment_land_value_followup(v3: DataFrame, horizon: int = FOLLOWUP_HORIZO
                       F.col("TOTAL_BUSINESSES").alias("BUSINESSES_COUNT"),
                       F.col("TOTAL_EMPLOYEES").alias("EMPLOYEES_COUNT"),
                       F.col("TOTAL_CURRENT_LAND_VALUE").alias("LAND_VALUE_IN_INVESTMENT_YEAR"))
-    f = picked.select("POSTAL_CODE", F.col("YEAR").alias("FOLLOWUP_YEAR"),
-                      F.col("TOTAL_CURRENT_LAND_VALUE").alias("LAND_VALUE_IN_FOLLOWUP_YEAR"))
-    j = band_join(i, f, "POSTAL_CODE", "YEAR", "FOLLOWUP_YEAR", horizon, strategy)
+    if strategy == "frame":
+        frame = Window.partitionBy("POSTAL_CODE").orderBy("YEAR").rangeBetween(1, horizon)
+        later = F.collect_list(F.struct(F.col("YEAR").alias("FOLLOWUP_YEAR"),
+                                        F.col("LAND_VALUE_IN_INVESTMENT_YEAR")
+                                        .alias("LAND_VALUE_IN_FOLLOWUP_YEAR"))).over(frame)
+        j = i.withColumn("__later", later).withColumn("__f", F.explode("__later")).select(
+            *i.columns, F.col("__f.FOLLOWUP_YEAR").alias("FOLLOWUP_YEAR"),
+            F.col("__f.LAND_VALUE_IN_FOLLOWUP_YEAR").alias("LAND_VALUE_IN_FOLLOWUP_YEAR"))
+    else:
+        f = picked.select("POSTAL_CODE", F.col("YEAR").alias("FOLLOWUP_YEAR"),
+                          F.col("TOTAL_CURRENT_LAND_VALUE").alias("LAND_VALUE_IN_FOLLOWUP_YEAR"))
+        j = band_join(i, f, "POSTAL_CODE", "YEAR", "FOLLOWUP_YEAR", horizon, strategy)
     return j.select(
         "LOCAL_AREA", "POSTAL_CODE", F.col("YEAR").alias("INVESTMENT_YEAR"), "BUSINESSES_COUNT",
         "EMPLOYEES_COUNT", "LAND_VALUE_IN_INVESTMENT_YEAR", "FOLLOWUP_YEAR",

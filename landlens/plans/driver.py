@@ -41,28 +41,32 @@ def publish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _tax(s, d):
-    return B.property_tax(s, d)
+_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
 
 
-def _permits(s, d):
-    return B.building_permits(s, d)
+def _memo(name: str, build: Callable[[SparkSession, str], DataFrame]):
+    """Build a bound table or shared view once per (session, data folder).
 
+    A DataFrame is an immutable plan, so queries sharing an input (V3 feeds
+    V4, V5, V13) reuse the plan object instead of re-analysing it.
+    """
+    def get(s: SparkSession, d: str) -> DataFrame:
+        key = (id(s), d, name)
+        hit = _PLANS.get(key)
+        if hit is None or hit[0] is not s:
+            hit = (s, build(s, d))
+            _PLANS[key] = hit
+        return hit[1]
+    return get
 
-def _lic(s, d):
-    return B.business_licenses(s, d)
 
-
-def _v3(s, d):
-    return views.v3(_lic(s, d), _tax(s, d))
-
-
-def _v9(s, d):
-    return views.v9(_tax(s, d), _permits(s, d), OPT)
-
-
-def _v12(s, d):
-    return views.v12(_tax(s, d), _permits(s, d), OPT)
+_tax = _memo("tax", B.property_tax)
+_permits = _memo("permits", B.building_permits)
+_lic = _memo("lic", B.business_licenses)
+_postal = _memo("postal", B.postal_results)
+_v3 = _memo("v3", lambda s, d: views.v3(_lic(s, d), _tax(s, d)))
+_v9 = _memo("v9", lambda s, d: views.v9(_tax(s, d), _permits(s, d), OPT))
+_v12 = _memo("v12", lambda s, d: views.v12(_tax(s, d), _permits(s, d), OPT))
 
 
 # ---------------------------------------------------------------------------
@@ -101,6 +105,10 @@ def q_followup_band(s, d):
 
 
 def q_followup_first(s, d):
+    return publish(investment_land_value_followup(_v3(s, d), strategy="frame"))
+
+
+def q_followup_equi(s, d):
     return publish(investment_land_value_followup(_v3(s, d), strategy="explode"))
 
 
@@ -150,11 +158,11 @@ def q_heat_feed(s, d):
 
 
 def q_rank_correlation(s, d):
-    return correlate.rank_pair_correlation(B.postal_results(s, d), digits=6)
+    return correlate.rank_pair_correlation(_postal(s, d), digits=6)
 
 
 def q_correlation_matrix(s, d):
-    long = correlate.rank_pair_correlation(B.postal_results(s, d), digits=6, segments=["both"])
+    long = correlate.rank_pair_correlation(_postal(s, d), digits=6, segments=["both"])
     return correlate.correlation_matrix(long, "both")
 
 
@@ -271,6 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_rollup": q_area_rollup,
     "followup_band": q_followup_band,
     "followup_first": q_followup_first,
+    "followup_equi": q_followup_equi,
     "followup_range": q_followup_range,
     "followup_rollup": q_followup_rollup,
     "bridge_size": q_bridge_size,
@@ -348,6 +357,7 @@ ORACLE: dict[str, str] = {
               FROM tax GROUP BY 1, 2) f
           ON i.POSTAL_CODE = f.POSTAL_CODE AND f.YEAR > i.YEAR AND f.YEAR <= i.YEAR + 5""", "tax"),
     "followup_first": with_ctes(_V5_SELECT, "v5"),
+    "followup_equi": with_ctes(_V5_SELECT, "v5"),
     "followup_range": with_ctes(_V5_SELECT, "v5"),
     "followup_rollup": with_ctes(
         "SELECT local_area, investment_year, followup_year, total_businesses, total_employees, "

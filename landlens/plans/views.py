@@ -35,7 +35,7 @@ class ViewOptions:
     avg_double: bool = False
     weighting: str = "fanout"          # Q1: 'fanout' (as published) or 'distinct'
     horizon: int = FOLLOWUP_HORIZON
-    band_strategy: str = "explode"     # R3 ('explode') or band predicate ('range')
+    band_strategy: str = "frame"       # window frame, R3 ('explode') or band predicate ('range')
 
 
 DEFAULT = ViewOptions()

@@ -27,16 +27,29 @@ def with_parallelism_floor(df: DataFrame, min_partitions: int | None = None) ->
     return df
 
 
+_SCHEMAS: dict[tuple[str, ...], T.StructType] = {}
+
+
 def read_parquet(spark: SparkSession, path: str | Sequence[str],
                  columns: Sequence[str] | None = None,
-                 min_partitions: int | None = None) -> DataFrame:
+                 min_partitions: int | None = None,
+                 schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan; ``columns`` prunes the scan (ReadSchema) right away.
 
+    The footer schema of a path is inferred once per driver process and then
+    passed to the reader (no schema-inference job on later reads).
     ``min_partitions`` (0 disables) sets the parallelism floor of
     :func:`with_parallelism_floor`.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
+    key = tuple(paths)
+    if schema is None:
+        schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(*paths)
+        _SCHEMAS[key] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(*paths)
     if columns:
         df = df.select(*columns)
     if min_partitions == 0:
