@@ -8,11 +8,11 @@ from landlens.functions.numeric import (
 from landlens.functions.text import (
     comma_count, extract_pattern, normalise_names, point_part, truncate,
 )
-from landlens.functions.geo import ring_centroid, lonlat_to_utm, ring_to_utm
+from landlens.functions.geo import lonlat_to_utm, point_from_geojson, ring_centroid, ring_to_utm
 
 __all__ = [
     "class_of", "indicator", "indicator_sum", "conform_column", "to_int",
     "finish_avg", "percent_change", "safe_corr", "share_percent", "two_digit_year",
     "comma_count", "extract_pattern", "normalise_names", "point_part", "truncate",
-    "ring_centroid", "lonlat_to_utm", "ring_to_utm",
+    "ring_centroid", "lonlat_to_utm", "point_from_geojson", "ring_to_utm",
 ]

@@ -54,6 +54,17 @@ def lonlat_to_utm(lon: Column, lat: Column, central_meridian: float = UTM10_CENT
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+POINT_JSON = "type string, coordinates array<double>"
+
+
+def point_from_geojson(geom: Column) -> Column:
+    """G1: GeoJSON Point text -> struct(x=lon, y=lat); null for other or bad text."""
+    g = F.from_json(geom, POINT_JSON)
+    ok = (g["type"] == F.lit("Point")) & (F.size(g["coordinates"]) >= 2)
+    return F.when(ok, F.struct(F.element_at(g["coordinates"], 1).alias("x"),
+                               F.element_at(g["coordinates"], 2).alias("y")))
+
+
 def ring_to_utm(ring: Column, **kw) -> Column:
     """Project every vertex of a lon/lat ring (fields x=lon, y=lat)."""
     return F.transform(ring, lambda p: lonlat_to_utm(p["x"], p["y"], **kw))

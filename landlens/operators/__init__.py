@@ -1,5 +1,5 @@
 """DataFrame-in / DataFrame-out operators."""
 
-from landlens.operators import aggregate, clean, correlate, fanout, followup, joins
+from landlens.operators import aggregate, clean, correlate, fanout, followup, geometry, joins
 
-__all__ = ["aggregate", "clean", "correlate", "fanout", "followup", "joins"]
+__all__ = ["aggregate", "clean", "correlate", "fanout", "followup", "geometry", "joins"]

@@ -74,8 +74,13 @@ def property_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("REPORT_YEAR"))
 
 
+def _lat_lon_text(k: F.Column) -> tuple[F.Column, F.Column]:
+    """City-scale coordinates as text ('49.2xx', '-123.1xx'), built from the key."""
+    return (F.concat(F.lit("49."), _s(k % 50 + 200)), F.concat(F.lit("-123."), _s(k % 90 + 100)))
+
+
 def _point_text(k: F.Column) -> F.Column:
-    lat, lon = _s(k % 180 - 90), _s(k % 360 - 180)
+    lat, lon = _lat_lon_text(k)
     d = k % 10
     return (F.when(d == 3, lat)                                             # no comma
             .when(d == 7, F.concat(lat, F.lit(", "), lon, F.lit(", 0")))    # two commas
@@ -102,8 +107,8 @@ def building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("SPECIFIC_USE_CATEGORY"),
         F.year("l_shipdate").alias("ISSUE_YEAR"),
         F.date_format("l_shipdate", "yyyy-MM").alias("YEAR_MONTH"),
-        F.concat(F.lit('{"type":"Point","coordinates":['), _s(k % 360 - 180), F.lit(","),
-                 _s(k % 180 - 90), F.lit("]}")).alias("GEOM"),
+        F.concat(F.lit('{"type":"Point","coordinates":['), _lat_lon_text(k)[1], F.lit(","),
+                 _lat_lon_text(k)[0], F.lit("]}")).alias("GEOM"),
         _point_text(k).alias("GEO_POINT_2D"),
         F.col("n_name").alias("GEO_LOCAL_AREA"))
 
@@ -152,3 +157,87 @@ def postal_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") - (F.col("o_custkey") % 1000) * 100.0).alias("total_land_value"),
         F.when(F.col("o_orderstatus") == "F", F.lit("residential"))
          .when(F.col("o_orderstatus") == "O", F.lit("commercial")).alias("property_use"))
+
+
+# ---------------------------------------------------------------------------
+# Raw (pre-cleaning) stand-ins: source column names, text values, with the
+# defects the cleaning jobs exist for (nulls, exact copies, bad numbers and
+# dates, over-long names, addresses with and without a postal code).
+# ---------------------------------------------------------------------------
+def raw_property_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    raw = o.select(
+        _s(k).alias("PID"),
+        F.expr("nullif(o_orderstatus, 'P')").alias("LEGAL_TYPE"),        # null -> row dropped
+        F.concat(F.lit("Z-"), F.col("o_orderpriority")).alias("ZONING_DISTRICT"),
+        F.col("o_orderpriority").alias("ZONING_CLASSIFICATION"),
+        _s(k % 1000).alias("TO_CIVIC_NUMBER"),
+        F.col("o_orderstatus").alias("STREET_NAME"),
+        _s(c).alias("PROPERTY_POSTAL_CODE"),
+        _s(F.col("o_totalprice").cast("decimal(18,2)")).alias("CURRENT_LAND_VALUE"),
+        _s((k * 37) % 100000).alias("CURRENT_IMPROVEMENT_VALUE"),
+        _s(F.year("o_orderdate")).alias("TAX_ASSESSMENT_YEAR"),
+        _s(F.col("o_totalprice").cast("decimal(18,2)")).alias("PREVIOUS_LAND_VALUE"),
+        _s((c * 13) % 50000).alias("PREVIOUS_IMPROVEMENT_VALUE"),
+        F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("unknown"))       # bad int -> null, kept
+         .otherwise(_s(k % 120 + 1900)).alias("YEAR_BUILT"),
+        _s(c % 70 + 1950).alias("BIG_IMPROVEMENT_YEAR"),
+        _s(k % 2000).alias("TAX_LEVY"),
+        _s(c % 30).alias("NEIGHBOURHOOD_CODE"),
+        _s(F.year("o_orderdate")).alias("REPORT_YEAR"))
+    # a second delivery of the finished orders: exact copies for the de-duplication
+    return raw.unionByName(raw.where(F.col("LEGAL_TYPE") == "F"))
+
+
+def raw_business_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    ln = F.col("l_linenumber")
+    return j.select(
+        F.when(ln == 7, F.lit(None).cast("string")).when(ln == 6, F.lit("xx"))
+         .otherwise(_s(F.year("l_shipdate") - 2000)).alias("folderyear"),
+        F.col("l_linestatus").alias("status"),
+        _s(F.to_date("l_shipdate")).alias("issueddate"),
+        F.concat(F.lit("B"), _s("l_orderkey"), F.lit("-"), _s(ln),
+                 F.expr("repeat('x', l_linenumber * 50)")).alias("businessname"),
+        F.expr("nullif(l_returnflag, 'N')").alias("businesstradename"),
+        F.col("l_returnflag").alias("businesstype"),
+        F.col("l_linestatus").alias("businesssubtype"),
+        _s("o_custkey").alias("postalcode"),
+        F.col("o_orderstatus").alias("street"),
+        F.col("o_orderpriority").alias("localarea"),
+        _s("l_quantity").alias("numberofemployees"))
+
+
+def raw_building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited-file layout (header names of the city export, all text)."""
+    li = table(spark, sf_dir, "lineitem")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+                             SMALL_TABLE_ROWS)
+    area = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select("s_suppkey", "n_name")
+    j = li.join(area, li["l_suppkey"] == area["s_suppkey"], "left")
+    k, ln = F.col("l_suppkey"), F.col("l_linenumber")
+    code = F.concat(F.lit("V"), _s(k % 10), F.lit("E "), _s(ln), F.lit("T"), _s(k % 7))
+    address = (F.when(ln == 1, F.lit(None).cast("string"))                       # dropped
+               .when(ln == 2, F.concat(F.lit('Unit "'), _s(k), F.lit('"; no code')))
+               .otherwise(F.concat(_s(k), F.lit(" Main St; Vancouver, BC "), code)))
+    lat, lon = _lat_lon_text(k)
+    return j.select(
+        F.concat(F.lit("BP-"), _s("l_orderkey"), F.lit("-"), _s(ln)).alias("PermitNumber"),
+        F.when(F.col("l_returnflag") == "A", F.lit("not a date"))
+         .otherwise(_s(F.to_date("l_shipdate"))).alias("IssueDate"),
+        _s(F.col("l_extendedprice").cast("decimal(15,2)")).alias("ProjectValue"),
+        F.col("l_linestatus").alias("TypeOfWork"),
+        address.alias("Address"),
+        F.lit("ignored").alias("ProjectDescription"),
+        F.concat(F.lit("C"), _s(ln)).alias("PermitCategory"),
+        F.col("l_returnflag").alias("PropertyUse"),
+        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("SpecificUseCategory"),
+        _s(F.year("l_shipdate")).alias("IssueYear"),
+        F.col("n_name").alias("GeoLocalArea"),
+        F.concat(F.lit('{"type":"Point","coordinates":['), lon, F.lit(","), lat, F.lit("]}")).alias("Geom"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("YearMonth"),
+        F.concat(lat, F.lit(", "), lon).alias("geo_point_2d"))

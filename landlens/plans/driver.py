@@ -13,14 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landlens.contracts import POSTAL_CODE_PATTERN, Field, TableContract
+from landlens.contracts import (
+    BUILDING_PERMITS, BUSINESS_LICENSES, POSTAL_CODE_PATTERN, PROPERTY_TAX, Field, TableContract,
+)
+from landlens.operators.geometry import with_centroid, with_projected_point
 from landlens.functions.text import normalise_names
 from landlens.operators import aggregate, clean, correlate, fanout, joins
 from landlens.operators.followup import investment_land_value_followup
 from landlens.functions.numeric import percent_change
 from landlens.plans import bindings as B
+from landlens.plans import jobs
 from landlens.plans import views
-from landlens.plans.oracle import TIE, _avg, _pct, money, text, with_ctes  # noqa: F401
+from landlens.plans.oracle import TIE, _avg, _pct, money, text, utm_sql, with_ctes  # noqa: F401
 from landlens.session import scratch_path
 from landlens.sources import export_csv, heat_map_feed, read_delimited
 
@@ -209,6 +213,23 @@ def q_clean_dropna(s, d):
     return clean.drop_incomplete(o)
 
 
+def _sql_conform(f: Field, publish: bool = True) -> str:
+    """DuckDB twin of ``conform_column`` for one contract field (source text -> type)."""
+    src = f'"{f.src}"'
+    t = f.dtype
+    if isinstance(t, T.IntegerType):
+        e = f"CAST(TRUNC(TRY_CAST({src} AS DECIMAL(38,6))) AS INTEGER)"
+    elif isinstance(t, T.DecimalType):
+        e = f"TRY_CAST({src} AS DECIMAL({t.precision},{t.scale}))"
+        e = f"CAST({e} AS DOUBLE)" if publish else e
+    elif isinstance(t, T.DateType):
+        e = f"TRY_CAST({src} AS DATE)"
+        e = f"CAST({e} AS VARCHAR)" if publish else e
+    else:
+        e = f"LEFT({src}, {f.max_length})" if f.max_length else src
+    return f'{e} AS "{f.target}"'
+
+
 RAW_ORDER_CONTRACT = TableContract("raw_orders", (
     Field("order_id", T.IntegerType(), source="o_orderkey", required=True),
     Field("customer", T.StringType(), source="o_custkey"),
@@ -264,6 +285,39 @@ def q_csv_roundtrip(s, d):
     return publish(back)
 
 
+def q_clean_tax_job(s, d):
+    return publish(jobs.clean_property_tax(B.raw_property_tax(s, d)))
+
+
+def q_clean_licences_job(s, d):
+    return publish(jobs.clean_business_licenses(B.raw_business_licenses(s, d)))
+
+
+def q_clean_permits_job(s, d):
+    path = scratch_path(s, "raw-permits")
+    export_csv(B.raw_building_permits(s, d), path, sep=";")
+    return publish(jobs.clean_building_permits(read_delimited(s, path, sep=";")))
+
+
+AREA_MAP_YEAR = 1998
+
+
+def q_area_map(s, d):
+    m = views.v16(_v9(s, d), B.boundaries(s, d), year=AREA_MAP_YEAR)
+    return publish(m.withColumn("centroid_x", F.round("centroid_x", 3))
+                   .withColumn("centroid_y", F.round("centroid_y", 3)))
+
+
+def q_centroid(s, d):
+    c = with_centroid(B.boundaries(s, d), "ring", project=False, x_col="cx", y_col="cy")
+    return c.select("name", F.round("cx", 9).alias("cx"), F.round("cy", 9).alias("cy"))
+
+
+def q_reproject(s, d):
+    p = with_projected_point(_permits(s, d), geojson_col="GEOM")
+    return p.select("POSTAL_CODE", "ISSUE_YEAR", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
 def q_bridge_naive_equivalence(s, d):
     """R1 against the literal plan inside Spark: rows where the two differ (expect none)."""
     tax, permits = _tax(s, d), _permits(s, d)
@@ -309,6 +363,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_audit": q_contract_audit,
     "name_normalise": q_name_normalise,
     "csv_roundtrip": q_csv_roundtrip,
+    "clean_tax_job": q_clean_tax_job,
+    "clean_licences_job": q_clean_licences_job,
+    "clean_permits_job": q_clean_permits_job,
+    "area_map": q_area_map,
+    "centroid": q_centroid,
+    "reproject": q_reproject,
 }
 
 
@@ -450,4 +510,79 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(ISSUE_DATE AS VARCHAR) AS ISSUE_DATE, CAST(PROJECT_VALUE AS DOUBLE) AS PROJECT_VALUE, "
         "TYPE_OF_WORK, ADDRESS, POSTAL_CODE, PERMIT_CATEGORY, PROPERTY_USE, SPECIFIC_USE_CATEGORY, "
         "ISSUE_YEAR, YEAR_MONTH, GEOM, GEO_POINT_2D, GEO_LOCAL_AREA FROM permits", "permits"),
+    "area_map": with_ctes(f"""
+        SELECT v9.LOCAL_AREA, v9.YEAR, v9.average_land_value, v9.average_project_value,
+               v9.average_improvement_value, ROUND(c.cx, 3) AS centroid_x, ROUND(c.cy, 3) AS centroid_y
+        FROM v9 JOIN cent_utm c ON v9.LOCAL_AREA = c.name WHERE v9.YEAR = {AREA_MAP_YEAR}""", "v9", "cent_utm"),
+    "centroid": with_ctes("SELECT name, ROUND(cx, 9) AS cx, ROUND(cy, 9) AS cy FROM cent_ll", "cent_ll"),
+    "reproject": with_ctes(
+        "SELECT POSTAL_CODE, ISSUE_YEAR, ROUND({0}, 3) AS x, ROUND({1}, 3) AS y FROM (SELECT POSTAL_CODE, "
+        "ISSUE_YEAR, TRY_CAST(json_extract_string(GEOM, '$.coordinates[0]') AS DOUBLE) AS lon, "
+        "TRY_CAST(json_extract_string(GEOM, '$.coordinates[1]') AS DOUBLE) AS lat FROM permits) p"
+        .format(*utm_sql("lon", "lat")), "permits"),
+    "clean_tax_job": f"""
+        WITH raw AS (
+          SELECT CAST(o_orderkey AS VARCHAR) AS PID, NULLIF(o_orderstatus, 'P') AS LEGAL_TYPE,
+                 'Z-' || o_orderpriority AS ZONING_DISTRICT, o_orderpriority AS ZONING_CLASSIFICATION,
+                 CAST(o_orderkey % 1000 AS VARCHAR) AS TO_CIVIC_NUMBER, o_orderstatus AS STREET_NAME,
+                 CAST(o_custkey AS VARCHAR) AS PROPERTY_POSTAL_CODE,
+                 CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS CURRENT_LAND_VALUE,
+                 CAST((o_orderkey * 37) % 100000 AS VARCHAR) AS CURRENT_IMPROVEMENT_VALUE,
+                 CAST(year(o_orderdate) AS VARCHAR) AS TAX_ASSESSMENT_YEAR,
+                 CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS PREVIOUS_LAND_VALUE,
+                 CAST((o_custkey * 13) % 50000 AS VARCHAR) AS PREVIOUS_IMPROVEMENT_VALUE,
+                 CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'unknown'
+                      ELSE CAST(o_orderkey % 120 + 1900 AS VARCHAR) END AS YEAR_BUILT,
+                 CAST(o_custkey % 70 + 1950 AS VARCHAR) AS BIG_IMPROVEMENT_YEAR,
+                 CAST(o_orderkey % 2000 AS VARCHAR) AS TAX_LEVY,
+                 CAST(o_custkey % 30 AS VARCHAR) AS NEIGHBOURHOOD_CODE,
+                 CAST(year(o_orderdate) AS VARCHAR) AS REPORT_YEAR
+          FROM orders),
+        two AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE LEGAL_TYPE = 'F'),
+        kept AS (SELECT DISTINCT * FROM two WHERE {' AND '.join(c + ' IS NOT NULL' for c in PROPERTY_TAX.source_columns)})
+        SELECT {', '.join(_sql_conform(f) for f in PROPERTY_TAX.fields)} FROM kept""",
+    "clean_licences_job": f"""
+        WITH raw AS (
+          SELECT CASE WHEN l.l_linenumber = 7 THEN NULL WHEN l.l_linenumber = 6 THEN 'xx'
+                      ELSE CAST(year(l.l_shipdate) - 2000 AS VARCHAR) END AS folderyear,
+                 l.l_linestatus AS status, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS issueddate,
+                 'B' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR)
+                     || repeat('x', l.l_linenumber * 50) AS businessname,
+                 NULLIF(l.l_returnflag, 'N') AS businesstradename, l.l_returnflag AS businesstype,
+                 l.l_linestatus AS businesssubtype, CAST(o.o_custkey AS VARCHAR) AS postalcode,
+                 o.o_orderstatus AS street, o.o_orderpriority AS localarea,
+                 CAST(l.l_quantity AS VARCHAR) AS numberofemployees
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+        typed AS (SELECT {', '.join(_sql_conform(f) for f in BUSINESS_LICENSES.fields)} FROM raw
+                  WHERE folderyear IS NOT NULL AND postalcode IS NOT NULL AND businessname IS NOT NULL)
+        SELECT * FROM typed WHERE FOLDER_YEAR IS NOT NULL AND POSTAL_CODE IS NOT NULL
+                                  AND BUSINESS_NAME IS NOT NULL""",
+    "clean_permits_job": f"""
+        WITH raw AS (
+          SELECT 'BP-' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS PermitNumber,
+                 CASE WHEN l.l_returnflag = 'A' THEN 'not a date'
+                      ELSE CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) END AS IssueDate,
+                 CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS ProjectValue,
+                 l.l_linestatus AS TypeOfWork,
+                 CASE WHEN l.l_linenumber = 1 THEN NULL
+                      WHEN l.l_linenumber = 2 THEN 'Unit "' || CAST(l.l_suppkey AS VARCHAR) || '"; no code'
+                      ELSE CAST(l.l_suppkey AS VARCHAR) || ' Main St; Vancouver, BC ' || 'V'
+                           || CAST(l.l_suppkey % 10 AS VARCHAR) || 'E ' || CAST(l.l_linenumber AS VARCHAR)
+                           || 'T' || CAST(l.l_suppkey % 7 AS VARCHAR) END AS Address,
+                 'C' || CAST(l.l_linenumber AS VARCHAR) AS PermitCategory, l.l_returnflag AS PropertyUse,
+                 l.l_returnflag || l.l_linestatus AS SpecificUseCategory,
+                 CAST(year(l.l_shipdate) AS VARCHAR) AS IssueYear, n.n_name AS GeoLocalArea,
+                 '{{"type":"Point","coordinates":[' || '-123.' || CAST(l.l_suppkey % 90 + 100 AS VARCHAR) || ','
+                     || '49.' || CAST(l.l_suppkey % 50 + 200 AS VARCHAR) || ']}}' AS Geom,
+                 strftime(l.l_shipdate, '%Y-%m') AS YearMonth,
+                 '49.' || CAST(l.l_suppkey % 50 + 200 AS VARCHAR) || ', -123.'
+                     || CAST(l.l_suppkey % 90 + 100 AS VARCHAR) AS geo_point_2d
+          FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+          LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey),
+        ext AS (SELECT *, regexp_extract(Address, '{POSTAL_CODE_PATTERN}', 0) AS postal_code FROM raw),
+        kept AS (SELECT DISTINCT * FROM ext
+                 WHERE {' AND '.join(c + ' IS NOT NULL' for c in BUILDING_PERMITS.source_columns)}
+                   AND postal_code IS NOT NULL)
+        SELECT {', '.join(_sql_conform(f, publish=True) for f in BUILDING_PERMITS.fields)}, postal_code
+        FROM kept""",
 }

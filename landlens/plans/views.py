@@ -19,8 +19,8 @@ from landlens.contracts import (
     FOLLOWUP_HORIZON, USE_AREA, USE_POSTAL, USE_POSTAL_DEFAULT, ZONING_AREA, ZONING_POSTAL,
     ZONING_POSTAL_DEFAULT,
 )
-from landlens.functions.geo import ring_centroid, ring_to_utm
 from landlens.operators import aggregate, correlate, fanout, followup, joins
+from landlens.operators.geometry import with_centroid
 from landlens.sources.catalog import ViewRegistry
 
 
@@ -115,9 +115,8 @@ def v16(v9_df: DataFrame, boundaries: DataFrame, year: int | None = None,
     to UTM 10N (G3) *before* the centroid (G2), as the source did."""
     src = v9_df.where(F.col("YEAR") == F.lit(year)) if year is not None else v9_df
     j = joins.join_boundaries(src, boundaries, area_col="LOCAL_AREA", name_col="name")
-    c = ring_centroid(ring_to_utm(F.col("ring")))
-    return j.select("LOCAL_AREA", "YEAR", *measures,
-                    c["x"].alias("centroid_x"), c["y"].alias("centroid_y"))
+    return with_centroid(j, "ring", project=True).select(
+        "LOCAL_AREA", "YEAR", *measures, "centroid_x", "centroid_y")
 
 
 def v17(v9_df: DataFrame, area: str | None = None,
