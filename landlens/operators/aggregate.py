@@ -127,29 +127,44 @@ def building_permits_grouped(permits: DataFrame,
                              avg_double: bool = False) -> DataFrame:
     """Postal permit profile.
 
-    Three exact distinct counts: Catalyst rewrites them with one Expand and a
-    two-phase aggregate keyed on (postal, value), which stays partial-
-    aggregated even for a hot postal code.  ``distinct_property_uses`` counts
-    the raw use text, not the derived class.
+    Two explicit levels.  Level 1 groups by postal code and the three columns
+    whose distinct values are counted (categorical: work type, category, use)
+    and computes every other aggregate there.  Level 2 groups the level-1 rows
+    by postal code: sums of counts and sums, max of maxes, and the distinct
+    counts over the (few) level-1 rows.  Letting Catalyst plan three
+    ``count(DISTINCT)`` at once instead puts every permit through a 4-way
+    Expand *before* the sort-based aggregation that ``max`` of text forces;
+    here the permits are aggregated once and only the small level-1 result is
+    expanded.  Both levels aggregate partially before their shuffle (a hot
+    postal code is combined map-side).  ``distinct_property_uses`` counts the
+    raw use text, not the derived class.
     """
-    plain = [F.count(F.lit(1)).alias("permit_count"),
-             F.max("GEOM").alias("geom"),
-             F.max("GEO_POINT_2D").alias("geo_point_2d"),
-             F.max("PROPERTY_USE").alias("__max_use"),
-             F.sum("PROJECT_VALUE").alias("total_project_value"),
-             F.count_distinct("TYPE_OF_WORK").alias("distinct_work_types"),
-             F.count_distinct("PERMIT_CATEGORY").alias("distinct_permit_categories"),
-             F.count_distinct("PROPERTY_USE").alias("distinct_property_uses"),
-             F.max("ISSUE_YEAR").alias("latest_issue_year"),
-             F.max("ISSUE_DATE").alias("latest_issue_date")]
-    order = ["POSTAL_CODE", "permit_count", "geom", "geo_point_2d", "PROPERTY_USE",
-             "total_project_value", "avg_project_value", "distinct_work_types",
-             "distinct_permit_categories", "distinct_property_uses", "latest_issue_year",
-             "latest_issue_date"]
-    g = _grouped_with_avgs(permits, ["POSTAL_CODE"], plain,
-                           {"avg_project_value": F.col("PROJECT_VALUE")}, avg_double,
-                           [c for c in order if c != "PROPERTY_USE"] + ["__max_use"])
-    return g.withColumn("PROPERTY_USE", class_of("__max_use", use_classes, default)).select(*order)
+    dims = ["POSTAL_CODE", "TYPE_OF_WORK", "PERMIT_CATEGORY", "PROPERTY_USE"]
+    value_type = dict(permits.dtypes).get("PROJECT_VALUE", "")
+    l1 = permits.groupBy(*dims).agg(
+        F.count(F.lit(1)).alias("__n"), F.max("GEOM").alias("__geom"),
+        F.max("GEO_POINT_2D").alias("__pt"), F.sum("PROJECT_VALUE").alias("__sum"),
+        F.count("PROJECT_VALUE").alias("__cnt"), F.max("ISSUE_YEAR").alias("__year"),
+        F.max("ISSUE_DATE").alias("__date"))
+    total = F.sum("__sum")
+    if value_type.startswith("decimal"):
+        p, sc = (int(x) for x in value_type[len("decimal("):-1].split(","))
+        total = total.cast(f"decimal({min(p + 10, 38)},{sc})")     # type of a one-level sum
+    g = l1.groupBy("POSTAL_CODE").agg(
+        F.sum("__n").alias("permit_count"), F.max("__geom").alias("geom"),
+        F.max("__pt").alias("geo_point_2d"), F.max("PROPERTY_USE").alias("__max_use"),
+        total.alias("total_project_value"), F.sum("__cnt").alias("__count"),
+        F.count_distinct("TYPE_OF_WORK").alias("distinct_work_types"),
+        F.count_distinct("PERMIT_CATEGORY").alias("distinct_permit_categories"),
+        F.count_distinct("PROPERTY_USE").alias("distinct_property_uses"),
+        F.max("__year").alias("latest_issue_year"), F.max("__date").alias("latest_issue_date"))
+    return g.select(
+        "POSTAL_CODE", "permit_count", "geom", "geo_point_2d",
+        class_of("__max_use", use_classes, default).alias("PROPERTY_USE"), "total_project_value",
+        finish_avg(F.col("total_project_value"), F.col("__count"), as_double=avg_double)
+        .alias("avg_project_value"),
+        "distinct_work_types", "distinct_permit_categories", "distinct_property_uses",
+        "latest_issue_year", "latest_issue_date")
 
 
 # -- A8 / A9 ------------------------------------------------------------------

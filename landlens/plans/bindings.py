@@ -94,6 +94,7 @@ def building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
                              SMALL_TABLE_ROWS)
     area = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select("s_suppkey", "n_name")
+    area = broadcast_if_bounded(area, SMALL_TABLE_ROWS)     # one row per supplier: small only at small scale
     j = li.join(area, li["l_suppkey"] == area["s_suppkey"], "left")
     k = F.col("l_suppkey")
     return j.select(
@@ -120,6 +121,7 @@ def business_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
                              SMALL_TABLE_ROWS)
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select("c_custkey", "n_name")
+    cn = broadcast_if_bounded(cn, SMALL_TABLE_ROWS)         # one row per customer: small only at small scale
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(cn, F.col("o_custkey") == cn["c_custkey"], "left")
     return j.select(
         (F.year("l_shipdate") - 2000).cast("int").alias("FOLDER_YEAR"),

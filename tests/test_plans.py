@@ -36,9 +36,12 @@ def test_scan_is_pruned(spark, smoke_dir):
     assert "o_clerk" not in p
 
 
-def test_permit_profile_has_one_expand(spark, smoke_dir):
+def test_permit_profile_expands_only_the_reduced_rows(spark, smoke_dir):
     p = plan_text(views.v11(B.building_permits(spark, smoke_dir)))
     assert p.count("Expand") == 1
+    # the Expand sits above the first (per postal and category) aggregate, not above the scan
+    expand_at = p.index("Expand")
+    assert "lineitem.parquet" in p[expand_at:] and "Aggregate" in p[expand_at:p.index("lineitem.parquet")]
 
 
 def test_followup_has_no_self_join_and_no_row_number(spark, smoke_dir):
