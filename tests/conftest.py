@@ -15,7 +15,8 @@ def spark():
     from landlens.session import build_session
 
     s = build_session("local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="landlens-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="landlens-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="landlens-test-wh-")})
     yield s
     s.stop()
 
