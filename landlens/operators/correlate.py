@@ -40,7 +40,9 @@ def positional_rank(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     spark = df.sparkSession
     checkpoint_dir(spark)
     p = num_partitions or default_parallelism(spark)
-    keys = [*partition_cols, *order_cols]
+    # a row hash ends the key so that many rows tied on the order key can still
+    # be split across range partitions (ties are numbered in hash order)
+    keys = [*partition_cols, *order_cols, F.xxhash64(*[F.col(c) for c in df.columns])]
     s = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
          .withColumn("__pid", F.spark_partition_id())
          .withColumn("__idx", F.monotonically_increasing_id()))

@@ -69,11 +69,20 @@ def bridge_row_count(tax: DataFrame, permits: DataFrame, weighting: str = "fanou
 
 
 def postal_area_bridge(tax: DataFrame, permits: DataFrame, distinct: bool = False) -> DataFrame:
-    """J3 / V6 as the source defines it: one row per (tax row, permit row) pair
-    sharing a postal code.  Its size is ``sum n*m``; prefer :func:`bridge_weights`."""
-    v6 = tax.select(F.col("PROPERTY_POSTAL_CODE").alias("POSTAL_CODE")).join(
-        permits.select("POSTAL_CODE", F.col("GEO_LOCAL_AREA").alias("LOCAL_AREA")), "POSTAL_CODE")
-    return v6.distinct() if distinct else v6
+    """The postal -> area bridge.
+
+    ``distinct=False`` is the bridge as the source defines it: one row per
+    (tax row, permit row) pair sharing a postal code, ``sum n*m`` rows; use
+    :func:`bridge_weights` to aggregate through it.  ``distinct=True`` gives
+    its distinct pairs without building the product: the distinct (postal,
+    area) pairs of the permits, semi-joined to the postal codes present in
+    the tax table.
+    """
+    pairs = permits.select("POSTAL_CODE", F.col("GEO_LOCAL_AREA").alias("LOCAL_AREA"))
+    taxed = tax.select(F.col("PROPERTY_POSTAL_CODE").alias("POSTAL_CODE"))
+    if distinct:
+        return pairs.distinct().join(taxed, "POSTAL_CODE", "left_semi")
+    return taxed.join(pairs, "POSTAL_CODE")
 
 
 def property_tax_by_year_area(tax: DataFrame, permits: DataFrame,

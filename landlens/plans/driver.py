@@ -17,7 +17,7 @@ from landlens.contracts import (
     BUILDING_PERMITS, BUSINESS_LICENSES, POSTAL_CODE_PATTERN, PROPERTY_TAX, Field, TableContract,
 )
 from landlens.operators.geometry import with_centroid, with_projected_point
-from landlens.functions.text import normalise_names
+from landlens.functions.text import normalise_names, point_part
 from landlens.operators import aggregate, clean, correlate, fanout, joins
 from landlens.operators.followup import investment_land_value_followup
 from landlens.functions.numeric import percent_change
@@ -128,6 +128,20 @@ def q_bridge_size(s, d):
     return fanout.bridge_row_count(_tax(s, d), _permits(s, d))
 
 
+def q_bridge_pairs(s, d):
+    return views.v6(_tax(s, d), _permits(s, d), views.ViewOptions(weighting="distinct"))
+
+
+def q_point_parse(s, d):
+    pt = F.col("GEO_POINT_2D")
+    return _permits(s, d).select("POSTAL_CODE", pt.alias("geo_point_2d"),
+                                 point_part(pt, 1).alias("latitude"), point_part(pt, 2).alias("longitude"))
+
+
+def q_trend_one_area(s, d):
+    return views.v17(_v9(s, d), area=TREND_AREA)
+
+
 def q_bridge_fanout_avg(s, d):
     return publish(views.v7(_tax(s, d), _permits(s, d), OPT))
 
@@ -300,6 +314,7 @@ def q_clean_permits_job(s, d):
 
 
 AREA_MAP_YEAR = 1998
+TREND_AREA = "NATION_3"
 
 
 def q_area_map(s, d):
@@ -337,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "followup_range": q_followup_range,
     "followup_rollup": q_followup_rollup,
     "bridge_size": q_bridge_size,
+    "bridge_pairs": q_bridge_pairs,
     "bridge_fanout_avg": q_bridge_fanout_avg,
     "bridge_distinct_avg": q_bridge_distinct_avg,
     "class_counts": q_class_counts,
@@ -345,10 +361,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "activity_profile": q_activity_profile,
     "postal_join": q_postal_join,
     "heat_feed": q_heat_feed,
+    "point_parse": q_point_parse,
     "rank_correlation": q_rank_correlation,
     "correlation_matrix": q_correlation_matrix,
     "shares": q_shares,
     "trend": q_trend,
+    "trend_one_area": q_trend_one_area,
     "year_bounds": q_year_bounds,
     "distinct_values": q_distinct_values,
     "row_count": q_row_count,
@@ -585,4 +603,20 @@ ORACLE: dict[str, str] = {
                    AND postal_code IS NOT NULL)
         SELECT {', '.join(_sql_conform(f, publish=True) for f in BUILDING_PERMITS.fields)}, postal_code
         FROM kept""",
+    "bridge_pairs": with_ctes("SELECT DISTINCT POSTAL_CODE, LOCAL_AREA FROM v6", "v6"),
+    "point_parse": with_ctes("""
+        SELECT POSTAL_CODE, GEO_POINT_2D AS geo_point_2d,
+               CASE WHEN GEO_POINT_2D IS NULL
+                         OR LENGTH(GEO_POINT_2D) - LENGTH(REPLACE(GEO_POINT_2D, ',', '')) <> 1 THEN NULL
+                    ELSE TRY_CAST(TRIM(SPLIT_PART(GEO_POINT_2D, ',', 1)) AS DOUBLE) END AS latitude,
+               CASE WHEN GEO_POINT_2D IS NULL
+                         OR LENGTH(GEO_POINT_2D) - LENGTH(REPLACE(GEO_POINT_2D, ',', '')) <> 1 THEN NULL
+                    ELSE TRY_CAST(TRIM(SPLIT_PART(GEO_POINT_2D, ',', 2)) AS DOUBLE) END AS longitude
+        FROM permits""", "permits"),
+    "trend_one_area": with_ctes(f"""
+        SELECT LOCAL_AREA, YEAR, measure, value FROM (
+          SELECT LOCAL_AREA, YEAR, 'average_land_value' AS measure, CAST(average_land_value AS DOUBLE) AS value FROM v9
+          UNION ALL SELECT LOCAL_AREA, YEAR, 'average_project_value', CAST(average_project_value AS DOUBLE) FROM v9
+          UNION ALL SELECT LOCAL_AREA, YEAR, 'average_improvement_value', CAST(average_improvement_value AS DOUBLE)
+          FROM v9) t WHERE LOCAL_AREA = '{TREND_AREA}'""", "v9"),
 }

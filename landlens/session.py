@@ -72,3 +72,31 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     except Exception:  # pragma: no cover - conf always has a default
         return os.cpu_count() or 8
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    AQE starts from enough shuffle partitions that none exceeds
+    ``target_partition_bytes`` even if a stage shuffles the whole input (at
+    least 3 waves of the cluster's cores), then coalesces small ones down to
+    the advisory size; skewed join partitions (5x the median and above the
+    advisory size) are split.  File splits are capped at 256 MiB so a scan
+    task's batch fits in executor memory.  The broadcast threshold stays at
+    Spark's default: operators broadcast explicitly only after a bounded row
+    count (``broadcast_if_bounded``).
+    """
+    initial = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
