@@ -74,19 +74,21 @@ def default_parallelism(spark: SparkSession) -> int:
         return os.cpu_count() or 8
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20,
+               max_partitions: int = 50_000) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
 
     AQE starts from enough shuffle partitions that none exceeds
     ``target_partition_bytes`` even if a stage shuffles the whole input (at
-    least 3 waves of the cluster's cores), then coalesces small ones down to
-    the advisory size; skewed join partitions (5x the median and above the
-    advisory size) are split.  File splits are capped at 256 MiB so a scan
+    least 3 waves of the cluster's cores, at most ``max_partitions`` so the
+    map x reduce block count stays manageable; beyond that, reducers spill),
+    then coalesces small ones down to the advisory size; skewed join
+    partitions (5x the median and above the target size) are split.  File splits are capped at 256 MiB so a scan
     task's batch fits in executor memory.  The broadcast threshold stays at
     Spark's default: operators broadcast explicitly only after a bounded row
     count (``broadcast_if_bounded``).
     """
-    initial = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    initial = min(max(3 * total_cores, -(-input_bytes // target_partition_bytes)), max_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
