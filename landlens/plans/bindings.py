@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landlens.operators.joins import broadcast_if_bounded
-from landlens.sources.readers import read_parquet
+from landlens.sources.readers import boundaries_from_geojson, read_parquet
 
 # Class maps for the stand-in values (priorities and return flags).
 ZONING_AREA_T = {"residential": ["1-URGENT", "2-HIGH"],
@@ -138,13 +138,17 @@ def business_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One quadrilateral per nation (lon/lat ring, counter-clockwise, open)."""
+    """One quadrilateral per nation, delivered as GeoJSON Polygon text and read
+    through the boundary source (S9) into ``(name, ring)``; the ring is open
+    and counter-clockwise."""
     n = table(spark, sf_dir, "nation")
     x0 = F.lit(-125.0) + F.col("n_nationkey") * 0.2
     y0 = F.lit(48.0) + F.col("n_regionkey") * 0.3
-    pt = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    ring = F.array(pt(x0, y0), pt(x0 + 0.15, y0), pt(x0 + 0.2, y0 + 0.1), pt(x0, y0 + 0.25))
-    return n.select(F.col("n_name").alias("name"), ring.alias("ring"))
+    corners = [(x0, y0), (x0 + 0.15, y0), (x0 + 0.2, y0 + 0.1), (x0, y0 + 0.25)]
+    coords = F.concat_ws(",", *[F.concat(F.lit("["), _s(x), F.lit(","), _s(y), F.lit("]"))
+                                for x, y in corners])
+    text = F.concat(F.lit('{"type":"Polygon","coordinates":[['), coords, F.lit("]]}"))
+    return boundaries_from_geojson(n.select(F.col("n_name").alias("name"), text.alias("geojson")))
 
 
 def postal_results(spark: SparkSession, sf_dir: str) -> DataFrame:

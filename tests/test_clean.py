@@ -147,3 +147,15 @@ def test_preview_is_ordered(spark):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("k"))
     got = [r.id for r in clean.preview(df, 3, [F.col("k").desc(), F.col("id")]).collect()]
     assert got == [6, 13, 20]
+
+
+def test_boundaries_from_geojson(spark):
+    from landlens.sources import boundaries_from_geojson
+    df = spark.createDataFrame(
+        [("Downtown", '{"type":"Polygon","coordinates":[[[-123.1,49.2],[-123.0,49.2],[-123.0,49.3],[-123.1,49.2]],'
+                      '[[-123.05,49.22],[-123.04,49.22],[-123.04,49.23]]]}'),
+         ("Broken", "not json")], "name string, geojson string")
+    got = {r.name: r.ring for r in boundaries_from_geojson(df).collect()}
+    assert [(p.x, p.y) for p in got["Downtown"]] == [(-123.1, 49.2), (-123.0, 49.2), (-123.0, 49.3),
+                                                     (-123.1, 49.2)]     # outer ring only
+    assert got["Broken"] is None
