@@ -37,13 +37,16 @@ USE_POSTAL_T = {"residential": ["R"]}
 SMALL_TABLE_ROWS = 100_000
 
 
-# Fact tables get the scan-parallelism floor; dimension tables are read as they are.
-FACT_TABLES = frozenset({"lineitem", "orders", "documents", "pages", "events", "conversations"})
+# Fact tables get the scan-parallelism floor (hashed on their own key);
+# dimension tables are read as they are.
+FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id",
+               "pages": "page_id", "events": "event_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet",
-                        min_partitions=None if name in FACT_TABLES else 0)
+                        min_partitions=None if name in FACT_TABLES else 0,
+                        floor_key=FACT_TABLES.get(name))
 
 
 def _s(c) -> F.Column:

@@ -11,19 +11,22 @@ from pyspark.sql import types as T
 from landlens.contracts import TableContract
 
 
-def with_parallelism_floor(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def with_parallelism_floor(df: DataFrame, min_partitions: int | None = None,
+                           key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer splits than ``min_partitions`` (default: the
-    cluster's default parallelism) round-robin over that many partitions.
+    cluster's default parallelism) over that many partitions.
 
     A file with one row group is read by one task, and every narrow operator
     after it would run in that task.  Large inputs have far more splits than
     cores, so this is a no-op for them (no extra shuffle); it only spends one
-    small shuffle when the input is small.  Column pruning and filters still
-    reach the scan below the repartition.
+    small shuffle when the input is small.  With ``key`` (the table's own key
+    column) rows are hash-partitioned on it: deterministic on retry without the
+    sort a round-robin repartition needs, and column pruning still reaches the
+    scan (only ``key`` is added).  Without it, round-robin.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        return df.repartition(want, F.col(key)) if key else df.repartition(want)
     return df
 
 
@@ -33,7 +36,8 @@ _SCHEMAS: dict[tuple[str, ...], T.StructType] = {}
 def read_parquet(spark: SparkSession, path: str | Sequence[str],
                  columns: Sequence[str] | None = None,
                  min_partitions: int | None = None,
-                 schema: T.StructType | None = None) -> DataFrame:
+                 schema: T.StructType | None = None,
+                 floor_key: str | None = None) -> DataFrame:
     """Parquet scan; ``columns`` prunes the scan (ReadSchema) right away.
 
     The footer schema of a path is inferred once per driver process and then
@@ -54,7 +58,7 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str],
         df = df.select(*columns)
     if min_partitions == 0:
         return df
-    return with_parallelism_floor(df, min_partitions)
+    return with_parallelism_floor(df, min_partitions, floor_key)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
