@@ -9,7 +9,6 @@ not null.
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

@@ -24,7 +24,7 @@ from landlens.functions.numeric import percent_change
 from landlens.plans import bindings as B
 from landlens.plans import jobs
 from landlens.plans import views
-from landlens.plans.oracle import TIE, _avg, _pct, money, text, utm_sql, with_ctes  # noqa: F401
+from landlens.plans.oracle import _pct, money, text, utm_sql, with_ctes
 from landlens.session import scratch_path
 from landlens.sources import export_csv, heat_map_feed, read_delimited
 
