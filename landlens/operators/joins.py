@@ -1,10 +1,10 @@
 """Joins (J1, J2, J5, J6, J7) and the checked broadcast.
 
 Join strategy is left to Catalyst/AQE except where a side has a *proven*
-small size: ``broadcast_if_bounded`` counts at most ``max_rows + 1`` rows of
-the candidate side (a bounded job) and hints a broadcast only under that
-bound; otherwise the join stays a shuffle join and AQE may still convert it
-from runtime statistics.
+small size: ``broadcast_if_bounded`` fetches at most ``max_rows + 1`` one-column
+rows of the candidate side and hints a broadcast only under that bound;
+otherwise the join stays a shuffle join and AQE may still convert it from
+runtime statistics.
 """
 
 from __future__ import annotations
@@ -20,8 +20,15 @@ from landlens.functions.text import point_part
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only when the frame provably has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
+    """Broadcast hint only when the frame provably has at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally and stops once it holds
+    ``max_rows + 1`` rows, so a large input costs a few partitions, not a full
+    pass; the rows carry a single literal column, so what reaches the driver
+    is bounded and tiny.  (``limit(n).count()`` would instead funnel up to
+    ``partitions x n`` rows into one task.)
+    """
+    n = len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
     return F.broadcast(df) if n <= max_rows else df
 
 
