@@ -113,3 +113,19 @@ def test_export_single_and_parallel(spark, cleaned):
     assert len(files1) == 1
     back = spark.read.option("header", True).option("sep", ";").csv(p2)
     assert back.count() == 4 and back.where(F.col("BUSINESS_NAME") == "Shop C").count() == 1
+
+
+def test_run_all_writes_every_result(spark, cleaned):
+    import os
+    from landlens.plans.run import run_all
+    root = scratch_path(spark, "run-all")
+    # reuse the cleaned tables as raw inputs of the same layout is not possible
+    # (they are typed), so write the fixture's raw files again via the fixture root
+    clean_root = os.path.dirname(cleaned["property_tax"].inputFiles()[0].replace("file:", "")).rsplit("/clean", 1)[0]
+    written = run_all(spark, root, tax_path=f"{clean_root}/tax", licences_path=f"{clean_root}/lic",
+                      permits_csv_path=f"{clean_root}/permits")
+    assert "investment_vs_land_value" in written and "investment_vs_land_value.csv" in written
+    back = spark.read.parquet(written["combined_building_permits_property_tax_view"])
+    assert back.count() > 0
+    area_csv = spark.read.option("header", True).csv(written["investment_vs_land_value.csv"])
+    assert set(area_csv.columns) >= {"local_area", "percent_change_in_land_value"}
