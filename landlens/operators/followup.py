@@ -48,8 +48,8 @@ def investment_land_value_followup(v3: DataFrame, horizon: int = FOLLOWUP_HORIZO
       year), so the follow-up partners of a row are the rows of its postal
       code inside the window frame ``RANGE BETWEEN 1 FOLLOWING AND horizon
       FOLLOWING`` on the year; ``collect_list`` over that frame holds at most
-      ``horizon`` entries.  One shuffle of the picked rows by postal code, no
-      self-join, and the pick is computed once.
+      ``horizon`` entries.  One shuffle of the V3 rows by postal code serves
+      the pick and the window; no self-join, and the pick is computed once.
     * ``'explode'`` (R3): the band as an equi join on (postal, year) after
       exploding each row into its candidate years.
     * ``'range'``: equi join on postal code with the band as a residual predicate.
@@ -59,6 +59,11 @@ def investment_land_value_followup(v3: DataFrame, horizon: int = FOLLOWUP_HORIZO
     """
     if strategy == "window":
         return _followup_window(v3, horizon, tie_break)
+    if strategy == "frame":
+        # V3 rows are aggregates (per postal code: years x zonings x streets x
+        # areas); one exchange by postal code serves both the pick (grouped by
+        # postal code and year) and the window (partitioned by postal code).
+        v3 = v3.repartition("POSTAL_CODE")
     picked = pick_one_per_key(v3, ["POSTAL_CODE", "YEAR"], tie_break)
     i = picked.select("POSTAL_CODE", "YEAR", "LOCAL_AREA",
                       F.col("TOTAL_BUSINESSES").alias("BUSINESSES_COUNT"),
