@@ -68,8 +68,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     """Delimited text with a header; all columns strings unless ``schema`` is given.
 
     ``multiline`` lets quoted fields hold newlines (free-text addresses).
-    ``empty_as_null`` decides whether an empty field reads as null (Spark's
-    default) or as ``''``; it decides how many rows a later null-drop removes.
+    Empty fields decide how many rows a later null-drop removes (Q16): an
+    unquoted empty field always reads as null in Spark's CSV source; a quoted
+    empty field ``""`` reads as null too by default, or as ``''`` with
+    ``empty_as_null=False``.
     """
     r = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
          .option("escape", escape).option("multiLine", multiline)
