@@ -159,3 +159,12 @@ def test_boundaries_from_geojson(spark):
     assert [(p.x, p.y) for p in got["Downtown"]] == [(-123.1, 49.2), (-123.0, 49.2), (-123.0, 49.3),
                                                      (-123.1, 49.2)]     # outer ring only
     assert got["Broken"] is None
+
+
+def test_delimited_empty_fields(spark, tmp_path):
+    p = tmp_path / "e.csv"
+    p.write_text('a;b;c\n1;;x\n2;"";y\n')
+    default = [tuple(r) for r in read_delimited(spark, str(p)).collect()]
+    keep = [tuple(r) for r in read_delimited(spark, str(p), empty_as_null=False).collect()]
+    assert default == [("1", None, "x"), ("2", None, "y")]
+    assert keep == [("1", None, "x"), ("2", "", "y")]     # only the quoted empty stays ''
