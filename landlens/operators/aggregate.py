@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landlens.contracts import USE_AREA, USE_POSTAL, USE_POSTAL_DEFAULT, ZONING_POSTAL, ZONING_POSTAL_DEFAULT
 from landlens.functions.classify import class_of, indicator_sum
@@ -96,28 +97,60 @@ def building_permits_by_year_local_area(permits: DataFrame,
 
 
 # -- V10 ----------------------------------------------------------------------
+def _sum_cast(df: DataFrame, expr: Column, name: str) -> Column:
+    """``sum`` of a partial-sum column ``name``, cast to the type a one-level
+    ``sum(expr)`` would have (decimal(p + 10, s)); the type is read from the
+    analysed plan, no job runs."""
+    t = df.select(expr.alias("__t")).schema["__t"].dataType
+    s = F.sum(name)
+    if isinstance(t, T.DecimalType):
+        return s.cast(T.DecimalType(min(t.precision + 10, 38), t.scale))
+    return s
+
+
 def property_tax_grouped(tax: DataFrame,
                          zoning_classes: Mapping[str, Sequence[str]] = ZONING_POSTAL,
                          default: str = ZONING_POSTAL_DEFAULT,
                          avg_double: bool = False) -> DataFrame:
     """Postal tax profile; the class comes from the lexicographic
-    ``MAX`` of the zoning text (binary collation), as in the source view."""
+    ``MAX`` of the zoning text (binary collation), as in the source view.
+
+    Two levels: the tax rows are aggregated by (postal code, zoning) — all
+    buffers fixed-width, so a hash aggregate with map-side combine — and only
+    those few rows per postal code go through the text ``MAX`` (which Spark
+    can only do as a sort-based aggregate) and the final sums.
+    """
     land, impr = F.col("CURRENT_LAND_VALUE"), F.col("CURRENT_IMPROVEMENT_VALUE")
-    plain = [F.count("PID").alias("property_count"),
-             F.max("ZONING_CLASSIFICATION").alias("__max_zoning"),
-             F.sum(land).alias("total_land_value"),
-             F.sum(impr).alias("total_improvement_value"),
-             F.sum(land + impr).alias("total_property_value"),
-             F.max("TAX_ASSESSMENT_YEAR").alias("latest_assessment_year"),
-             F.max("YEAR_BUILT").alias("latest_year_built"),
-             F.max("BIG_IMPROVEMENT_YEAR").alias("latest_improvement_year")]
-    avgs = {"avg_land_value": land, "avg_improvement_value": impr, "avg_property_value": land + impr}
-    order = ["PROPERTY_POSTAL_CODE", "property_count", "ZONING", "total_land_value",
-             "total_improvement_value", "total_property_value", *avgs,
-             "latest_assessment_year", "latest_year_built", "latest_improvement_year"]
-    g = _grouped_with_avgs(tax, ["PROPERTY_POSTAL_CODE"], plain, avgs, avg_double,
-                           [c for c in order if c != "ZONING"] + ["__max_zoning"])
-    return g.withColumn("ZONING", class_of("__max_zoning", zoning_classes, default)).select(*order)
+    both = land + impr
+    l1 = tax.groupBy("PROPERTY_POSTAL_CODE", "ZONING_CLASSIFICATION").agg(
+        F.count("PID").alias("__pids"),
+        F.sum(land).alias("__land"), F.count(land).alias("__nland"),
+        F.sum(impr).alias("__impr"), F.count(impr).alias("__nimpr"),
+        F.sum(both).alias("__both"), F.count(both).alias("__nboth"),
+        F.max("TAX_ASSESSMENT_YEAR").alias("__ay"), F.max("YEAR_BUILT").alias("__yb"),
+        F.max("BIG_IMPROVEMENT_YEAR").alias("__iy"))
+
+    land_t = _sum_cast(tax, land, "__land")
+    impr_t = _sum_cast(tax, impr, "__impr")
+    both_t = _sum_cast(tax, both, "__both")
+    g = l1.groupBy("PROPERTY_POSTAL_CODE").agg(
+        F.sum("__pids").alias("property_count"),
+        F.max("ZONING_CLASSIFICATION").alias("__max_zoning"),
+        land_t.alias("total_land_value"), impr_t.alias("total_improvement_value"),
+        both_t.alias("total_property_value"),
+        F.sum("__nland").alias("__nl"), F.sum("__nimpr").alias("__ni"), F.sum("__nboth").alias("__nb"),
+        F.max("__ay").alias("latest_assessment_year"), F.max("__yb").alias("latest_year_built"),
+        F.max("__iy").alias("latest_improvement_year"))
+    return g.select(
+        "PROPERTY_POSTAL_CODE", "property_count",
+        class_of("__max_zoning", zoning_classes, default).alias("ZONING"),
+        "total_land_value", "total_improvement_value", "total_property_value",
+        finish_avg(F.col("total_land_value"), F.col("__nl"), as_double=avg_double).alias("avg_land_value"),
+        finish_avg(F.col("total_improvement_value"), F.col("__ni"), as_double=avg_double)
+        .alias("avg_improvement_value"),
+        finish_avg(F.col("total_property_value"), F.col("__nb"), as_double=avg_double)
+        .alias("avg_property_value"),
+        "latest_assessment_year", "latest_year_built", "latest_improvement_year")
 
 
 # -- V11 ----------------------------------------------------------------------
@@ -140,16 +173,12 @@ def building_permits_grouped(permits: DataFrame,
     raw use text, not the derived class.
     """
     dims = ["POSTAL_CODE", "TYPE_OF_WORK", "PERMIT_CATEGORY", "PROPERTY_USE"]
-    value_type = dict(permits.dtypes).get("PROJECT_VALUE", "")
     l1 = permits.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("__n"), F.max("GEOM").alias("__geom"),
         F.max("GEO_POINT_2D").alias("__pt"), F.sum("PROJECT_VALUE").alias("__sum"),
         F.count("PROJECT_VALUE").alias("__cnt"), F.max("ISSUE_YEAR").alias("__year"),
         F.max("ISSUE_DATE").alias("__date"))
-    total = F.sum("__sum")
-    if value_type.startswith("decimal"):
-        p, sc = (int(x) for x in value_type[len("decimal("):-1].split(","))
-        total = total.cast(f"decimal({min(p + 10, 38)},{sc})")     # type of a one-level sum
+    total = _sum_cast(permits, F.col("PROJECT_VALUE"), "__sum")     # type of a one-level sum
     g = l1.groupBy("POSTAL_CODE").agg(
         F.sum("__n").alias("permit_count"), F.max("__geom").alias("geom"),
         F.max("__pt").alias("geo_point_2d"), F.max("PROPERTY_USE").alias("__max_use"),
