@@ -232,7 +232,7 @@ def raw_building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.lit("V"), _s(k % 10), F.lit("E "), _s(ln), F.lit("T"), _s(k % 7))
     address = (F.when(ln == 1, F.lit(None).cast("string"))                       # dropped
                .when(ln == 2, F.concat(F.lit('Unit "'), _s(k), F.lit('"; no code')))
-               .otherwise(F.concat(_s(k), F.lit(" Main St; Vancouver, BC "), code)))
+               .otherwise(F.concat(_s(k), F.lit(" Main St; Centre City "), code)))
     lat, lon = _lat_lon_text(k)
     return j.select(
         F.concat(F.lit("BP-"), _s("l_orderkey"), F.lit("-"), _s(ln)).alias("PermitNumber"),

@@ -584,7 +584,7 @@ ORACLE: dict[str, str] = {
                  l.l_linestatus AS TypeOfWork,
                  CASE WHEN l.l_linenumber = 1 THEN NULL
                       WHEN l.l_linenumber = 2 THEN 'Unit "' || CAST(l.l_suppkey AS VARCHAR) || '"; no code'
-                      ELSE CAST(l.l_suppkey AS VARCHAR) || ' Main St; Vancouver, BC ' || 'V'
+                      ELSE CAST(l.l_suppkey AS VARCHAR) || ' Main St; Centre City ' || 'V'
                            || CAST(l.l_suppkey % 10 AS VARCHAR) || 'E ' || CAST(l.l_linenumber AS VARCHAR)
                            || 'T' || CAST(l.l_suppkey % 7 AS VARCHAR) END AS Address,
                  'C' || CAST(l.l_linenumber AS VARCHAR) AS PermitCategory, l.l_returnflag AS PropertyUse,

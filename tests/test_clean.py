@@ -77,7 +77,7 @@ PERMIT_HEADER = ["PermitNumber", "PermitNumberCreatedDate", "IssueDate", "Permit
 def _permit_line(**kw):
     base = dict.fromkeys(PERMIT_HEADER, "z")
     base.update(PermitNumber="BP-1", IssueDate="2021-03-04", ProjectValue="1000.5", TypeOfWork="New",
-                Address="1 Main St, Vancouver, BC V6E 3T1", PermitCategory="C", PropertyUse="Dwelling Uses",
+                Address="1 Main St, Centre City V6E 3T1", PermitCategory="C", PropertyUse="Dwelling Uses",
                 SpecificUseCategory="House", IssueYear="2021", GeoLocalArea="Downtown",
                 Geom='{"coordinates":[-123.1,49.2],"type":"Point"}', YearMonth="2021-03",
                 geo_point_2d="49.2, -123.1")

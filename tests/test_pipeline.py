@@ -9,9 +9,6 @@ from landlens.session import scratch_path
 from landlens.sources import declare_table, export_csv, write_table
 from tests.test_clean import PERMIT_HEADER, _permit_line
 
-AREAS = ["Downtown", "Kitsilano"]
-
-
 @pytest.fixture(scope="module")
 def cleaned(spark):
     root = scratch_path(spark, "pipeline")
@@ -35,7 +32,7 @@ def cleaned(spark):
         [("16", "Issued", "d", "Shop A", None, "t", "s", "V6E 3T1", "Main", "Downtown", "4"),
          ("16", "Issued", "d", "Shop B", None, "t", "s", "V6E 3T1", "Main", "Downtown", "6"),
          ("17", "Issued", "d", "Shop A", None, "t", "s", "V6E 3T1", "Main", "Downtown", "5"),
-         ("16", "Issued", "d", "Shop C", None, "t", "s", "V5K 0A1", "Oak", "Kitsilano", "2")],
+         ("16", "Issued", "d", "Shop C", None, "t", "s", "V5K 0A1", "Oak", "Westside", "2")],
         "folderyear string, status string, issueddate string, businessname string, "
         "businesstradename string, businesstype string, businesssubtype string, postalcode string, "
         "street string, localarea string, numberofemployees string")
@@ -43,7 +40,7 @@ def cleaned(spark):
     # permits (delimited)
     lines = [";".join(PERMIT_HEADER),
              _permit_line(PermitNumber="P1", IssueYear="2016", IssueDate="2016-02-01", GeoLocalArea="Downtown"),
-             _permit_line(PermitNumber="P2", IssueYear="2016", IssueDate="2016-03-01", GeoLocalArea="Kitsilano"),
+             _permit_line(PermitNumber="P2", IssueYear="2016", IssueDate="2016-03-01", GeoLocalArea="Westside"),
              _permit_line(PermitNumber="P3", IssueYear="2017", IssueDate="2017-03-01", GeoLocalArea="Downtown",
                           Address="9 Oak St V5K 0A1", PropertyUse="Office Uses")]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
