@@ -9,8 +9,6 @@ runtime statistics.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +115,3 @@ def join_boundaries(df: DataFrame, boundaries: DataFrame, area_col: str = "local
     b = broadcast_if_bounded(boundaries, max_broadcast_rows)
     return df.join(b, df[area_col] == b[name_col])
 
-
-def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Plain inner equi join on shared key names (J5/J6 style)."""
-    return left.join(right, list(keys))

@@ -168,3 +168,19 @@ def test_delimited_empty_fields(spark, tmp_path):
     keep = [tuple(r) for r in read_delimited(spark, str(p), empty_as_null=False).collect()]
     assert default == [("1", None, "x"), ("2", None, "y")]
     assert keep == [("1", None, "x"), ("2", "", "y")]     # only the quoted empty stays ''
+
+
+def test_enforce_contract_matches_licence_job(spark):
+    raw = _licence_raw(spark)
+    renamed = clean.rename_columns(raw, BUSINESS_LICENSES.rename_map())
+    a = clean.enforce_contract(renamed, BUSINESS_LICENSES)
+    b = jobs.clean_business_licenses(raw)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert [f.nullable for f in BUSINESS_LICENSES.schema().fields][:1] == [False]
+
+
+def test_sorted_followup_puts_null_area_last(spark):
+    from landlens.operators.followup import sorted_followup
+    df = spark.createDataFrame([(None, "A", 2016, 2017), ("North", "B", 2016, 2018), ("Alpha", "C", 2016, 2017)],
+                               "LOCAL_AREA string, POSTAL_CODE string, INVESTMENT_YEAR int, FOLLOWUP_YEAR int")
+    assert [r.LOCAL_AREA for r in sorted_followup(df).collect()] == ["Alpha", "North", None]

@@ -63,3 +63,11 @@ def test_boundary_join_is_broadcast_after_size_check(spark, smoke_dir):
     v9 = views.v9(B.property_tax(spark, smoke_dir), B.building_permits(spark, smoke_dir))
     p = plan_text(views.v16(v9, B.boundaries(spark, smoke_dir), year=1998))
     assert "BroadcastHashJoin" in p
+
+
+def test_tax_profile_hash_aggregates_before_text_max(spark, smoke_dir):
+    p = plan_text(views.v10(B.property_tax(spark, smoke_dir)))
+    # level 1 (postal, zoning) is a hash aggregate; only level 2 holds the text max
+    assert "HashAggregate(keys=[PROPERTY_POSTAL_CODE" in p and "ZONING_CLASSIFICATION" in p
+    first_sort_agg = p.find("SortAggregate")
+    assert first_sort_agg == -1 or p.find("HashAggregate", first_sort_agg) > first_sort_agg
