@@ -160,3 +160,23 @@ def test_correlation_matrix_is_upper_triangular(spark, smoke_dir):
         for y in years:
             if y < r.investment_year:
                 assert r[str(y)] is None
+
+
+def test_two_zoning_maps_disagree_on_purpose(spark):
+    """Q7: 'Multiple Dwelling' is residential in the area roll-up (V7) but
+    non-residential in the postal profile (V10); 'Comprehensive Development'
+    is non-residential in V7 but 'mixed' in V10; V10 takes the lexicographic max."""
+    tax = _tax(spark, [
+        ("1", "A", "Multiple Dwelling", "Main", "1.00", "1.00", "1.00", 2020),
+        ("2", "B", "Comprehensive Development", "Main", "1.00", "1.00", "1.00", 2020),
+        ("3", "C", "Commercial", "Main", "1.00", "1.00", "1.00", 2020),
+        ("4", "C", "Residential", "Main", "1.00", "1.00", "1.00", 2020),     # max -> 'Residential'
+        ("5", "D", "Nowhere", "Main", "1.00", "1.00", "1.00", 2020)])
+    permits = _permits(spark, [("A", "X"), ("B", "Y"), ("C", "Z"), ("D", "Z")])
+    v7 = {r.LOCAL_AREA: (r.residential_zoning_count, r.non_residential_zoning_count)
+          for r in views.v7(tax, permits).collect()}
+    assert v7["X"] == (1, 0) and v7["Y"] == (0, 1)
+    v10 = {r.PROPERTY_POSTAL_CODE: r.ZONING for r in views.v10(tax.withColumn(
+        "TAX_ASSESSMENT_YEAR", F.lit(2020)).withColumn("YEAR_BUILT", F.lit(1990))
+        .withColumn("BIG_IMPROVEMENT_YEAR", F.lit(2000))).collect()}
+    assert v10 == {"A": "non-residential", "B": "mixed", "C": "residential", "D": "unknown"}
