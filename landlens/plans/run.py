@@ -56,3 +56,34 @@ def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
         export_csv(reg.get(name), path, sep=sep, single_file=single, null_text=null_text)
         written[f"{name}.csv"] = path
     return written
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line (S11): ``python -m landlens.plans.run --out DIR --tax P --licences P
+    (--permits-csv P | --permits-parquet P) [--input-bytes N --cores N]``."""
+    import argparse
+
+    from landlens.session import build_session, scale_conf
+
+    ap = argparse.ArgumentParser(description="clean the raw files, build and write every result")
+    ap.add_argument("--out", required=True, help="shared output folder")
+    ap.add_argument("--tax", required=True, help="raw property-tax Parquet path")
+    ap.add_argument("--licences", required=True, help="raw business-licence Parquet path")
+    g = ap.add_mutually_exclusive_group(required=True)
+    g.add_argument("--permits-csv", help="raw building-permit delimited path (';')")
+    g.add_argument("--permits-parquet", help="raw building-permit Parquet path (older layout)")
+    ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
+    ap.add_argument("--input-bytes", type=int, default=None, help="input size, for partition sizing")
+    ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing")
+    a = ap.parse_args(argv)
+    extra = scale_conf(a.input_bytes, a.cores) if a.input_bytes and a.cores else {}
+    spark = build_session(a.master or "local[*]", extra=extra)
+    for name, path in sorted(run_all(spark, a.out, tax_path=a.tax, licences_path=a.licences,
+                                     permits_csv_path=a.permits_csv,
+                                     permits_parquet_path=a.permits_parquet).items()):
+        print(f"{name}\t{path}")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
