@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing")
     a = ap.parse_args(argv)
     extra = scale_conf(a.input_bytes, a.cores) if a.input_bytes and a.cores else {}
-    spark = build_session(a.master or "local[*]", extra=extra)
+    spark = build_session(a.master, extra=extra)
     for name, path in sorted(run_all(spark, a.out, tax_path=a.tax, licences_path=a.licences,
                                      permits_csv_path=a.permits_csv,
                                      permits_parquet_path=a.permits_parquet).items()):

@@ -15,15 +15,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "landlens", extra: dict | None = None) -> SparkSession:
     """Session with the settings the operators are designed for.
 
     AQE on (coalesces small shuffles, splits skewed join partitions), UTC,
     ANSI on (Spark 4 default; operators use ``try_*`` forms where the
-    reference tolerated bad values), no web UI.
+    reference tolerated bad values), no web UI.  ``master=None`` leaves the
+    master to the environment (``spark-submit``).
     """
-    b = (SparkSession.builder.master(master).appName(app_name)
+    b = SparkSession.builder if master is None else SparkSession.builder.master(master)
+    b = (b.appName(app_name)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
