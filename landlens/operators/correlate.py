@@ -12,11 +12,12 @@ it), in a nested loop over years.  Here:
    under task retry), and each row's rank is its position inside its
    partition plus the number of rows of the same year in earlier partitions,
    taken from a tiny per-(year, partition) count table.
-2. One equi join on (segment, rank) pairs year-A rows with year-B rows; the
-   join key is unique per year, so no key is hot.
-3. One grouped aggregate gives all correlations; segments ('both',
-   'residential', 'non-residential') are evaluated in the same pass by
-   exploding a segment tag.
+2. A pivot puts each rank's values of every year side by side (one wide row
+   per (segment, rank), at most one value per year), and one aggregate per
+   segment computes every year pair's moments over those rows; no pair rows
+   are emitted and nothing is joined to itself.
+3. Segments ('both', 'residential', 'non-residential') are evaluated in the
+   same pass by exploding a segment tag.
 """
 
 from __future__ import annotations
@@ -70,12 +71,21 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
                           segment_col: str | None = "property_use",
                           segment_value: str = "residential",
                           segments: Sequence[str] | None = None,
-                          digits: int | None = None) -> DataFrame:
+                          digits: int | None = None, strategy: str = "pivot") -> DataFrame:
     """A10 (+ C13, J8): long table ``(segment, investment_year, value_year, n_pairs, corr)``.
 
     ``corr`` is NULL for fewer than two complete pairs or zero variance.
     Rows with a null in x or y still count for their rank (as in the
     source's positional pairing) but drop out of the correlation.
+
+    ``strategy='pivot'`` (default): one wide row per (segment, rank) holding
+    each year's x and y (a group has at most one row per year), then one
+    aggregate per segment computing, for every pair of years A <= B,
+    ``covar_pop``/``stddev_pop`` over the ranks where both x_A and y_B exist.
+    No pair rows are produced and there is no self-join; the distinct years
+    (a small, calendar-bounded list) are read first to name the columns.
+    ``strategy='join'``: equi join of the ranked rows with themselves on
+    (segment, rank) — same result, kept for comparison.
     """
     base = df.where(F.col(year_col).isNotNull()).select(
         F.col(year_col).cast("int").alias("__year"), F.col(order_col).alias("__ord"),
@@ -88,6 +98,39 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
     if segments is not None:
         base = base.where(F.col("segment").isin(list(segments)))
     ranked = positional_rank(base, ["segment", "__year"], ["__ord"], rank_col="__rn")
+    if strategy == "join":
+        return _pair_join(ranked, digits)
+    if strategy != "pivot":
+        raise ValueError(f"unknown correlation strategy {strategy!r}")
+    years = [r[0] for r in ranked.select("__year").distinct().orderBy("__year").collect()]
+    if not years:
+        return _pair_join(ranked, digits)
+    wide = ranked.groupBy("segment", "__rn").pivot("__year", years).agg(
+        F.first("__x").alias("x"), F.first("__y").alias("y"), F.count(F.lit(1)).alias("c"))
+    # one SQL expression per aggregate keeps the plan construction cheap
+    pairs = [(a, b) for a in years for b in years if b >= a]
+    aggs = [F.expr(f"max(`{a}_c`) AS `h{a}`") for a in years]
+    for a, b in pairs:
+        ok = f"(`{a}_x` IS NOT NULL AND `{b}_y` IS NOT NULL)"
+        xa, yb = f"IF({ok}, `{a}_x`, NULL)", f"IF({ok}, `{b}_y`, NULL)"
+        aggs += [F.expr(f"count_if({ok}) AS `n{a}_{b}`"),
+                 F.expr(f"covar_pop({xa}, {yb}) AS `v{a}_{b}`"),
+                 F.expr(f"stddev_pop({xa}) * stddev_pop({yb}) AS `d{a}_{b}`")]
+    per_segment = wide.groupBy("segment").agg(*aggs)
+    corr = "IF(`d{a}_{b}` = 0, CAST(NULL AS DOUBLE), try_divide(`v{a}_{b}`, `d{a}_{b}`))"
+    if digits is not None:
+        corr = f"round({corr}, {int(digits)})"
+    cells = ", ".join(f"{a}, {b}, `n{a}_{b}`, " + corr.format(a=a, b=b)
+                      + f", `h{a}` IS NOT NULL AND `h{b}` IS NOT NULL" for a, b in pairs)
+    long = per_segment.selectExpr(
+        "segment", f"stack({len(pairs)}, {cells}) AS (investment_year, value_year, n_pairs, corr, present)")
+    return long.where("present").select(
+        "segment", F.col("investment_year").cast("int").alias("investment_year"),
+        F.col("value_year").cast("int").alias("value_year"), "n_pairs",
+        F.col("corr").cast("double").alias("corr"))
+
+
+def _pair_join(ranked: DataFrame, digits: int | None) -> DataFrame:
     xs = ranked.select("segment", F.col("__year").alias("investment_year"), "__rn", "__x")
     ys = ranked.select("segment", F.col("__year").alias("value_year"), "__rn", "__y")
     pairs = xs.join(ys, ["segment", "__rn"]).where(F.col("value_year") >= F.col("investment_year"))

@@ -180,3 +180,10 @@ def test_two_zoning_maps_disagree_on_purpose(spark):
         "TAX_ASSESSMENT_YEAR", F.lit(2020)).withColumn("YEAR_BUILT", F.lit(1990))
         .withColumn("BIG_IMPROVEMENT_YEAR", F.lit(2000))).collect()}
     assert v10 == {"A": "non-residential", "B": "mixed", "C": "residential", "D": "unknown"}
+
+
+def test_pivot_and_join_strategies_agree(spark, smoke_dir):
+    pr = B.postal_results(spark, smoke_dir)
+    a = correlate.rank_pair_correlation(pr, digits=9, strategy="pivot")
+    b = correlate.rank_pair_correlation(pr, digits=9, strategy="join")
+    assert a.count() == 84 and same_bag(a, b)
