@@ -79,7 +79,8 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
     source's positional pairing) but drop out of the correlation.
 
     ``strategy='pivot'`` (default): one wide row per (segment, rank) holding
-    each year's x and y (a group has at most one row per year), then one
+    each year's x and y (a group has at most one row per year; built by one
+    hash aggregate), then one
     aggregate per segment computing, for every pair of years A <= B,
     ``covar_pop``/``stddev_pop`` over the ranks where both x_A and y_B exist.
     No pair rows are produced and there is no self-join; the distinct years
@@ -105,9 +106,15 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
     years = [r[0] for r in ranked.select("__year").distinct().orderBy("__year").collect()]
     if not years:
         return _pair_join(ranked, digits)
-    wide = ranked.groupBy("segment", "__rn").pivot("__year", years).agg(
-        F.first("__x").alias("x"), F.first("__y").alias("y"), F.count(F.lit(1)).alias("c"))
-    # one SQL expression per aggregate keeps the plan construction cheap
+    # one hash aggregate builds the wide rows (a (segment, rank) group holds at
+    # most one row per year); one SQL expression per aggregate keeps the plan
+    # construction cheap
+    cols = []
+    for a in years:
+        cols += [F.expr(f"first(IF(__year = {a}, __x, NULL), true) AS `{a}_x`"),
+                 F.expr(f"first(IF(__year = {a}, __y, NULL), true) AS `{a}_y`"),
+                 F.expr(f"count_if(__year = {a}) AS `{a}_c`")]
+    wide = ranked.groupBy("segment", "__rn").agg(*cols)
     pairs = [(a, b) for a in years for b in years if b >= a]
     aggs = [F.expr(f"max(`{a}_c`) AS `h{a}`") for a in years]
     for a, b in pairs:
@@ -121,7 +128,7 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
     if digits is not None:
         corr = f"round({corr}, {int(digits)})"
     cells = ", ".join(f"{a}, {b}, `n{a}_{b}`, " + corr.format(a=a, b=b)
-                      + f", `h{a}` IS NOT NULL AND `h{b}` IS NOT NULL" for a, b in pairs)
+                      + f", `h{a}` > 0 AND `h{b}` > 0" for a, b in pairs)
     long = per_segment.selectExpr(
         "segment", f"stack({len(pairs)}, {cells}) AS (investment_year, value_year, n_pairs, corr, present)")
     return long.where("present").select(
