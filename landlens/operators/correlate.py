@@ -116,7 +116,21 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
                  F.expr(f"count_if(__year = {a}) AS `{a}_c`")]
     wide = ranked.groupBy("segment", "__rn").agg(*cols)
     pairs = [(a, b) for a in years for b in years if b >= a]
-    aggs = [F.expr(f"max(`{a}_c`) AS `h{a}`") for a in years]
+    # the aggregate count grows with years^2: beyond a chunk, year pairs are
+    # computed in several aggregates over the same wide rows (whose input,
+    # the ranked rows, is checkpointed) and unioned
+    parts = [_pair_moments(wide, years, pairs[i:i + PAIRS_PER_AGGREGATE], digits)
+             for i in range(0, len(pairs), PAIRS_PER_AGGREGATE)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+PAIRS_PER_AGGREGATE = 150
+
+
+def _pair_moments(wide: DataFrame, years: Sequence[int], pairs: Sequence[tuple[int, int]],
+                  digits: int | None) -> DataFrame:
+    used = sorted({y for p in pairs for y in p})
+    aggs = [F.expr(f"max(`{a}_c`) AS `h{a}`") for a in used]
     for a, b in pairs:
         ok = f"(`{a}_x` IS NOT NULL AND `{b}_y` IS NOT NULL)"
         xa, yb = f"IF({ok}, `{a}_x`, NULL)", f"IF({ok}, `{b}_y`, NULL)"

@@ -187,3 +187,11 @@ def test_pivot_and_join_strategies_agree(spark, smoke_dir):
     a = correlate.rank_pair_correlation(pr, digits=9, strategy="pivot")
     b = correlate.rank_pair_correlation(pr, digits=9, strategy="join")
     assert a.count() == 84 and same_bag(a, b)
+
+
+def test_pivot_chunks_year_pairs(spark, smoke_dir, monkeypatch):
+    pr = B.postal_results(spark, smoke_dir)
+    whole = correlate.rank_pair_correlation(pr, digits=9)
+    monkeypatch.setattr(correlate, "PAIRS_PER_AGGREGATE", 5)      # 28 pairs -> 6 aggregates
+    chunked = correlate.rank_pair_correlation(pr, digits=9)
+    assert same_bag(whole, chunked)
