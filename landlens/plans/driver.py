@@ -279,6 +279,14 @@ def q_extract_postal_code(s, d):
     return clean.with_postal_code(docs, "text", "postal_code").select("doc_id", "postal_code")
 
 
+PHONE_LIKE = r"\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}"
+
+
+def q_extract_phone_like(s, d):
+    docs = B.table(s, d, "documents").select("doc_id", "text")
+    return clean.with_postal_code(docs, "text", "phone", pattern=PHONE_LIKE).select("doc_id", "phone")
+
+
 def q_contract_audit(s, d):
     li = B.table(s, d, "lineitem")
     return clean.audit(li, required=["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"],
@@ -378,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "truncate_text": q_truncate_text,
     "extract_code": q_extract_code,
     "extract_postal_code": q_extract_postal_code,
+    "extract_phone_like": q_extract_phone_like,
     "contract_audit": q_contract_audit,
     "name_normalise": q_name_normalise,
     "csv_roundtrip": q_csv_roundtrip,
@@ -619,4 +628,5 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT LOCAL_AREA, YEAR, 'average_project_value', CAST(average_project_value AS DOUBLE) FROM v9
           UNION ALL SELECT LOCAL_AREA, YEAR, 'average_improvement_value', CAST(average_improvement_value AS DOUBLE)
           FROM v9) t WHERE LOCAL_AREA = '{TREND_AREA}'""", "v9"),
+    "extract_phone_like": f"SELECT doc_id, regexp_extract(text, '{PHONE_LIKE}', 0) AS phone FROM documents",
 }
