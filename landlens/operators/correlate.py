@@ -30,14 +30,21 @@ from pyspark.sql import functions as F
 
 from landlens.functions.numeric import safe_corr
 from landlens.operators.clean import segment_tag
-from landlens.operators.joins import broadcast_if_bounded
 from landlens.session import checkpoint_dir, default_parallelism
 
 
+STATS_BROADCAST_ROWS = 1_000_000
+
+
 def positional_rank(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                    rank_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
+                    rank_col: str = "rn", num_partitions: int | None = None,
+                    return_groups: bool = False):
     """``row_number()`` within ``partition_cols`` by ``order_cols``, computed
-    without gathering any partition group into a single task."""
+    without gathering any partition group into a single task.
+
+    With ``return_groups`` the result is ``(ranked, groups)`` where ``groups``
+    is the set of ``partition_cols`` values seen (read from the same bounded
+    fetch that decides the broadcast; ``None`` when above the bound)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     p = num_partitions or default_parallelism(spark)
@@ -56,14 +63,19 @@ def positional_rank(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
                          F.col("__pid").alias("__k_pid"), "__first",
                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     # at most (#partitions x #groups) rows; the bound is checked before broadcasting
-    stats = broadcast_if_bounded(stats, max_rows=1_000_000)
+    seen = stats.select(*[f"__k_{c}" for c in partition_cols]).take(STATS_BROADCAST_ROWS + 1)
+    small = len(seen) <= STATS_BROADCAST_ROWS
+    stats = F.broadcast(stats) if small else stats
     cond = reduce(lambda a, b: a & b,
                   [s[c].eqNullSafe(stats[f"__k_{c}"]) for c in partition_cols]
                   + [s["__pid"] == stats["__k_pid"]])
     j = s.join(stats, cond)
     out = j.withColumn(rank_col, (F.col("__offset") + F.col("__idx") - F.col("__first") + 1).cast("bigint"))
-    return out.drop("__pid", "__idx", "__first", "__offset", "__k_pid",
-                    *[f"__k_{c}" for c in partition_cols])
+    out = out.drop("__pid", "__idx", "__first", "__offset", "__k_pid",
+                   *[f"__k_{c}" for c in partition_cols])
+    if return_groups:
+        return out, ({tuple(r) for r in seen} if small else None)
+    return out
 
 
 def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str = "postal_code",
@@ -98,12 +110,16 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
         base = base.withColumn("segment", F.lit("both"))
     if segments is not None:
         base = base.where(F.col("segment").isin(list(segments)))
-    ranked = positional_rank(base, ["segment", "__year"], ["__ord"], rank_col="__rn")
+    ranked, groups = positional_rank(base, ["segment", "__year"], ["__ord"], rank_col="__rn",
+                                     return_groups=True)
     if strategy == "join":
         return _pair_join(ranked, digits)
     if strategy != "pivot":
         raise ValueError(f"unknown correlation strategy {strategy!r}")
-    years = [r[0] for r in ranked.select("__year").distinct().orderBy("__year").collect()]
+    if groups is not None:
+        years = sorted({y for _, y in groups})
+    else:
+        years = [r[0] for r in ranked.select("__year").distinct().orderBy("__year").collect()]
     if not years:
         return _pair_join(ranked, digits)
     # one hash aggregate builds the wide rows (a (segment, rank) group holds at
