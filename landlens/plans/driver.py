@@ -399,6 +399,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# SURVEY section 2 items exercised by each registered query.
+COVERAGE: dict[str, str] = {
+    "entity_year_size": "A1, V1, S1",
+    "entity_year_value": "A2, V2",
+    "two_digit_year_join": "J1, P5, V3",
+    "area_rollup": "A3, V4",
+    "followup_band": "J2 (range), P4",
+    "followup_first": "V5: W1 via R2, J2 via window frame, P4",
+    "followup_equi": "V5: R3 (band as equi join)",
+    "followup_range": "V5: J2 band predicate",
+    "followup_rollup": "A11, V13",
+    "bridge_size": "J3, A8 (V6 row count without building it)",
+    "bridge_pairs": "J3 / V6 distinct pairs",
+    "bridge_fanout_avg": "J4, A4, P3, V7 via R1",
+    "bridge_distinct_avg": "V7 with the distinct bridge (Q1 option)",
+    "class_counts": "A5, P3, V8",
+    "combined_area_year": "J5, V9",
+    "value_profile": "A6, P1, P8, V10",
+    "activity_profile": "A7, P2, V11",
+    "postal_join": "J6, P6, P7, G1, V12",
+    "heat_feed": "S10",
+    "point_parse": "P6, P7, G1",
+    "rank_correlation": "W2, J8, A10, C13 (Q11), V14",
+    "correlation_matrix": "M1",
+    "shares": "A12, V15",
+    "trend": "A13, O3, V17",
+    "trend_one_area": "C12, A13",
+    "year_bounds": "A9 (min/max)",
+    "distinct_values": "A9 (sorted distinct)",
+    "row_count": "A8",
+    "top_preview": "C15, O1, O4",
+    "clean_dedupe": "C1, C5",
+    "text_dedupe": "C1, C5 (whole texts)",
+    "clean_dropna": "C3",
+    "conform_types": "C2, C6, C7",
+    "truncate_text": "C7",
+    "extract_code": "C10",
+    "extract_postal_code": "C10 (postal pattern, whole texts)",
+    "extract_phone_like": "C10 (whole texts)",
+    "contract_audit": "C9",
+    "name_normalise": "P10",
+    "csv_roundtrip": "S2, S3, S6",
+    "clean_tax_job": "C1, C3, C5, C6 (tax job)",
+    "clean_licences_job": "C2, C4, C6, C7, C8 (licence job)",
+    "clean_permits_job": "S2, C1, C2, C3, C5, C6, C10 (permit job)",
+    "area_map": "C11, J7, G2, G3, S9, V16",
+    "centroid": "G2, S9",
+    "reproject": "G1, G3",
+}
+
+
 # ---------------------------------------------------------------------------
 # Oracle side
 # ---------------------------------------------------------------------------

@@ -54,3 +54,8 @@ def test_query_matches_oracle(spark, smoke_dir, duck, name):
     spark_bag = Counter(tuple(_norm(r[c]) for c in order) for r in rows)
     duck_bag = Counter(tuple(_norm(dict(zip(cols, r))[c]) for c in order) for r in rel.fetchall())
     assert spark_bag == duck_bag
+
+
+def test_every_query_documents_its_coverage():
+    from landlens.plans.driver import COVERAGE
+    assert set(COVERAGE) == set(E.queries())
