@@ -76,13 +76,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input-bytes", type=int, default=None, help="input size, for partition sizing")
     ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing")
     a = ap.parse_args(argv)
+    from pyspark.sql import SparkSession
+    existing = SparkSession.getActiveSession()
     extra = scale_conf(a.input_bytes, a.cores) if a.input_bytes and a.cores else {}
-    spark = build_session(a.master, extra=extra)
+    spark = existing or build_session(a.master, extra=extra)
     for name, path in sorted(run_all(spark, a.out, tax_path=a.tax, licences_path=a.licences,
                                      permits_csv_path=a.permits_csv,
                                      permits_parquet_path=a.permits_parquet).items()):
         print(f"{name}\t{path}")
-    spark.stop()
+    if existing is None:
+        spark.stop()
 
 
 if __name__ == "__main__":

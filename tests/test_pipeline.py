@@ -126,3 +126,14 @@ def test_run_all_writes_every_result(spark, cleaned):
     assert back.count() > 0
     area_csv = spark.read.option("header", True).csv(written["investment_vs_land_value.csv"])
     assert set(area_csv.columns) >= {"local_area", "percent_change_in_land_value"}
+
+
+def test_command_line(spark, cleaned, capsys):
+    import os
+    from landlens.plans.run import main
+    raw = os.path.dirname(cleaned["property_tax"].inputFiles()[0].replace("file:", "")).rsplit("/clean", 1)[0]
+    out = scratch_path(spark, "cli")
+    main(["--out", out, "--tax", f"{raw}/tax", "--licences", f"{raw}/lic", "--permits-csv", f"{raw}/permits"])
+    printed = capsys.readouterr().out
+    assert "investment_vs_land_value.csv" in printed
+    assert spark.read.parquet(f"{out}/results/investment_land_value_followup").count() == 1
