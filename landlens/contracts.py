@@ -131,19 +131,22 @@ BUILDING_PERMITS_COLUMNAR = TableContract(
     ),
 )
 
+# Fixed value: string length limit of the licence table.
+MAX_STRING_LENGTH = 255
+
 BUSINESS_LICENSES = TableContract(
     "business_licenses",
     (
         Field("FOLDER_YEAR", I, source="folderyear", required=True),
-        Field("STATUS", S, source="status", max_length=255),
-        Field("ISSUED_DATE", S, source="issueddate", max_length=255),
-        Field("BUSINESS_NAME", S, source="businessname", required=True, max_length=255),
-        Field("BUSINESS_TRADE_NAME", S, source="businesstradename", max_length=255),
-        Field("BUSINESS_TYPE", S, source="businesstype", max_length=255),
-        Field("BUSINESS_SUBTYPE", S, source="businesssubtype", max_length=255),
-        Field("POSTAL_CODE", S, source="postalcode", required=True, max_length=255),
-        Field("STREET_NAME", S, source="street", max_length=255),
-        Field("LOCAL_AREA", S, source="localarea", max_length=255),
+        Field("STATUS", S, source="status", max_length=MAX_STRING_LENGTH),
+        Field("ISSUED_DATE", S, source="issueddate", max_length=MAX_STRING_LENGTH),
+        Field("BUSINESS_NAME", S, source="businessname", required=True, max_length=MAX_STRING_LENGTH),
+        Field("BUSINESS_TRADE_NAME", S, source="businesstradename", max_length=MAX_STRING_LENGTH),
+        Field("BUSINESS_TYPE", S, source="businesstype", max_length=MAX_STRING_LENGTH),
+        Field("BUSINESS_SUBTYPE", S, source="businesssubtype", max_length=MAX_STRING_LENGTH),
+        Field("POSTAL_CODE", S, source="postalcode", required=True, max_length=MAX_STRING_LENGTH),
+        Field("STREET_NAME", S, source="street", max_length=MAX_STRING_LENGTH),
+        Field("LOCAL_AREA", S, source="localarea", max_length=MAX_STRING_LENGTH),
         Field("NUMBER_OF_EMPLOYEES", I, source="numberofemployees"),
     ),
     key=("POSTAL_CODE", "BUSINESS_NAME"),
@@ -194,8 +197,5 @@ USE_POSTAL_DEFAULT = "non-residential"
 # Fixed value: postal-code pattern searched in free-text addresses.
 POSTAL_CODE_PATTERN = r"([A-Za-z]\d[A-Za-z] \d[A-Za-z]\d)"
 
-# Fixed value: string length limit of the licence table.
-MAX_STRING_LENGTH = 255
-
 # Fixed value: follow-up horizon in years.
 FOLLOWUP_HORIZON = 5

@@ -26,11 +26,6 @@ TIE_BREAK = ("LOCAL_AREA", "ZONING_CLASSIFICATION", "STREET_NAME", "TOTAL_CURREN
              "TOTAL_BUSINESSES", "TOTAL_EMPLOYEES", "TOTAL_PREVIOUS_LAND_VALUE",
              "TOTAL_PREVIOUS_IMPROVEMENT_VALUE", "TOTAL_CURRENT_IMPROVEMENT_VALUE")
 
-V5_COLUMNS = ("LOCAL_AREA", "POSTAL_CODE", "INVESTMENT_YEAR", "BUSINESSES_COUNT", "EMPLOYEES_COUNT",
-              "LAND_VALUE_IN_INVESTMENT_YEAR", "FOLLOWUP_YEAR", "LAND_VALUE_IN_FOLLOWUP_YEAR",
-              "PERCENT_CHANGE_IN_LAND_VALUE")
-
-
 def pick_one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the smallest by ``order`` (struct ordering, nulls first)."""
     picked = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__pick"))

@@ -341,14 +341,6 @@ def q_reproject(s, d):
     return p.select("POSTAL_CODE", "ISSUE_YEAR", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
-def q_bridge_naive_equivalence(s, d):
-    """R1 against the literal plan inside Spark: rows where the two differ (expect none)."""
-    tax, permits = _tax(s, d), _permits(s, d)
-    a = fanout.property_tax_by_year_area(tax, permits, B.ZONING_AREA_T, "fanout", avg_double=False)
-    b = fanout.property_tax_by_year_area_naive(tax, permits, B.ZONING_AREA_T, avg_double=False)
-    return publish(a.exceptAll(b).unionByName(b.exceptAll(a)))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_year_size": q_entity_year_size,
     "entity_year_value": q_entity_year_value,

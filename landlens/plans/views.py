@@ -19,7 +19,7 @@ from landlens.contracts import (
     FOLLOWUP_HORIZON, USE_AREA, USE_POSTAL, USE_POSTAL_DEFAULT, ZONING_AREA, ZONING_POSTAL,
     ZONING_POSTAL_DEFAULT,
 )
-from landlens.operators import aggregate, correlate, fanout, followup, joins
+from landlens.operators import aggregate, clean, correlate, fanout, followup, joins
 from landlens.operators.geometry import with_centroid
 from landlens.sources.catalog import ViewRegistry
 
@@ -113,7 +113,7 @@ def v16(v9_df: DataFrame, boundaries: DataFrame, year: int | None = None,
                                    "average_improvement_value")) -> DataFrame:
     """Area map table: one year (C11), joined to boundaries (J7), rings projected
     to UTM 10N (G3) *before* the centroid (G2), as the source did."""
-    src = v9_df.where(F.col("YEAR") == F.lit(year)) if year is not None else v9_df
+    src = clean.where_equal(v9_df, YEAR=year) if year is not None else v9_df
     j = joins.join_boundaries(src, boundaries, area_col="LOCAL_AREA", name_col="name")
     return with_centroid(j, "ring", project=True).select(
         "LOCAL_AREA", "YEAR", *measures, "centroid_x", "centroid_y")
@@ -125,27 +125,6 @@ def v17(v9_df: DataFrame, area: str | None = None,
     return aggregate.trend(v9_df, measures, area, "LOCAL_AREA", "YEAR")
 
 
-# Source names of the twelve SQL views, in dependency order, plus ours.
-VIEW_NAMES = {
-    "business_size_by_postal_code": "V1",
-    "property_aggregated_by_postal_code": "V2",
-    "combined_by_postal_code": "V3",
-    "combined_by_local_area": "V4",
-    "investment_land_value_followup": "V5",
-    "postal_code_local_area_view": "V6",
-    "property_tax_by_report_year_local_area_view": "V7",
-    "building_permits_by_year_local_area_view": "V8",
-    "combined_building_permits_property_tax_view": "V9",
-    "property_tax_grouped": "V10",
-    "building_permits_grouped": "V11",
-    "property_and_permits_grouped": "V12",
-    "investment_vs_land_value": "V13",
-    "investment_land_value_correlation": "V14",
-    "zoning_and_use_shares": "V15",
-    "area_trend": "V17",
-}
-
-
 def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame],
                    o: ViewOptions = DEFAULT) -> ViewRegistry:
     """Every named result, resolvable by name and registrable for ``spark.sql``.
