@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_id, sentencepiece_bpe, substring_dedup, token_count
+from . import decontaminate, lang_id, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter
 
 #: Vocabulary files, by name in the installed package of public tokenizers.
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -31,6 +31,10 @@ def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
@@ -40,15 +44,76 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE), digests=True)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lang_id, op4_token_count, op7_substring_dedup, op9_sentencepiece)
+    f.__name__: f for f in (op1_lang_id, op2_url_filter, op4_token_count, op7_substring_dedup, op8_decontamination, op9_sentencepiece, op10_quality_rules)
 }
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
 ORACLE: dict[str, str] = {
+    "op2_url_filter": rf"""
+WITH u AS (SELECT page_id, strpos(url, '://') AS mark, url FROM pages),
+r AS (SELECT page_id, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM u),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) AS host,
+             regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM r),
+m AS (SELECT *, '.' || host AS dotted FROM h),
+f AS (SELECT page_id, host, path,
+        CASE WHEN dotted LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+             WHEN dotted LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+             WHEN dotted LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+             WHEN dotted LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+             WHEN dotted LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule FROM m)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN list_has_any(string_split(replace(host, '-', '.'), '.'), [{", ".join(f"'{w}'" for w in url_filter.LISTED)}]) THEN 'block' ELSE 'allow' END AS verdict
+FROM f""",
+    "op8_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), {decontaminate.LENGTH}) AS n, array_to_string(w[i:i + {decontaminate.LENGTH - 1}], ' ') AS k
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {decontaminate.LENGTH - 2}, 2))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)),
+occ AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.n = bw.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+          FROM (SELECT DISTINCT doc_id, item_id FROM occ WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op10_quality_rules": rf"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+twice AS (SELECT doc_id, k FROM win GROUP BY doc_id, k HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win SEMI JOIN twice USING (doc_id, k)) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)),
+j AS (SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM j GROUP BY source),
+g AS (SELECT avg(f / n) AS a, var_pop(f / n) - avg(f / n) * (1 - avg(f / n)) * avg(1.0 / n) AS beyond FROM h),
+s AS (SELECT a, CASE WHEN beyond > 0 THEN least(greatest(a * (1 - a) / beyond - 1, {quality_rules.LEAST_STRENGTH}), {quality_rules.MOST_STRENGTH})
+                     ELSE {quality_rules.MOST_STRENGTH} END AS strength FROM g),
+v AS (SELECT source, (f + a * strength) / (n + strength) > {quality_rules.HOST_LIMIT} AS rejected FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
+FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source""",
     "op7_substring_dedup": rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + {substring_dedup.LENGTH - 1}], ' ') AS k
