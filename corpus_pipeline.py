@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landlens.llm import lang_id, sentencepiece_bpe, substring_dedup
+from landlens.llm import decontaminate, lang_id, near_dup, sentencepiece_bpe, substring_dedup
 from landlens.llm.queries import PIECE_BPE, tokenizer_path
 from landlens.session import scratch_path
 
@@ -23,6 +23,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where(F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id; rows that share its id all stay.
+
+    Documents without words are in no group and stay.
+    """
+    kept = near_dup.group(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the words of repeated windows; a document of which nothing stays goes."""
     out = substring_dedup.remove_repeats(docs, spacing=True, rest=True)
@@ -30,6 +39,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return out.where(F.col("n_removed") < F.greatest("n_words", F.lit(1))).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = found.where("contaminated").select("row").distinct()
+    key = decontaminate.row_key("doc_id", "text")
+    return docs.join(leaks, key == F.col("row"), "left_anti").select(*docs.columns)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of ids and decoded text."""
     return sentencepiece_bpe.encode_decode(docs, tokenizer_path(PIECE_BPE), digests=True)
@@ -37,7 +54,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language),
+    ("near_dup", near_duplicates),
     ("substring_dedup", repeated_passages),
+    ("decontamination", benchmark_free),
     ("sentencepiece", tokens),
 ]
 
