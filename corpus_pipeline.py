@@ -18,9 +18,8 @@ from landlens.session import scratch_path
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language can be told; ``und`` goes (null, empty, no letter)."""
-    keep = [c for c in docs.columns if c != "doc_id"]
-    out = lang_id.identify(docs, keep=keep)
-    return out.where(F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
+    out = lang_id.identify(docs, rest=True).where(F.col("lang_pred") != lang_id.UNKNOWN)
+    return out.select(*[F.col(f"rest.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,23 +27,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without words are in no group and stay.
     """
-    kept = near_dup.group(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = near_dup.group(docs).where("kept").select("doc_id").distinct().alias("kept")
+    rows = docs.alias("docs")
+    return rows.join(kept, F.col("docs.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the words of repeated windows; a document of which nothing stays goes."""
-    out = substring_dedup.remove_repeats(docs, spacing=True, rest=True)
-    out = out.select(F.col("id").alias("doc_id"), F.col("kept").alias("text"), "rest.*", "n_words", "n_removed")
-    return out.where(F.col("n_removed") < F.greatest("n_words", F.lit(1))).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    out = substring_dedup.remove_repeats(docs, spacing=True, rest=True).where("n_removed < n_words or n_words = 0")
+    new = {"doc_id": F.col("id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
+    return out.select(*[new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = found.where("contaminated").select("row").distinct()
-    key = decontaminate.row_key("doc_id", "text")
-    return docs.join(leaks, key == F.col("row"), "left_anti").select(*docs.columns)
+    leaks = found.where("contaminated").select("row").distinct().alias("leaks")
+    key = decontaminate.row_key("docs.doc_id", "docs.text")
+    return docs.alias("docs").join(leaks, key == F.col("leaks.row"), "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,9 +29,9 @@ def partitions(spark: SparkSession) -> int:
 
 
 def rest_of_row(docs: DataFrame, *without: str) -> Column:
-    """All other columns of a row as one struct (null if there are none), to be unpacked at the end."""
+    """All other columns of a row as one struct, to be unpacked at the end."""
     names = [c for c in docs.columns if c not in without]
-    return F.struct(*[F.col(f"`{c}`") for c in names])
+    return F.struct(*[F.col(f"`{c}`") for c in names] or [F.lit(None).cast("boolean").alias("none")])
 
 
 def in_blocks(docs: DataFrame, id_col: str, text_col: str, keep_rest: bool = False) -> DataFrame:

@@ -47,7 +47,8 @@ def words(text: Column) -> Column:
 
 
 def row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
+    """Identity of a row: hash of its id and text."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
 
 
 def windows(items: DataFrame, item_col: str, text_col: str, length: int) -> DataFrame:

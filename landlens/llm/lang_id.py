@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import rest_of_row
+
 SAMPLE, ROW_CHARS, LANGUAGE_CHARS = 64, 2_000, 30_000
 RUN = 256
 #: Characters that one step handles at once.
@@ -114,11 +116,9 @@ class Parser:
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(phrases of each text by language, characters parsed of each text)."""
-        codes = self.column[code_points("\n".join(texts).lower())] if not any("\n" in t for t in texts) else None
-        if codes is None:
-            codes = self.column[code_points("\n".join(t.replace("\n", " ") for t in texts).lower())]
-        # lower-casing may change a length, so rows are found again by their line ends
-        line = code_points("\n".join(t.replace("\n", " ") for t in texts).lower()) == 10
+        # one line a text; lower-casing may change lengths, so texts are found again by their line ends
+        points = code_points("\n".join([t.replace("\n", " ") for t in texts]).lower())
+        codes, line = self.column[points], points == 10
         row = np.cumsum(line) - line
         space = codes == 0
         keep = ~space
@@ -168,7 +168,7 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
 
 def held_out(id_col, folds: int):
     """Whether crc32 of the id as text leaves no remainder by ``folds``."""
-    return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == 0
+    return F.pmod(F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == 0
 
 
 def learn_samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int) -> dict[str, str]:
@@ -187,17 +187,19 @@ def learn_samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fo
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
-             samples: dict[str, str] | None = None, keep: list[str] | None = None) -> DataFrame:
+             samples: dict[str, str] | None = None, rest: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits (entropy a character, null for ``und``) of every row.
 
     ``samples`` (language -> text) is learned from ``docs`` if not given.  The
-    prediction sees the text only.  ``keep``: other columns to pass along.
+    prediction sees the text only.  With ``rest``, the whole input row comes along as
+    the struct ``rest``.
     """
     if samples is None:
         samples = learn_samples(docs, id_col, text_col, lang_col, folds)
     model = docs.sparkSession.sparkContext.broadcast(tuple(sorted(samples.items())))
-    rows = docs.select(F.struct(F.col(id_col).alias("doc_id"), *(keep or [])).alias("row"), held_out(id_col, folds).alias("held_out"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(id_col, folds).alias("held_out"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), *([rest_of_row(docs).alias("rest")] if rest else []))
+    passed = ["doc_id", "held_out", *(["rest"] if rest else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .words import slices
@@ -211,8 +213,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                 else:
                     lang, score, bits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("held_out"), pa.array(lang, pa.string()), pa.array(score), pa.array(bits, from_pandas=True)],
-                    names=["row", "held_out", "lang_pred", "score", "bits"])
+                    [part.column(c) for c in passed] + [pa.array(lang, pa.string()), pa.array(score), pa.array(bits, from_pandas=True)],
+                    names=[*passed, "lang_pred", "score", "bits"])
 
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, held_out boolean, lang_pred string, score double, bits double")
-    return out.select("row.*", "held_out", "lang_pred", "score", "bits")
+    kind = dict(rows.dtypes)
+    return rows.mapInArrow(run, ", ".join(f"{c} {kind[c]}" for c in passed) + ", lang_pred string, score double, bits double")

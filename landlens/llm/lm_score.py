@@ -273,8 +273,8 @@ def vocabulary(rows: DataFrame, path: str) -> tuple[int, int, int, dict[int, int
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    rows = B.in_blocks(docs.withColumn("__held_out", held_out(id_col, folds)), id_col, text_col, keep_rest=True)
-    rows = rows.select("block", "id", "text", F.col("rest.__held_out").alias("held_out"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), held_out(id_col, folds).alias("held_out"))
+    rows = B.in_blocks(rows, "id", "text", keep_rest=True).select("block", "id", "text", "rest.held_out")
     tokens, distinct, trained, hot_counts = vocabulary(rows, scratch_path(spark, "lm-words"))
     shards = B.partitions(spark) * 2
     hot = {h: min(shards, -(-n * HOT // max(tokens, 1))) for h, n in hot_counts.items()}

@@ -9,9 +9,9 @@
 3. Candidates.  All neighbours within a region of at most ``REGION`` classes.  A region
    that is still larger at full depth is split into random parts of that size, in each
    tree differently.  So that no link is lost where regions are dense, every member
-   of a region that had to grow is also compared with the region's centre: the class
-   at the end of its heaviest path, which agrees with the region's most frequent
-   values, as the original of many copies does.
+   of a region that had to grow is also compared with the region's centre: of the
+   classes at its deepest and fullest place, which agree with its most frequent values,
+   the one that is at such places in most trees, as the original of many copies is.
 4. Confirmation.  Candidates whose signatures agree enough are compared on their full
    sets.  A class is compared with the smallest class first; pairs that other links
    have joined meanwhile need no comparison, all others get theirs.
@@ -156,13 +156,15 @@ def candidates(classes: DataFrame, base: str) -> DataFrame:
     if ends:
         part = F.pmod(F.xxhash64("cls", "key"), F.ceil(F.col("n") / REGION).cast("bigint"))
         found.append(_pairs(dense.select(F.xxhash64("key", part).alias("key"), "cls")))
-        # the centre of a region that had to grow: the smallest class at the deepest and fullest place reached
-        heavy = [e.groupBy("top", "key").agg(F.first("n").alias("n"), F.min("cls").alias("c")).select("top", F.struct(F.lit(d).alias("d"), "n", "c").alias("x"))
-                 for d, e in enumerate(ends)]
-        centre = heavy[0]
-        for h in heavy[1:]:
-            centre = centre.unionAll(h)
-        centre = centre.groupBy("top").agg(F.max("x").alias("x")).select("top", F.col("x.c").alias("c"))
+        # centre of a region that had to grow: of the classes at its deepest and fullest place the one that is at such places in most trees
+        places = ends[0].withColumn("d", F.lit(0))
+        for d, e in enumerate(ends[1:], 1):
+            places = places.unionByName(e.withColumn("d", F.lit(d)))
+        fullest = places.groupBy("top").agg(F.max(F.struct("d", "n", "key")).alias("x")).select("top", "x.key")
+        places.join(fullest, ["top", "key"], "left_semi").select("top", "cls").write.parquet(f"{base}/places")
+        places = spark.read.parquet(f"{base}/places")
+        votes = places.groupBy("cls").agg(F.count(F.lit(1)).alias("votes"))
+        centre = places.join(votes, "cls").groupBy("top").agg(F.max(F.struct("votes", "cls")).alias("x")).select("top", F.col("x.cls").alias("c"))
         grown = spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION).withColumnRenamed("key", "top")
         found.append(grown.join(centre, "top").where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")))
     out = found[0]
