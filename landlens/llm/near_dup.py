@@ -42,9 +42,9 @@ from .words import find_words, hash_words, mix, signed, slices, text_buffer
 
 SHINGLE, PERCENT = 4, 80
 TREES, DEPTH, FIRST = 20, 6, 3
-REGION = 24
-#: Share of equal signature values (of TREES * DEPTH) from which a candidate is compared on full sets: 5 deviations below 0.8.
-AGREE = 0.62
+REGION = 8
+#: Share of equal signature values (of TREES * DEPTH) from which a candidate is compared on full sets: 4 deviations below 0.8.
+AGREE = 0.65
 #: Rounds in which each class is compared with one neighbour group at a time, before all that is left is compared.
 ROUNDS = 3
 
