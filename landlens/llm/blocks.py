@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Blocks for each shuffle partition: a block holds a quarter of a partition's documents.
-BLOCKS_A_PARTITION = 4
+#: Blocks for each shuffle partition: a block holds half of a partition's documents.
+BLOCKS_A_PARTITION = 2
 
 
 def partitions(spark: SparkSession) -> int:

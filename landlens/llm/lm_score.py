@@ -78,8 +78,6 @@ class Trie:
             at = int(np.searchsorted(own, np.uint64(h)))
             if at < len(own) and own[at] == np.uint64(h):
                 counts[at] = n
-        if len(first) >= 1 << 24:
-            raise ValueError("more than 16 million contexts in a shard: use more shuffle partitions")
         return cls(EliasFano.build(own), EliasFano.build((number.astype(np.uint64) << np.uint64(40)) | word),
                    quantise(count / (counts[number] + PRIOR)), counts)
 
@@ -142,12 +140,10 @@ class Pairs:
         self.context = np.insert(h, w.first[:-1], BEGIN)
         self.row = np.repeat(np.arange(n), np.diff(self.first))
         train = ~np.array(table["held_out"].to_pylist(), bool)[self.row]
-        low = self.token & _LOW
-        order = np.lexsort((low, self.context))
-        c, k = self.context[order], low[order]
-        new = np.concatenate([[True], (c[1:] != c[:-1]) | (k[1:] != k[:-1])]) if len(c) else np.zeros(0, bool)
+        key, names, order = _sorted_pairs(self.context, self.token & _LOW)
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
         start = np.flatnonzero(new)
-        c, k = c[start], k[start]
+        c, k = names[(key[start] >> np.uint64(40)).astype(np.int64)], key[start] & _LOW
         count = np.add.reduceat(train[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
         shard = (c % np.uint64(shards)).astype(np.int64)
         if hot:
@@ -156,7 +152,7 @@ class Pairs:
             at = np.minimum(np.searchsorted(names, c), len(names) - 1)
             many = np.where(names[at] == c, parts[at], np.uint64(1))
             shard = (shard + (mix(k) % many).astype(np.int64)) % shards
-        by = np.argsort(shard, kind="stable")
+        by = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
         self.distinct = np.empty(len(order), np.int64)  # of each token: the place of its pair in the dealt order
         back = np.empty(len(by), np.int64)
         back[by] = np.arange(len(by))
@@ -186,6 +182,16 @@ class Pairs:
         return codes[self.distinct], context, count[at]
 
 
+def _sorted_pairs(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted keys: number of the context and 40 bits of the word, the contexts by number, where each key came from)."""
+    names, number = np.unique(context, return_inverse=True)
+    if len(names) >= 1 << 24:
+        raise ValueError("more than 16 million contexts at once: use more shuffle partitions")
+    key = (number.astype(np.uint64) << np.uint64(40)) | word
+    order = np.argsort(key)
+    return key[order], names, order
+
+
 def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
     return sorted_values[start], np.diff(np.concatenate([start, [len(sorted_values)]]))
@@ -199,11 +205,11 @@ def answer(asked: list[tuple[int, bytes]], hot_counts: dict[int, int]) -> list[t
     count = np.concatenate([n for _, (_, _, _, n) in got])
     seen = count > 0
     context, word, count = context[seen], word[seen], count[seen]
-    order = np.lexsort((word, context))
-    context, word, count = context[order], word[order], count[order]
-    if len(context):
-        start = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])]))
-        context, word, count = context[start], word[start], np.add.reduceat(count, start)
+    key, names, order = _sorted_pairs(context, word)
+    if len(key):
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.add.reduceat(count[order], start)
+        context, word = names[(key[start] >> np.uint64(40)).astype(np.int64)], key[start] & _LOW
     trie = Trie.from_bytes(Trie.build(context, word, count, hot_counts).to_bytes())
     out = []
     for block, (c, s, w, _) in got:
@@ -276,7 +282,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), held_out(id_col, folds).alias("held_out"))
     rows = B.in_blocks(rows, "id", "text", keep_rest=True).select("block", "id", "text", "rest.held_out")
     tokens, distinct, trained, hot_counts = vocabulary(rows, scratch_path(spark, "lm-words"))
-    shards = B.partitions(spark) * 2
+    shards = B.partitions(spark)
     hot = {h: min(shards, -(-n * HOT // max(tokens, 1))) for h, n in hot_counts.items()}
 
     def ask(table: pa.Table):

@@ -101,38 +101,54 @@ class MergeModel:
     def split(self, text: str) -> list[str]:
         """Pieces of an escaped text by backtracking (a character outside the vocabulary is a piece of its own)."""
         n = len(text)
-        ends: list[list[int]] = [[] for _ in range(n)]  # ends of the pieces that start here
+        ends: list[list[int] | None] = [None] * n  # ends of the pieces that start here, the longest last
         for last, length in self.automaton.iter(text):
-            ends[last - length + 1].append(last + 1)
-        failed = bytearray((n >> 3) + 1)  # positions from which no way leads on
-        path: list[tuple[int, list[int]]] = []  # start of each piece, shorter choices left
+            first = last - length + 1
+            if ends[first] is None:
+                ends[first] = [last + 1]
+            else:
+                ends[first].append(last + 1)
+        failed = 0  # bitfield of the positions from which no way leads on
+        starts: list[int] = []  # start of each piece
+        left: list[int] = []  # of each piece: how many shorter choices are left
         out: list[str] = []
-        at = 0
-        choices = ends[0][:] if n else []
+        compatible, fits = self.compatible, self.fits
+        at, before = 0, None  # before: the piece to the left, if it can merge with anything
+        choices = ends[0] if n else None
+        k = len(choices) if choices else 0
         while at < n:
-            unknown = not ends[at]
-            found = -1
-            if unknown:
-                found = at + 1
-            else:
-                while choices:
-                    e = choices.pop()  # ends are found in rising order: the longest first
-                    if failed[e >> 3] >> (e & 7) & 1:
+            found = at + 1 if choices is None else -1  # a character outside the vocabulary
+            while k:
+                k -= 1
+                e = choices[k]
+                if failed >> e & 1:
+                    continue
+                piece = text[at:e]
+                if before is not None:
+                    known = compatible.get((before, piece))
+                    if known is None:
+                        known = fits(before, piece)
+                    if not known:
                         continue
-                    if not out or (path and not ends[path[-1][0]]) or self.fits(out[-1], text[at:e]):
-                        found = e
-                        break
+                found = e
+                break
             if found >= 0:
-                path.append((at, choices))
-                out.append(text[at:found])
+                starts.append(at)
+                left.append(k)
+                piece = text[at:found]
+                out.append(piece)
+                before = None if choices is None else piece
                 at = found
-                choices = ends[at][:] if at < n else []
+                choices = ends[at] if at < n else None
+                k = len(choices) if choices else 0
             else:
-                failed[at >> 3] |= 1 << (at & 7)
-                if not path:
+                failed |= 1 << at
+                if not starts:
                     return self.merge(text)
-                at, choices = path.pop()
+                at, k = starts.pop(), left.pop()
                 out.pop()
+                choices = ends[at]
+                before = out[-1] if out and ends[starts[-1]] is not None else None
         return out
 
     def ids(self, pieces: list[str]) -> list[int]:
