@@ -153,13 +153,7 @@ BUSINESS_LICENSES = TableContract(
 )
 
 # Permit-table column names used by the views (upper-case, as in the SQL layer).
-PERMIT_VIEW_RENAME = {
-    "issue_date": "ISSUE_DATE", "project_value": "PROJECT_VALUE", "type_of_work": "TYPE_OF_WORK",
-    "address": "ADDRESS", "postal_code": "POSTAL_CODE", "permit_category": "PERMIT_CATEGORY",
-    "property_use": "PROPERTY_USE", "specific_use_category": "SPECIFIC_USE_CATEGORY",
-    "issue_year": "ISSUE_YEAR", "year_month": "YEAR_MONTH", "geom": "GEOM",
-    "geo_point_2d": "GEO_POINT_2D", "geo_local_area": "GEO_LOCAL_AREA",
-}
+PERMIT_VIEW_RENAME = {name: name.upper() for name in (*BUILDING_PERMITS.columns, "postal_code")}
 
 # ---------------------------------------------------------------------------
 # Class maps.  Two zoning maps disagree on purpose (the area

@@ -1,7 +1,7 @@
 """Geometry as Column arithmetic: reprojection and polygon centroids.
 
 Rings are ``ARRAY<STRUCT<x DOUBLE, y DOUBLE>>`` (lon/lat before projection),
-closed or not.  Everything runs inside Catalyst's higher-order functions, so
+closed or not; a polygon is its outer ring and then its holes.  Everything runs inside Catalyst's higher-order functions, so
 no geometry library and no Python worker is involved.
 """
 
@@ -61,8 +61,8 @@ def point_from_geojson(geom: Column) -> Column:
     """G1: GeoJSON Point text -> struct(x=lon, y=lat); null for other or bad text."""
     g = F.from_json(geom, POINT_JSON)
     ok = (g["type"] == F.lit("Point")) & (F.size(g["coordinates"]) >= 2)
-    return F.when(ok, F.struct(F.element_at(g["coordinates"], 1).alias("x"),
-                               F.element_at(g["coordinates"], 2).alias("y")))
+    return F.when(ok, F.struct(F.get(g["coordinates"], F.lit(0)).alias("x"),
+                               F.get(g["coordinates"], F.lit(1)).alias("y")))
 
 
 def ring_to_utm(ring: Column, **kw) -> Column:
@@ -70,42 +70,55 @@ def ring_to_utm(ring: Column, **kw) -> Column:
     return F.transform(ring, lambda p: lonlat_to_utm(p["x"], p["y"], **kw))
 
 
-def _closed(ring: Column) -> Column:
-    first = F.element_at(ring, 1)
-    last = F.element_at(ring, -1)
-    return F.when(first == last, ring).otherwise(F.concat(ring, F.array(first)))
+def close_ring(ring: Column) -> Column:
+    """The ring with its first point at its end; null for an empty ring."""
+    first = F.get(ring, F.lit(0))
+    return F.when(first == F.get(ring, F.size(ring) - 1), ring).when(F.size(ring) > 0, F.concat(ring, F.array(first)))
 
 
-def ring_centroid(ring: Column) -> Column:
-    """Area-weighted centroid of a simple polygon ring -> struct(x, y, area).
-
-    Shoelace sums on coordinates shifted by the first vertex (keeps precision
-    for large projected coordinates).  Orientation does not matter for the
-    centroid; ``area`` is unsigned.  Degenerate rings (zero area) give nulls.
-    """
-    pts = _closed(ring)
+def ring_moments(pts: Column, x0: Column, y0: Column) -> Column:
+    """struct(a, x, y) of a closed ring: its unsigned double area, and that times three times its centroid
+    relative to (x0, y0).  Shoelace sums on shifted coordinates (keeps precision for large ones)."""
     n = F.size(pts)
-    x0 = F.element_at(pts, 1)["x"]
-    y0 = F.element_at(pts, 1)["y"]
-    head = F.slice(pts, 1, n - 1)
-    tail = F.slice(pts, 2, n - 1)
 
     def term(p, q):
         px, py = p["x"] - x0, p["y"] - y0
         qx, qy = q["x"] - x0, q["y"] - y0
         cross = px * qy - qx * py
-        return F.struct(cross.alias("c"), ((px + qx) * cross).alias("sx"),
-                        ((py + qy) * cross).alias("sy"))
+        return F.struct(cross.alias("a"), ((px + qx) * cross).alias("x"), ((py + qy) * cross).alias("y"))
+
+    def add(acc, t):
+        return F.struct((acc["a"] + t["a"]).alias("a"), (acc["x"] + t["x"]).alias("x"), (acc["y"] + t["y"]).alias("y"))
+
+    def unsigned(acc):  # orientation does not matter
+        turn = F.when(acc["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+        return F.struct((acc["a"] * turn).alias("a"), (acc["x"] * turn).alias("x"), (acc["y"] * turn).alias("y"))
+
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    terms = F.zip_with(F.slice(pts, 1, F.greatest(n - 1, F.lit(0))), F.slice(pts, 2, F.greatest(n - 1, F.lit(0))), term)
+    return F.aggregate(terms, zero, add, unsigned)
 
-    terms = F.zip_with(head, tail, term)
+
+def polygons_centroid(polygons: Column) -> Column:
+    """Area-weighted centroid of polygons with holes -> struct(x, y, area).
+
+    ``polygons`` holds for each polygon its closed outer ring and then its closed
+    holes, which are subtracted.  Null geometry and zero area give nulls.
+    """
+    first = F.get(F.get(F.get(polygons, F.lit(0)), F.lit(0)), F.lit(0))
+    x0, y0 = first["x"], first["y"]
+    parts = F.flatten(F.transform(polygons, lambda polygon: F.transform(polygon, lambda ring, i: F.struct(
+        F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("sign"), ring_moments(ring, x0, y0).alias("m")))))
 
     def total(field: str) -> Column:
-        return F.aggregate(F.transform(terms, lambda e: e[field]), F.lit(0.0), lambda acc, v: acc + v)
+        return F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + p["sign"] * p["m"][field])
 
-    a2 = total("c")
-    cx = x0 + F.try_divide(total("sx"), a2 * 3)
-    cy = y0 + F.try_divide(total("sy"), a2 * 3)
-    ok = a2 != 0
-    return F.struct(F.when(ok, cx).alias("x"), F.when(ok, cy).alias("y"),
-                    (F.abs(a2) / 2).alias("area"))
+    a2 = total("a")
+    ok = a2 > 0
+    return F.struct(F.when(ok, x0 + F.try_divide(total("x"), a2 * 3)).alias("x"),
+                    F.when(ok, y0 + F.try_divide(total("y"), a2 * 3)).alias("y"), (a2 / 2).alias("area"))
 
+
+def ring_centroid(ring: Column) -> Column:
+    """Centroid of a simple ring, closed or not -> struct(x, y, area)."""
+    return polygons_centroid(F.array(F.array(close_ring(ring))))

@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def percent_change(base: Column, followup: Column, scale: int = 2, money_scale: int = 2) -> Column:
-    """NULL when the base is 0, else ``ROUND((f - b) * 100.0 / b, scale)``.
+_MONEY = T.DecimalType(38, 2)
+
+
+def round_ratio(num: Column, den: Column, digits: int = 2) -> Column:
+    """``num / den`` of money values, rounded half away from zero once, as decimal(38, digits).
 
-    Inputs are money (decimals with ``money_scale`` digits).  The quotient is
-    taken at 16 decimal digits before the final half-up rounding (operands are
-    narrowed to decimal(22, s) / decimal(20, s) so Spark's precision rules keep
-    that scale), so the result is the exactly rounded percentage.
+    Decided on the exact remainder, so no intermediate rounding can move a
+    tie; NULL (never an error) for a zero or null operand pair or when the
+    result does not fit into 38 digits.
     """
-    num = ((followup - base) * F.lit(100)).cast(T.DecimalType(22, money_scale))
-    den = base.cast(T.DecimalType(20, money_scale))
-    return F.when(base == 0, F.lit(None)).otherwise(F.round(F.try_divide(num, den), scale))
+    n = num.try_cast(_MONEY)
+    unit = F.try_multiply(den.try_cast(_MONEY), F.lit(Decimal(1).scaleb(-digits)))   # one step of the result
+    rest = F.try_mod(n, unit)
+    whole = F.try_divide(F.try_subtract(n, rest), unit).try_cast(T.DecimalType(36, 0))
+    up = F.abs(rest) >= F.try_subtract(F.abs(unit), F.abs(rest))
+    away = F.when((n < 0) == (unit < 0), F.lit(1)).otherwise(F.lit(-1)).cast(T.DecimalType(1, 0))
+    steps = F.when(up, F.try_add(whole, away)).otherwise(whole)
+    return F.try_multiply(steps, F.lit(Decimal(1).scaleb(-digits))).try_cast(T.DecimalType(38, digits))
+
+
+def percent_change(base: Column, followup: Column, scale: int = 2) -> Column:
+    """NULL when the base is 0, else ``ROUND((f - b) * 100.0 / b, scale)``, exactly rounded (see ``round_ratio``)."""
+    b, f = base.try_cast(_MONEY), followup.try_cast(_MONEY)
+    hundredfold = F.try_multiply(F.try_subtract(f, b), F.lit(Decimal(100)))
+    return F.when(b == 0, F.lit(None)).otherwise(round_ratio(hundredfold, b, scale))
 
 
 def two_digit_year(c: Column, century: int = 2000) -> Column:
@@ -30,14 +46,13 @@ def finish_avg(total: Column, count: Column, as_double: bool = False,
     """Average from an exact sum and a count.
 
     ``as_double=False`` keeps money semantics: a decimal rounded half up to
-    ``scale`` digits (the warehouse kept the argument's scale).  With
+    ``scale`` digits, once (the warehouse kept the argument's scale).  With
     ``as_double=True`` the exact sum is divided as a double and not rounded,
     which is bit-for-bit reproducible by any engine that sums decimals exactly.
     """
     if as_double:
         return F.try_divide(total.cast("double"), count.cast("double"))
-    return F.round(F.try_divide(total, count.cast(T.DecimalType(20, 0))), scale) \
-        .cast(T.DecimalType(38, scale))
+    return round_ratio(total, count, scale)
 
 
 def share_percent(part: Column, other: Column, digits: int = 1) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from landlens.contracts import USE_AREA, USE_POSTAL, USE_POSTAL_DEFAULT, ZONING_POSTAL, ZONING_POSTAL_DEFAULT
 from landlens.functions.classify import class_of, indicator_sum
-from landlens.functions.numeric import finish_avg, share_percent
+from landlens.functions.numeric import finish_avg, share_percent, two_digit_year
 
 
 def _avg(c: Column, name: str, avg_double: bool) -> tuple[list[Column], Column]:
@@ -62,16 +62,42 @@ def property_aggregated_by_postal_code(tax: DataFrame) -> DataFrame:
 
 
 # -- V4 -----------------------------------------------------------------------
-def combined_by_local_area(v3: DataFrame, avg_double: bool = False) -> DataFrame:
-    """A3 / V4: roll the postal-level join up to (area, year).
+_TOTALS = ("PREVIOUS_LAND_VALUE", "CURRENT_LAND_VALUE", "PREVIOUS_IMPROVEMENT_VALUE", "CURRENT_IMPROVEMENT_VALUE")
 
-    ``NUM_OF_PROPERTIES`` is the number of distinct postal codes (name kept);
-    the sums repeat a business group once per matching tax group (bag
-    semantics of the join, kept on purpose).
+
+def combined_by_local_area(v1: DataFrame, v2: DataFrame, avg_double: bool = False) -> DataFrame:
+    """A3 / V4: the postal-level join (V3) rolled up to (area, year), without building it.
+
+    The sums repeat a business group once per matching tax group and the
+    reverse (bag semantics of the join, kept on purpose), so both sides are
+    reduced first: licences to (postal, year, area) with their number of
+    groups, tax to (postal, year) with its sums, counts and number of groups.
+    One row of the join then stands for all its pairs, each side weighted by
+    the other's number of groups.  A (postal, year, area) occurs once, so
+    ``NUM_OF_PROPERTIES``, the number of distinct postal codes, is a row count.
     """
-    avgs = {f"AVG_TOTAL_{m}": F.col(f"TOTAL_{m}") for m in
-            ("PREVIOUS_LAND_VALUE", "CURRENT_LAND_VALUE",
-             "PREVIOUS_IMPROVEMENT_VALUE", "CURRENT_IMPROVEMENT_VALUE")}
+    wide = T.DecimalType(38, 2)
+    lic = (v1.groupBy("POSTAL_CODE", two_digit_year(F.col("FOLDER_YEAR")).alias("YEAR"), "LOCAL_AREA")
+           .agg(F.sum("TOTAL_EMPLOYEES").alias("__emp"), F.sum("TOTAL_BUSINESSES").alias("__biz"),
+                F.count(F.lit(1)).cast("decimal(20,0)").alias("__k")))
+    tax = (v2.groupBy("POSTAL_CODE", F.col("REPORT_YEAR").alias("YEAR"))
+           .agg(F.count(F.lit(1)).alias("__r"),
+                *[F.sum(f"TOTAL_{m}").cast(wide).alias(f"__s_{m}") for m in _TOTALS],
+                *[F.count(f"TOTAL_{m}").cast("decimal(20,0)").alias(f"__c_{m}") for m in _TOTALS]))
+    g = lic.join(tax, ["POSTAL_CODE", "YEAR"]).groupBy("LOCAL_AREA", "YEAR").agg(
+        F.sum(F.col("__emp") * F.col("__r")).cast("bigint").alias("TOTAL_EMPLOYEES"),
+        F.sum(F.col("__biz") * F.col("__r")).cast("bigint").alias("TOTAL_BUSINESSES"),
+        *[F.sum((F.col(f"__s_{m}") * F.col("__k")).cast(wide)).cast(wide).alias(f"__s_{m}") for m in _TOTALS],
+        *[F.sum(F.col(f"__c_{m}") * F.col("__k")).alias(f"__c_{m}") for m in _TOTALS],
+        F.count(F.lit(1)).alias("NUM_OF_PROPERTIES"))
+    return g.select("LOCAL_AREA", "YEAR", "TOTAL_EMPLOYEES", "TOTAL_BUSINESSES",
+                    *[finish_avg(F.col(f"__s_{m}"), F.col(f"__c_{m}"), as_double=avg_double).alias(f"AVG_TOTAL_{m}")
+                      for m in _TOTALS], "NUM_OF_PROPERTIES")
+
+
+def combined_by_local_area_naive(v3: DataFrame, avg_double: bool = False) -> DataFrame:
+    """The roll-up over the join itself, for equivalence tests only."""
+    avgs = {f"AVG_TOTAL_{m}": F.col(f"TOTAL_{m}") for m in _TOTALS}
     plain = [F.sum("TOTAL_EMPLOYEES").cast("bigint").alias("TOTAL_EMPLOYEES"),
              F.sum("TOTAL_BUSINESSES").cast("bigint").alias("TOTAL_BUSINESSES"),
              F.count_distinct("POSTAL_CODE").alias("NUM_OF_PROPERTIES")]
@@ -160,33 +186,31 @@ def building_permits_grouped(permits: DataFrame,
                              avg_double: bool = False) -> DataFrame:
     """Postal permit profile.
 
-    Two explicit levels.  Level 1 groups by postal code and the three columns
-    whose distinct values are counted (categorical: work type, category, use)
-    and computes every other aggregate there.  Level 2 groups the level-1 rows
-    by postal code: sums of counts and sums, max of maxes, and the distinct
-    counts over the (few) level-1 rows.  Letting Catalyst plan three
-    ``count(DISTINCT)`` at once instead puts every permit through a 4-way
-    Expand *before* the sort-based aggregation that ``max`` of text forces;
-    here the permits are aggregated once and only the small level-1 result is
-    expanded.  Both levels aggregate partially before their shuffle (a hot
-    postal code is combined map-side).  ``distinct_property_uses`` counts the
-    raw use text, not the derived class.
+    Level 1 groups the permits by postal code and the three columns whose
+    distinct values are counted and holds fixed-width buffers only, so it is a
+    hash aggregate; beside it the distinct (postal, geometry, point) texts are
+    reduced by a hash aggregate of their own.  Only the few rows left of each go
+    through level 2: text maxima (a sort-based aggregate in Spark) and three
+    distinct counts.  Both levels aggregate partially before their shuffle (a
+    hot postal code is combined map-side).  ``distinct_property_uses`` counts
+    the raw use text, not the derived class.
     """
     dims = ["POSTAL_CODE", "TYPE_OF_WORK", "PERMIT_CATEGORY", "PROPERTY_USE"]
     l1 = permits.groupBy(*dims).agg(
-        F.count(F.lit(1)).alias("__n"), F.max("GEOM").alias("__geom"),
-        F.max("GEO_POINT_2D").alias("__pt"), F.sum("PROJECT_VALUE").alias("__sum"),
+        F.count(F.lit(1)).alias("__n"), F.sum("PROJECT_VALUE").alias("__sum"),
         F.count("PROJECT_VALUE").alias("__cnt"), F.max("ISSUE_YEAR").alias("__year"),
         F.max("ISSUE_DATE").alias("__date"))
     total = _sum_cast(permits, F.col("PROJECT_VALUE"), "__sum")     # type of a one-level sum
+    places = (permits.select(F.col("POSTAL_CODE").alias("__postal"), "GEOM", "GEO_POINT_2D").distinct()
+              .groupBy("__postal").agg(F.max("GEOM").alias("geom"), F.max("GEO_POINT_2D").alias("geo_point_2d")))
     g = l1.groupBy("POSTAL_CODE").agg(
-        F.sum("__n").alias("permit_count"), F.max("__geom").alias("geom"),
-        F.max("__pt").alias("geo_point_2d"), F.max("PROPERTY_USE").alias("__max_use"),
+        F.sum("__n").alias("permit_count"), F.max("PROPERTY_USE").alias("__max_use"),
         total.alias("total_project_value"), F.sum("__cnt").alias("__count"),
         F.count_distinct("TYPE_OF_WORK").alias("distinct_work_types"),
         F.count_distinct("PERMIT_CATEGORY").alias("distinct_permit_categories"),
         F.count_distinct("PROPERTY_USE").alias("distinct_property_uses"),
         F.max("__year").alias("latest_issue_year"), F.max("__date").alias("latest_issue_date"))
+    g = g.join(places, F.col("POSTAL_CODE").eqNullSafe(F.col("__postal")))
     return g.select(
         "POSTAL_CODE", "permit_count", "geom", "geo_point_2d",
         class_of("__max_use", use_classes, default).alias("PROPERTY_USE"), "total_project_value",

@@ -2,8 +2,8 @@
 
 All of them are narrow transformations except ``dedupe`` (one hash aggregate
 on all columns, partially aggregated before its shuffle, so exact copies of a
-hot row collapse map-side) and ``audit`` (one global aggregate plus one
-aggregate on the key).
+hot row collapse map-side), ``audit`` (one aggregate on the key and a global one
+over it) and ``outcomes``.
 """
 
 from __future__ import annotations
@@ -79,38 +79,49 @@ def enforce_contract(df: DataFrame, contract: TableContract) -> DataFrame:
 
     The source job re-applied the schema through a Python round trip and
     failed on a null in a required column; here the rows are filtered after
-    the cast (so a year that fails to parse is rejected too) and can be
-    counted with :func:`audit` on the un-filtered frame.
+    the cast (so a year that fails to parse is rejected too); :func:`reject_reason`
+    and :func:`outcomes` name and count what goes.
     """
     return require(conform(df, contract), contract.required)
 
 
+def reject_reason(df: DataFrame, contract: TableContract) -> Column:
+    """Why a raw row (source or target names) breaks the contract's required columns, null if it does not.
+
+    ``missing:COLUMN`` before ``unparsable:COLUMN`` (a text that its type refuses), columns in contract order.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    fields = [(f, f.src if f.src in kinds else f.target) for f in contract.fields if f.required]
+    missing = [F.when(F.col(name).isNull(), F.lit(f"missing:{f.target}")) for f, name in fields]
+    bad = [F.when(conform_column(F.col(name), f.dtype, kinds[name]).isNull(), F.lit(f"unparsable:{f.target}")) for f, name in fields]
+    return F.coalesce(*missing, *bad, F.lit(None).cast("string"))
+
+
+def outcomes(df: DataFrame, reason: Column) -> DataFrame:
+    """``(outcome, n_rows)``: rows kept and rows rejected by reason; sums up to the rows read."""
+    return df.groupBy(F.coalesce(reason, F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def audit(df: DataFrame, required: Sequence[str] = (), key: Sequence[str] = ()) -> DataFrame:
-    """Contract audit as a DataFrame ``(check, subject, violations)``.
+    """Contract audit as a DataFrame ``(check, subject, violations)``, from one scan.
 
-    One global pass counts rows and nulls in each required column; a second
-    aggregate counts key values that occur more than once and the rows they
-    cover.  Both are partial aggregates, so a hot key is combined map-side.
+    Rows and nulls are counted for each key value (without a key: once), then
+    summed up beside the key values that occur more than once and the rows they
+    cover.  Both steps aggregate partially, so a hot key is combined map-side.
     """
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"__null_{i}") for i, c in enumerate(required)]
-    g = df.agg(*aggs)
-    parts = [g.select(F.lit("row_count").alias("check"), F.lit("*").alias("subject"),
-                      F.col("__rows").cast("bigint").alias("violations"))]
-    for i, c in enumerate(required):
-        parts.append(g.select(F.lit("not_null").alias("check"), F.lit(c).alias("subject"),
-                              F.col(f"__null_{i}").cast("bigint").alias("violations")))
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"__null_{i}") for i, c in enumerate(required)]
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), *nulls)
+    many = F.col("__n") > 1
+    total = per_key.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("__rows"),
+        *[F.coalesce(F.sum(f"__null_{i}"), F.lit(0)).alias(f"__null_{i}") for i in range(len(required))],
+        F.count_if(many).alias("__groups"), F.coalesce(F.sum(F.when(many, F.col("__n"))), F.lit(0)).alias("__dup"))
+    checks = [("row_count", "*", "__rows"), *[("not_null", c, f"__null_{i}") for i, c in enumerate(required)]]
     if key:
-        dup = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-               .agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")))
-        subject = ",".join(key)
-        parts.append(dup.select(F.lit("duplicate_key_groups").alias("check"),
-                                F.lit(subject).alias("subject"),
-                                F.col("groups").cast("bigint").alias("violations")))
-        parts.append(dup.select(F.lit("duplicate_key_rows").alias("check"),
-                                F.lit(subject).alias("subject"),
-                                F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("violations")))
-    return reduce(DataFrame.unionByName, parts)
+        checks += [("duplicate_key_groups", ",".join(key), "__groups"), ("duplicate_key_rows", ",".join(key), "__dup")]
+    rows = F.array(*[F.struct(F.lit(a).alias("check"), F.lit(b).alias("subject"), F.col(c).cast("bigint").alias("violations"))
+                     for a, b, c in checks])
+    return total.select(F.inline(rows))
 
 
 def with_postal_code(df: DataFrame, source: str = "address", target: str = "postal_code",

@@ -11,13 +11,16 @@ it), in a nested loop over years.  Here:
    partitioned and sorted by (year, key), checkpointed (lineage cut, stable
    under task retry), and each row's rank is its position inside its
    partition plus the number of rows of the same year in earlier partitions,
-   taken from a tiny per-(year, partition) count table.
-2. A pivot puts each rank's values of every year side by side (one wide row
-   per (segment, rank), at most one value per year), and one aggregate per
-   segment computes every year pair's moments over those rows; no pair rows
-   are emitted and nothing is joined to itself.
+   from a per-(year, partition) count table that is joined.
+2. The rows of one rank, at most one a year, are gathered into one array, which
+   gives the pairs of years that the rank has; every pair's moments are summed
+   up partially before they are shuffled, so no pair row is shuffled and
+   nothing is joined to itself.  The years come out of the data; none is named
+   in the plan.
 3. Segments ('both', 'residential', 'non-residential') are evaluated in the
    same pass by exploding a segment tag.
+
+The checkpoint is the only job that runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -33,18 +36,10 @@ from landlens.operators.clean import segment_tag
 from landlens.session import checkpoint_dir, default_parallelism
 
 
-STATS_BROADCAST_ROWS = 1_000_000
-
-
 def positional_rank(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                    rank_col: str = "rn", num_partitions: int | None = None,
-                    return_groups: bool = False):
+                    rank_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` within ``partition_cols`` by ``order_cols``, computed
-    without gathering any partition group into a single task.
-
-    With ``return_groups`` the result is ``(ranked, groups)`` where ``groups``
-    is the set of ``partition_cols`` values seen (read from the same bounded
-    fetch that decides the broadcast; ``None`` when above the bound)."""
+    without gathering any partition group into a single task."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     p = num_partitions or default_parallelism(spark)
@@ -62,20 +57,13 @@ def positional_rank(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     stats = stats.select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols],
                          F.col("__pid").alias("__k_pid"), "__first",
                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    # at most (#partitions x #groups) rows; the bound is checked before broadcasting
-    seen = stats.select(*[f"__k_{c}" for c in partition_cols]).take(STATS_BROADCAST_ROWS + 1)
-    small = len(seen) <= STATS_BROADCAST_ROWS
-    stats = F.broadcast(stats) if small else stats
     cond = reduce(lambda a, b: a & b,
                   [s[c].eqNullSafe(stats[f"__k_{c}"]) for c in partition_cols]
                   + [s["__pid"] == stats["__k_pid"]])
     j = s.join(stats, cond)
     out = j.withColumn(rank_col, (F.col("__offset") + F.col("__idx") - F.col("__first") + 1).cast("bigint"))
-    out = out.drop("__pid", "__idx", "__first", "__offset", "__k_pid",
-                   *[f"__k_{c}" for c in partition_cols])
-    if return_groups:
-        return out, ({tuple(r) for r in seen} if small else None)
-    return out
+    return out.drop("__pid", "__idx", "__first", "__offset", "__k_pid",
+                    *[f"__k_{c}" for c in partition_cols])
 
 
 def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str = "postal_code",
@@ -83,20 +71,15 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
                           segment_col: str | None = "property_use",
                           segment_value: str = "residential",
                           segments: Sequence[str] | None = None,
-                          digits: int | None = None, strategy: str = "pivot") -> DataFrame:
+                          digits: int | None = None, strategy: str = "gather") -> DataFrame:
     """A10 (+ C13, J8): long table ``(segment, investment_year, value_year, n_pairs, corr)``.
 
     ``corr`` is NULL for fewer than two complete pairs or zero variance.
     Rows with a null in x or y still count for their rank (as in the
     source's positional pairing) but drop out of the correlation.
 
-    ``strategy='pivot'`` (default): one wide row per (segment, rank) holding
-    each year's x and y (a group has at most one row per year; built by one
-    hash aggregate), then one
-    aggregate per segment computing, for every pair of years A <= B,
-    ``covar_pop``/``stddev_pop`` over the ranks where both x_A and y_B exist.
-    No pair rows are produced and there is no self-join; the distinct years
-    (a small, calendar-bounded list) are read first to name the columns.
+    ``strategy='gather'`` (default): one array per (segment, rank) holding each
+    year's x and y, exploded to the pairs of years A <= B and aggregated.
     ``strategy='join'``: equi join of the ranked rows with themselves on
     (segment, rank) — same result, kept for comparison.
     """
@@ -110,82 +93,34 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
         base = base.withColumn("segment", F.lit("both"))
     if segments is not None:
         base = base.where(F.col("segment").isin(list(segments)))
-    ranked, groups = positional_rank(base, ["segment", "__year"], ["__ord"], rank_col="__rn",
-                                     return_groups=True)
+    ranked = positional_rank(base, ["segment", "__year"], ["__ord"], rank_col="__rn")
     if strategy == "join":
-        return _pair_join(ranked, digits)
-    if strategy != "pivot":
-        raise ValueError(f"unknown correlation strategy {strategy!r}")
-    if groups is not None:
-        years = sorted({y for _, y in groups})
+        xs = ranked.select("segment", F.col("__year").alias("investment_year"), "__rn", "__x")
+        ys = ranked.select("segment", F.col("__year").alias("value_year"), "__rn", "__y")
+        pairs = xs.join(ys, ["segment", "__rn"]).where(F.col("value_year") >= F.col("investment_year"))
+    elif strategy == "gather":
+        years = ranked.groupBy("segment", "__rn").agg(
+            F.collect_list(F.struct("__year", "__x", "__y")).alias("__v"))     # one entry a year
+        first = years.select("segment", "__v", F.explode("__v").alias("__a"))
+        pairs = first.select("segment", "__a", F.explode("__v").alias("__b")) \
+            .where(F.col("__b.__year") >= F.col("__a.__year")) \
+            .select("segment", F.col("__a.__year").alias("investment_year"), F.col("__b.__year").alias("value_year"),
+                    F.col("__a.__x").alias("__x"), F.col("__b.__y").alias("__y"))
     else:
-        years = [r[0] for r in ranked.select("__year").distinct().orderBy("__year").collect()]
-    if not years:
-        return _pair_join(ranked, digits)
-    # one hash aggregate builds the wide rows (a (segment, rank) group holds at
-    # most one row per year); one SQL expression per aggregate keeps the plan
-    # construction cheap
-    cols = []
-    for a in years:
-        cols += [F.expr(f"first(IF(__year = {a}, __x, NULL), true) AS `{a}_x`"),
-                 F.expr(f"first(IF(__year = {a}, __y, NULL), true) AS `{a}_y`"),
-                 F.expr(f"count_if(__year = {a}) AS `{a}_c`")]
-    wide = ranked.groupBy("segment", "__rn").agg(*cols)
-    pairs = [(a, b) for a in years for b in years if b >= a]
-    # the aggregate count grows with years^2: beyond a chunk, year pairs are
-    # computed in several aggregates over the same wide rows (whose input,
-    # the ranked rows, is checkpointed) and unioned
-    parts = [_pair_moments(wide, years, pairs[i:i + PAIRS_PER_AGGREGATE], digits)
-             for i in range(0, len(pairs), PAIRS_PER_AGGREGATE)]
-    return reduce(DataFrame.unionByName, parts)
-
-
-PAIRS_PER_AGGREGATE = 150
-
-
-def _pair_moments(wide: DataFrame, years: Sequence[int], pairs: Sequence[tuple[int, int]],
-                  digits: int | None) -> DataFrame:
-    used = sorted({y for p in pairs for y in p})
-    aggs = [F.expr(f"max(`{a}_c`) AS `h{a}`") for a in used]
-    for a, b in pairs:
-        ok = f"(`{a}_x` IS NOT NULL AND `{b}_y` IS NOT NULL)"
-        xa, yb = f"IF({ok}, `{a}_x`, NULL)", f"IF({ok}, `{b}_y`, NULL)"
-        aggs += [F.expr(f"count_if({ok}) AS `n{a}_{b}`"),
-                 F.expr(f"covar_pop({xa}, {yb}) AS `v{a}_{b}`"),
-                 F.expr(f"stddev_pop({xa}) * stddev_pop({yb}) AS `d{a}_{b}`")]
-    per_segment = wide.groupBy("segment").agg(*aggs)
-    corr = "IF(`d{a}_{b}` = 0, CAST(NULL AS DOUBLE), try_divide(`v{a}_{b}`, `d{a}_{b}`))"
-    if digits is not None:
-        corr = f"round({corr}, {int(digits)})"
-    cells = ", ".join(f"{a}, {b}, `n{a}_{b}`, " + corr.format(a=a, b=b)
-                      + f", `h{a}` > 0 AND `h{b}` > 0" for a, b in pairs)
-    long = per_segment.selectExpr(
-        "segment", f"stack({len(pairs)}, {cells}) AS (investment_year, value_year, n_pairs, corr, present)")
-    return long.where("present").select(
-        "segment", F.col("investment_year").cast("int").alias("investment_year"),
-        F.col("value_year").cast("int").alias("value_year"), "n_pairs",
-        F.col("corr").cast("double").alias("corr"))
-
-
-def _pair_join(ranked: DataFrame, digits: int | None) -> DataFrame:
-    xs = ranked.select("segment", F.col("__year").alias("investment_year"), "__rn", "__x")
-    ys = ranked.select("segment", F.col("__year").alias("value_year"), "__rn", "__y")
-    pairs = xs.join(ys, ["segment", "__rn"]).where(F.col("value_year") >= F.col("investment_year"))
+        raise ValueError(f"unknown correlation strategy {strategy!r}")
     ok = F.col("__x").isNotNull() & F.col("__y").isNotNull()
-    x, y = F.when(ok, F.col("__x")), F.when(ok, F.col("__y"))
-    corr = safe_corr(x, y)
+    corr = safe_corr(F.when(ok, F.col("__x")), F.when(ok, F.col("__y")))
     if digits is not None:
         corr = F.round(corr, digits)
     return (pairs.groupBy("segment", "investment_year", "value_year")
             .agg(F.count_if(ok).alias("n_pairs"), corr.alias("corr")))
 
 
-def correlation_matrix(long: DataFrame, segment: str = "both",
-                       years: Sequence[int] | None = None) -> DataFrame:
-    """M1: upper-triangular year x year matrix; cells with value year < investment year are null.
+def correlation_matrix(long: DataFrame, years: Sequence[int]) -> DataFrame:
+    """M1: for each segment the upper-triangular year x year matrix; cells with value
+    year < investment year (and years that the data lack) are null.
 
-    Pass ``years`` to fix the columns (no extra job to discover them).
+    ``years`` names the columns, so no job runs to discover them.
     """
-    src = long.where(F.col("segment") == F.lit(segment))
-    piv = src.groupBy("investment_year").pivot("value_year", list(years) if years else None)
-    return piv.agg(F.first("corr")).orderBy("investment_year")
+    return (long.groupBy("segment", "investment_year").pivot("value_year", list(years))
+            .agg(F.first("corr")))

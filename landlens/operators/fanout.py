@@ -15,6 +15,9 @@ The rewrite aggregates first and joins small frames:
 * ``m``: permits grouped by (postal, area)
 * ``w = n * m`` on postal; ``g JOIN w`` on postal; group by (year, area):
   ``AVG = sum(sum_v * w) / sum(count_v * w)``, class counts ``= sum(c * w)``.
+  Weights and weighted counts are 38-digit decimals: a postal code with millions
+  of rows on both sides overflows no BIGINT on the way.  A published class count
+  beyond BIGINT is NULL.
 
 All aggregates are exact (decimal sums, integer counts), so the result equals
 the naive plan bit for bit.  Rows shuffled drop to about the number of
@@ -35,11 +38,27 @@ from landlens.functions.classify import indicator
 from landlens.functions.numeric import finish_avg
 
 _WIDE = T.DecimalType(38, 2)
+_COUNT = T.DecimalType(38, 0)
 _MEASURES = (("average_land_value", "CURRENT_LAND_VALUE"),
              ("average_improvement_value", "CURRENT_IMPROVEMENT_VALUE"),
              ("average_tax_levy", "TAX_LEVY"))
 
 
+def _weight(weighting: str) -> Column:
+    """How often one tax row counts in an area, from ``__m`` and ``__n``."""
+    if weighting == "fanout":
+        return F.try_multiply(F.col("__m").cast(T.DecimalType(19, 0)), F.col("__n").cast(T.DecimalType(19, 0))).cast(_COUNT)
+    if weighting == "distinct":
+        return F.lit(1).cast(_COUNT)
+    raise ValueError(f"unknown weighting {weighting!r}")
+
+
+def _weighted(c: Column, weight: Column, scale: int = 0) -> Column:
+    """``sum(c * weight)`` as a decimal of 38 digits; NULL if even that is too small."""
+    kind = T.DecimalType(38, scale)
+    return F.try_sum(F.try_multiply(c.cast(kind), weight).try_cast(kind)).try_cast(kind)
+
+
 def bridge_weights(tax: DataFrame | None, permits: DataFrame, weighting: str = "fanout",
                    tax_rows: DataFrame | None = None) -> DataFrame:
     """``(postal, LOCAL_AREA, w)``: how often one tax row of ``postal`` repeats in the area.
@@ -54,18 +73,13 @@ def bridge_weights(tax: DataFrame | None, permits: DataFrame, weighting: str = "
     n = tax_rows if tax_rows is not None else (
         tax.groupBy(F.col("PROPERTY_POSTAL_CODE").alias("__postal"))
         .agg(F.count(F.lit(1)).alias("__n")))
-    if weighting == "fanout":
-        return m.join(n, "__postal").select("__postal", "LOCAL_AREA",
-                                            (F.col("__m") * F.col("__n")).alias("__w"))
-    if weighting == "distinct":
-        return m.join(n, "__postal").select("__postal", "LOCAL_AREA", F.lit(1).cast("bigint").alias("__w"))
-    raise ValueError(f"unknown weighting {weighting!r}")
+    return m.join(n, "__postal").select("__postal", "LOCAL_AREA", _weight(weighting).alias("__w"))
 
 
 def bridge_row_count(tax: DataFrame, permits: DataFrame, weighting: str = "fanout") -> DataFrame:
-    """A8 over V6 without building it: ``count(*)`` of the bridge as ``sum(w)``."""
+    """A8 over V6 without building it: ``count(*)`` of the bridge as ``sum(w)`` (NULL beyond BIGINT)."""
     w = bridge_weights(tax, permits, weighting)
-    return w.agg(F.coalesce(F.sum("__w"), F.lit(0)).cast("bigint").alias("total_rows"))
+    return w.agg(F.coalesce(F.try_sum("__w"), F.lit(0)).try_cast("bigint").alias("total_rows"))
 
 
 def postal_area_bridge(tax: DataFrame, permits: DataFrame, distinct: bool = False) -> DataFrame:
@@ -107,18 +121,13 @@ def property_tax_by_year_area(tax: DataFrame, permits: DataFrame,
                          F.col("GEO_LOCAL_AREA").alias("LOCAL_AREA"))
          .agg(F.count(F.lit(1)).alias("__m")))
     j = g.join(m, "__postal")
-    if weighting == "fanout":
-        wt = F.col("__m") * F.col("__n")
-    elif weighting == "distinct":
-        wt = F.lit(1).cast("bigint")
-    else:
-        raise ValueError(f"unknown weighting {weighting!r}")
+    wt = _weight(weighting)
     out_aggs: list[Column] = []
     for name, _ in _MEASURES:
-        out_aggs += [F.sum(F.col(f"__s_{name}") * wt.cast(T.DecimalType(20, 0))).cast(_WIDE).alias(f"__S_{name}"),
-                     F.sum(F.col(f"__c_{name}") * wt).alias(f"__C_{name}")]
-    out_aggs += [F.sum(F.col("__res") * wt).alias("residential_zoning_count"),
-                 F.sum(F.col("__non") * wt).alias("non_residential_zoning_count")]
+        out_aggs += [_weighted(F.col(f"__s_{name}"), wt, 2).alias(f"__S_{name}"),
+                     _weighted(F.col(f"__c_{name}"), wt).alias(f"__C_{name}")]
+    out_aggs += [_weighted(F.col("__res"), wt).try_cast("bigint").alias("residential_zoning_count"),
+                 _weighted(F.col("__non"), wt).try_cast("bigint").alias("non_residential_zoning_count")]
     r = j.groupBy("YEAR", "LOCAL_AREA").agg(*out_aggs)
     return r.select("YEAR", "LOCAL_AREA",
                     *[finish_avg(F.col(f"__S_{n}"), F.col(f"__C_{n}"), as_double=avg_double).alias(n)

@@ -1,13 +1,14 @@
 """Investment follow-up (V5: J2, P4, W1) and its area roll-up.
 
-The source view joins the postal-level table to itself on postal code and
+The source view joins the postal-level table (V3) to itself on postal code and
 ``i.year < f.year <= i.year + 5``, then keeps one arbitrary row per
-(postal, investment year, follow-up year) with ``ROW_NUMBER() = 1`` over a
-constant order.  Any one row of the product is a legal answer, so we choose
-it up front (R2): one row per (postal, year) by a fixed tie-break, picked
-with ``min(struct(...))`` — a partial aggregate, skew safe — and pair those
-picks: at most ``horizon`` rows out per row in, instead of the full product of
-the rows of both years.
+(postal, investment year, follow-up year).  Any one row of the product is a
+legal answer, so we choose it up front (R2): one row per (postal, year) by a
+fixed tie-break.  That pick factorises over the join that makes V3: the smallest
+area and then licence measures come from the licence groups (V1) alone, the
+smallest zoning, street and values from the tax groups (V2) alone.  So each side
+is picked by ``min(struct(...))``, a partial aggregate, and one row joins one
+row; V3 is never built.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landlens.contracts import FOLLOWUP_HORIZON
-from landlens.functions.numeric import percent_change
+from landlens.functions.numeric import percent_change, two_digit_year
 from landlens.operators.joins import band_join
 
 # Q2 tie-break: area, zoning, street, then the measures (ascending, nulls first).
@@ -32,34 +33,39 @@ def pick_one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return picked.select(*keys, *[F.col(f"__pick.{c}").alias(c) for c in order])
 
 
-def investment_land_value_followup(v3: DataFrame, horizon: int = FOLLOWUP_HORIZON,
-                                   strategy: str = "frame",
-                                   tie_break: Sequence[str] = TIE_BREAK) -> DataFrame:
+_FROM_LICENCES = ("LOCAL_AREA", "TOTAL_BUSINESSES", "TOTAL_EMPLOYEES")
+_FROM_TAX = tuple(c for c in TIE_BREAK if c not in _FROM_LICENCES)
+
+
+def postal_year_picks(v1: DataFrame, v2: DataFrame) -> DataFrame:
+    """W1 over V3 without V3: its first row by ``TIE_BREAK`` for each (postal, year).
+
+    (zoning, street) is unique within a (postal, year) of V2, so the order of
+    the tie-break columns never compares licence measures across tax groups.
+    """
+    b = pick_one_per_key(v1.withColumn("YEAR", two_digit_year(F.col("FOLDER_YEAR"))), ["POSTAL_CODE", "YEAR"], _FROM_LICENCES)
+    p = pick_one_per_key(v2.withColumnRenamed("REPORT_YEAR", "YEAR"), ["POSTAL_CODE", "YEAR"], _FROM_TAX)
+    return b.join(p, ["POSTAL_CODE", "YEAR"])
+
+
+def investment_land_value_followup(v1: DataFrame, v2: DataFrame, horizon: int = FOLLOWUP_HORIZON,
+                                   strategy: str = "frame") -> DataFrame:
     """V5: for each postal code and year, the land value ``1..horizon`` years later.
 
     ``strategy``:
 
-    * ``'frame'`` (default): after the pick there is one row per (postal,
-      year), so the follow-up partners of a row are the rows of its postal
-      code inside the window frame ``RANGE BETWEEN 1 FOLLOWING AND horizon
-      FOLLOWING`` on the year; ``collect_list`` over that frame holds at most
-      ``horizon`` entries.  One shuffle of the V3 rows by postal code serves
-      the pick and the window; no self-join, and the pick is computed once.
+    * ``'frame'`` (default): the picks hold one row per (postal, year), so the
+      follow-up partners of a row are the rows of its postal code inside the
+      window frame ``RANGE BETWEEN 1 FOLLOWING AND horizon FOLLOWING`` on the
+      year; ``collect_list`` over that frame holds at most ``horizon`` entries.
+      No self-join, and a postal code has one row a year in its window.
     * ``'explode'`` (R3): the band as an equi join on (postal, year) after
       exploding each row into its candidate years.
     * ``'range'``: equi join on postal code with the band as a residual predicate.
-    * ``'window'``: the literal product + ``ROW_NUMBER`` (equivalence tests only).
 
-    All four return the same rows.
+    All return the same rows.
     """
-    if strategy == "window":
-        return _followup_window(v3, horizon, tie_break)
-    if strategy == "frame":
-        # V3 rows are aggregates (per postal code: years x zonings x streets x
-        # areas); one exchange by postal code serves both the pick (grouped by
-        # postal code and year) and the window (partitioned by postal code).
-        v3 = v3.repartition("POSTAL_CODE")
-    picked = pick_one_per_key(v3, ["POSTAL_CODE", "YEAR"], tie_break)
+    picked = postal_year_picks(v1, v2)
     i = picked.select("POSTAL_CODE", "YEAR", "LOCAL_AREA",
                       F.col("TOTAL_BUSINESSES").alias("BUSINESSES_COUNT"),
                       F.col("TOTAL_EMPLOYEES").alias("EMPLOYEES_COUNT"),
@@ -84,7 +90,9 @@ def investment_land_value_followup(v3: DataFrame, horizon: int = FOLLOWUP_HORIZO
                        F.col("LAND_VALUE_IN_FOLLOWUP_YEAR")).alias("PERCENT_CHANGE_IN_LAND_VALUE"))
 
 
-def _followup_window(v3: DataFrame, horizon: int, tie_break: Sequence[str]) -> DataFrame:
+def investment_land_value_followup_naive(v3: DataFrame, horizon: int = FOLLOWUP_HORIZON,
+                                         tie_break: Sequence[str] = TIE_BREAK) -> DataFrame:
+    """The literal product of V3 with itself and ``ROW_NUMBER``, for equivalence tests only."""
     i = v3.select(*[F.col(c).alias(f"i_{c}") for c in v3.columns])
     f = v3.select(*[F.col(c).alias(f"f_{c}") for c in v3.columns])
     j = i.join(f, (F.col("i_POSTAL_CODE") == F.col("f_POSTAL_CODE"))

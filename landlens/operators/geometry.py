@@ -14,20 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landlens.functions.geo import (
-    lonlat_to_utm, point_from_geojson, ring_centroid, ring_to_utm,
+    close_ring, lonlat_to_utm, point_from_geojson, polygons_centroid, ring_to_utm,
 )
 
 
-def with_centroid(df: DataFrame, ring_col: str = "ring", project: bool = True,
+def with_centroid(df: DataFrame, polygons_col: str = "polygons", project: bool = True,
                   x_col: str = "centroid_x", y_col: str = "centroid_y") -> DataFrame:
-    """G3 (optional) then G2: centroid of each row's ring, in UTM 10N metres when
-    ``project`` (reprojection *before* the centroid), else in ring units."""
-    work = df.withColumn("__ring", ring_to_utm(F.col(ring_col)) if project else F.col(ring_col))
-    first, last = F.element_at("__ring", 1), F.element_at("__ring", -1)
-    work = work.withColumn("__ring", F.when(first == last, F.col("__ring"))
-                           .otherwise(F.concat(F.col("__ring"), F.array(first))))
-    c = ring_centroid(F.col("__ring"))
-    return work.withColumn(x_col, c["x"]).withColumn(y_col, c["y"]).drop("__ring")
+    """G3 (optional) then G2: centroid of each row's polygons, in UTM 10N metres when
+    ``project`` (reprojection *before* the centroid), else in ring units; holes are
+    subtracted, null polygons give nulls."""
+    def ring(r):
+        return close_ring(ring_to_utm(r) if project else r)
+
+    work = df.withColumn("__polygons", F.transform(polygons_col, lambda polygon: F.transform(polygon, ring)))
+    work = work.withColumn("__c", polygons_centroid(F.col("__polygons")))
+    return work.withColumn(x_col, F.col("__c.x")).withColumn(y_col, F.col("__c.y")).drop("__polygons", "__c")
 
 
 def with_projected_point(df: DataFrame, geojson_col: str | None = None, lon_col: str | None = None,

@@ -1,10 +1,7 @@
-"""Joins (J1, J2, J5, J6, J7) and the checked broadcast.
+"""Joins (J1, J2, J5, J6, J7).
 
-Join strategy is left to Catalyst/AQE except where a side has a *proven*
-small size: ``broadcast_if_bounded`` fetches at most ``max_rows + 1`` one-column
-rows of the candidate side and hints a broadcast only under that bound;
-otherwise the join stays a shuffle join and AQE may still convert it from
-runtime statistics.
+No join carries a strategy hint: Catalyst broadcasts a side whose known size is
+below its byte threshold, and AQE decides again from the sizes it has measured.
 """
 
 from __future__ import annotations
@@ -17,19 +14,6 @@ from landlens.functions.numeric import two_digit_year
 from landlens.functions.text import point_part
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only when the frame provably has at most ``max_rows`` rows.
-
-    ``take`` scans partitions incrementally and stops once it holds
-    ``max_rows + 1`` rows, so a large input costs a few partitions, not a full
-    pass; the rows carry a single literal column, so what reaches the driver
-    is bounded and tiny.  (``limit(n).count()`` would instead funnel up to
-    ``partitions x n`` rows into one task.)
-    """
-    n = len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # -- J1 / V3 ------------------------------------------------------------------
 def combined_by_postal_code(v1: DataFrame, v2: DataFrame) -> DataFrame:
     """Licence groups x tax groups on postal code and ``folder_year + 2000 = report_year``.
@@ -106,12 +90,9 @@ def property_and_permits_grouped(v10: DataFrame, v11: DataFrame) -> DataFrame:
 
 # -- J7 -----------------------------------------------------------------------
 def join_boundaries(df: DataFrame, boundaries: DataFrame, area_col: str = "local_area",
-                    name_col: str = "name", max_broadcast_rows: int = 100_000) -> DataFrame:
+                    name_col: str = "name") -> DataFrame:
     """Area results x boundary polygons on ``name = area`` (inner).
 
-    The boundary table is tiny (one row per planning area) but its size is
-    checked, not assumed, before the broadcast hint.
+    Only boundaries whose polygon could be read take part.
     """
-    b = broadcast_if_bounded(boundaries, max_broadcast_rows)
-    return df.join(b, df[area_col] == b[name_col])
-
+    return df.join(boundaries, df[area_col] == boundaries[name_col])

@@ -7,11 +7,17 @@ table gets a stand-in built by Spark from them (its size grows with theirs):
   order year, land value = total price, zoning = priority, street = status.
 * ``building_permits``  <- ``lineitem`` (+ supplier, nation): postal code =
   supplier, issue date = ship date, project value = extended price, property
-  use = return flag, work type = line status, area = supplier's nation.
+  use = return flag, work type = line status, area = supplier's nation, or the
+  next one or none for some lines, so that a postal code lies in several areas
+  and has several geometry and point texts.
 * ``business_licenses`` <- ``lineitem`` JOIN ``orders`` (+ customer, nation):
   one licence per line, employees = quantity, postal code = customer, folder
   year = two-digit ship year, area = customer's nation.
-* boundaries            <- ``nation``: a quadrilateral per nation near 123 W.
+* boundaries            <- ``nation``: a quadrilateral per nation near 123 W, some
+  with a hole, some in two parts, some unreadable.
+
+Values that operators must treat specially occur in all of them: zero and null
+values, null areas, exact copies, texts that do not parse.
 
 Every expression here has a twin in :mod:`landlens.plans.oracle` written in
 DuckDB SQL; keep them in step.
@@ -22,7 +28,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landlens.operators.joins import broadcast_if_bounded
 from landlens.sources.readers import boundaries_from_geojson, read_parquet
 
 # Class maps for the stand-in values (priorities and return flags).
@@ -33,20 +38,8 @@ ZONING_POSTAL_T = {"residential": ["1-URGENT"], "mixed": ["3-MEDIUM"],
 USE_AREA_T = {"residential": ["N"], "non-residential": ["R"]}
 USE_POSTAL_T = {"residential": ["R"]}
 
-# Lookup tables are small by construction; the bound is still checked.
-SMALL_TABLE_ROWS = 100_000
-
-
-# Fact tables get the scan-parallelism floor (hashed on their own key);
-# dimension tables are read as they are.
-FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id",
-               "pages": "page_id", "events": "event_id", "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet",
-                        min_partitions=None if name in FACT_TABLES else 0,
-                        floor_key=FACT_TABLES.get(name))
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> F.Column:
@@ -56,7 +49,7 @@ def _s(c) -> F.Column:
 def property_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    land = F.col("o_totalprice").cast("decimal(18,2)")
+    land = F.when(k % 11 == 0, F.lit(0)).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")   # zero bases
     return o.select(
         _s(k).alias("PID"),
         F.col("o_orderstatus").alias("LEGAL_TYPE"),
@@ -66,7 +59,7 @@ def property_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("STREET_NAME"),
         _s(c).alias("PROPERTY_POSTAL_CODE"),
         land.alias("CURRENT_LAND_VALUE"),
-        ((k * 37) % 100000).cast("decimal(18,2)").alias("CURRENT_IMPROVEMENT_VALUE"),
+        F.when(k % 13 != 0, (k * 37) % 100000).cast("decimal(18,2)").alias("CURRENT_IMPROVEMENT_VALUE"),
         F.year("o_orderdate").alias("TAX_ASSESSMENT_YEAR"),
         (land - (k % 1000).cast("decimal(18,2)")).cast("decimal(18,2)").alias("PREVIOUS_LAND_VALUE"),
         ((c * 13) % 50000).cast("decimal(18,2)").alias("PREVIOUS_IMPROVEMENT_VALUE"),
@@ -77,13 +70,14 @@ def property_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("REPORT_YEAR"))
 
 
-def _lat_lon_text(k: F.Column) -> tuple[F.Column, F.Column]:
+def _lat_lon_text(k: F.Column, step: F.Column | None = None) -> tuple[F.Column, F.Column]:
     """City-scale coordinates as text ('49.2xx', '-123.1xx'), built from the key."""
-    return (F.concat(F.lit("49."), _s(k % 50 + 200)), F.concat(F.lit("-123."), _s(k % 90 + 100)))
+    north = k % 50 + 200 + (step if step is not None else 0)
+    return (F.concat(F.lit("49."), _s(north)), F.concat(F.lit("-123."), _s(k % 90 + 100)))
 
 
-def _point_text(k: F.Column) -> F.Column:
-    lat, lon = _lat_lon_text(k)
+def _point_text(k: F.Column, step: F.Column) -> F.Column:
+    lat, lon = _lat_lon_text(k, step)
     d = k % 10
     return (F.when(d == 3, lat)                                             # no comma
             .when(d == 7, F.concat(lat, F.lit(", "), lon, F.lit(", 0")))    # two commas
@@ -94,12 +88,13 @@ def _point_text(k: F.Column) -> F.Column:
 def building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                             SMALL_TABLE_ROWS)
-    area = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select("s_suppkey", "n_name")
-    area = broadcast_if_bounded(area, SMALL_TABLE_ROWS)     # one row per supplier: small only at small scale
-    j = li.join(area, li["l_suppkey"] == area["s_suppkey"], "left")
-    k = F.col("l_suppkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    ln = F.col("l_linenumber")
+    j = li.join(s, li["l_suppkey"] == s["s_suppkey"], "left")
+    # line 5 lies in the next area, line 6 of every fourth supplier in none
+    nation = F.when((ln != 6) | (F.col("l_suppkey") % 4 != 0), (F.col("s_nationkey") + F.when(ln == 5, 1).otherwise(0)) % 25)
+    j = j.join(n, nation == n["n_nationkey"], "left")
+    k, step = F.col("l_suppkey"), ln % 3
     return j.select(
         F.to_date("l_shipdate").alias("ISSUE_DATE"),
         F.col("l_extendedprice").cast("decimal(15,2)").alias("PROJECT_VALUE"),
@@ -111,9 +106,9 @@ def building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("SPECIFIC_USE_CATEGORY"),
         F.year("l_shipdate").alias("ISSUE_YEAR"),
         F.date_format("l_shipdate", "yyyy-MM").alias("YEAR_MONTH"),
-        F.concat(F.lit('{"type":"Point","coordinates":['), _lat_lon_text(k)[1], F.lit(","),
-                 _lat_lon_text(k)[0], F.lit("]}")).alias("GEOM"),
-        _point_text(k).alias("GEO_POINT_2D"),
+        F.concat(F.lit('{"type":"Point","coordinates":['), _lat_lon_text(k, step)[1], F.lit(","),
+                 _lat_lon_text(k, step)[0], F.lit("]}")).alias("GEOM"),
+        _point_text(k, step).alias("GEO_POINT_2D"),
         F.col("n_name").alias("GEO_LOCAL_AREA"))
 
 
@@ -121,10 +116,8 @@ def business_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                             SMALL_TABLE_ROWS)
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select("c_custkey", "n_name")
-    cn = broadcast_if_bounded(cn, SMALL_TABLE_ROWS)         # one row per customer: small only at small scale
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(cn, F.col("o_custkey") == cn["c_custkey"], "left")
     return j.select(
         (F.year("l_shipdate") - 2000).cast("int").alias("FOLDER_YEAR"),
@@ -136,21 +129,30 @@ def business_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("BUSINESS_SUBTYPE"),
         _s("o_custkey").alias("POSTAL_CODE"),
         F.col("o_orderstatus").alias("STREET_NAME"),
-        F.col("n_name").alias("LOCAL_AREA"),
+        F.when(F.col("l_linenumber") != 7, F.col("n_name")).alias("LOCAL_AREA"),     # some without an area
         F.col("l_quantity").cast("int").alias("NUMBER_OF_EMPLOYEES"))
 
 
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One quadrilateral per nation, delivered as GeoJSON Polygon text and read
-    through the boundary source (S9) into ``(name, ring)``; the ring is open
-    and counter-clockwise."""
+    """A shape per nation, delivered as GeoJSON text and read through the boundary
+    source (S9): a quadrilateral (open ring, counter-clockwise), every third with a
+    square hole (closed ring), every fifth in two parts, every eighth with an empty
+    ring, which no reader can use."""
     n = table(spark, sf_dir, "nation")
-    x0 = F.lit(-125.0) + F.col("n_nationkey") * 0.2
+    key = F.col("n_nationkey")
+    x0 = F.lit(-125.0) + key * 0.2
     y0 = F.lit(48.0) + F.col("n_regionkey") * 0.3
-    corners = [(x0, y0), (x0 + 0.15, y0), (x0 + 0.2, y0 + 0.1), (x0, y0 + 0.25)]
-    coords = F.concat_ws(",", *[F.concat(F.lit("["), _s(x), F.lit(","), _s(y), F.lit("]"))
-                                for x, y in corners])
-    text = F.concat(F.lit('{"type":"Polygon","coordinates":[['), coords, F.lit("]]}"))
+
+    def ring(points):
+        return F.concat(F.lit("["), F.concat_ws(",", *[F.concat(F.lit("["), _s(x), F.lit(","), _s(y), F.lit("]")) for x, y in points]), F.lit("]"))
+
+    outer = ring([(x0, y0), (x0 + 0.15, y0), (x0 + 0.2, y0 + 0.1), (x0, y0 + 0.25)])
+    hole = ring([(x0 + 0.02, y0 + 0.02), (x0 + 0.02, y0 + 0.06), (x0 + 0.08, y0 + 0.06), (x0 + 0.08, y0 + 0.02), (x0 + 0.02, y0 + 0.02)])
+    second = ring([(x0 + 0.3, y0), (x0 + 0.4, y0), (x0 + 0.4, y0 + 0.1)])
+    polygon = F.concat(F.lit("["), outer, F.when(key % 3 == 0, F.concat(F.lit(","), hole)).otherwise(F.lit("")), F.lit("]"))
+    text = (F.when(key % 8 == 7, F.lit('{"type":"Polygon","coordinates":[[]]}'))
+            .when(key % 5 == 4, F.concat(F.lit('{"type":"MultiPolygon","coordinates":['), polygon, F.lit(",["), second, F.lit("]]}")))
+            .otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":'), polygon, F.lit("}"))))
     return boundaries_from_geojson(n.select(F.col("n_name").alias("name"), text.alias("geojson")))
 
 
@@ -162,8 +164,8 @@ def postal_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("postal_code"),
         F.year("o_orderdate").alias("year"),
-        F.col("o_totalprice").alias("total_project_value"),
-        (F.col("o_totalprice") - (F.col("o_custkey") % 1000) * 100.0).alias("total_land_value"),
+        F.when(F.col("o_orderkey") % 17 != 0, F.col("o_totalprice")).alias("total_project_value"),
+        F.when(F.col("o_orderkey") % 19 != 0, F.col("o_totalprice") - (F.col("o_custkey") % 1000) * 100.0).alias("total_land_value"),
         F.when(F.col("o_orderstatus") == "F", F.lit("residential"))
          .when(F.col("o_orderstatus") == "O", F.lit("commercial")).alias("property_use"))
 
@@ -224,14 +226,14 @@ def raw_building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited-file layout (header names of the city export, all text)."""
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                             SMALL_TABLE_ROWS)
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     area = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select("s_suppkey", "n_name")
     j = li.join(area, li["l_suppkey"] == area["s_suppkey"], "left")
     k, ln = F.col("l_suppkey"), F.col("l_linenumber")
     code = F.concat(F.lit("V"), _s(k % 10), F.lit("E "), _s(ln), F.lit("T"), _s(k % 7))
     address = (F.when(ln == 1, F.lit(None).cast("string"))                       # dropped
                .when(ln == 2, F.concat(F.lit('Unit "'), _s(k), F.lit('"; no code')))
+               .when(ln == 3, F.concat(code, F.lit(" was "), F.lit("V1A 9Z9 before")))    # two codes
                .otherwise(F.concat(_s(k), F.lit(" Main St; Centre City "), code)))
     lat, lon = _lat_lon_text(k)
     return j.select(
@@ -250,3 +252,12 @@ def raw_building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('{"type":"Point","coordinates":['), lon, F.lit(","), lat, F.lit("]}")).alias("Geom"),
         F.date_format("l_shipdate", "yyyy-MM").alias("YearMonth"),
         F.concat(lat, F.lit(", "), lon).alias("geo_point_2d"))
+
+
+def raw_building_permits_columnar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same permits in the older columnar layout (other names, no permit number, no point), with copies."""
+    raw = raw_building_permits(spark, sf_dir)
+    raw = raw.select(*[F.col(c).alias("geom" if c == "Geom" else c[0].lower() + c[1:]) for c in (
+        "IssueDate", "ProjectValue", "TypeOfWork", "Address", "PermitCategory", "PropertyUse", "SpecificUseCategory",
+        "IssueYear", "YearMonth", "Geom", "GeoLocalArea")])
+    return raw.unionByName(raw.where(F.col("typeOfWork") == "F"))

@@ -10,7 +10,7 @@ and rows equal only after casting both stay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landlens.contracts import (
@@ -29,16 +29,25 @@ def clean_property_tax(raw: DataFrame) -> DataFrame:
     return clean.conform(df, PROPERTY_TAX)
 
 
-def clean_building_permits(raw: DataFrame, postal_pattern: str | None = None) -> DataFrame:
+def clean_building_permits(raw: DataFrame, postal_pattern: str | None = None,
+                           no_code_as_null: bool = False) -> DataFrame:
     """Permits, delimited layout: C1 -> C2 -> C10 -> C3 -> C5 -> C6.
 
     A permit whose address holds no postal code keeps ``postal_code = ''`` and
-    survives the null drop (only a null address removes it).
+    survives the null drop (only a null address removes it).  With
+    ``no_code_as_null`` it survives with a null code instead, which joins with
+    nothing, so the permits without a code form no hot ``''`` key.  Malformed lines
+    go if the file was read with ``malformed_col=MALFORMED``.
     """
+    if MALFORMED in raw.columns:
+        raw = raw.where(F.col(MALFORMED).isNull())
     df = clean.select_columns(raw, BUILDING_PERMITS.source_columns)
     df = clean.rename_columns(df, BUILDING_PERMITS.rename_map())
     df = clean.with_postal_code(df, "address", "postal_code",
                                 **({"pattern": postal_pattern} if postal_pattern else {}))
+    if no_code_as_null:
+        df = df.withColumn("postal_code", F.nullif("postal_code", F.lit("")))
+        return _with_postal(clean.dedupe(clean.drop_incomplete(df, BUILDING_PERMITS.columns)), BUILDING_PERMITS)
     df = clean.drop_incomplete(df)
     df = clean.dedupe(df)
     return _with_postal(df, BUILDING_PERMITS)
@@ -72,6 +81,32 @@ def clean_business_licenses(raw: DataFrame) -> DataFrame:
     return clean.require(df, c.required)               # ... and again after it (bad year text)
 
 
+def rejected_business_licenses(raw: DataFrame) -> DataFrame:
+    """Raw licence rows that the job drops, with their ``reason``."""
+    rows = clean.select_columns(raw, BUSINESS_LICENSES.source_columns)
+    return rows.withColumn("reason", clean.reject_reason(rows, BUSINESS_LICENSES)).where("reason IS NOT NULL")
+
+
+def licence_outcomes(raw: DataFrame) -> DataFrame:
+    """``(outcome, n_rows)``: licences kept, and dropped by reason; they sum up to the rows read."""
+    rows = clean.select_columns(raw, BUSINESS_LICENSES.source_columns)
+    return clean.outcomes(rows, clean.reject_reason(rows, BUSINESS_LICENSES))
+
+
+MALFORMED = "__malformed"
+
+
+def permit_reject_reason(raw: DataFrame) -> Column:
+    """Why the permit job drops a raw row before it looks for copies: ``malformed`` line or ``missing:COLUMN``."""
+    line = [F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed"))] if MALFORMED in raw.columns else []
+    return F.coalesce(*line, *[F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in BUILDING_PERMITS.source_columns])
+
+
+def permit_outcomes(raw: DataFrame) -> DataFrame:
+    """``(outcome, n_rows)`` of the delimited permit file read with ``malformed_col=MALFORMED``; kept rows still hold copies."""
+    return clean.outcomes(raw, permit_reject_reason(raw))
+
+
 def permits_view_table(permits: DataFrame) -> DataFrame:
     """Permit table with the upper-case names used by the SQL layer."""
     return clean.rename_columns(permits, PERMIT_VIEW_RENAME)
@@ -79,30 +114,42 @@ def permits_view_table(permits: DataFrame) -> DataFrame:
 
 def run_cleaning(spark: SparkSession, tax_path: str | None = None, permits_csv_path: str | None = None,
                  permits_parquet_path: str | None = None, licences_path: str | None = None,
-                 target: str | None = None, mode: str = "overwrite") -> dict[str, DataFrame]:
+                 target: str | None = None, mode: str = "overwrite", multiline: bool = False) -> dict[str, DataFrame]:
     """Run the cleaning jobs whose inputs are given (S11: plain arguments).
 
     With ``target`` (a folder on shared storage) each table is written as
     Parquet under it and re-read, so later stages start from the written
-    table (lineage cut, survives executor loss); otherwise lazy frames are
-    returned.
+    table (lineage cut, survives executor loss); beside it go the rejected rows
+    (``rejected/``), the counted outcomes (``outcomes/``) and the contract audit of
+    the written table (``audit/``).  Otherwise lazy frames are returned.
     """
     out: dict[str, DataFrame] = {}
+    beside: dict[str, DataFrame] = {}
     if tax_path:
         out["property_tax"] = clean_property_tax(readers.read_parquet(spark, tax_path))
     if permits_csv_path:
-        out["building_permits"] = permits_view_table(
-            clean_building_permits(readers.read_delimited(spark, permits_csv_path, sep=";")))
+        raw = readers.read_delimited(spark, permits_csv_path, sep=";", malformed_col=MALFORMED, multiline=multiline)
+        out["building_permits"] = permits_view_table(clean_building_permits(raw))
+        beside["outcomes/building_permits"] = permit_outcomes(raw)
+        beside["rejected/building_permits"] = raw.withColumn("reason", permit_reject_reason(raw)).where("reason IS NOT NULL")
     elif permits_parquet_path:
         out["building_permits"] = permits_view_table(
             clean_building_permits_columnar(readers.read_parquet(spark, permits_parquet_path)))
     if licences_path:
-        out["business_licenses"] = clean_business_licenses(readers.read_parquet(spark, licences_path))
+        raw = readers.read_parquet(spark, licences_path)
+        out["business_licenses"] = clean_business_licenses(raw)
+        beside["outcomes/business_licenses"] = licence_outcomes(raw)
+        beside["rejected/business_licenses"] = rejected_business_licenses(raw)
     if target:
+        target = target.rstrip("/")
+        contracts = {"property_tax": PROPERTY_TAX, "business_licenses": BUSINESS_LICENSES}
         for name, df in list(out.items()):
-            path = f"{target.rstrip('/')}/{name}"
-            df.write.mode(mode).parquet(path)
-            out[name] = spark.read.parquet(path)
+            df.write.mode(mode).parquet(f"{target}/{name}")
+            out[name] = spark.read.parquet(f"{target}/{name}")
+            if name in contracts:
+                beside[f"audit/{name}"] = clean.audit(out[name], contracts[name].required, contracts[name].key)
+        for name, df in beside.items():
+            df.write.mode(mode).parquet(f"{target}/{name}")
     return out
 
 

@@ -5,56 +5,80 @@
 1. the cleaning jobs write typed Parquet tables under ``out/clean`` and the
    rest of the run reads them back (lineage cut at a written table);
 2. every named result (V1-V17) is registered as a temporary view (S8) and
-   written as Parquet under ``out/results/<name>``;
-3. the unloads of the source are reproduced as CSV (S6/S7): the follow-up
-   (``,``, parallel), the area-year table (``,``, one file), the postal result
-   (``;``, one file) and the area follow-up file (``,``, one file, null area as
-   the text ``null``); the clean permit and tax tables (``;``) are written in
-   parallel — a single-file export of a full table would be one task.
+   written as Parquet under ``out/results/<name>``; results that others are built
+   from are read back from there.  The bridge (V6) is written compressed, as its
+   distinct (postal, area) pairs with the number of rows each stands for; the
+   product itself is never written.  V4 and V5 are written in their declared
+   order (O1, O2);
+3. the unloads of the source are written as CSV (S6/S7) from the written
+   results: the area tables, whose size is bounded by areas x years, as one
+   file; the others, which grow with the postal codes or the input, in parallel;
+4. scratch tables are removed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from landlens.operators import fanout, followup
 from landlens.plans import jobs, views
+from landlens.session import clear_scratch, scratch_mark
 from landlens.sources import export_csv
 
 # result name -> (separator, single file?, text for null)
 CSV_UNLOADS = {
     "investment_land_value_followup": (",", False, None),
     "combined_building_permits_property_tax_view": (",", True, None),
-    "property_and_permits_grouped": (";", True, None),
+    "property_and_permits_grouped": (";", False, None),
     "investment_vs_land_value": (",", True, "null"),
     "building_permits": (";", False, None),
     "property_tax": (";", False, None),
 }
 
+BRIDGE = "postal_code_local_area_view"
+
+
+def written_form(name: str, reg, options: views.ViewOptions) -> DataFrame:
+    """What ``run_all`` writes for a named result: V6 compressed, V4 and V5 in their declared order."""
+    if name == BRIDGE:
+        w = fanout.bridge_weights(reg.get("property_tax"), reg.get("building_permits"), options.weighting)
+        return w.select(F.col("__postal").alias("POSTAL_CODE"), "LOCAL_AREA", F.col("__w").alias("n_rows"))
+    df = reg.get(name)
+    if name == "investment_land_value_followup":
+        return followup.sorted_followup(df)
+    if name == "combined_by_local_area":
+        return df.orderBy(F.col("LOCAL_AREA").asc_nulls_last(), "YEAR")
+    return df
+
 
 def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
             permits_csv_path: str | None = None, permits_parquet_path: str | None = None,
             boundaries: DataFrame | None = None,
-            options: views.ViewOptions = views.DEFAULT) -> dict[str, str]:
+            options: views.ViewOptions = views.DEFAULT, multiline: bool = False) -> dict[str, str]:
     """Clean, build and write everything; returns ``{name: output path}``."""
-    out = out.rstrip("/")
+    out, mark = out.rstrip("/"), scratch_mark()
     tables = jobs.run_cleaning(spark, tax_path=tax_path, permits_csv_path=permits_csv_path,
                                permits_parquet_path=permits_parquet_path,
-                               licences_path=licences_path, target=f"{out}/clean")
+                               licences_path=licences_path, target=f"{out}/clean", multiline=multiline)
     if boundaries is not None:
         tables["boundaries"] = boundaries
     reg = views.build_registry(spark, tables, options)
-    reg.register()
     written: dict[str, str] = {}
     for name in reg.names():
         if name in tables:
             continue
         path = f"{out}/results/{name}"
-        reg.get(name).write.mode("overwrite").parquet(path)
+        written_form(name, reg, options).write.mode("overwrite").parquet(path)
         written[name] = path
+        if name != BRIDGE:
+            reg.replace(name, spark.read.parquet(path))
+    reg.register()
     for name, (sep, single, null_text) in CSV_UNLOADS.items():
         path = f"{out}/csv/{name}"
         export_csv(reg.get(name), path, sep=sep, single_file=single, null_text=null_text)
         written[f"{name}.csv"] = path
+    clear_scratch(spark, since=mark)
     return written
 
 
@@ -72,6 +96,7 @@ def main(argv: list[str] | None = None) -> None:
     g = ap.add_mutually_exclusive_group(required=True)
     g.add_argument("--permits-csv", help="raw building-permit delimited path (';')")
     g.add_argument("--permits-parquet", help="raw building-permit Parquet path (older layout)")
+    ap.add_argument("--multiline", action="store_true", help="quoted permit fields hold newlines (each file is one task)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--input-bytes", type=int, default=None, help="input size, for partition sizing")
     ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing")
@@ -82,7 +107,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = existing or build_session(a.master, extra=extra)
     for name, path in sorted(run_all(spark, a.out, tax_path=a.tax, licences_path=a.licences,
                                      permits_csv_path=a.permits_csv,
-                                     permits_parquet_path=a.permits_parquet).items()):
+                                     permits_parquet_path=a.permits_parquet,
+                                     multiline=a.multiline).items()):
         print(f"{name}\t{path}")
     if existing is None:
         spark.stop()

@@ -2,7 +2,7 @@
 
 Inputs are the clean tables (``property_tax``, ``building_permits`` with the
 upper-case SQL names, ``business_licenses``) and, for the map table, a
-boundary table ``(name, ring)``.  Class maps and the average type are
+boundary table ``(name, polygons)``.  Class maps and the average type are
 parameters with the source's values as defaults, so the same code runs on
 the city tables and on any stand-in tables.
 """
@@ -53,12 +53,14 @@ def v3(lic: DataFrame, tax: DataFrame) -> DataFrame:
     return joins.combined_by_postal_code(v1(lic), v2(tax))
 
 
-def v4(v3_df: DataFrame, o: ViewOptions = DEFAULT) -> DataFrame:
-    return aggregate.combined_by_local_area(v3_df, avg_double=o.avg_double)
+def v4(v1_df: DataFrame, v2_df: DataFrame, o: ViewOptions = DEFAULT) -> DataFrame:
+    """From the licence and tax groups; their join (V3) is not built."""
+    return aggregate.combined_by_local_area(v1_df, v2_df, avg_double=o.avg_double)
 
 
-def v5(v3_df: DataFrame, o: ViewOptions = DEFAULT) -> DataFrame:
-    return followup.investment_land_value_followup(v3_df, o.horizon, o.band_strategy)
+def v5(v1_df: DataFrame, v2_df: DataFrame, o: ViewOptions = DEFAULT) -> DataFrame:
+    """From the licence and tax groups; their join (V3) is not built."""
+    return followup.investment_land_value_followup(v1_df, v2_df, o.horizon, o.band_strategy)
 
 
 def v6(tax: DataFrame, permits: DataFrame, o: ViewOptions = DEFAULT) -> DataFrame:
@@ -111,11 +113,11 @@ def v15(v9_df: DataFrame) -> DataFrame:
 def v16(v9_df: DataFrame, boundaries: DataFrame, year: int | None = None,
         measures: Sequence[str] = ("average_land_value", "average_project_value",
                                    "average_improvement_value")) -> DataFrame:
-    """Area map table: one year (C11), joined to boundaries (J7), rings projected
+    """Area map table: one year (C11), joined to boundaries (J7), polygons projected
     to UTM 10N (G3) *before* the centroid (G2), as the source did."""
     src = clean.where_equal(v9_df, YEAR=year) if year is not None else v9_df
     j = joins.join_boundaries(src, boundaries, area_col="LOCAL_AREA", name_col="name")
-    return with_centroid(j, "ring", project=True).select(
+    return with_centroid(j, "polygons", project=True).select(
         "LOCAL_AREA", "YEAR", *measures, "centroid_x", "centroid_y")
 
 
@@ -130,16 +132,18 @@ def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame],
     """Every named result, resolvable by name and registrable for ``spark.sql``.
 
     ``tables`` must hold ``property_tax``, ``building_permits`` and
-    ``business_licenses``.  The postal-level join (V3) and the two postal
-    profiles feed two results each and are persisted when built.
+    ``business_licenses``.  No result is cached: a caller that writes a result
+    others are built from may ``replace`` it by the written table.
     """
     r = ViewRegistry(spark, tables)
     r.define("business_size_by_postal_code", lambda g: v1(g.get("business_licenses")))
     r.define("property_aggregated_by_postal_code", lambda g: v2(g.get("property_tax")))
     r.define("combined_by_postal_code", lambda g: joins.combined_by_postal_code(
-        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code")), persist=True)
-    r.define("combined_by_local_area", lambda g: v4(g.get("combined_by_postal_code"), o))
-    r.define("investment_land_value_followup", lambda g: v5(g.get("combined_by_postal_code"), o))
+        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code")))
+    r.define("combined_by_local_area", lambda g: v4(
+        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code"), o))
+    r.define("investment_land_value_followup", lambda g: v5(
+        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code"), o))
     r.define("postal_code_local_area_view",
              lambda g: v6(g.get("property_tax"), g.get("building_permits"), o))
     r.define("property_tax_by_report_year_local_area_view",
@@ -151,7 +155,7 @@ def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame],
     r.define("property_tax_grouped", lambda g: v10(g.get("property_tax"), o))
     r.define("building_permits_grouped", lambda g: v11(g.get("building_permits"), o))
     r.define("property_and_permits_grouped", lambda g: joins.property_and_permits_grouped(
-        g.get("property_tax_grouped"), g.get("building_permits_grouped")), persist=True)
+        g.get("property_tax_grouped"), g.get("building_permits_grouped")))
     r.define("investment_vs_land_value", lambda g: v13(g.get("investment_land_value_followup")))
     r.define("investment_land_value_correlation", lambda g: v14(g.get("property_and_permits_grouped")))
     r.define("zoning_and_use_shares", lambda g: v15(g.get("combined_building_permits_property_tax_view")))

@@ -62,10 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{base}/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -76,21 +80,40 @@ def default_parallelism(spark: SparkSession) -> int:
         return os.cpu_count() or 8
 
 
+def scratch_mark() -> int:
+    """How many scratch paths were handed out; ``clear_scratch`` removes those after a mark."""
+    return len(_SCRATCH)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Removes what was written under scratch paths handed out after ``since``, through Spark's file system; returns the number of folders.
+
+    For batch runs, after their last result is written; frames that still read
+    scratch tables cannot be used afterwards.
+    """
+    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    while len(_SCRATCH) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20,
-               max_partitions: int = 50_000) -> dict[str, str]:
+               max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
 
     AQE starts from enough shuffle partitions that none exceeds
     ``target_partition_bytes`` even if a stage shuffles the whole input (at
-    least 3 waves of the cluster's cores, at most ``max_partitions`` so the
-    map x reduce block count stays manageable; beyond that, reducers spill),
-    then coalesces small ones down to the advisory size; skewed join
-    partitions (5x the median and above the target size) are split.  File splits are capped at 256 MiB so a scan
-    task's batch fits in executor memory.  The broadcast threshold stays at
-    Spark's default: operators broadcast explicitly only after a bounded row
-    count (``broadcast_if_bounded``).
+    least 3 waves of the cluster's cores), then coalesces small ones down to the
+    advisory size; skewed join partitions (5x the median and above the target
+    size) are split.  File splits are capped at 256 MiB so a scan task's batch
+    fits in executor memory.  The broadcast threshold stays at Spark's default.
+    ``max_partitions`` limits the shuffle partitions where the map x reduce block
+    count must stay small; reducers are then larger than the target and spill.
     """
-    initial = min(max(3 * total_cores, -(-input_bytes // target_partition_bytes)), max_partitions)
+    initial = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    if max_partitions is not None:
+        initial = min(initial, max_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 class ViewRegistry:
     """Register builder functions under names; ``build`` resolves dependencies.
 
-    Each builder receives the registry and asks for its inputs by name, so a
-    result used by two others (e.g. the postal-level join) is built once and
-    optionally persisted.  ``register`` exposes everything to ``spark.sql``.
+    Each builder receives the registry and asks for its inputs by name.  A result
+    that others use may be replaced by its written table (``replace``), so it is
+    computed once.  ``register`` exposes everything to ``spark.sql``.
     """
 
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]):
@@ -20,25 +20,22 @@ class ViewRegistry:
         self._tables = dict(tables)
         self._builders: dict[str, Callable[["ViewRegistry"], DataFrame]] = {}
         self._built: dict[str, DataFrame] = {}
-        self._persist: set[str] = set()
 
-    def define(self, name: str, builder: Callable[["ViewRegistry"], DataFrame],
-               persist: bool = False) -> None:
+    def define(self, name: str, builder: Callable[["ViewRegistry"], DataFrame]) -> None:
         self._builders[name] = builder
-        if persist:
-            self._persist.add(name)
         self._built.pop(name, None)
 
+    def replace(self, name: str, table: DataFrame) -> None:
+        """Use ``table`` (the written result) wherever ``name`` is asked for from now on."""
+        self._built[name] = table
+
     def get(self, name: str) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
         if name not in self._built:
             if name not in self._builders:
                 raise KeyError(f"no table or view named {name!r}")
-            df = self._builders[name](self)
-            if name in self._persist:
-                df = df.persist()
-            self._built[name] = df
+            self._built[name] = self._builders[name](self)
         return self._built[name]
 
     def names(self) -> list[str]:

@@ -11,99 +11,81 @@ from pyspark.sql import types as T
 from landlens.contracts import TableContract
 
 
-def with_parallelism_floor(df: DataFrame, min_partitions: int | None = None,
-                           key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than ``min_partitions`` (default: the
-    cluster's default parallelism) over that many partitions.
-
-    A file with one row group is read by one task, and every narrow operator
-    after it would run in that task.  Large inputs have far more splits than
-    cores, so this is a no-op for them (no extra shuffle); it only spends one
-    small shuffle when the input is small.  With ``key`` (the table's own key
-    column) rows are hash-partitioned on it: deterministic on retry without the
-    sort a round-robin repartition needs, and column pruning still reaches the
-    scan (only ``key`` is added).  Without it, round-robin.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, F.col(key)) if key else df.repartition(want)
-    return df
-
-
-_SCHEMAS: dict[tuple[str, ...], T.StructType] = {}
-
-
 def read_parquet(spark: SparkSession, path: str | Sequence[str],
                  columns: Sequence[str] | None = None,
-                 min_partitions: int | None = None,
-                 schema: T.StructType | None = None,
-                 floor_key: str | None = None) -> DataFrame:
+                 schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan; ``columns`` prunes the scan (ReadSchema) right away.
 
-    The footer schema of a path is inferred once per driver process and then
-    passed to the reader (no schema-inference job on later reads).
-    ``min_partitions`` (0 disables) sets the parallelism floor of
-    :func:`with_parallelism_floor`.
+    The schema is read from the files each time (a rewritten folder may have
+    another one) unless ``schema`` is given.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    key = tuple(paths)
-    if schema is None:
-        schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(*paths)
-        _SCHEMAS[key] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(*paths)
-    if columns:
-        df = df.select(*columns)
-    if min_partitions == 0:
-        return df
-    return with_parallelism_floor(df, min_partitions, floor_key)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(*paths)
+    return df.select(*columns) if columns else df
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
                    quote: str = '"', escape: str = "\\", header: bool = True,
-                   multiline: bool = True, schema: T.StructType | None = None,
-                   empty_as_null: bool = True) -> DataFrame:
+                   multiline: bool = False, schema: T.StructType | None = None,
+                   empty_as_null: bool = True, malformed_col: str | None = None) -> DataFrame:
     """Delimited text with a header; all columns strings unless ``schema`` is given.
 
-    ``multiline`` lets quoted fields hold newlines (free-text addresses).
-    Empty fields decide how many rows a later null-drop removes (Q16): an
-    unquoted empty field always reads as null in Spark's CSV source; a quoted
-    empty field ``""`` reads as null too by default, or as ``''`` with
-    ``empty_as_null=False``.
+    ``multiline=True`` lets quoted fields hold newlines (free-text addresses); a
+    file can then not be split, so each file is one task: use it for files that
+    need it, cut to a size that one task can read.  Empty fields decide how many
+    rows a later null-drop removes (Q16): an unquoted empty field always reads as
+    null in Spark's CSV source; a quoted empty field ``""`` reads as null too by
+    default, or as ``''`` with ``empty_as_null=False``.  ``malformed_col`` adds a
+    column that holds the line where it has another number of fields than the
+    header (null otherwise); without it such lines read as far as they go.
     """
     r = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
          .option("escape", escape).option("multiLine", multiline)
          .option("mode", "PERMISSIVE"))
     if not empty_as_null:
         r = r.option("emptyValue", "").option("nullValue", "\u0000")
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", False)
     paths = [path] if isinstance(path, str) else list(path)
-    return r.csv(paths)
+    if malformed_col and schema is None:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in r.option("inferSchema", False).csv(paths).columns])
+    if schema is None:
+        return r.option("inferSchema", False).csv(paths)
+    if malformed_col:
+        schema = T.StructType([*schema.fields, T.StructField(malformed_col, T.StringType())])
+        r = r.option("columnNameOfCorruptRecord", malformed_col)
+    return r.schema(schema).csv(paths)
 
 
 def read_result(spark: SparkSession, path: str, contract: TableContract | T.StructType,
-                sep: str = ",") -> DataFrame:
-    """S3: re-read an exported result with its declared schema (no inference)."""
+                sep: str = ",", multiline: bool = False) -> DataFrame:
+    """S3: re-read an exported result with its declared schema (no inference).
+
+    Nulls and empty texts come back as they were written by ``export_csv``.
+    """
     schema = contract.schema() if isinstance(contract, TableContract) else contract
-    return read_delimited(spark, path, sep=sep, schema=schema)
+    return read_delimited(spark, path, sep=sep, schema=schema, empty_as_null=False, multiline=multiline)
 
 
-POLYGON_JSON = "type string, coordinates array<array<array<double>>>"
+_POINT = "array<double>"
+POLYGON_JSON = f"type string, coordinates array<array<{_POINT}>>"
+MULTIPOLYGON_JSON = f"type string, coordinates array<array<array<{_POINT}>>>"
 
 
 def boundaries_from_geojson(df: DataFrame, name_col: str = "name",
                             geojson_col: str = "geojson") -> DataFrame:
-    """``(name, GeoJSON Polygon text)`` -> ``(name, ring ARRAY<STRUCT<x=lon, y=lat>>)``.
-
-    The outer ring of each polygon is kept.  Re-aim of a shapefile read: any
-    source that yields polygon text per area feeds it.
+    """``(name, GeoJSON text)`` -> ``(name, polygons)``.
+
+    ``polygons`` is ``ARRAY<ARRAY<ARRAY<STRUCT<x=lon, y=lat>>>>``: the polygons of
+    an area (one for a Polygon, all for a MultiPolygon), each its outer ring and
+    then its holes.  A text that is no such geometry, or has a ring of fewer than
+    three points or a point without two numbers, gives null; the audit counts
+    those.  Re-aim of a shapefile read: any source that yields polygon text per
+    area feeds it.
     """
-    g = F.from_json(F.col(geojson_col), POLYGON_JSON)
-    ring = F.transform(F.element_at(g["coordinates"], 1),
-                       lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y")))
-    return df.select(F.col(name_col).alias("name"), ring.alias("ring"))
+    one, many = F.from_json(F.col(geojson_col), POLYGON_JSON), F.from_json(F.col(geojson_col), MULTIPOLYGON_JSON)
+    shapes = F.when(one["type"] == "Polygon", F.array(one["coordinates"])).when(many["type"] == "MultiPolygon", many["coordinates"])
+    polygons = F.transform(shapes, lambda polygon: F.transform(polygon, lambda ring: F.transform(
+        ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))))
+    read = df.select(F.col(name_col).alias("name"), polygons.alias("polygons"))
+    whole = (F.size("polygons") > 0) & F.forall("polygons", lambda polygon: (F.size(polygon) > 0) & F.forall(
+        polygon, lambda ring: (F.size(ring) >= 3) & F.forall(ring, lambda p: p["x"].isNotNull() & p["y"].isNotNull())))
+    return read.withColumn("polygons", F.when(whole, F.col("polygons")))

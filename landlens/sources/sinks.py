@@ -36,14 +36,17 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = Fal
                header: bool = True, null_text: str | None = None) -> None:
     """CSV export, parallel (one file per partition) or as a single file.
 
-    ``single_file`` coalesces to one partition — only for small results (the
-    exported views are aggregates).  Quotes and escapes use the same settings
-    as :func:`landlens.sources.readers.read_delimited`, so text holding the
-    separator, quotes or newlines reads back unchanged.
+    ``single_file`` moves the finished rows through one writing task
+    (``repartition(1)``: the stages that compute them keep their parallelism);
+    use it for results of bounded size only, such as (area, year) tables.
+    Quotes and escapes use the same settings as
+    :func:`landlens.sources.readers.read_delimited`; an empty text is written as
+    ``""`` and a null as nothing, so text holding the separator, quotes, newlines
+    (with ``multiline``) or nothing reads back unchanged by ``read_result``.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     w = (out.write.mode("overwrite").option("header", header).option("sep", sep)
-         .option("quote", '"').option("escape", "\\"))
+         .option("quote", '"').option("escape", "\\").option("emptyValue", '""'))
     if null_text is not None:
         w = w.option("nullValue", null_text)
     w.csv(path)

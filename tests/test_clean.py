@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from landlens.contracts import BUILDING_PERMITS, BUSINESS_LICENSES, PROPERTY_TAX
@@ -57,6 +59,10 @@ def test_business_licences_job(spark):
                   for r in out.collect()), key=repr)
     assert got == sorted([(4, 3, 16, None), (4, 3, 16, None), (255, 3, 16, None), (255, None, 16, None)],
                          key=repr)
+    # every row read is kept or counted under its reason, and the rejected rows are at hand
+    assert {r.outcome: r.n_rows for r in jobs.licence_outcomes(raw).collect()} == {
+        "kept": 4, "missing:FOLDER_YEAR": 1, "missing:POSTAL_CODE": 1, "missing:BUSINESS_NAME": 1, "unparsable:FOLDER_YEAR": 1}
+    assert sorted(r.reason for r in jobs.rejected_business_licenses(raw).collect())[-1] == "unparsable:FOLDER_YEAR"
     # audit on the conformed, unfiltered frame counts the rejected rows
     audit = {(r.check, r.subject): r.violations for r in
              clean.audit(clean.conform(clean.rename_columns(raw, BUSINESS_LICENSES.rename_map()),
@@ -102,8 +108,10 @@ def test_permits_csv_job(spark, tmp_path):
              _permit_line(PermitNumber="BP-5", IssueDate="not a date", ProjectValue="say \"5\"")]
     p = tmp_path / "permits.csv"
     p.write_text("\n".join(lines) + "\n")
-    raw = read_delimited(spark, str(p), sep=";")
+    raw = read_delimited(spark, str(p), sep=";", multiline=True)
     out = jobs.clean_building_permits(raw)
+    none = jobs.clean_building_permits(raw, no_code_as_null=True)
+    assert {r.permit_number: r.postal_code for r in none.collect()}["BP-2"] is None and none.count() == 4
     assert out.columns == BUILDING_PERMITS.columns + ["postal_code"]
     got = {r.permit_number: (r.postal_code, r.issue_date, r.project_value) for r in out.collect()}
     assert sorted(got) == ["BP-1", "BP-2", "BP-3", "BP-5"]
@@ -120,7 +128,7 @@ def test_csv_round_trip_keeps_separator_quotes_newlines(spark):
          (2, "plain", None, "x")], "id int, t string, g string, m string")
     path = scratch_path(spark, "roundtrip")
     export_csv(df, path, sep=";", single_file=True)
-    back = read_result(spark, path, df.schema, sep=";")
+    back = read_result(spark, path, df.schema, sep=";", multiline=True)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert len([f for f in spark.sparkContext.wholeTextFiles(path).keys().collect()
                 if f.endswith(".csv")]) == 1
@@ -149,16 +157,36 @@ def test_preview_is_ordered(spark):
     assert got == [6, 13, 20]
 
 
-def test_boundaries_from_geojson(spark):
+def test_audit_reads_its_table_once(spark, smoke_dir):
+    li = spark.read.parquet(f"{smoke_dir}/lineitem.parquet")
+    p = clean.audit(li, ["l_orderkey", "l_partkey"], ["l_orderkey"])._jdf.queryExecution().executedPlan().toString()
+    assert p.count("FileScan") == 1
+    assert [tuple(r) for r in clean.audit(li.limit(0), ["l_orderkey"], ["l_orderkey"]).collect()] == [
+        ("row_count", "*", 0), ("not_null", "l_orderkey", 0), ("duplicate_key_groups", "l_orderkey", 0), ("duplicate_key_rows", "l_orderkey", 0)]
+
+
+def _geojson(kind, coordinates):
+    return f'{{"type":"{kind}","coordinates":{coordinates}}}'
+
+
+BOX = "[[0,0],[4,0],[4,2],[0,2],[0,0]]"
+HOLE = "[[1,0.5],[2,0.5],[2,1.5],[1,1.5],[1,0.5]]"
+
+
+def test_boundaries_and_centroids(spark):
+    from landlens.operators.geometry import with_centroid
     from landlens.sources import boundaries_from_geojson
-    df = spark.createDataFrame(
-        [("Downtown", '{"type":"Polygon","coordinates":[[[-123.1,49.2],[-123.0,49.2],[-123.0,49.3],[-123.1,49.2]],'
-                      '[[-123.05,49.22],[-123.04,49.22],[-123.04,49.23]]]}'),
-         ("Broken", "not json")], "name string, geojson string")
-    got = {r.name: r.ring for r in boundaries_from_geojson(df).collect()}
-    assert [(p.x, p.y) for p in got["Downtown"]] == [(-123.1, 49.2), (-123.0, 49.2), (-123.0, 49.3),
-                                                     (-123.1, 49.2)]     # outer ring only
-    assert got["Broken"] is None
+    rows = [("box", _geojson("Polygon", f"[{BOX}]")), ("hole", _geojson("Polygon", f"[{BOX},{HOLE}]")),
+            ("two", _geojson("MultiPolygon", f"[[{BOX}],[[[10,0],[14,0],[14,2],[10,2]]]]")),
+            ("empty ring", _geojson("Polygon", "[[]]")), ("no ring", _geojson("Polygon", "[]")), ("no polygon", _geojson("MultiPolygon", "[]")),
+            ("short ring", _geojson("Polygon", "[[[0,0],[1,1]]]")), ("one number", _geojson("Polygon", "[[[0],[1,1],[2,0]]]")),
+            ("line", _geojson("LineString", "[[0,0],[1,1]]")), ("broken", "not json"), ("null", None)]
+    shapes = boundaries_from_geojson(spark.createDataFrame(rows, "name string, geojson string"))
+    got = {r.name: (r.x, r.y) for r in with_centroid(shapes, project=False, x_col="x", y_col="y").collect()}
+    assert got["box"] == pytest.approx((2, 1)) and got["two"] == pytest.approx((7, 1))
+    assert got["hole"] == pytest.approx((2.0714, 1), abs=1e-4)
+    assert all(got[n] == (None, None) for n in got if n not in ("box", "two", "hole")) and len(got) == 11
+    assert {r.name for r in shapes.where("polygons IS NULL").collect()} == set(got) - {"box", "two", "hole"}      # what an audit counts
 
 
 def test_delimited_empty_fields(spark, tmp_path):

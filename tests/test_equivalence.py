@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from landlens.operators import correlate, fanout, followup
+from landlens.operators import aggregate, correlate, fanout, followup, joins
 from landlens.plans import bindings as B
 from landlens.plans import views
 
@@ -71,30 +71,34 @@ def test_r1_equals_naive_on_test_tables(spark, smoke_dir):
     assert a.count() > 0 and same_bag(a, b)
 
 
-def _v3_fixture(spark):
-    rows = [  # postal, year, area, employees, businesses, zoning, street, 4 totals
-        ("A", 2016, "North", 5, 1, "R", "Main", "1", "100", "1", "1"),
-        ("A", 2016, "North", 7, 2, "R", "Main", "1", "100", "1", "1"),   # tie on area/zoning/street
-        ("A", 2016, "South", 1, 1, "C", "Oak", "1", "90", "1", "1"),
-        ("A", 2017, "North", 3, 1, "R", "Main", "1", "0", "1", "1"),      # zero base later
-        ("A", 2019, None, 3, 1, "R", "Main", "1", "120", "1", "1"),
-        ("A", 2022, "North", 3, 1, "R", "Main", "1", "150", "1", "1"),    # gap of 6 from 2016
-        ("B", 2016, "East", 2, 1, "R", "Elm", "1", "50", "1", "1"),
-        ("B", 2021, "East", 2, 1, "R", "Elm", "1", "75", "1", "1"),
-    ]
-    return spark.createDataFrame(
-        [(p, y, a, e, b, z, s, *[Decimal(x) for x in t]) for p, y, a, e, b, z, s, *t in rows],
-        "POSTAL_CODE string, YEAR int, LOCAL_AREA string, TOTAL_EMPLOYEES long, TOTAL_BUSINESSES long, "
-        "ZONING_CLASSIFICATION string, STREET_NAME string, TOTAL_PREVIOUS_LAND_VALUE decimal(28,2), "
-        "TOTAL_CURRENT_LAND_VALUE decimal(28,2), TOTAL_PREVIOUS_IMPROVEMENT_VALUE decimal(28,2), "
-        "TOTAL_CURRENT_IMPROVEMENT_VALUE decimal(28,2)")
+def groups_fixture(spark, licences, taxes):
+    """V1 rows (postal, folder year, street, area, employees, businesses) and V2 rows (postal, year, zoning, street, land)."""
+    v1 = spark.createDataFrame(licences, "POSTAL_CODE string, FOLDER_YEAR int, STREET_NAME string, LOCAL_AREA string, "
+                                         "TOTAL_EMPLOYEES long, TOTAL_BUSINESSES long")
+    v2 = spark.createDataFrame(
+        [(p, y, z, s, Decimal("1.00"), None if land is None else Decimal(land), Decimal("2.00"), Decimal("3.50")) for p, y, z, s, land in taxes],
+        "POSTAL_CODE string, REPORT_YEAR int, ZONING_CLASSIFICATION string, STREET_NAME string, "
+        "TOTAL_PREVIOUS_LAND_VALUE decimal(28,2), TOTAL_CURRENT_LAND_VALUE decimal(28,2), "
+        "TOTAL_PREVIOUS_IMPROVEMENT_VALUE decimal(28,2), TOTAL_CURRENT_IMPROVEMENT_VALUE decimal(28,2)")
+    return v1, v2
+
+
+def _groups(spark):
+    return groups_fixture(spark, [
+        ("A", 16, "Main", "North", 5, 1), ("A", 16, "Oak", "North", 7, 2),      # tie on the area
+        ("A", 16, "Elm", "South", 1, 1), ("A", 17, "Main", "North", 3, 1),
+        ("A", 19, "Main", None, 3, 1), ("A", 22, "Main", "North", None, 1),     # gap of 6 from 2016
+        ("B", 16, "Elm", "East", 2, 1), ("B", 21, "Elm", "East", 2, 1), ("C", 16, "Elm", "East", 9, 9)],
+        [("A", 2016, "R", "Main", "100"), ("A", 2016, "R", "Oak", "70"), ("A", 2016, "S", "Main", "90"),
+         ("A", 2017, "R", "Main", "0"), ("A", 2019, "R", "Main", "120"), ("A", 2022, "R", "Main", "150"),
+         ("B", 2016, "R", "Elm", "50"), ("B", 2021, None, "Elm", None), ("B", 2021, "R", "Elm", "75")])
 
 
 @pytest.mark.parametrize("strategy", ["frame", "explode", "range"])
 def test_r2_r3_equal_literal_window(spark, strategy):
-    v3 = _v3_fixture(spark)
-    ref = followup.investment_land_value_followup(v3, strategy="window")
-    got = followup.investment_land_value_followup(v3, strategy=strategy)
+    v1, v2 = _groups(spark)
+    ref = followup.investment_land_value_followup_naive(joins.combined_by_postal_code(v1, v2))
+    got = followup.investment_land_value_followup(v1, v2, strategy=strategy)
     assert same_bag(ref, got)
     pairs = sorted((r.POSTAL_CODE, r.INVESTMENT_YEAR, r.FOLLOWUP_YEAR) for r in got.collect())
     assert pairs == [("A", 2016, 2017), ("A", 2016, 2019), ("A", 2017, 2019), ("A", 2017, 2022),
@@ -102,14 +106,31 @@ def test_r2_r3_equal_literal_window(spark, strategy):
     pct = {(r.POSTAL_CODE, r.INVESTMENT_YEAR, r.FOLLOWUP_YEAR): r.PERCENT_CHANGE_IN_LAND_VALUE
            for r in got.collect()}
     assert pct[("A", 2017, 2019)] is None               # zero base
-    assert pct[("A", 2016, 2017)] == Decimal("-100.00")  # tie-break picked the 'North' row (100)
+    assert pct[("A", 2016, 2017)] == Decimal("-100.00")  # tie-break picked the first street (100)
 
 
 def test_followup_strategies_on_test_tables(spark, smoke_dir):
-    v3 = views.v3(B.business_licenses(spark, smoke_dir), B.property_tax(spark, smoke_dir))
-    ref = followup.investment_land_value_followup(v3, strategy="window")
+    v1, v2 = views.v1(B.business_licenses(spark, smoke_dir)), views.v2(B.property_tax(spark, smoke_dir))
+    ref = followup.investment_land_value_followup_naive(joins.combined_by_postal_code(v1, v2))
     for s in ("frame", "explode", "range"):
-        assert same_bag(ref, followup.investment_land_value_followup(v3, strategy=s)), s
+        assert same_bag(ref, followup.investment_land_value_followup(v1, v2, strategy=s)), s
+
+
+@pytest.mark.parametrize("avg_double", [False, True])
+def test_area_rollup_equals_roll_up_of_the_join(spark, smoke_dir, avg_double):
+    on_tables = views.v1(B.business_licenses(spark, smoke_dir)), views.v2(B.property_tax(spark, smoke_dir))
+    for v1, v2 in (_groups(spark), on_tables):
+        a = aggregate.combined_by_local_area(v1, v2, avg_double)
+        b = aggregate.combined_by_local_area_naive(joins.combined_by_postal_code(v1, v2), avg_double)
+        assert a.count() > 0 and same_bag(a, b)
+
+
+def test_r1_survives_a_hot_postal_code(spark):
+    """Three million tax rows and two million permits of one postal code, as weights."""
+    wt = spark.createDataFrame([(3_000_000, 2_000_000)], "__n long, __m long").select(fanout._weight("fanout").alias("w"))
+    got = wt.select((fanout._weighted(F.lit(3_000_000), F.col("w"))).alias("c"),
+                    (fanout._weighted(F.lit(Decimal("123456789012.34")), F.col("w"), 2)).alias("s")).first()
+    assert got.c == 18 * 10**18 and got.s == Decimal("123456789012.34") * 6 * 10**12
 
 
 def test_positional_rank_equals_row_number(spark, smoke_dir):
@@ -152,14 +173,14 @@ def test_rank_correlation_matches_pandas_loop(spark):
 
 
 def test_correlation_matrix_is_upper_triangular(spark, smoke_dir):
-    long = correlate.rank_pair_correlation(B.postal_results(spark, smoke_dir), segments=["both"])
-    m = correlate.correlation_matrix(long)
+    years = list(range(1990, 2005))
+    m = correlate.correlation_matrix(correlate.rank_pair_correlation(B.postal_results(spark, smoke_dir)), years)
+    assert m.columns == ["segment", "investment_year", *map(str, years)]
     rows = m.collect()
-    years = [int(c) for c in m.columns[1:]]
+    assert {r.segment for r in rows} == {"both", "residential", "non-residential"}
     for r in rows:
-        for y in years:
-            if y < r.investment_year:
-                assert r[str(y)] is None
+        assert all(r[str(y)] is None for y in years if y < r.investment_year)
+        assert r[str(r.investment_year)] is not None
 
 
 def test_two_zoning_maps_disagree_on_purpose(spark):
@@ -182,16 +203,8 @@ def test_two_zoning_maps_disagree_on_purpose(spark):
     assert v10 == {"A": "non-residential", "B": "mixed", "C": "residential", "D": "unknown"}
 
 
-def test_pivot_and_join_strategies_agree(spark, smoke_dir):
+def test_gather_and_join_strategies_agree(spark, smoke_dir):
     pr = B.postal_results(spark, smoke_dir)
-    a = correlate.rank_pair_correlation(pr, digits=9, strategy="pivot")
+    a = correlate.rank_pair_correlation(pr, digits=9)
     b = correlate.rank_pair_correlation(pr, digits=9, strategy="join")
     assert a.count() == 84 and same_bag(a, b)
-
-
-def test_pivot_chunks_year_pairs(spark, smoke_dir, monkeypatch):
-    pr = B.postal_results(spark, smoke_dir)
-    whole = correlate.rank_pair_correlation(pr, digits=9)
-    monkeypatch.setattr(correlate, "PAIRS_PER_AGGREGATE", 5)      # 28 pairs -> 6 aggregates
-    chunked = correlate.rank_pair_correlation(pr, digits=9)
-    assert same_bag(whole, chunked)

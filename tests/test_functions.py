@@ -152,3 +152,26 @@ def test_conform_column_types(spark):
                   conform_column(F.col("c"), T.DateType(), T.StringType()).alias("c")).first()
     assert str(r.d) == "2020-01-05" and r.a == Decimal("12.00") and r.b == Decimal("1000.00")
     assert r.c is None
+
+
+def test_ratios_are_rounded_once_and_never_raise(spark):
+    from landlens.functions.numeric import finish_avg, round_ratio
+    big = "123456789012345678901234567890.12"
+    rows = [("100000.00", "20000001", "0.00"), ("0.05", "10", "0.01"), ("-0.05", "10", "-0.01"), ("0.04", "10", "0.00"), ("1.00", "3", "0.33"),
+            ("2.00", "-3", "-0.67"), (big, "1", big), ("1.00", "0", None), (None, "1", None)]
+    df = spark.createDataFrame([(a and Decimal(a), Decimal(b)) for a, b, _ in rows], "a decimal(38,2), b decimal(20,0)")
+    want = [w and Decimal(w) for _, _, w in rows]
+    assert [r.q for r in df.select(finish_avg(F.col("a"), F.col("b")).alias("q")).collect()] == want
+    assert [r.q for r in df.select(round_ratio(F.col("a"), F.col("b")).alias("q")).collect()] == want
+    ends = spark.createDataFrame([(Decimal("1.00"), Decimal(3 * 10**18)), (Decimal(3 * 10**18), Decimal("1.00")), (Decimal("0.01"), Decimal(10**35))],
+                                 "b decimal(38,2), f decimal(38,2)")
+    got = [r.p for r in ends.select(percent_change(F.col("b"), F.col("f")).alias("p")).collect()]
+    assert got[:2] == [Decimal(3 * 10**20 - 100), Decimal("-100.00")] and got[2] is None      # beyond 38 digits
+
+
+def test_text_to_integer_truncates(spark):
+    from landlens.functions.casts import to_int
+    df = spark.createDataFrame([("3.9999999",), ("-3.9999999999999999",), ("2147483647.9",), ("2147483648",), ("x",), (None,), ("1e2",)], "t string")
+    assert [r.i for r in df.select(to_int(F.col("t"), T.StringType()).alias("i")).collect()] == [3, -3, 2147483647, None, None, None, 100]
+    long = df.select(to_int(F.col("t"), T.StringType(), T.LongType()).alias("i"))
+    assert [r.i for r in long.collect()] == [3, -3, 2147483647, 2147483648, None, None, 100]

@@ -12,12 +12,14 @@ from landlens.plans import views
 
 @pytest.fixture(scope="module")
 def v5(spark, smoke_dir):
-    return views.v5(views.v3(B.business_licenses(spark, smoke_dir), B.property_tax(spark, smoke_dir)))
+    return views.v5(views.v1(B.business_licenses(spark, smoke_dir)), views.v2(B.property_tax(spark, smoke_dir)))
 
 
 def _pct(i, f):
     if i == 0:
         return None
+    if i is None or f is None:
+        return None
     return ((f - i) * 100 / i).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
 
 

@@ -1,11 +1,12 @@
 """Session helpers: shared checkpoint folder and cluster sizing."""
 
-from landlens.session import checkpoint_dir, scale_conf, scratch_path
+from landlens.session import checkpoint_dir, clear_scratch, scale_conf, scratch_mark, scratch_path
 
 
-def test_scale_conf_bounds_partitions():
+def test_scale_conf_sizes_partitions():
     big = scale_conf(100 * 10**12, total_cores=8000)
-    assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 50_000   # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (512 << 20))
+    assert int(scale_conf(100 * 10**12, 8000, max_partitions=50_000)["spark.sql.shuffle.partitions"]) == 50_000
     small = scale_conf(10**9, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24                              # 3 waves
     mid = scale_conf(10 * 10**12, total_cores=800, target_partition_bytes=1 << 30)
@@ -17,3 +18,12 @@ def test_scratch_paths_live_under_the_checkpoint_folder(spark):
     base = checkpoint_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(base.rstrip("/")) and b.startswith(base.rstrip("/"))
+
+
+def test_scratch_is_removed_since_a_mark(spark):
+    old = scratch_path(spark, "old")
+    spark.range(3).write.parquet(old)
+    mark = scratch_mark()
+    spark.range(3).write.parquet(scratch_path(spark, "new"))
+    assert clear_scratch(spark, since=mark) == 1 and scratch_mark() == mark
+    assert spark.read.parquet(old).count() == 3

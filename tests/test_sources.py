@@ -1,33 +1,35 @@
-"""Source behaviour: the scan parallelism floor and the schema cache."""
+"""Source behaviour: schemas, malformed lines, round trips."""
 
-from landlens.sources import readers
+from landlens.plans import jobs
+from landlens.session import scratch_path
+from landlens.sources import export_csv, read_delimited, read_result, readers
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+def test_a_rewritten_folder_is_read_with_its_new_schema(spark):
+    path = scratch_path(spark, "rewritten")
+    spark.createDataFrame([(1, "a")], "k int, old string").write.parquet(path)
+    assert readers.read_parquet(spark, path).columns == ["k", "old"]
+    spark.createDataFrame([(2, "b")], "k int, new string").write.mode("overwrite").parquet(path)
+    assert [tuple(r) for r in readers.read_parquet(spark, path).select("new").collect()] == [("b",)]
 
 
-def test_floor_only_below_the_split_count(spark, smoke_dir):
-    path = f"{smoke_dir}/lineitem.parquet"
-    floored = readers.read_parquet(spark, path, min_partitions=64, floor_key="l_orderkey")
-    assert "hashpartitioning(l_orderkey" in _plan(floored)
-    assert floored.rdd.getNumPartitions() == 64
-    untouched = readers.read_parquet(spark, path, min_partitions=1, floor_key="l_orderkey")
-    assert "Exchange" not in _plan(untouched)           # enough splits already: no shuffle
-    off = readers.read_parquet(spark, path, min_partitions=0)
-    assert "Exchange" not in _plan(off)
+def test_scan_reads_only_the_columns_asked_for(spark, smoke_dir):
+    df = readers.read_parquet(spark, f"{smoke_dir}/lineitem.parquet", columns=["l_quantity"])
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_quantity:double>" in p and "Exchange" not in p
 
 
-def test_floor_keeps_column_pruning(spark, smoke_dir):
-    df = readers.read_parquet(spark, f"{smoke_dir}/lineitem.parquet", min_partitions=64,
-                              floor_key="l_orderkey").select("l_quantity")
-    p = _plan(df)
-    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    p.write_text("a;b;c\n1;2;3\n4;5\n6;7;8;9\n;;\n")
+    raw = read_delimited(spark, str(p), malformed_col=jobs.MALFORMED)
+    got = sorted((r.a, r[jobs.MALFORMED]) for r in raw.collect() if r[jobs.MALFORMED] is not None)
+    assert got == [("4", "4;5"), ("6", "6;7;8;9")]
+    assert sum(r[jobs.MALFORMED] is None for r in raw.collect()) == 2
 
 
-def test_schema_cached_per_path(spark, smoke_dir):
-    path = f"{smoke_dir}/nation.parquet"
-    a = readers.read_parquet(spark, path, min_partitions=0)
-    assert (path,) in readers._SCHEMAS
-    b = readers.read_parquet(spark, path, min_partitions=0)
-    assert a.schema == b.schema and b.count() == 25
+def test_empty_and_null_texts_come_back_as_written(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "x;y")], "k int, t string")
+    path = scratch_path(spark, "empty")
+    export_csv(df, path, sep=";")
+    assert sorted(tuple(r) for r in read_result(spark, path, df.schema, sep=";").collect()) == [(1, ""), (2, None), (3, "x;y")]
