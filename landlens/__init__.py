@@ -9,11 +9,11 @@ Layout
 - ``landlens.operators``   DataFrame-in / DataFrame-out operators
 - ``landlens.plans``       the cleaning jobs and the named results composed from operators,
                            plus bindings to the driver's test tables
-- ``landlens.streaming``   intentionally empty (no streaming work in scope)
+- ``landlens.llm``         operators for training-data corpora (nothing else imports them)
 
-Every operator takes and returns a ``pyspark.sql.DataFrame`` and uses built-in
-Spark functions only, so Catalyst can prune, push down and code-generate the
-whole plan.
+Every operator takes and returns a ``pyspark.sql.DataFrame``; outside ``llm`` all
+use built-in Spark functions only, so Catalyst can prune, push down and
+code-generate the whole plan.
 """
 
 __all__ = ["session", "contracts", "functions", "sources", "operators", "plans"]
