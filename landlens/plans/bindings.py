@@ -38,6 +38,26 @@ ZONING_POSTAL_T = {"residential": ["1-URGENT"], "mixed": ["3-MEDIUM"],
 USE_AREA_T = {"residential": ["N"], "non-residential": ["R"]}
 USE_POSTAL_T = {"residential": ["R"]}
 
+# Zoning and use names as the city writes them, and one of each that it does not.
+CITY_ZONES = ["One-Family Dwelling", "Multiple Dwelling", "Residential", "Residential Inclusive", "Two-Family Dwelling",
+              "Residential Rental", "Commercial", "Industrial", "Historical Area", "Limited Agriculture", "Other",
+              "Comprehensive Development", "Elsewhere"]
+CITY_USES = ["Dwelling Uses", "Live-Work Uses", "Office Uses", "Retail Uses", "Service Uses", "Institutional Uses",
+             "Cultural/Recreational Uses", "Manufacturing Uses", "Parking Uses", "Wholesale Uses",
+             "Transportation and Storage Uses", "Utility and Communication Uses", "Agricultural Uses",
+             "Deposition or Extraction Uses", "Mural", "Unused"]
+
+
+def city_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zoning and a use name as the city writes them for every order (every 29th has none)."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+
+    def pick(names):
+        return F.when(k % 29 != 0, F.get(F.array(*map(F.lit, names)), (k % len(names)).cast("int")))
+
+    return o.select("o_orderkey", pick(CITY_ZONES).alias("zone"), pick(CITY_USES).alias("use"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landlens.contracts import BUSINESS_LICENSES, Field, TableContract
+from landlens.functions.classify import class_of, indicator
 from landlens.operators.geometry import with_centroid, with_projected_point
 from landlens.functions.text import normalise_names, point_part
 from landlens.operators import aggregate, clean, correlate, fanout, joins
@@ -372,6 +373,17 @@ def q_batch_clean(s, d):
     return total
 
 
+def q_class_maps(s, d):
+    """The city's own class maps."""
+    o = views.DEFAULT
+    return B.city_names(s, d).select(
+        "o_orderkey", "zone", "use",
+        indicator("zone", o.zoning_area["residential"]).alias("residential_zone"), indicator("zone", o.zoning_area["non-residential"]).alias("other_zone"),
+        class_of("zone", o.zoning_postal, o.zoning_postal_default).alias("postal_zone"),
+        indicator("use", o.use_area["residential"]).alias("residential_use"), indicator("use", o.use_area["non-residential"]).alias("other_use"),
+        class_of("use", o.use_postal, o.use_postal_default).alias("postal_use"))
+
+
 def q_licence_outcomes(s, d):
     return jobs.licence_outcomes(B.raw_business_licenses(s, d))
 
@@ -474,6 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_clean": q_batch_clean,
     "licence_outcomes": q_licence_outcomes,
     "clean_permits_columnar_job": q_clean_permits_columnar_job,
+    "class_maps": q_class_maps,
 }
 
 
@@ -538,6 +551,7 @@ COVERAGE: dict[str, str] = {
     "batch_clean": "S11, C8 (outcomes)",
     "licence_outcomes": "C8 (kept + rejected = read)",
     "clean_permits_columnar_job": "older columnar permit job",
+    "class_maps": "P1, P2, P3 with the city's own maps",
 }
 
 
@@ -698,6 +712,7 @@ ORACLE: dict[str, str] = {
     "clean_licences_job": f"SELECT * EXCLUDE (outcome) FROM ({_RAW_LIC}) WHERE FOLDER_YEAR IS NOT NULL",
     "licence_outcomes": f"SELECT outcome, count(*) AS n_rows FROM ({_RAW_LIC}) GROUP BY outcome",
     "clean_permits_job": _CLEAN_PERMITS,
+    "class_maps": O.CLASSES,
     "clean_permits_columnar_job": f"SELECT DISTINCT * EXCLUDE (permit_number, geo_point_2d) FROM ({_CLEAN_PERMITS})",
     "batch_clean": f"""
         SELECT 'property_tax' AS result, 'rows' AS subject, count(*) AS n FROM ({_CLEAN_TAX})
