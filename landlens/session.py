@@ -80,6 +80,15 @@ def default_parallelism(spark: SparkSession) -> int:
         return os.cpu_count() or 8
 
 
+def discard(spark: SparkSession, *paths: str) -> int:
+    """Removes scratch tables that nothing reads any more, through Spark's file system; returns how many there were."""
+    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def scratch_mark() -> int:
     """How many scratch paths were handed out; ``clear_scratch`` removes those after a mark."""
     return len(_SCRATCH)
@@ -91,11 +100,9 @@ def clear_scratch(spark: SparkSession, since: int = 0) -> int:
     For batch runs, after their last result is written; frames that still read
     scratch tables cannot be used afterwards.
     """
-    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), 0
-    while len(_SCRATCH) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        n += bool(path.getFileSystem(conf).delete(path, True))
-    return n
+    paths = _SCRATCH[since:]
+    del _SCRATCH[since:]
+    return discard(spark, *paths)
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20,
