@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from landlens.llm import decontaminate, lang_id, near_dup, sentencepiece_bpe, substring_dedup
 from landlens.llm.queries import PIECE_BPE, tokenizer_path
-from landlens.session import scratch_path
+from landlens.session import clear_scratch, discard, scratch_mark, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +66,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
+        mark = scratch_mark()
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        clear_scratch(spark, since=mark)  # what the stage's operator wrote for itself
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

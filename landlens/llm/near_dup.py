@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landlens.session import scratch_path
+from landlens.session import discard, scratch_path
 
 from .components import components
 from .words import find_words, hash_words, mix, signed, slices, text_buffer
@@ -165,6 +165,8 @@ def candidates(classes: DataFrame, base: str) -> DataFrame:
         places = spark.read.parquet(f"{base}/places")
         votes = places.groupBy("cls").agg(F.count(F.lit(1)).alias("votes"))
         centre = places.join(votes, "cls").groupBy("top").agg(F.max(F.struct("votes", "cls")).alias("x")).select("top", F.col("x.cls").alias("c"))
+        centre.write.parquet(f"{base}/centres")  # a row a region: the join below is then free to split a hot region
+        centre = spark.read.parquet(f"{base}/centres")
         grown = spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION).withColumnRenamed("key", "top")
         found.append(grown.join(centre, "top").where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")))
     out = found[0]
@@ -286,6 +288,8 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     pairs = pairs.join(sketch.select(F.col("cls").alias("a"), F.col("sketch").alias("sa")), "a").join(sketch.select(F.col("cls").alias("b"), F.col("sketch").alias("sb")), "b")
     pairs.select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a bigint, b bigint").write.parquet(f"{base}/pairs")
     pairs = spark.read.parquet(f"{base}/pairs")
+    forest = ["classes", "places", "centres", *(f"depth-{d}{x}" for d in range(FIRST, DEPTH + 1) for x in ("", "-shared"))]
+    discard(spark, *(f"{base}/{name}" for name in forest))
 
     # full sets, computed again for one row of each class that has a candidate
     needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(least, "cls").select("least").distinct()
