@@ -8,9 +8,12 @@ mode (tests, laptops) do we create a private folder for it.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +75,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _SCRATCH[-1]
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the session's Python workers this package (once a session), wherever the driver found it.
+
+    The driver may know the package by its own ``sys.path`` only.  Spark's file
+    server hands the archive out; a package that itself came as an archive is
+    left to whoever shipped it.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(root):
+        return
+    folder = tempfile.mkdtemp(prefix="landlens-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "landlens_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for where, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(where, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Partition count used for operator-chosen repartitions."""
     try:
