@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landlens.session import ship_package
+
 #: Blocks for each shuffle partition: a block holds half of a partition's documents.
 BLOCKS_A_PARTITION = 2
 
@@ -36,6 +38,7 @@ def rest_of_row(docs: DataFrame, *without: str) -> Column:
 
 def in_blocks(docs: DataFrame, id_col: str, text_col: str, keep_rest: bool = False) -> DataFrame:
     """Columns block, id, text (null: empty) and, with ``keep_rest``, rest (a struct of the other columns)."""
+    ship_package(docs.sparkSession)
     n = partitions(docs.sparkSession) * BLOCKS_A_PARTITION
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     key = F.coalesce(F.col(f"`{id_col}`").cast("string"), text)

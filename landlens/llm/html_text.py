@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landlens.session import scratch_path
+from landlens.session import scratch_path, ship_package
 
 from .url_filter import host_and_path
 from .words import find_words, hash_words, slices, text_buffer
@@ -201,6 +201,7 @@ def _page_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row."""
+    ship_package(pages.sparkSession)
     host, _ = host_and_path(F.col(f"`{url_col}`"))
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host.alias("host"),
                         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landlens.session import ship_package
+
 from .blocks import rest_of_row
 
 SAMPLE, ROW_CHARS, LANGUAGE_CHARS = 64, 2_000, 30_000
@@ -194,6 +196,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     prediction sees the text only.  With ``rest``, the whole input row comes along as
     the struct ``rest``.
     """
+    ship_package(docs.sparkSession)
     if samples is None:
         samples = learn_samples(docs, id_col, text_col, lang_col, folds)
     model = docs.sparkSession.sparkContext.broadcast(tuple(sorted(samples.items())))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landlens.session import discard, scratch_path
+from landlens.session import discard, scratch_path, ship_package
 
 from .components import components
 from .words import find_words, hash_words, mix, signed, slices, text_buffer
@@ -271,6 +271,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, base: str) -> DataFr
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, cls (class of equal sets; null for the empty one) of every row."""
     spark = docs.sparkSession
+    ship_package(spark)
     base = scratch_path(spark, "near-dup")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))

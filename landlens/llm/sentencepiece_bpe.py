@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landlens.session import ship_package
+
 #: Segments whose encoding a worker remembers at most.
 REMEMBERED = 1_000_000
 #: Compatible pairs that a worker remembers at most.
@@ -252,7 +254,8 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     One pass without a shuffle.  ``digests``: doc_id, n_tokens, ids_sha256 (of the
     decimal ids joined by one space), decoded_sha256; else doc_id, n_tokens, ids, decoded.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

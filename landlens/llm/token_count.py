@@ -28,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landlens.session import ship_package
+
 #: Characters a chunk holds and by which it overlaps the next.
 CHUNK, OVERLAP = 32_768, 256
 #: Words whose counts a worker remembers at most.
@@ -121,7 +123,8 @@ class Counter:
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row; one pass, no shuffle."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .words import slices
