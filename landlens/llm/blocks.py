@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from landlens.session import ship_package
 
-#: Blocks for each shuffle partition: a block holds half of a partition's documents.
-BLOCKS_A_PARTITION = 2
+#: Blocks for each shuffle partition: a block holds a quarter of a partition's documents.
+BLOCKS_A_PARTITION = 4
 
 
 def partitions(spark: SparkSession) -> int:
@@ -70,6 +70,7 @@ def exchange(blocks: DataFrame, ask: Callable, answer: Callable, finish: Callabl
                          "data": pa.array([d for _, d in got], pa.binary())})
 
     def finishes(documents: pa.Table, replies: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # of the blocks before
         return finish(ordered(documents), dict(zip(replies["shard"].to_pylist(), replies["data"].to_pylist())))
 
     replies = (blocks.groupBy("block").applyInArrow(asks, "shard int, block int, data binary")

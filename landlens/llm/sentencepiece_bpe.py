@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from landlens.session import ship_package
 
 #: Segments whose encoding a worker remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Compatible pairs that a worker remembers at most.
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 400_000
 
 SPACE = "▁"
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")

@@ -33,7 +33,7 @@ from landlens.session import ship_package
 #: Characters a chunk holds and by which it overlaps the next.
 CHUNK, OVERLAP = 32_768, 256
 #: Words whose counts a worker remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 #: White space by any reading of the pre-tokeniser's pattern; a cut never follows one of these.
 _SPACE = r"\s᠎​﻿"

@@ -19,8 +19,10 @@ import pyarrow.compute as pc
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: A-Z to a-z, byte for byte.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Text bytes that one step handles at once (temporary arrays take some 40 times this).
+#: Text bytes that one step handles at once.
 STEP_BYTES = 4 << 20
+#: Text bytes that are hashed at once (temporary arrays take some 60 times this).
+HASH_BYTES = 512 << 10
 
 _U = np.uint64
 _RNG = np.random.default_rng(20240611)
@@ -95,12 +97,12 @@ def hash_words(w: Words, lower: bool = False) -> np.ndarray:
     out = np.empty(len(w.starts), np.uint64)
     value = _BYTE[np.frombuffer(LOWER, np.uint8)] if lower else _BYTE
     longest = int((w.ends - w.starts).max(initial=0))
-    power = np.cumprod(np.full(min(longest, STEP_BYTES) + 1, _BASE), dtype=np.uint64)
+    power = np.cumprod(np.full(min(longest, 2 * HASH_BYTES) + 1, _BASE), dtype=np.uint64)
     a, n = 0, len(w.starts)
     while a < n:
-        b = max(a + 1, int(np.searchsorted(w.ends, w.starts[a] + STEP_BYTES)))
+        b = max(a + 1, int(np.searchsorted(w.ends, w.starts[a] + HASH_BYTES)))
         lo, hi = int(w.starts[a]), int(w.ends[b - 1])
-        if hi - lo > 2 * STEP_BYTES:  # one word of many MB
+        if hi - lo > 2 * HASH_BYTES:  # one word of many MB
             out[a] = _long_word(w.data[lo:hi], value)
             a = b
             continue
@@ -114,9 +116,9 @@ def hash_words(w: Words, lower: bool = False) -> np.ndarray:
 
 def _long_word(data: np.ndarray, value: np.ndarray) -> np.uint64:
     total, scale = np.zeros(1, np.uint64), np.ones(1, np.uint64)
-    power = np.cumprod(np.full(STEP_BYTES + 1, _BASE), dtype=np.uint64)
-    for a in range(0, len(data), STEP_BYTES):
-        part = value[data[a:a + STEP_BYTES]]
+    power = np.cumprod(np.full(HASH_BYTES + 1, _BASE), dtype=np.uint64)
+    for a in range(0, len(data), HASH_BYTES):
+        part = value[data[a:a + HASH_BYTES]]
         total = total + scale * (part * power[:len(part)]).sum(dtype=np.uint64)
         scale = scale * power[len(part) - 1]
     return total[0]

@@ -36,7 +36,7 @@ def test_long_words_hash_alike_in_blocks(monkeypatch):
     text = "q" * 1000 + " ab " + "q" * 1000
     data, offsets = words.text_buffer(pa.array([text]))
     whole = words.hash_words(words.find_words(data, offsets))
-    monkeypatch.setattr(words, "STEP_BYTES", 64)
+    monkeypatch.setattr(words, "HASH_BYTES", 64)
     parts = words.hash_words(words.find_words(data, offsets))
     assert whole[0] == whole[2] and parts[0] == parts[2] and (whole == parts).all()
 
@@ -251,3 +251,14 @@ def test_probabilities_of_a_context_sum_to_one():
 def test_model_beats_words_alone_on_held_out_text(spark, smoke_dir):
     rows = lm_score.score(spark.read.parquet(f"{smoke_dir}/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_words_of_any_length_hash_alike(monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"{'q' * n} x" for n in (1, 63, 64, 65, 100, 127, 128, 129, 200, 1000)] * 2
+    data, offsets = words.text_buffer(pa.array(texts))
+    w = words.find_words(data, offsets)
+    whole = words.hash_words(w)
+    monkeypatch.setattr(words, "HASH_BYTES", 64)
+    assert (words.hash_words(w) == whole).all() and len(set(whole.tolist())) == 11
