@@ -19,7 +19,7 @@ from landlens.session import clear_scratch, discard, scratch_mark, scratch_path
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language can be told; ``und`` goes (null, empty, no letter)."""
     out = lang_id.identify(docs, rest=True).where(F.col("lang_pred") != lang_id.UNKNOWN)
-    return out.select(*[F.col(f"rest.`{c}`") for c in docs.columns])
+    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -193,16 +193,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """doc_id, held_out, lang_pred, score, bits (entropy a character, null for ``und``) of every row.
 
     ``samples`` (language -> text) is learned from ``docs`` if not given.  The
-    prediction sees the text only.  With ``rest``, the whole input row comes along as
-    the struct ``rest``.
+    prediction sees the text only.  With ``rest``, the text (null: empty) and a struct
+    of all other columns come along.
     """
     ship_package(docs.sparkSession)
     if samples is None:
         samples = learn_samples(docs, id_col, text_col, lang_col, folds)
     model = docs.sparkSession.sparkContext.broadcast(tuple(sorted(samples.items())))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(id_col, folds).alias("held_out"),
-                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), *([rest_of_row(docs).alias("rest")] if rest else []))
-    passed = ["doc_id", "held_out", *(["rest"] if rest else [])]
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), *([rest_of_row(docs, id_col, text_col).alias("rest")] if rest else []))
+    passed = ["doc_id", "held_out", *(["text", "rest"] if rest else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .words import slices
