@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from landlens.session import ship_package
 
+from .words import release
+
 #: Blocks for each shuffle partition: a block holds a quarter of a partition's documents.
 BLOCKS_A_PARTITION = 4
 
@@ -58,19 +60,21 @@ def exchange(blocks: DataFrame, ask: Callable, answer: Callable, finish: Callabl
     ``finish(table, {shard: bytes}) -> table`` with ``schema``; tables are a block's documents, ordered."""
 
     def asks(table: pa.Table) -> pa.Table:
+        release()
         block = table["block"][0]
         rows = ask(ordered(table))
         return pa.table({"shard": pa.array([s for s, _ in rows], pa.int32()), "block": pa.array([block.as_py()] * len(rows), pa.int32()),
                          "data": pa.array([d for _, d in rows], pa.binary())})
 
     def answers(table: pa.Table) -> pa.Table:
+        release()
         shard = table["shard"][0].as_py()
         got = answer(list(zip(table["block"].to_pylist(), table["data"].to_pylist())))
         return pa.table({"block": pa.array([b for b, _ in got], pa.int32()), "shard": pa.array([shard] * len(got), pa.int32()),
                          "data": pa.array([d for _, d in got], pa.binary())})
 
     def finishes(documents: pa.Table, replies: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()  # of the blocks before
+        release()
         return finish(ordered(documents), dict(zip(replies["shard"].to_pylist(), replies["data"].to_pylist())))
 
     replies = (blocks.groupBy("block").applyInArrow(asks, "shard int, block int, data binary")

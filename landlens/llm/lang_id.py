@@ -36,7 +36,7 @@ from .blocks import rest_of_row
 SAMPLE, ROW_CHARS, LANGUAGE_CHARS = 64, 2_000, 30_000
 RUN = 256
 #: Characters that one step handles at once.
-STEP_CHARS = 2 << 20
+STEP_CHARS = 512 << 10
 UNKNOWN = "und"
 
 

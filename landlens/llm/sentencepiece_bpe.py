@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from landlens.session import ship_package
 
 #: Segments whose encoding a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: Compatible pairs that a worker remembers at most.
 REMEMBERED_PAIRS = 400_000
 

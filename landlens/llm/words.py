@@ -8,6 +8,7 @@ in slices of bounded size, and one long text in blocks of words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: A-Z to a-z, byte for byte.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Text bytes that one step handles at once.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 #: Text bytes that are hashed at once (temporary arrays take some 60 times this).
 HASH_BYTES = 512 << 10
 
@@ -62,6 +63,16 @@ def slices(batch, column: str, limit: int = STEP_BYTES) -> Iterator:
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), n]
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a)
+    release()
+
+
+def release() -> None:
+    """Hands memory that is free again back to the system: Spark keeps its Python workers, and idle ones count too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own account
+        pass
 
 
 @dataclass
