@@ -8,18 +8,25 @@
    than ``REGION`` classes share the prefix.
 3. Candidates.  All neighbours within a region of at most ``REGION`` classes.  A region
    that is still larger at full depth is split into random parts of that size, in each
-   tree differently.  So that no link is lost where regions are dense, every member
-   of a region that had to grow is also compared with the region's centre: of the
-   classes at its deepest and fullest place, which agree with its most frequent values,
-   the one that is at such places in most trees, as the original of many copies is.
+   tree differently.  Every member of a region that had to grow is also compared with
+   the region's centre: of the classes at its deepest and fullest place, which agree
+   with its most frequent values, the one that is at such places in most trees, as the
+   original of many copies is.
 4. Confirmation.  Candidates whose signatures agree enough are compared on their full
    sets.  A class is compared with the smallest class first; pairs that other links
    have joined meanwhile need no comparison, all others get theirs.
-5. Groups.  Connected components over confirmed links.
+5. Dense regions.  Parts and centres join most of a dense region, not all of it.  So all
+   pairs of a region that had to grow whose classes are still in different groups are
+   compared: its members are dealt to blocks of ``BLOCK``, each pair of blocks is a task's
+   tile (the largest group's blocks meet only the others).  A tile drops members that
+   agree with none of another group, compares the rest on their full sets, all with
+   all, and passes on links that join groups, fewer than it has members.
+6. Groups.  Connected components over confirmed links.
 
 For similarity 0.8 a pair shares a prefix of FIRST = 3 values in one of 20 trees with
-probability 1 - (1 - 0.8^3)^20 > 0.9999994.  Nothing is capped: each class has at most
-TREES * (REGION - 1) neighbours and TREES centres, whatever the sizes of the groups.
+probability 1 - (1 - 0.8^3)^20 > 0.9999994, and is then compared with it or found in the
+same group, whatever the size of the region.  The work in a dense region grows with the
+square of the classes that stay outside its largest group.
 
 Defined results: a text without words has the empty set and is linked with nothing;
 rows that repeat (or share an id) are rows like any other; a component's id is its
@@ -45,6 +52,10 @@ TREES, DEPTH, FIRST = 20, 6, 3
 REGION = 8
 #: Share of equal signature values (of TREES * DEPTH) from which a candidate is compared on full sets: 4 deviations below 0.8.
 AGREE = 0.65
+#: Classes of a dense region on one side of a tile.
+BLOCK = 512
+#: Shingles that a tile's comparison holds as matrix columns at once.
+COLUMNS = 2048
 #: Rounds in which each class is compared with one neighbour group at a time, before all that is left is compared.
 ROUNDS = 3
 
@@ -128,8 +139,8 @@ def _pairs(regions: DataFrame) -> DataFrame:
     return lists.where(F.size("l") > 1).select(F.explode(pair).alias("p")).select("p.a", "p.b")
 
 
-def candidates(classes: DataFrame, base: str) -> DataFrame:
-    """Distinct pairs a < b of neighbours in the forest; ``classes``: cls, sign."""
+def candidates(classes: DataFrame, base: str) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs a < b of neighbours in the forest, and top, cls of the regions that had to grow (null if none); ``classes``: cls, sign."""
     spark = classes.sparkSession
     rows = classes.mapInArrow(_tree_rows, "key bigint, tail bigint, cls bigint")
 
@@ -143,7 +154,7 @@ def candidates(classes: DataFrame, base: str) -> DataFrame:
     now = counted(rows, f"depth-{FIRST}").withColumn("top", F.col("key"))
     found = [_pairs(now.where(F.col("n") <= REGION))]
     dense = now.where(F.col("n") > REGION)
-    ends = []
+    ends, grown = [], None
     for d in range(FIRST, DEPTH):
         if dense.isEmpty():
             break
@@ -167,12 +178,13 @@ def candidates(classes: DataFrame, base: str) -> DataFrame:
         centre = places.join(votes, "cls").groupBy("top").agg(F.max(F.struct("votes", "cls")).alias("x")).select("top", F.col("x.cls").alias("c"))
         centre.write.parquet(f"{base}/centres")  # a row a region: the join below is then free to split a hot region
         centre = spark.read.parquet(f"{base}/centres")
-        grown = spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION).withColumnRenamed("key", "top")
+        spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION).select(F.col("key").alias("top"), "cls").write.parquet(f"{base}/grown")
+        grown = spark.read.parquet(f"{base}/grown")
         found.append(grown.join(centre, "top").where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")))
     out = found[0]
     for f in found[1:]:
         out = out.unionAll(f)
-    return out.distinct()
+    return out.distinct(), grown
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +249,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, path: str) -> Data
     return pairs.sparkSession.read.parquet(path)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, base: str) -> DataFrame | None:
-    """node, root over all confirmed links; null if there are none."""
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, base: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """node, root over all confirmed links (null if there are none), and the links."""
     spark = pairs.sparkSession
     roots, links, left = None, None, pairs
     for turn in range(ROUNDS + 1):
@@ -265,7 +277,97 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, base: str) -> DataFr
             left = left.where("ra <> rb")
         left.write.parquet(f"{base}/left-{turn}")
         left = spark.read.parquet(f"{base}/left-{turn}")
-    return roots
+    return roots, links
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a tile's two sides; a block's tile with itself has the same rows on both."""
+    side = table["side"].to_numpy()
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return (one, one) if table["own"][0].as_py() else (one, two)
+
+
+def _live(table: pa.Table) -> pa.Table:
+    """Members of a tile whose sketch agrees with one of another group on the other side."""
+    table = table.sort_by("cls")
+    one, two = _sides(table)
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    root = table["root"].to_numpy()
+    live = np.zeros(table.num_rows, bool)
+    other, least = np.ascontiguousarray(sketch[two].T), AGREE * TREES * DEPTH
+    for i in one:
+        near = two[((other == sketch[i][:, None]).sum(0, dtype=np.uint8) >= least) & (root[two] != root[i])]
+        live[near] = True
+        live[i] |= len(near) > 0
+    return table.select(["tile", "own", "side", "cls", "root"]).filter(pa.array(live))
+
+
+def _joining(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links of a tile's members, compared on their full sets, that join their groups to one another."""
+        table = table.sort_by("cls")
+        one, two = _sides(table)
+        sets = [np.frombuffer(s, np.uint64) for s in table["set"].to_pylist()]
+        size = np.array([len(s) for s in sets])
+        of = np.repeat(np.arange(len(sets)), size)
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = often[column] > 1
+        of, column = of[shared], np.unique(column[shared], return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        of, column = of[order], column[order]
+        both = np.zeros((len(one), len(two)), np.float32)
+        for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            a, b = np.searchsorted(column, [c, c + COLUMNS])
+            has = np.zeros((len(sets), COLUMNS), np.float32)
+            has[of[a:b], column[a:b] - c] = 1
+            both += has[one] @ has[two].T
+        both = both.astype(np.int64)
+        root, cls = table["root"].to_numpy(), table["cls"].to_numpy()
+        link = (100 * both >= percent * (size[one][:, None] + size[two][None, :] - both)) & (root[one][:, None] != root[two][None, :])
+        parent = {r: r for r in root.tolist()}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(link))):
+            u, v = find(int(root[one[i]])), find(int(root[two[j]]))
+            if u != v:
+                parent[u] = v
+                out.append((cls[one[i]], cls[two[j]]))
+        return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
+    return run
+
+
+def _dense_links(grown: DataFrame, roots: DataFrame | None, sketch: DataFrame, sets: DataFrame, percent: int, base: str) -> DataFrame:
+    """u, v: links that join the groups ``roots`` within regions that had to grow; ``grown``: top, cls."""
+    spark = grown.sparkSession
+    rows = grown.withColumn("root", F.col("cls"))
+    if roots is not None:
+        rows = grown.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    # a row a region of several groups: its largest group and how many blocks the others and this one have
+    regions = rows.groupBy("top", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("top").agg(F.max(F.struct("n", "root")).alias("x"), F.sum("n").alias("n"))
+    blocks = (F.ceil((F.col("n") - F.col("x.n")) / BLOCK).cast("int").alias("few"), F.ceil(F.col("x.n") / BLOCK).cast("int").alias("many"))
+    regions.where(F.col("n") > F.col("x.n")).select("top", F.col("x.root").alias("main"), *blocks).write.parquet(f"{base}/dense-regions")
+    rows = rows.join(spark.read.parquet(f"{base}/dense-regions"), "top").withColumn("large", F.col("root") == F.col("main"))
+    rows = rows.withColumn("at", F.pmod(F.xxhash64("cls"), F.when(F.col("large"), F.col("many")).otherwise(F.col("few"))).cast("int"))
+
+    def tile(kind: int, i, j, side):
+        own = (F.lit(kind) == 0) & (i == j)
+        return F.struct(F.xxhash64("top", F.lit(kind), i, j).alias("tile"), own.alias("own"), side.alias("side"))
+
+    at, none, one = F.col("at"), F.lit(0), F.lit(1)
+    among = F.transform(F.sequence(none, F.col("few") - 1), lambda j: tile(0, F.least(at, j), F.greatest(at, j), F.when(at <= j, none).otherwise(one)))
+    across = F.transform(F.sequence(none, F.col("many") - 1), lambda j: tile(1, at, j, none))
+    tiles = F.when(F.col("large"), F.transform(F.sequence(none, F.col("few") - 1), lambda i: tile(1, i, at, one))).otherwise(F.concat(among, across))
+    rows = rows.select("cls", "root", F.explode(tiles).alias("t")).select("t.tile", "t.own", "t.side", "cls", "root")
+    schema = "tile bigint, own boolean, side int, cls bigint, root bigint"
+    rows.join(sketch, "cls").groupBy("tile").applyInArrow(_live, schema).write.parquet(f"{base}/live")
+    live = spark.read.parquet(f"{base}/live")
+    live.join(sets, "cls").groupBy("tile").applyInArrow(_joining(percent), "u bigint, v bigint").write.parquet(f"{base}/dense-links")
+    return spark.read.parquet(f"{base}/dense-links")
 
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -285,19 +387,29 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     classes = spark.read.parquet(f"{base}/classes")
 
     sketch = classes.mapInArrow(_low_bytes, "cls bigint, sketch binary")
-    pairs = candidates(classes, base)
+    pairs, grown = candidates(classes, base)
     pairs = pairs.join(sketch.select(F.col("cls").alias("a"), F.col("sketch").alias("sa")), "a").join(sketch.select(F.col("cls").alias("b"), F.col("sketch").alias("sb")), "b")
     pairs.select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a bigint, b bigint").write.parquet(f"{base}/pairs")
     pairs = spark.read.parquet(f"{base}/pairs")
+    if grown is not None:
+        sketch.join(grown.select("cls").distinct(), "cls", "left_semi").write.parquet(f"{base}/dense-sketches")
     forest = ["classes", "places", "centres", *(f"depth-{d}{x}" for d in range(FIRST, DEPTH + 1) for x in ("", "-shared"))]
     discard(spark, *(f"{base}/{name}" for name in forest))
 
-    # full sets, computed again for one row of each class that has a candidate
-    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct().join(least, "cls").select("least").distinct()
+    # full sets, computed again for one row of each class that has a candidate or is in a dense region
+    needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b"))
+    if grown is not None:
+        needed = needed.unionAll(grown.select("cls"))
+    needed = needed.distinct().join(least, "cls").select("least").distinct()
     source = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).join(needed, F.col("id").eqNullSafe(F.col("least")), "left_semi")
     sets = source.select("text").mapInArrow(_sets(size), "cls bigint, set binary")
     sets.write.parquet(f"{base}/sets")
-    roots = _links(pairs, spark.read.parquet(f"{base}/sets"), percent, base)
+    sets = spark.read.parquet(f"{base}/sets")
+    roots, links = _links(pairs, sets, percent, base)
+    if grown is not None:
+        more = _dense_links(grown, roots, spark.read.parquet(f"{base}/dense-sketches"), sets, percent, base)
+        if not more.isEmpty():
+            roots = components(more if links is None else links.unionAll(more))
 
     if roots is None:
         named = least.select("cls", F.col("least").alias("component"))

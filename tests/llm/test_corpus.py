@@ -139,6 +139,41 @@ def test_dense_star_of_near_copies_is_one_group(spark, seed):
     assert bag(tuple(r) for r in out) == bag(brute_groups(rows))
 
 
+def edited(words, at, rng):
+    """The words with those at the places ``at`` replaced by words that no other text has."""
+    out = list(words)
+    for k in at:
+        out[k] = f"z{rng.randrange(10**15)}"
+    return out
+
+
+def dense_family(size, pairs):
+    """Rows: texts of one template, similar to 0.75 and so not linked, but for pairs of 0.81 anywhere among them; and a chain of copies of copies."""
+    rng = random.Random(size)
+    vocab = vocabulary(rng, 3000)
+    template, link, places = rng.choices(vocab, k=1000), rng.choices(vocab, k=1000), list(range(4, 996, 5))
+    texts = []
+    for p in range(size):
+        chosen = rng.sample(places, 31)
+        start = edited(template, chosen[:5], rng)
+        texts.append(edited(start, chosen[5:18], rng))
+        if p < pairs:
+            texts.append(edited(start, chosen[18:], rng))
+    for _ in range(40):
+        link = edited(link, rng.sample(places, 12), rng)
+        texts.append(link)
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("size, block", [(200, 512), (60, 16)])
+def test_linked_pairs_inside_a_dense_family_are_found(spark, monkeypatch, size, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    rows = dense_family(size, size // 2)
+    out = near_dup.group(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert bag(tuple(r) for r in out) == bag(brute_groups(rows))
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(-5, -7), (9, 9)]
