@@ -49,9 +49,9 @@ from .words import find_words, hash_words, mix, signed, slices, text_buffer
 
 SHINGLE, PERCENT = 4, 80
 TREES, DEPTH, FIRST = 20, 6, 3
-REGION = 8
-#: Share of equal signature values (of TREES * DEPTH) from which a candidate is compared on full sets: 4 deviations below 0.8.
-AGREE = 0.65
+REGION = 24
+#: Share of equal signature values (of TREES * DEPTH) from which a candidate is compared on full sets: at 0.8, P(Bin(120, 0.8) < 72) = 1.5e-7.
+AGREE = 0.6
 #: Classes of a dense region on one side of a tile.
 BLOCK = 512
 #: Shingles that a tile's comparison holds as matrix columns at once.
