@@ -12,9 +12,12 @@
    boilerplate.  Tokens covered by boilerplate go, unique runs stay.  Pages with
    equal streams count as one page, so copies of an article are no boilerplate.
 
-A host of more than ``PAGES`` pages is dealt at random to arrays of about that many
-pages, each judged by itself: a share of the host's pages is the same share of each
-part, so no array grows with the host and no page is left out.
+A host of more than ``PAGES`` pages is dealt to parts of about that many pages, and its
+windows of ``LENGTH`` tokens (which is what boilerplate is covered by) are counted over the
+whole host: each distinct stream belongs to one of the parts that hold it; a window on
+``SHARE`` of the host's distinct pages is on that share of one part's at least, so the
+parts name such windows, every part counts all that a part of its host has named, and the
+sums decide for all pages of the host.  No task holds a whole host's pages.
 
 Defined results: a null page is empty and has an empty text; a null url, or one
 without ``://``, has the empty host; repeated rows get equal results.
@@ -22,6 +25,7 @@ without ``://``, has the empty host; repeated rows get equal results.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 from collections.abc import Iterator
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 
 from landlens.session import scratch_path, ship_package
 
+from .substring_dedup import window_hashes
 from .url_filter import host_and_path
 from .words import find_words, hash_words, slices, text_buffer
 
@@ -180,18 +185,91 @@ def boilerplate(streams: list[np.ndarray], length: int = LENGTH, least: int = LE
     return [covered.get(p, np.zeros(len(s), bool)) for s, p in zip(streams, page)]
 
 
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all texts, and where each text's begin."""
+    data, offsets = text_buffer(pa.array(texts, pa.string()))
+    w = find_words(data, offsets, b" ")  # white space is single spaces by now
+    return hash_words(w), w.first
+
+
 def _host_pages(table: pa.Table) -> pa.Table:
     """Removes boilerplate from the texts of one host's pages."""
-    data, offsets = text_buffer(table["text"])
-    w = find_words(data, offsets, b" ")  # white space is single spaces by now
-    h = hash_words(w)
-    streams = [h[a:b] for a, b in zip(w.first, w.first[1:])]
+    h, first = _tokens(table["text"].to_pylist())
+    return _without(table, boilerplate([h[a:b] for a, b in zip(first, first[1:])]))
+
+
+def _without(table: pa.Table, covered: list[np.ndarray]) -> pa.Table:
     texts = []
-    for text, gone in zip(table["text"].to_pylist(), boilerplate(streams)):
+    for text, gone in zip(table["text"].to_pylist(), covered):
         texts.append(" ".join(t for t, g in zip(text.split(" "), gone) if not g) if gone.any() else text)
     return pa.table({"page_id": table["page_id"], "url": table["url"], "text": pa.array(texts, pa.string())})
 
 
+def _name(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _places(table: pa.Table, names: list[int], windows: list[int]) -> pa.Table:
+    """host, part, and a name or a window a row."""
+    n = len(names) + len(windows)
+    return pa.table({"host": pa.array([table["host"][0].as_py()] * n, pa.string()), "part": pa.array([table["part"][0].as_py()] * n, pa.int32()),
+                     "key": pa.array(names + windows, pa.int64())})
+
+
+def _named(table: pa.Table) -> pa.Table:
+    """The names of a part's distinct texts; none of a host of one part."""
+    return _places(table, sorted({_name(t) for t in table["text"].to_pylist()}) if table["parts"][0].as_py() > 1 else [], [])
+
+
+def _page_windows(pages: pa.Table, owned: set[int]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct windows of the part's own texts, on how many of them each is, and the number of own texts."""
+    own = sorted(t for t in set(pages["text"].to_pylist()) if _name(t) in owned)
+    h, first = _tokens(own)
+    starts, windows = window_hashes(h, first, LENGTH)
+    page = np.searchsorted(first, starts, side="right") - 1
+    order = np.lexsort((windows, page))
+    page, windows = page[order], windows[order]
+    new = np.ones(len(windows), bool)
+    new[1:] = (windows[1:] != windows[:-1]) | (page[1:] != page[:-1])
+    return *np.unique(windows[new], return_counts=True), len(own)
+
+
+def _frequent(pages: pa.Table, owned: pa.Table) -> pa.Table:
+    """Windows on ``SHARE`` of the part's own texts."""
+    if not pages.num_rows or not owned.num_rows:
+        return _places(owned, [], []) if owned.num_rows else _places(pages, [], [])
+    windows, n, total = _page_windows(pages, set(owned["key"].to_pylist()))
+    return _places(pages, [], windows[n >= (SHARE - 1e-9) * total].view(np.int64).tolist())
+
+
+def _counted(pages: pa.Table, asked: pa.Table) -> pa.Table:
+    """On how many of the part's own texts each window is that a part of the host named."""
+    out = {"host": [], "key": [], "n": []}
+    if pages.num_rows and asked.num_rows:
+        named = [x for x in asked["windows"].to_pylist() if x is not None]
+        windows, n, _ = _page_windows(pages, {x for x in asked["key"].to_pylist() if x is not None})
+        if named and len(windows):
+            found = np.isin(windows.view(np.int64), np.array(named[0], np.int64))
+            out = {"host": [pages["host"][0].as_py()] * int(found.sum()), "key": windows.view(np.int64)[found], "n": n[found]}
+    return pa.table({"host": pa.array(out["host"], pa.string()), "key": pa.array(out["key"], pa.int64()), "n": pa.array(out["n"], pa.int64())})
+
+
+def _finished(pages: pa.Table, verdict: pa.Table) -> pa.Table:
+    """A part's pages without the host's boilerplate."""
+    if not pages.num_rows or pages["parts"][0].as_py() == 1:
+        return _host_pages(pages)
+    h, first = _tokens(pages["text"].to_pylist())
+    gone = np.zeros(len(h), bool)
+    if verdict.num_rows:
+        starts, windows = window_hashes(h, first, LENGTH)
+        hit = starts[np.isin(windows.view(np.int64), np.array(verdict["windows"][0].as_py(), np.int64))]
+        cover = np.zeros(len(h) + 1, np.int64)
+        np.add.at(cover, hit, 1)
+        np.add.at(cover, hit + LENGTH, -1)
+        gone = np.cumsum(cover[:-1]) > 0
+    return _without(pages, [gone[a:b] for a, b in zip(first, first[1:])])
+
+
 def _page_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "html"):
@@ -212,7 +290,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     parts = pages.sparkSession.read.parquet(path)
     kind = dict(rows.dtypes)
     texts = rows.mapInArrow(_page_texts, f"page_id {kind['page_id']}, url {kind['url']}, host string, text string")
+    parted = F.coalesce("parts", F.lit(1))
     texts = texts.join(parts, "host", "left").select(
-        "page_id", "url", "host", "text", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
-    out = texts.groupBy("host", "part").applyInArrow(_host_pages, f"page_id {kind['page_id']}, url {kind['url']}, text string")
+        "page_id", "url", "host", "text", parted.alias("parts"), F.pmod(F.xxhash64("page_id", "url"), parted).cast("int").alias("part"))
+    schema = f"page_id {kind['page_id']}, url {kind['url']}, text string"
+    grouped = texts.groupBy("host", "part")
+    if parts.isEmpty():
+        out = grouped.applyInArrow(_host_pages, schema)
+    else:  # one plan, so that all passes share the exchange of the texts
+        place = "host string, part int, key bigint"
+
+        def of_every_part(windows: DataFrame) -> DataFrame:
+            lists = windows.groupBy("host").agg(F.collect_set("key").alias("windows"))
+            return lists.join(parts, "host").select("host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "windows")
+
+        owned = grouped.applyInArrow(_named, place).groupBy("host", "key").agg(F.min("part").alias("part")).select("host", "part", "key")
+        frequent = grouped.cogroup(owned.groupBy("host", "part")).applyInArrow(_frequent, place)
+        asked = owned.withColumn("windows", F.lit(None).cast("array<bigint>")).unionByName(of_every_part(frequent).withColumn("key", F.lit(None).cast("bigint")))
+        counts = grouped.cogroup(asked.groupBy("host", "part")).applyInArrow(_counted, "host string, key bigint, n bigint").groupBy("host", "key").agg(F.sum("n").alias("n"))
+        need = owned.groupBy("host").agg(F.greatest(F.lit(float(LEAST_PAGES)), F.count(F.lit(1)) * F.lit(SHARE)).alias("need"))
+        verdict = of_every_part(counts.join(need, "host").where("n >= need"))
+        out = grouped.cogroup(verdict.groupBy("host", "part")).applyInArrow(_finished, schema)
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -220,3 +220,21 @@ def test_hot_host_is_split(spark, monkeypatch):
     rows = [(i, f"http://h.org/{i}", f"<p>{notice}<p>" + " ".join(f"{i}x{k}" for k in range(20))) for i in range(100)]
     out = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
     assert out == {i: " ".join(f"{i}x{k}" for k in range(20)) for i, _, _ in rows}
+
+
+def test_hot_host_has_one_verdict(spark, monkeypatch):
+    """Parts of a host decide together: notices at and below the share, on copies too, as in one array of all pages."""
+    rng = random.Random(8)
+    words = vocabulary(rng, 900)
+    often, rare, copied = (" ".join(rng.choices(words, k=20)) for _ in range(3))
+    rows = []
+    for i in range(64):
+        body = [" ".join(rng.choices(words, k=15)) for _ in range(3)]
+        rows.append((i, f"http://h.org/{i}", f"<p>{body[0]} {often if i % 3 == 0 else ''} {body[1]} {rare if i % 4 == 0 else ''} {body[2]}</p>"))
+    rows += [(100 + i, f"http://h.org/c{i}", f"<p>{copied} end</p>") for i in range(40)]
+    rows += [(200 + i, "http://small.org/", f"<p>{often} {' '.join(rng.choices(words, k=15))}</p>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    whole = bag(tuple(r) for r in html_text.extract(pages).collect())
+    assert not any(often in t for _, _, t, _ in whole) and sum(rare in t for _, _, t, _ in whole) == 16
+    monkeypatch.setattr(html_text, "PAGES", 8)
+    assert bag(tuple(r) for r in html_text.extract(pages).collect()) == whole
