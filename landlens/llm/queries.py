@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, lang_id, lm_score, near_dup, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter
+from . import decontaminate, html_text, lang_id, lm_score, mixing, near_dup, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter
 
 #: Vocabulary files, by name in the installed package of public tokenizers.
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -70,8 +70,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lang_id, op2_url_filter, op3_near_dup, op4_token_count, op5_lm_score, op6_html_text, op7_substring_dedup, op8_decontamination, op9_sentencepiece, op10_quality_rules)
+    f.__name__: f for f in (op1_lang_id, op2_url_filter, op3_near_dup, op4_token_count, op5_lm_score, op6_html_text, op7_substring_dedup, op8_decontamination, op9_sentencepiece, op10_quality_rules,
+                            op11_mixing)
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -126,6 +131,22 @@ s AS (SELECT a, CASE WHEN beyond > 0 THEN least(greatest(a * (1 - a) / beyond -
 v AS (SELECT source, (f + a * strength) / (n + strength) > {quality_rules.HOST_LIMIT} AS rejected FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
 FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source""",
+    # the level of the capped sources: sources by the level at which each stops, the first prefix whose level fits
+    "op11_mixing": r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS z, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+b AS (SELECT *, sum(3 * z) OVER o - 3 * z AS held, sum(w) OVER () - sum(w) OVER o + w AS share, sum(z) OVER () AS everything
+      FROM s WINDOW o AS (ORDER BY z / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT CAST(everything - held AS HUGEINT) AS free, CAST(share AS HUGEINT) AS share FROM b
+      WHERE w * (everything - held) < 3 * z * share ORDER BY z / w, source NULLS LAST LIMIT 1),
+t AS (SELECT s.*, free IS NULL OR w * free >= 3 * z * share AS capped, free, share FROM s LEFT JOIN l ON true),
+r AS (SELECT source, z, CASE WHEN capped THEN CAST(3 * z AS DOUBLE) ELSE CAST(w * free AS DOUBLE) / CAST(share AS DOUBLE) END AS target,
+             CASE WHEN capped THEN 3::HUGEINT ELSE w * free END AS top, CASE WHEN capped THEN 1::HUGEINT ELSE z * share END AS bottom,
+             CAST(CAST('0x' || substr(md5(concat_ws('|', '11', source)), 1, 8) AS BIGINT) AS HUGEINT) AS shift FROM t),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS LAST) AS HUGEINT) AS k FROM d)
+SELECT doc_id, size, z AS source_size, target,
+       CAST(size * ((k * top * 4294967296 + shift * bottom) // (bottom * 4294967296) - ((k - 1) * top * 4294967296 + shift * bottom) // (bottom * 4294967296)) AS BIGINT) AS taken
+FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source""",
     "op7_substring_dedup": rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + {substring_dedup.LENGTH - 1}], ' ') AS k
