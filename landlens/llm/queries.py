@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, lang_id, lm_score, mixing, near_dup, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter
+from . import decontaminate, html_text, lang_id, lm_score, mixing, near_dup, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter, whitening
 
 #: Vocabulary files, by name in the installed package of public tokenizers.
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -74,9 +74,13 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_lang_id, op2_url_filter, op3_near_dup, op4_token_count, op5_lm_score, op6_html_text, op7_substring_dedup, op8_decontamination, op9_sentencepiece, op10_quality_rules,
-                            op11_mixing)
+                            op11_mixing, op13_whitening)
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
