@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, lang_id, lm_score, mixing, near_dup, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter, whitening
+from . import decontaminate, html_text, lang_id, lexical, lm_score, mixing, near_dup, quality_rules, sentencepiece_bpe, substring_dedup, token_count, url_filter, whitening
 
 #: Vocabulary files, by name in the installed package of public tokenizers.
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -74,13 +74,17 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_lang_id, op2_url_filter, op3_near_dup, op4_token_count, op5_lm_score, op6_html_text, op7_substring_dedup, op8_decontamination, op9_sentencepiece, op10_quality_rules,
-                            op11_mixing, op13_whitening)
+                            op11_mixing, op12_lexical_search, op13_whitening)
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -151,6 +155,18 @@ n AS (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY size, doc_i
 SELECT doc_id, size, z AS source_size, target,
        CAST(size * ((k * top * 4294967296 + shift * bottom) // (bottom * 4294967296) - ((k - 1) * top * 4294967296 + shift * bottom) // (bottom * 4294967296)) AS BIGINT) AS taken
 FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source""",
+    "op12_lexical_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+b AS (SELECT DISTINCT item, item_id, unnest(w) AS term FROM i),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+p AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) t SEMI JOIN b USING (term) GROUP BY row, term),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term),
+m AS (SELECT row, doc_id, 100 - 90 + (90 * len(w) * n) // l AS m FROM d, s WHERE len(w) > 0),
+c AS (SELECT item, item_id, row, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM b JOIN p USING (term) JOIN f USING (term) JOIN m USING (row) GROUP BY item, item_id, row, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c WHERE score > 0) WHERE rank <= 10""",
     "op7_substring_dedup": rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + {substring_dedup.LENGTH - 1}], ' ') AS k
