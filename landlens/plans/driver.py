@@ -355,6 +355,18 @@ def q_named_views(s, d):
                    FROM investment_vs_land_value GROUP BY ALL) USING (YEAR, LOCAL_AREA)"""))
 
 
+def q_views_cascade(s, d):
+    """V1 defined again without the large businesses: V3, V4 and a SQL view over V3 follow; V5 is dropped with its readers."""
+    reg = views.build_registry(s, {"property_tax": _tax(s, d), "building_permits": _permits(s, d), "business_licenses": _lic(s, d)}, OPT)
+    reg.define_sql("pair_counts", "SELECT LOCAL_AREA, YEAR, count(*) AS n_pairs, sum(TOTAL_EMPLOYEES) AS pair_employees FROM {combined_by_postal_code} GROUP BY ALL")
+    reg.register("combined_by_postal_code", "combined_by_local_area", "pair_counts", "investment_vs_land_value")
+    reg.define("business_size_by_postal_code", lambda g: views.v1(g.get("business_licenses").where("NUMBER_OF_EMPLOYEES <= 25")), ["business_licenses"])
+    gone = reg.drop("investment_land_value_followup", cascade=True)
+    out = s.sql("""SELECT a.LOCAL_AREA, a.YEAR, n_pairs, pair_employees, TOTAL_EMPLOYEES, TOTAL_BUSINESSES, NUM_OF_PROPERTIES
+        FROM combined_by_local_area a JOIN pair_counts p ON a.LOCAL_AREA <=> p.LOCAL_AREA AND a.YEAR = p.YEAR""")
+    return publish(out.withColumn("dropped", F.lit(",".join(gone))))
+
+
 def q_batch_clean(s, d):
     """The cleaning jobs by their parameters, written and read back; contract audit of what was written."""
     base = scratch_path(s, "batch-clean")
@@ -483,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "single_csv": q_single_csv,
     "table_load": q_table_load,
     "named_views": q_named_views,
+    "views_cascade": q_views_cascade,
     "batch_clean": q_batch_clean,
     "licence_outcomes": q_licence_outcomes,
     "clean_permits_columnar_job": q_clean_permits_columnar_job,
@@ -548,6 +561,7 @@ COVERAGE: dict[str, str] = {
     "single_csv": "S7",
     "table_load": "S4, S5",
     "named_views": "S8",
+    "views_cascade": "S8 (redefinition and drop with all readers), V3, V4",
     "batch_clean": "S11, C8 (outcomes)",
     "licence_outcomes": "C8 (kept + rejected = read)",
     "clean_permits_columnar_job": "older columnar permit job",
@@ -700,6 +714,14 @@ ORACLE: dict[str, str] = {
         SELECT YEAR, LOCAL_AREA, total_permits_issued, residential_zoning_count, most AS total_businesses
         FROM area_years LEFT JOIN (SELECT investment_year AS YEAR, local_area AS LOCAL_AREA, max(total_businesses) AS most FROM followup_areas GROUP BY ALL)
         USING (YEAR, LOCAL_AREA)""", "area_years", "followup_areas"),
+    "views_cascade": with_ctes("""
+        SELECT LOCAL_AREA, YEAR, count(*) AS n_pairs, sum(TOTAL_EMPLOYEES)::BIGINT AS pair_employees, sum(TOTAL_EMPLOYEES)::BIGINT AS TOTAL_EMPLOYEES,
+               sum(TOTAL_BUSINESSES)::BIGINT AS TOTAL_BUSINESSES, count(DISTINCT POSTAL_CODE) AS NUM_OF_PROPERTIES,
+               'investment_vs_land_value,investment_land_value_followup' AS dropped
+        FROM (SELECT POSTAL_CODE, FOLDER_YEAR, STREET_NAME, LOCAL_AREA, sum(NUMBER_OF_EMPLOYEES) AS TOTAL_EMPLOYEES, count(BUSINESS_NAME) AS TOTAL_BUSINESSES
+              FROM lic WHERE NUMBER_OF_EMPLOYEES <= 25 GROUP BY ALL) b
+        JOIN (SELECT POSTAL_CODE, REPORT_YEAR AS YEAR FROM tax_groups) t USING (POSTAL_CODE)
+        WHERE YEAR = FOLDER_YEAR + 2000 GROUP BY ALL""", "lic", "tax_groups"),
     "area_map": with_ctes(f"""
         SELECT LOCAL_AREA, YEAR, average_land_value, average_project_value, average_improvement_value, round(cx, 3) AS centroid_x, round(cy, 3) AS centroid_y
         FROM area_years JOIN nation ON n_name = LOCAL_AREA LEFT JOIN centres_utm ON name = LOCAL_AREA WHERE YEAR = {AREA_MAP_YEAR}""", "area_years", "centres_utm"),

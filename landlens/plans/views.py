@@ -9,7 +9,7 @@ the city tables and on any stand-in tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,34 +133,34 @@ def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame],
 
     ``tables`` must hold ``property_tax``, ``building_permits`` and
     ``business_licenses``.  No result is cached: a caller that writes a result
-    others are built from may ``replace`` it by the written table.
+    others are built from may ``replace`` it by the written table.  A view that is
+    defined again or dropped takes its readers along (see :class:`ViewRegistry`).
     """
     r = ViewRegistry(spark, tables)
-    r.define("business_size_by_postal_code", lambda g: v1(g.get("business_licenses")))
-    r.define("property_aggregated_by_postal_code", lambda g: v2(g.get("property_tax")))
-    r.define("combined_by_postal_code", lambda g: joins.combined_by_postal_code(
-        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code")))
-    r.define("combined_by_local_area", lambda g: v4(
-        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code"), o))
-    r.define("investment_land_value_followup", lambda g: v5(
-        g.get("business_size_by_postal_code"), g.get("property_aggregated_by_postal_code"), o))
-    r.define("postal_code_local_area_view",
-             lambda g: v6(g.get("property_tax"), g.get("building_permits"), o))
-    r.define("property_tax_by_report_year_local_area_view",
-             lambda g: v7(g.get("property_tax"), g.get("building_permits"), o))
-    r.define("building_permits_by_year_local_area_view", lambda g: v8(g.get("building_permits"), o))
-    r.define("combined_building_permits_property_tax_view", lambda g: joins.combined_permits_tax(
-        g.get("building_permits_by_year_local_area_view"),
-        g.get("property_tax_by_report_year_local_area_view")))
-    r.define("property_tax_grouped", lambda g: v10(g.get("property_tax"), o))
-    r.define("building_permits_grouped", lambda g: v11(g.get("building_permits"), o))
-    r.define("property_and_permits_grouped", lambda g: joins.property_and_permits_grouped(
-        g.get("property_tax_grouped"), g.get("building_permits_grouped")))
-    r.define("investment_vs_land_value", lambda g: v13(g.get("investment_land_value_followup")))
-    r.define("investment_land_value_correlation", lambda g: v14(g.get("property_and_permits_grouped")))
-    r.define("zoning_and_use_shares", lambda g: v15(g.get("combined_building_permits_property_tax_view")))
-    r.define("area_trend", lambda g: v17(g.get("combined_building_permits_property_tax_view")))
+
+    def result(name: str, build: Callable[..., DataFrame], *reads: str) -> None:
+        r.define(name, lambda g: build(*[g.get(n) for n in reads]), reads)
+
+    tax, permits, licences = "property_tax", "building_permits", "business_licenses"
+    sizes, totals = "business_size_by_postal_code", "property_aggregated_by_postal_code"
+    by_tax, by_permits = "property_tax_by_report_year_local_area_view", "building_permits_by_year_local_area_view"
+    area_years, postal = "combined_building_permits_property_tax_view", "property_and_permits_grouped"
+    result(sizes, v1, licences)
+    result(totals, v2, tax)
+    result("combined_by_postal_code", joins.combined_by_postal_code, sizes, totals)
+    result("combined_by_local_area", lambda b, p: v4(b, p, o), sizes, totals)
+    result("investment_land_value_followup", lambda b, p: v5(b, p, o), sizes, totals)
+    result("postal_code_local_area_view", lambda t, p: v6(t, p, o), tax, permits)
+    result(by_tax, lambda t, p: v7(t, p, o), tax, permits)
+    result(by_permits, lambda p: v8(p, o), permits)
+    result(area_years, joins.combined_permits_tax, by_permits, by_tax)
+    result("property_tax_grouped", lambda t: v10(t, o), tax)
+    result("building_permits_grouped", lambda p: v11(p, o), permits)
+    result(postal, joins.property_and_permits_grouped, "property_tax_grouped", "building_permits_grouped")
+    result("investment_vs_land_value", v13, "investment_land_value_followup")
+    result("investment_land_value_correlation", v14, postal)
+    result("zoning_and_use_shares", v15, area_years)
+    result("area_trend", v17, area_years)
     if "boundaries" in tables:
-        r.define("area_map", lambda g: v16(g.get("combined_building_permits_property_tax_view"),
-                                           g.get("boundaries")))
+        result("area_map", v16, area_years, "boundaries")
     return r
