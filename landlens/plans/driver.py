@@ -28,7 +28,10 @@ from landlens.plans import views
 from landlens.plans import oracle as O
 from landlens.plans.oracle import money, with_ctes
 from landlens.session import scratch_path
-from landlens.sources import declare_table, export_csv, heat_map_feed, read_delimited, read_result, write_table
+from landlens.plans.run import ORDERED
+from landlens.sources import (
+    declare_table, export_csv, heat_map_feed, read_delimited, read_ordered, read_result, write_ordered, write_table,
+)
 
 OPT = views.ViewOptions(zoning_area=B.ZONING_AREA_T, zoning_postal=B.ZONING_POSTAL_T,
                         use_area=B.USE_AREA_T, use_postal=B.USE_POSTAL_T, avg_double=True)
@@ -328,6 +331,22 @@ def q_csv_roundtrip(s, d):
     return publish(read_result(s, path, rows.schema, sep=";"))
 
 
+def q_ordered_followup(s, d):
+    """V5 exported as CSV in its order and read again, each row with its position in the files."""
+    v5 = publish(views.v5(_v1(s, d), _v2(s, d), OPT))
+    path = scratch_path(s, "ordered-csv")
+    write_ordered(v5, path, ORDERED["investment_land_value_followup"], fmt="csv", files=7)
+    return read_ordered(s, path, v5.schema, fmt="csv")
+
+
+def q_ordered_rollup(s, d):
+    """V4 written as Parquet in its order and read again, each row with its position in the files."""
+    v4 = publish(views.v4(_v1(s, d), _v2(s, d), OPT))
+    path = scratch_path(s, "ordered-parquet")
+    write_ordered(v4, path, ORDERED["combined_by_local_area"], files=5)
+    return read_ordered(s, path, v4.schema)
+
+
 def q_single_csv(s, d):
     v13 = publish(views.v13(views.v5(_v1(s, d), _v2(s, d), OPT)))
     path = scratch_path(s, "single-csv")
@@ -487,6 +506,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reproject": q_reproject,
     "area_rollup_money": q_area_rollup_money,
     "followup_sorted": q_followup_sorted,
+    "ordered_followup": q_ordered_followup,
+    "ordered_rollup": q_ordered_rollup,
     "bridge_fanout_avg_money": q_bridge_fanout_avg_money,
     "class_counts_money": q_class_counts_money,
     "value_profile_money": q_value_profile_money,
@@ -553,6 +574,8 @@ COVERAGE: dict[str, str] = {
     "reproject": "G1, G3",
     "area_rollup_money": "A3, V4 with averages as money (the default)",
     "followup_sorted": "O2 (V5 in its declared order)",
+    "ordered_followup": "O2, S6 (order of the exported files, by position)",
+    "ordered_rollup": "O1 (order of the written files, by position)",
     "bridge_fanout_avg_money": "A4, V7 with averages as money",
     "class_counts_money": "A5, V8 with averages as money",
     "value_profile_money": "A6, V10 with averages as money",
@@ -645,6 +668,9 @@ ORACLE: dict[str, str] = {
     "followup_equi": _FOLLOWUP,
     "followup_range": _FOLLOWUP,
     "followup_sorted": _FOLLOWUP,
+    "ordered_followup": with_ctes(_as_double("LAND_VALUE_IN_INVESTMENT_YEAR", "LAND_VALUE_IN_FOLLOWUP_YEAR") + """,
+        row_number() OVER (ORDER BY LOCAL_AREA NULLS LAST, POSTAL_CODE NULLS LAST, INVESTMENT_YEAR, FOLLOWUP_YEAR) AS position FROM followup""", "followup"),
+    "ordered_rollup": with_ctes("SELECT *, row_number() OVER (ORDER BY LOCAL_AREA NULLS LAST, YEAR) AS position FROM areas", "areas"),
     "followup_rollup": with_ctes("FROM followup_areas", "followup_areas"),
     "single_csv": with_ctes("FROM followup_areas", "followup_areas"),
     "bridge_size": with_ctes("SELECT count(*) AS total_rows FROM tax JOIN permits ON POSTAL_CODE = PROPERTY_POSTAL_CODE", "tax", "permits"),

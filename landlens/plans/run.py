@@ -9,10 +9,11 @@
    from are read back from there.  The bridge (V6) is written compressed, as its
    distinct (postal, area) pairs with the number of rows each stands for; the
    product itself is never written.  V4 and V5 are written in their declared
-   order (O1, O2);
+   order (O1, O2), as numbered ranges with a manifest;
 3. the unloads of the source are written as CSV (S6/S7) from the written
    results: the area tables, whose size is bounded by areas x years, as one
-   file; the others, which grow with the postal codes or the input, in parallel;
+   file; the others, which grow with the postal codes or the input, in parallel,
+   V5 in its order (``sources.ordered``);
 4. scratch tables are removed.
 """
 
@@ -21,10 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landlens.operators import fanout, followup
+from landlens.operators import fanout
 from landlens.plans import jobs, views
 from landlens.session import clear_scratch, scratch_mark
-from landlens.sources import export_csv
+from landlens.sources import export_csv, write_ordered
 
 # result name -> (separator, single file?, text for null)
 CSV_UNLOADS = {
@@ -36,20 +37,21 @@ CSV_UNLOADS = {
     "property_tax": (";", False, None),
 }
 
+#: Results with a declared order (nulls last), kept by their files.
+ORDERED = {
+    "combined_by_local_area": ("LOCAL_AREA", "YEAR"),
+    "investment_land_value_followup": ("LOCAL_AREA", "POSTAL_CODE", "INVESTMENT_YEAR", "FOLLOWUP_YEAR"),
+}
+
 BRIDGE = "postal_code_local_area_view"
 
 
 def written_form(name: str, reg, options: views.ViewOptions) -> DataFrame:
-    """What ``run_all`` writes for a named result: V6 compressed, V4 and V5 in their declared order."""
+    """What ``run_all`` writes for a named result: V6 compressed, the others as they are."""
     if name == BRIDGE:
         w = fanout.bridge_weights(reg.get("property_tax"), reg.get("building_permits"), options.weighting)
         return w.select(F.col("__postal").alias("POSTAL_CODE"), "LOCAL_AREA", F.col("__w").alias("n_rows"))
-    df = reg.get(name)
-    if name == "investment_land_value_followup":
-        return followup.sorted_followup(df)
-    if name == "combined_by_local_area":
-        return df.orderBy(F.col("LOCAL_AREA").asc_nulls_last(), "YEAR")
-    return df
+    return reg.get(name)
 
 
 def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
@@ -69,14 +71,21 @@ def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
         if name in tables:
             continue
         path = f"{out}/results/{name}"
-        written_form(name, reg, options).write.mode("overwrite").parquet(path)
+        result = written_form(name, reg, options)
+        if name in ORDERED:
+            write_ordered(result, path, ORDERED[name])
+        else:
+            result.write.mode("overwrite").parquet(path)
         written[name] = path
         if name != BRIDGE:
             reg.replace(name, spark.read.parquet(path))
     reg.register()
     for name, (sep, single, null_text) in CSV_UNLOADS.items():
         path = f"{out}/csv/{name}"
-        export_csv(reg.get(name), path, sep=sep, single_file=single, null_text=null_text)
+        if name in ORDERED:
+            write_ordered(reg.get(name), path, ORDERED[name], fmt="csv", sep=sep, null_text=null_text)
+        else:
+            export_csv(reg.get(name), path, sep=sep, single_file=single, null_text=null_text)
         written[f"{name}.csv"] = path
     clear_scratch(spark, since=mark)
     return written

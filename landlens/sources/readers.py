@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,15 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str],
     return df.select(*columns) if columns else df
 
 
+def delimited_reader(spark: SparkSession, sep: str = ";", quote: str = '"', escape: str = "\\", header: bool = True,
+                     multiline: bool = False, empty_as_null: bool = True) -> DataFrameReader:
+    """The reader of all delimited files."""
+    r = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
+         .option("escape", escape).option("multiLine", multiline)
+         .option("mode", "PERMISSIVE"))
+    return r if empty_as_null else r.option("emptyValue", "").option("nullValue", "\u0000")
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
                    quote: str = '"', escape: str = "\\", header: bool = True,
                    multiline: bool = False, schema: T.StructType | None = None,
@@ -39,11 +48,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     column that holds the line where it has another number of fields than the
     header (null otherwise); without it such lines read as far as they go.
     """
-    r = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
-         .option("escape", escape).option("multiLine", multiline)
-         .option("mode", "PERMISSIVE"))
-    if not empty_as_null:
-        r = r.option("emptyValue", "").option("nullValue", "\u0000")
+    r = delimited_reader(spark, sep, quote, escape, header, multiline, empty_as_null)
     paths = [path] if isinstance(path, str) else list(path)
     if malformed_col and schema is None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in r.option("inferSchema", False).csv(paths).columns])

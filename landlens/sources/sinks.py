@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from landlens.contracts import TableContract
@@ -32,6 +32,13 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
         df.write.mode(mode).format("parquet").saveAsTable(name)
 
 
+def csv_writer(df: DataFrame, sep: str = ",", header: bool = True, null_text: str | None = None) -> DataFrameWriter:
+    """The writer of all CSV exports: quotes and escapes as in ``read_delimited``, an empty text as ``""``, a null as ``null_text`` or nothing."""
+    w = (df.write.mode("overwrite").option("header", header).option("sep", sep)
+         .option("quote", '"').option("escape", "\\").option("emptyValue", '""'))
+    return w if null_text is None else w.option("nullValue", null_text)
+
+
 def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False,
                header: bool = True, null_text: str | None = None) -> None:
     """CSV export, parallel (one file per partition) or as a single file.
@@ -44,12 +51,7 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = Fal
     ``""`` and a null as nothing, so text holding the separator, quotes, newlines
     (with ``multiline``) or nothing reads back unchanged by ``read_result``.
     """
-    out = df.repartition(1) if single_file else df
-    w = (out.write.mode("overwrite").option("header", header).option("sep", sep)
-         .option("quote", '"').option("escape", "\\").option("emptyValue", '""'))
-    if null_text is not None:
-        w = w.option("nullValue", null_text)
-    w.csv(path)
+    csv_writer(df.repartition(1) if single_file else df, sep, header, null_text).csv(path)
 
 
 def heat_map_feed(v12: DataFrame) -> DataFrame:
