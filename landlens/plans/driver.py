@@ -437,6 +437,14 @@ def q_clean_permits_job(s, d):
     return publish(jobs.clean_building_permits(read_delimited(s, path, sep=";")))
 
 
+def q_clean_permits_multiline_job(s, d):
+    """The permit job on one file whose addresses hold newlines, separators and quotes, read in pieces."""
+    raw, path = B.raw_building_permits(s, d), scratch_path(s, "raw-permits-lines")
+    second = F.concat("Address", F.lit('\nrear; "lane"\n'), "PermitNumber")
+    export_csv(raw.withColumn("Address", F.when(F.col("PermitCategory") == "C4", second).otherwise(F.col("Address"))), path, sep=";", single_file=True)
+    return publish(jobs.clean_building_permits(read_delimited(s, path, sep=";", multiline=True, malformed_col=jobs.MALFORMED)))
+
+
 AREA_MAP_YEAR = 1998
 TREND_AREA = "NATION_3"
 
@@ -501,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_tax_job": q_clean_tax_job,
     "clean_licences_job": q_clean_licences_job,
     "clean_permits_job": q_clean_permits_job,
+    "clean_permits_multiline_job": q_clean_permits_multiline_job,
     "area_map": q_area_map,
     "centroid": q_centroid,
     "reproject": q_reproject,
@@ -568,6 +577,7 @@ COVERAGE: dict[str, str] = {
     "csv_roundtrip": "S3, S6",
     "clean_tax_job": "C1, C3, C5, C6 (tax job)",
     "clean_licences_job": "C2, C4, C6, C7, C8 (licence job)",
+    "clean_permits_multiline_job": "S2 (newlines in fields), C1-C6, C10 (permit job)",
     "clean_permits_job": "S2, C1, C2, C3, C5, C6, C10 (permit job)",
     "area_map": "C11, J7, G2, G3, S9, V16",
     "centroid": "G2, S9",
@@ -760,6 +770,8 @@ ORACLE: dict[str, str] = {
     "clean_licences_job": f"SELECT * EXCLUDE (outcome) FROM ({_RAW_LIC}) WHERE FOLDER_YEAR IS NOT NULL",
     "licence_outcomes": f"SELECT outcome, count(*) AS n_rows FROM ({_RAW_LIC}) GROUP BY outcome",
     "clean_permits_job": _CLEAN_PERMITS,
+    "clean_permits_multiline_job": _CLEAN_PERMITS.replace(f"FROM ({_RAW_PERMITS})", f"""FROM (SELECT * REPLACE (
+        CASE WHEN permit_category = 'C4' THEN address || chr(10) || 'rear; "lane"' || chr(10) || permit_number ELSE address END AS address) FROM ({_RAW_PERMITS}))"""),
     "class_maps": O.CLASSES,
     "clean_permits_columnar_job": f"SELECT DISTINCT * EXCLUDE (permit_number, geo_point_2d) FROM ({_CLEAN_PERMITS})",
     "batch_clean": f"""

@@ -105,7 +105,7 @@ def main(argv: list[str] | None = None) -> None:
     g = ap.add_mutually_exclusive_group(required=True)
     g.add_argument("--permits-csv", help="raw building-permit delimited path (';')")
     g.add_argument("--permits-parquet", help="raw building-permit Parquet path (older layout)")
-    ap.add_argument("--multiline", action="store_true", help="quoted permit fields hold newlines (each file is one task)")
+    ap.add_argument("--multiline", action="store_true", help="quoted permit fields hold newlines (the files are still read in pieces)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--input-bytes", type=int, default=None, help="input size, for partition sizing")
     ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landlens.contracts import TableContract
+from landlens.sources.records import parse_records, read_records
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str],
@@ -39,9 +40,9 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
                    empty_as_null: bool = True, malformed_col: str | None = None) -> DataFrame:
     """Delimited text with a header; all columns strings unless ``schema`` is given.
 
-    ``multiline=True`` lets quoted fields hold newlines (free-text addresses); a
-    file can then not be split, so each file is one task: use it for files that
-    need it, cut to a size that one task can read.  Empty fields decide how many
+    ``multiline=True`` lets quoted fields hold newlines (free-text addresses); the
+    file is still read in pieces by many tasks (:mod:`landlens.sources.records`), at
+    the price of a shuffle.  Empty fields decide how many
     rows a later null-drop removes (Q16): an unquoted empty field always reads as
     null in Spark's CSV source; a quoted empty field ``""`` reads as null too by
     default, or as ``''`` with ``empty_as_null=False``.  ``malformed_col`` adds a
@@ -50,8 +51,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     """
     r = delimited_reader(spark, sep, quote, escape, header, multiline, empty_as_null)
     paths = [path] if isinstance(path, str) else list(path)
-    if malformed_col and schema is None:
+    if (malformed_col or multiline) and schema is None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in r.option("inferSchema", False).csv(paths).columns])
+    if multiline:
+        return parse_records(read_records(spark, paths, sep, quote, escape, header), schema, sep, quote, escape, empty_as_null, malformed_col)
     if schema is None:
         return r.option("inferSchema", False).csv(paths)
     if malformed_col:
