@@ -131,6 +131,10 @@ BUILDING_PERMITS_COLUMNAR = TableContract(
     ),
 )
 
+# Declared text lengths of the permit table; counted by the audit, never cut.
+PERMIT_LENGTHS = {"TYPE_OF_WORK": 255, "ADDRESS": 255, "POSTAL_CODE": 20, "PERMIT_CATEGORY": 255, "PROPERTY_USE": 255,
+                  "YEAR_MONTH": 7, "GEO_LOCAL_AREA": 255}
+
 # Fixed value: string length limit of the licence table.
 MAX_STRING_LENGTH = 255
 

@@ -49,16 +49,20 @@ def conform(df: DataFrame, contract: TableContract, rename: bool = True,
     is already renamed); failed casts give null; strings with a ``max_length``
     are cut to it.  Output columns follow the contract order.
     """
-    types = dict(df.dtypes)
+    return df.select(*conform_columns(df, contract, rename, truncate_strings))
+
+
+def conform_columns(df: DataFrame, contract: TableContract, rename: bool = True, truncate_strings: bool = True) -> list[Column]:
+    """The columns of :func:`conform`."""
     schema = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in contract.fields:
-        name = f.src if f.src in types else f.target
+        name = f.src if f.src in schema else f.target
         c = conform_column(F.col(name), f.dtype, schema.get(name))
         if truncate_strings and f.max_length and isinstance(f.dtype, T.StringType):
             c = truncate(c, f.max_length)
         cols.append(c.alias(f.target if rename else name))
-    return df.select(*cols)
+    return cols
 
 
 def truncate_columns(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -387,21 +388,21 @@ def q_views_cascade(s, d):
 
 
 def q_batch_clean(s, d):
-    """The cleaning jobs by their parameters, written and read back; contract audit of what was written."""
+    """The cleaning jobs by their parameters, written and read back: rows, outcomes and contract audit of all four tables."""
     base = scratch_path(s, "batch-clean")
     B.raw_property_tax(s, d).write.parquet(f"{base}/raw/tax")
     B.raw_business_licenses(s, d).write.parquet(f"{base}/raw/licences")
     export_csv(B.raw_building_permits(s, d), f"{base}/raw/permits", sep=";")
-    jobs.run_cleaning(s, tax_path=f"{base}/raw/tax", licences_path=f"{base}/raw/licences",
-                      permits_csv_path=f"{base}/raw/permits", target=f"{base}/clean")
-    out = [s.read.parquet(f"{base}/clean/{n}").select(F.lit(n).alias("result"), F.lit("rows").alias("subject"))
-           .groupBy("result", "subject").agg(F.count(F.lit(1)).alias("n")) for n in ("property_tax", "building_permits", "business_licenses")]
-    out += [s.read.parquet(f"{base}/clean/outcomes/{n}").select(F.lit(f"outcomes/{n}").alias("result"), F.col("outcome").alias("subject"),
-                                                                 F.col("n_rows").alias("n")) for n in ("business_licenses", "building_permits")]
-    total = out[0]
-    for o in out[1:]:
-        total = total.unionByName(o)
-    return total
+    tables = jobs.run_cleaning(s, tax_path=f"{base}/raw/tax", licences_path=f"{base}/raw/licences", permits_csv_path=f"{base}/raw/permits",
+                               target=f"{base}/clean", boundaries=B.raw_boundaries(s, d))
+    out = []
+    for n, rows in tables.items():
+        gone = jobs.rejected(s, f"{base}/clean", n)
+        out += [rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("result"), F.lit("rows").alias("subject"), "n"),
+                gone.groupBy(F.col("reason").alias("subject")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"rejected/{n}").alias("result"), "subject", "n"),
+                s.read.parquet(f"{base}/clean/outcomes/{n}").select(F.lit(f"outcomes/{n}").alias("result"), F.col("outcome").alias("subject"), F.col("n_rows").alias("n")),
+                s.read.parquet(f"{base}/clean/audit/{n}").select(F.lit(f"audit/{n}").alias("result"), F.concat_ws(":", "check", "subject").alias("subject"), F.col("violations").alias("n"))]
+    return reduce(DataFrame.unionByName, out)
 
 
 def q_class_maps(s, d):
@@ -595,7 +596,7 @@ COVERAGE: dict[str, str] = {
     "table_load": "S4, S5",
     "named_views": "S8",
     "views_cascade": "S8 (redefinition and drop with all readers), V3, V4",
-    "batch_clean": "S11, C8 (outcomes)",
+    "batch_clean": "S11, S9 (ring validity), C8 (outcomes, rejects), C9 (all four tables), A8",
     "licence_outcomes": "C8 (kept + rejected = read)",
     "clean_permits_columnar_job": "older columnar permit job",
     "class_maps": "P1, P2, P3 with the city's own maps",
@@ -775,9 +776,41 @@ ORACLE: dict[str, str] = {
     "class_maps": O.CLASSES,
     "clean_permits_columnar_job": f"SELECT DISTINCT * EXCLUDE (permit_number, geo_point_2d) FROM ({_CLEAN_PERMITS})",
     "batch_clean": f"""
-        SELECT 'property_tax' AS result, 'rows' AS subject, count(*) AS n FROM ({_CLEAN_TAX})
-        UNION ALL SELECT 'business_licenses', 'rows', count(*) FROM ({_RAW_LIC}) WHERE FOLDER_YEAR IS NOT NULL
-        UNION ALL SELECT 'building_permits', 'rows', count(*) FROM ({_CLEAN_PERMITS})
-        UNION ALL SELECT 'outcomes/business_licenses', outcome, count(*) FROM ({_RAW_LIC}) GROUP BY outcome
-        UNION ALL SELECT 'outcomes/building_permits', CASE WHEN address IS NULL THEN 'missing:Address' ELSE 'kept' END, count(*) FROM ({_RAW_PERMITS}) GROUP BY 2""",
+        WITH tax AS ({_CLEAN_TAX}), lic AS ({_RAW_LIC}), kept_lic AS (FROM lic WHERE FOLDER_YEAR IS NOT NULL), permits AS ({_CLEAN_PERMITS}),
+        raw_tax AS (SELECT CASE WHEN LEGAL_TYPE IS NULL THEN 'missing:LEGAL_TYPE' ELSE 'kept' END AS outcome
+                    FROM (FROM ({_RAW_TAX}) UNION ALL FROM ({_RAW_TAX}) WHERE LEGAL_TYPE = 'F')),
+        raw_permits AS (SELECT CASE WHEN address IS NULL THEN 'missing:Address' ELSE 'kept' END AS outcome FROM ({_RAW_PERMITS})),
+        areas AS (SELECT n_name AS name, n_nationkey % 4 = 1 AS turned,
+                         CASE WHEN n_nationkey % 8 = 7 THEN 'unreadable' WHEN n_nationkey % 6 = 5 THEN 'unclosed' WHEN n_nationkey % 7 = 3 THEN 'self_intersecting'
+                              WHEN n_nationkey % 11 = 4 THEN 'too_few_points' ELSE 'kept' END AS outcome FROM nation),
+        outcomes AS (SELECT 'property_tax' AS t, outcome FROM raw_tax UNION ALL SELECT 'business_licenses', outcome FROM lic
+                     UNION ALL SELECT 'building_permits', outcome FROM raw_permits UNION ALL SELECT 'boundaries', outcome FROM areas),
+        sizes AS (SELECT 'property_tax' AS t, count(*) AS n FROM tax UNION ALL SELECT 'business_licenses', count(*) FROM kept_lic
+                  UNION ALL SELECT 'building_permits', count(*) FROM permits UNION ALL SELECT 'boundaries', count(*) FROM areas WHERE outcome = 'kept'),
+        doubles AS (SELECT t, k, count(*) AS n FROM (
+                        SELECT 'property_tax' AS t, 'PROPERTY_POSTAL_CODE,PID' AS k, PROPERTY_POSTAL_CODE || ' ' || PID AS v FROM tax
+                        UNION ALL SELECT 'business_licenses', 'POSTAL_CODE,BUSINESS_NAME', POSTAL_CODE || ' ' || BUSINESS_NAME FROM kept_lic
+                        UNION ALL SELECT 'boundaries', 'name', name FROM areas WHERE outcome = 'kept') GROUP BY t, k, v),
+        clear(t, c) AS (VALUES
+            ('property_tax', 'not_null:PID'), ('property_tax', 'not_null:PROPERTY_POSTAL_CODE'), ('property_tax', 'not_null:REPORT_YEAR'),
+            ('property_tax', 'cast_failed:CURRENT_LAND_VALUE'), ('property_tax', 'cast_failed:CURRENT_IMPROVEMENT_VALUE'),
+            ('property_tax', 'cast_failed:TAX_ASSESSMENT_YEAR'), ('property_tax', 'cast_failed:PREVIOUS_LAND_VALUE'),
+            ('property_tax', 'cast_failed:PREVIOUS_IMPROVEMENT_VALUE'), ('property_tax', 'cast_failed:BIG_IMPROVEMENT_YEAR'),
+            ('property_tax', 'cast_failed:TAX_LEVY'), ('property_tax', 'cast_failed:REPORT_YEAR'),
+            ('business_licenses', 'not_null:FOLDER_YEAR'), ('business_licenses', 'not_null:BUSINESS_NAME'), ('business_licenses', 'not_null:POSTAL_CODE'),
+            ('business_licenses', 'cast_failed:FOLDER_YEAR'), ('business_licenses', 'cast_failed:NUMBER_OF_EMPLOYEES'),
+            ('building_permits', 'cast_failed:PROJECT_VALUE'), ('building_permits', 'cast_failed:ISSUE_YEAR'),
+            ('building_permits', 'too_long:TYPE_OF_WORK'), ('building_permits', 'too_long:ADDRESS'), ('building_permits', 'too_long:POSTAL_CODE'),
+            ('building_permits', 'too_long:PERMIT_CATEGORY'), ('building_permits', 'too_long:PROPERTY_USE'), ('building_permits', 'too_long:YEAR_MONTH'),
+            ('building_permits', 'too_long:GEO_LOCAL_AREA'))
+        SELECT t AS result, 'rows' AS subject, n FROM sizes
+        UNION ALL SELECT 'outcomes/' || t, outcome, count(*) FROM outcomes GROUP BY ALL
+        UNION ALL SELECT 'rejected/' || t, outcome, count(*) FROM outcomes WHERE outcome <> 'kept' GROUP BY ALL
+        UNION ALL SELECT 'audit/' || t, 'row_count:*', n FROM sizes
+        UNION ALL SELECT 'audit/' || t, c, 0 FROM clear
+        UNION ALL SELECT 'audit/property_tax', 'cast_failed:YEAR_BUILT', count(*) FROM tax WHERE YEAR_BUILT IS NULL
+        UNION ALL SELECT 'audit/building_permits', 'cast_failed:ISSUE_DATE', count(*) FROM permits WHERE issue_date IS NULL
+        UNION ALL SELECT 'audit/boundaries', 'reversed_rings:polygons', count(*) FROM areas WHERE outcome = 'kept' AND turned
+        UNION ALL SELECT 'audit/' || t, 'duplicate_key_groups:' || k, count(*) FILTER (n > 1) FROM doubles GROUP BY ALL
+        UNION ALL SELECT 'audit/' || t, 'duplicate_key_rows:' || k, coalesce(sum(n) FILTER (n > 1), 0)::BIGINT FROM doubles GROUP BY ALL""",
 }

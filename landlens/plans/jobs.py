@@ -18,6 +18,9 @@ from landlens.contracts import (
 )
 from landlens.functions.casts import conform_column
 from landlens.operators import clean
+from landlens.operators.boundaries import check_boundaries
+from landlens.plans import loads
+from landlens.plans.loads import MALFORMED
 from landlens.sources import readers
 
 
@@ -93,9 +96,6 @@ def licence_outcomes(raw: DataFrame) -> DataFrame:
     return clean.outcomes(rows, clean.reject_reason(rows, BUSINESS_LICENSES))
 
 
-MALFORMED = "__malformed"
-
-
 def permit_reject_reason(raw: DataFrame) -> Column:
     """Why the permit job drops a raw row before it looks for copies: ``malformed`` line or ``missing:COLUMN``."""
     line = [F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed"))] if MALFORMED in raw.columns else []
@@ -114,44 +114,55 @@ def permits_view_table(permits: DataFrame) -> DataFrame:
 
 def run_cleaning(spark: SparkSession, tax_path: str | None = None, permits_csv_path: str | None = None,
                  permits_parquet_path: str | None = None, licences_path: str | None = None,
-                 target: str | None = None, mode: str = "overwrite", multiline: bool = False) -> dict[str, DataFrame]:
+                 target: str | None = None, mode: str = "overwrite", multiline: bool = False,
+                 boundaries: DataFrame | None = None) -> dict[str, DataFrame]:
     """Run the cleaning jobs whose inputs are given (S11: plain arguments).
 
     With ``target`` (a folder on shared storage) each table is written as
     Parquet under it and re-read, so later stages start from the written
-    table (lineage cut, survives executor loss); beside it go the rejected rows
-    (``rejected/``), the counted outcomes (``outcomes/``) and the contract audit of
-    the written table (``audit/``).  Otherwise lazy frames are returned.
+    table (lineage cut, survives executor loss).  A raw table is scanned once
+    (:mod:`landlens.plans.loads`): its clean rows are in ``outcome=kept``, its rejected
+    ones beside them (``rejected``); the counted outcomes (``outcomes/``) and the
+    contract audit (``audit/``) come from that write.  ``boundaries`` are (name, geojson).
+    Otherwise lazy frames are returned.
     """
-    out: dict[str, DataFrame] = {}
-    beside: dict[str, DataFrame] = {}
+    raw: dict[str, tuple[DataFrame, str]] = {}
     if tax_path:
-        out["property_tax"] = clean_property_tax(readers.read_parquet(spark, tax_path))
+        raw["property_tax"] = readers.read_parquet(spark, tax_path), "property_tax"
     if permits_csv_path:
-        raw = readers.read_delimited(spark, permits_csv_path, sep=";", malformed_col=MALFORMED, multiline=multiline)
-        out["building_permits"] = permits_view_table(clean_building_permits(raw))
-        beside["outcomes/building_permits"] = permit_outcomes(raw)
-        beside["rejected/building_permits"] = raw.withColumn("reason", permit_reject_reason(raw)).where("reason IS NOT NULL")
+        lines = readers.read_delimited(spark, permits_csv_path, sep=";", malformed_col=MALFORMED, multiline=multiline)
+        raw["building_permits"] = lines, "building_permits"
     elif permits_parquet_path:
-        out["building_permits"] = permits_view_table(
-            clean_building_permits_columnar(readers.read_parquet(spark, permits_parquet_path)))
+        raw["building_permits"] = readers.read_parquet(spark, permits_parquet_path), "building_permits_columnar"
     if licences_path:
-        raw = readers.read_parquet(spark, licences_path)
-        out["business_licenses"] = clean_business_licenses(raw)
-        beside["outcomes/business_licenses"] = licence_outcomes(raw)
-        beside["rejected/business_licenses"] = rejected_business_licenses(raw)
-    if target:
-        target = target.rstrip("/")
-        contracts = {"property_tax": PROPERTY_TAX, "business_licenses": BUSINESS_LICENSES}
-        for name, df in list(out.items()):
-            df.write.mode(mode).parquet(f"{target}/{name}")
-            out[name] = spark.read.parquet(f"{target}/{name}")
-            if name in contracts:
-                beside[f"audit/{name}"] = clean.audit(out[name], contracts[name].required, contracts[name].key)
-        for name, df in beside.items():
-            df.write.mode(mode).parquet(f"{target}/{name}")
+        raw["business_licenses"] = readers.read_parquet(spark, licences_path), "business_licenses"
+    if not target:
+        lazy = {"property_tax": clean_property_tax, "business_licenses": clean_business_licenses,
+                "building_permits": lambda df: permits_view_table(clean_building_permits(df)),
+                "building_permits_columnar": lambda df: permits_view_table(clean_building_permits_columnar(df))}
+        out = {name: lazy[load](df) for name, (df, load) in raw.items()}
+        if boundaries is not None:
+            out["boundaries"] = check_boundaries(boundaries).where("reason IS NULL").select("name", "polygons")
+        return out
+    target, out = target.rstrip("/"), {}
+    loaded = {name: loads.run_load(df, loads.LOADS[load], f"{target}/{name}", mode) for name, (df, load) in raw.items()}
+    if boundaries is not None:
+        loaded["boundaries"] = loads.run_boundaries(boundaries, f"{target}/boundaries", mode)
+    for name, parts in loaded.items():
+        out[name] = parts.clean
+        parts.outcomes.write.mode(mode).parquet(f"{target}/outcomes/{name}")
+        parts.audit.write.mode(mode).parquet(f"{target}/audit/{name}")
     return out
 
 
+def rejected(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """The rejected rows that ``run_cleaning`` left below ``target``, with their reason."""
+    path = f"{target.rstrip('/')}/{name}"
+    written = spark.read.parquet(path)
+    if name == "boundaries":
+        return written.where("outcome = 'rejected'").select("name", "polygons", F.col("__reason").alias("reason"))
+    return loads.rejected_rows(spark, path, written.schema)
+
+
 __all__ = ["clean_property_tax", "clean_building_permits", "clean_building_permits_columnar",
            "clean_business_licenses", "permits_view_table", "run_cleaning"]

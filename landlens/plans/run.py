@@ -60,10 +60,12 @@ def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
             options: views.ViewOptions = views.DEFAULT, multiline: bool = False) -> dict[str, str]:
     """Clean, build and write everything; returns ``{name: output path}``."""
     out, mark = out.rstrip("/"), scratch_mark()
+    unchecked = boundaries is not None and "geojson" in boundaries.columns  # (name, geojson), else (name, polygons)
     tables = jobs.run_cleaning(spark, tax_path=tax_path, permits_csv_path=permits_csv_path,
                                permits_parquet_path=permits_parquet_path,
-                               licences_path=licences_path, target=f"{out}/clean", multiline=multiline)
-    if boundaries is not None:
+                               licences_path=licences_path, target=f"{out}/clean", multiline=multiline,
+                               boundaries=boundaries if unchecked else None)
+    if boundaries is not None and not unchecked:
         tables["boundaries"] = boundaries
     reg = views.build_registry(spark, tables, options)
     written: dict[str, str] = {}

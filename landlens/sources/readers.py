@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,14 @@ POLYGON_JSON = f"type string, coordinates array<array<{_POINT}>>"
 MULTIPOLYGON_JSON = f"type string, coordinates array<array<array<{_POINT}>>>"
 
 
+def parse_polygons(geojson: Column) -> Column:
+    """GeoJSON text -> its polygons, each its outer ring and then its holes, as points (x, y); null for another geometry."""
+    one, many = F.from_json(geojson, POLYGON_JSON), F.from_json(geojson, MULTIPOLYGON_JSON)
+    shapes = F.when(one["type"] == "Polygon", F.array(one["coordinates"])).when(many["type"] == "MultiPolygon", many["coordinates"])
+    return F.transform(shapes, lambda polygon: F.transform(polygon, lambda ring: F.transform(
+        ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))))
+
+
 def boundaries_from_geojson(df: DataFrame, name_col: str = "name",
                             geojson_col: str = "geojson") -> DataFrame:
     """``(name, GeoJSON text)`` -> ``(name, polygons)``.
@@ -85,15 +93,12 @@ def boundaries_from_geojson(df: DataFrame, name_col: str = "name",
     ``polygons`` is ``ARRAY<ARRAY<ARRAY<STRUCT<x=lon, y=lat>>>>``: the polygons of
     an area (one for a Polygon, all for a MultiPolygon), each its outer ring and
     then its holes.  A text that is no such geometry, or has a ring of fewer than
-    three points or a point without two numbers, gives null; the audit counts
-    those.  Re-aim of a shapefile read: any source that yields polygon text per
-    area feeds it.
+    three points or a point without two numbers, gives null; open rings are closed
+    by what uses them.  ``operators.boundaries.check_boundaries`` says why a boundary
+    is unfit, ``plans.loads.run_boundaries`` keeps the fit ones and counts the others.
+    Re-aim of a shapefile read: any source that yields polygon text per area feeds it.
     """
-    one, many = F.from_json(F.col(geojson_col), POLYGON_JSON), F.from_json(F.col(geojson_col), MULTIPOLYGON_JSON)
-    shapes = F.when(one["type"] == "Polygon", F.array(one["coordinates"])).when(many["type"] == "MultiPolygon", many["coordinates"])
-    polygons = F.transform(shapes, lambda polygon: F.transform(polygon, lambda ring: F.transform(
-        ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))))
-    read = df.select(F.col(name_col).alias("name"), polygons.alias("polygons"))
+    read = df.select(F.col(name_col).alias("name"), parse_polygons(F.col(geojson_col)).alias("polygons"))
     whole = (F.size("polygons") > 0) & F.forall("polygons", lambda polygon: (F.size(polygon) > 0) & F.forall(
         polygon, lambda ring: (F.size(ring) >= 3) & F.forall(ring, lambda p: p["x"].isNotNull() & p["y"].isNotNull())))
     return read.withColumn("polygons", F.when(whole, F.col("polygons")))

@@ -127,7 +127,7 @@ def test_run_all_writes_every_result(spark, cleaned):
     bridge = {(r.POSTAL_CODE, r.LOCAL_AREA): int(r.n_rows) for r in spark.read.parquet(written["postal_code_local_area_view"]).collect()}
     assert bridge[("V6E 3T1", "Downtown")] == 3             # compressed: 3 tax rows x 1 permit
     assert {r.outcome: r.n_rows for r in spark.read.parquet(f"{root}/clean/outcomes/business_licenses").collect()} == {"kept": 4}
-    assert spark.read.parquet(f"{root}/clean/rejected/building_permits").count() == 0
+    assert jobs.rejected(spark, f"{root}/clean", "building_permits").count() == 0
     assert spark.read.parquet(f"{root}/clean/audit/property_tax").where("check = 'row_count'").first().violations == 4
     area_csv = spark.read.option("header", True).csv(written["investment_vs_land_value.csv"])
     assert set(area_csv.columns) >= {"local_area", "percent_change_in_land_value"}
