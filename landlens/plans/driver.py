@@ -30,8 +30,9 @@ from landlens.plans import oracle as O
 from landlens.plans.oracle import money, with_ctes
 from landlens.session import scratch_path
 from landlens.plans.run import ORDERED
+from landlens.sources.publish import publish as publish_run
 from landlens.sources import (
-    declare_table, export_csv, heat_map_feed, read_delimited, read_ordered, read_result, write_ordered, write_table,
+    AuditFailed, declare_table, export_csv, heat_map_feed, published, read_delimited, read_ordered, read_result, write_ordered, write_table,
 )
 
 OPT = views.ViewOptions(zoning_area=B.ZONING_AREA_T, zoning_postal=B.ZONING_POSTAL_T,
@@ -366,6 +367,24 @@ def q_table_load(s, d):
     return s.table(name)
 
 
+def q_published_load(s, d):
+    """Licences loaded by runs: one loaded twice, one replaced, one whose audit fails and that is not seen."""
+    lic, place = _lic(s, d).select(*BUSINESS_LICENSES.columns), scratch_path(s, "published")
+
+    def load(rows: DataFrame, run: str) -> None:
+        publish_run(rows, place, run, lambda written: clean.audit(written, BUSINESS_LICENSES.required))
+
+    load(lic.where("FOLDER_YEAR < -5"), "early")
+    load(lic.where("FOLDER_YEAR >= -5"), "late")
+    load(lic.where("FOLDER_YEAR >= -5"), "late")
+    load(lic.where("FOLDER_YEAR < -5 AND LOCAL_AREA IS NOT NULL"), "early")
+    try:
+        load(lic.withColumn("POSTAL_CODE", F.nullif("POSTAL_CODE", F.lit("1"))), "broken")
+    except AuditFailed:
+        pass
+    return published(s, place)
+
+
 def q_named_views(s, d):
     reg = views.build_registry(s, {"property_tax": _tax(s, d), "building_permits": _permits(s, d), "business_licenses": _lic(s, d)}, OPT)
     reg.register()
@@ -525,6 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "postal_correlation": q_postal_correlation,
     "single_csv": q_single_csv,
     "table_load": q_table_load,
+    "published_load": q_published_load,
     "named_views": q_named_views,
     "views_cascade": q_views_cascade,
     "batch_clean": q_batch_clean,
@@ -594,6 +614,7 @@ COVERAGE: dict[str, str] = {
     "postal_correlation": "V14 on V12, three segments",
     "single_csv": "S7",
     "table_load": "S4, S5",
+    "published_load": "S5 (repeatable, audited loads), C9",
     "named_views": "S8",
     "views_cascade": "S8 (redefinition and drop with all readers), V3, V4",
     "batch_clean": "S11, S9 (ring validity), C8 (outcomes, rejects), C9 (all four tables), A8",
@@ -747,6 +768,8 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (ISSUE_DATE::VARCHAR AS ISSUE_DATE, PROJECT_VALUE::DOUBLE AS PROJECT_VALUE, nullif(TYPE_OF_WORK, 'F') AS TYPE_OF_WORK,
                           CASE WHEN PERMIT_CATEGORY = 'C3' THEN '' ELSE ADDRESS || '; "rear"' END AS ADDRESS) FROM permits""", "permits"),
     "table_load": with_ctes("FROM lic UNION ALL FROM lic WHERE LOCAL_AREA IS NULL", "lic"),
+    "published_load": with_ctes("""
+        SELECT *, CASE WHEN FOLDER_YEAR < -5 THEN 'early' ELSE 'late' END AS run_id FROM lic WHERE FOLDER_YEAR >= -5 OR LOCAL_AREA IS NOT NULL""", "lic"),
     "named_views": with_ctes("""
         SELECT YEAR, LOCAL_AREA, total_permits_issued, residential_zoning_count, most AS total_businesses
         FROM area_years LEFT JOIN (SELECT investment_year AS YEAR, local_area AS LOCAL_AREA, max(total_businesses) AS most FROM followup_areas GROUP BY ALL)

@@ -2,6 +2,7 @@
 
 from landlens.sources.catalog import ViewRegistry
 from landlens.sources.ordered import read_manifest, read_ordered, write_ordered
+from landlens.sources.publish import AuditFailed, publish, publish_view, published, vacuum
 from landlens.sources.readers import (
     boundaries_from_geojson, read_delimited, read_parquet, read_result,
 )
@@ -9,4 +10,5 @@ from landlens.sources.sinks import declare_table, export_csv, heat_map_feed, wri
 
 __all__ = ["ViewRegistry", "boundaries_from_geojson", "read_delimited", "read_parquet",
            "read_result", "declare_table", "export_csv", "heat_map_feed", "write_table",
-           "read_manifest", "read_ordered", "write_ordered"]
+           "read_manifest", "read_ordered", "write_ordered",
+           "AuditFailed", "publish", "publish_view", "published", "vacuum"]
