@@ -17,8 +17,11 @@ it), in a nested loop over years.  Here:
    up partially before they are shuffled, so no pair row is shuffled and
    nothing is joined to itself.  The years come out of the data; none is named
    in the plan.
-3. Segments ('both', 'residential', 'non-residential') are evaluated in the
-   same pass by exploding a segment tag.
+3. A row is in two segments: 'both' and its own ('residential' or 'non-residential').
+   ``segment_ranks`` numbers it in both at once: the rows of a range partition are
+   sorted and numbered by key, then sorted and numbered by (segment, key), two
+   local sorts of one exchange.  So every row is shuffled and checkpointed once, and is
+   doubled only on its way into the next aggregate.
 
 The checkpoint is the only job that runs while a plan is built.
 """
@@ -66,6 +69,29 @@ def positional_rank(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
                     *[f"__k_{c}" for c in partition_cols])
 
 
+def segment_ranks(df: DataFrame, year_col: str, order_cols: Sequence[str], segment_col: str, num_partitions: int | None = None) -> DataFrame:
+    """W2 for two groupings in one pass: adds ``rn_all``, the row's number within its year, and ``rn_own``, its number
+    among the year's rows of its segment, both by ``order_cols``."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    p = num_partitions or default_parallelism(spark)
+    keys = [year_col, *order_cols, F.xxhash64(*[F.col(c) for c in df.columns])]  # tied rows can be split, as in positional_rank
+    s = df.repartitionByRange(p, *keys).sortWithinPartitions(*keys).withColumn("__all", F.monotonically_increasing_id())
+    s = s.sortWithinPartitions(year_col, segment_col, "__all").withColumn("__own", F.monotonically_increasing_id())
+    s = s.withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+
+    def numbered(rows: DataFrame, group: list[str], idx: str, rank: str) -> DataFrame:
+        before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+        runs = rows.groupBy("__pid", *group).agg(F.min(idx).alias("__first"), F.count(F.lit(1)).alias("__n"))
+        runs = runs.withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1)
+        runs = runs.select(*[F.col(c).alias(f"__k{c}") for c in ("__pid", *group)], "__shift")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k{c}")) for c in ("__pid", *group)])
+        return rows.join(runs, same).withColumn(rank, (F.col(idx) + F.col("__shift")).cast("bigint")).select(*rows.columns, rank)
+
+    out = numbered(s, [year_col], "__all", "rn_all")
+    return numbered(out, [year_col, segment_col], "__own", "rn_own").drop("__all", "__own", "__pid")
+
+
 def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str = "postal_code",
                           x_col: str = "total_project_value", y_col: str = "total_land_value",
                           segment_col: str | None = "property_use",
@@ -88,12 +114,14 @@ def rank_pair_correlation(df: DataFrame, year_col: str = "year", order_col: str
         F.col(x_col).cast("double").alias("__x"), F.col(y_col).cast("double").alias("__y"),
         *([F.col(segment_col).alias("__segcol")] if segment_col else []))
     if segment_col:
-        base = base.withColumn("segment", F.explode(segment_tag("__segcol", segment_value))).drop("__segcol")
+        own = segment_tag("__segcol", segment_value)[1]
+        ranked = segment_ranks(base.withColumn("__seg", own).drop("__segcol"), "__year", ["__ord"], "__seg")
+        places = F.array(F.struct(F.lit("both").alias("segment"), F.col("rn_all").alias("rn")), F.struct(F.col("__seg").alias("segment"), F.col("rn_own").alias("rn")))
+        ranked = ranked.select("__year", "__x", "__y", F.inline(places)).withColumnRenamed("rn", "__rn")
     else:
-        base = base.withColumn("segment", F.lit("both"))
+        ranked = positional_rank(base, ["__year"], ["__ord"], rank_col="__rn").withColumn("segment", F.lit("both"))
     if segments is not None:
-        base = base.where(F.col("segment").isin(list(segments)))
-    ranked = positional_rank(base, ["segment", "__year"], ["__ord"], rank_col="__rn")
+        ranked = ranked.where(F.col("segment").isin(list(segments)))
     if strategy == "join":
         xs = ranked.select("segment", F.col("__year").alias("investment_year"), "__rn", "__x")
         ys = ranked.select("segment", F.col("__year").alias("value_year"), "__rn", "__y")

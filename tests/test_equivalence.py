@@ -208,3 +208,24 @@ def test_gather_and_join_strategies_agree(spark, smoke_dir):
     a = correlate.rank_pair_correlation(pr, digits=9)
     b = correlate.rank_pair_correlation(pr, digits=9, strategy="join")
     assert a.count() == 84 and same_bag(a, b)
+
+
+def test_segment_ranks_equal_row_numbers_in_both_groupings(spark, smoke_dir):
+    df = B.postal_results(spark, smoke_dir).select("postal_code", "year", F.coalesce("property_use", F.lit("none")).alias("use")).repartition(7)
+    got = correlate.segment_ranks(df, "year", ["postal_code"], "use", num_partitions=5)
+    w = Window.orderBy("postal_code")
+    want = df.select("*", F.row_number().over(w.partitionBy("year")).cast("bigint").alias("rn_all"), F.row_number().over(w.partitionBy("year", "use")).cast("bigint").alias("rn_own"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    held = got._jdf.queryExecution().toString()
+    assert got.count() == df.count() and "Generate" not in held  # rows are checkpointed once
+
+
+def test_segment_ranks_of_tied_keys_are_a_numbering(spark):
+    df = spark.range(3000).select((F.col("id") % 3).cast("int").alias("y"), F.lit("k").alias("k"), (F.col("id") % 2).cast("string").alias("s"), "id")
+    got = correlate.segment_ranks(df, "y", ["k"], "s", num_partitions=6).collect()
+    for y in range(3):
+        mine = [r for r in got if r.y == y]
+        assert sorted(r.rn_all for r in mine) == list(range(1, 1001))
+        for s in "01":
+            own = sorted((r.rn_own, r.rn_all) for r in mine if r.s == s)
+            assert [a for a, _ in own] == list(range(1, 501)) and [b for _, b in own] == sorted(b for _, b in own)  # one order for both
