@@ -3,19 +3,20 @@
 1. Sets.  A text's distinct word shingles are hashed to 64 bits; rows with equal
    sets form a class and go on as one (copies are never expanded into pairs).
 2. Forest.  Each of ``TREES`` trees orders the classes by its own signature of
-   ``DEPTH`` MinHash values.  Classes that agree on a prefix are neighbours; the depth
-   adapts to the region: it starts at ``FIRST`` values and grows by one wherever more
+   ``DEPTH`` MinHash values.  Classes that agree on a prefix are a region; the depth
+   adapts to it: it starts at ``FIRST`` values and grows by one wherever more
    than ``REGION`` classes share the prefix.
-3. Candidates.  All neighbours within a region of at most ``REGION`` classes.  A region
-   that is still larger at full depth is split into random parts of that size, in each
-   tree differently.  Every member of a region that had to grow is also compared with
+3. Candidates.  All pairs of a region of at most ``REGION`` classes.  A region that
+   had to grow is sorted by signature in each tree, and every class is a candidate of the
+   ``NEIGHBOURS`` that follow it, those with the longest common prefixes; so candidates
+   grow with the classes, not with their square.  It is also compared with
    the region's centre: of the classes at its deepest and fullest place, which agree
    with its most frequent values, the one that is at such places in most trees, as the
    original of many copies is.
 4. Confirmation.  Candidates whose signatures agree enough are compared on their full
    sets.  A class is compared with the smallest class first; pairs that other links
    have joined meanwhile need no comparison, all others get theirs.
-5. Dense regions.  Parts and centres join most of a dense region, not all of it.  So all
+5. Dense regions.  Neighbours and centres join most of a dense region, not all of it.  So all
    pairs of a region that had to grow whose classes are still in different groups are
    compared: its members are dealt to blocks of ``BLOCK``, each pair of blocks is a task's
    tile (the largest group's blocks meet only the others).  A tile drops members that
@@ -39,17 +40,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landlens.session import discard, scratch_path, ship_package
 
 from .components import components
+from .numbering import write_ordered
 from .words import find_words, hash_words, mix, signed, slices, text_buffer
 
 SHINGLE, PERCENT = 4, 80
 TREES, DEPTH, FIRST = 20, 6, 3
 REGION = 24
+#: Classes that follow a class in the sorted order of a region that had to grow and are compared with it.
+NEIGHBOURS = 2
 #: Share of equal signature values (of TREES * DEPTH) from which a candidate is compared on full sets: at 0.8, P(Bin(120, 0.8) < 72) = 1.5e-7.
 AGREE = 0.6
 #: Classes of a dense region on one side of a tile.
@@ -139,6 +143,23 @@ def _pairs(regions: DataFrame) -> DataFrame:
     return lists.where(F.size("l") > 1).select(F.explode(pair).alias("p")).select("p.a", "p.b")
 
 
+def _value(d: int) -> Column:
+    """The signature's value ``d`` (counted from 0) out of tail."""
+    return F.call_function("shiftright", F.col("tail"), F.lit(21 * (d - FIRST))).bitwiseAND(F.lit((1 << 21) - 1))
+
+
+def _neighbours(ordered: DataFrame) -> DataFrame:
+    """a < b of each class and the ``NEIGHBOURS`` that follow it in its region; ``ordered`` by (top, signature) in parts of bounded size."""
+    here, one = Window.partitionBy("part").orderBy("at"), F.struct("top", "cls")
+    follow = ordered.withColumns({f"n{k}": F.lead(one, k).over(here) for k in range(1, NEIGHBOURS + 1)})
+    follow = follow.select("top", "cls", F.explode(F.array(*[f"n{k}" for k in range(1, NEIGHBOURS + 1)])).alias("next"))
+    # the last of a part and the first of the next one: a row a part
+    seams = ordered.groupBy("part").agg(F.max_by(one, "at").alias("last"), F.min_by(one, "at").alias("first"))
+    seams = seams.select("last.top", "last.cls", F.lead("first").over(Window.orderBy("part")).alias("next"))
+    pairs = follow.unionAll(seams).where(F.col("top") == F.col("next.top"))
+    return pairs.select(F.least("cls", "next.cls").alias("a"), F.greatest("cls", "next.cls").alias("b")).where("a <> b")
+
+
 def candidates(classes: DataFrame, base: str) -> tuple[DataFrame, DataFrame | None]:
     """Distinct pairs a < b of neighbours in the forest, and top, cls of the regions that had to grow (null if none); ``classes``: cls, sign."""
     spark = classes.sparkSession
@@ -158,15 +179,11 @@ def candidates(classes: DataFrame, base: str) -> tuple[DataFrame, DataFrame | No
     for d in range(FIRST, DEPTH):
         if dense.isEmpty():
             break
-        value = F.call_function("shiftright", F.col("tail"), F.lit(21 * (d - FIRST))).bitwiseAND(F.lit((1 << 21) - 1))
-        deeper = dense.select(F.xxhash64("key", value).alias("key"), "tail", "cls", "top")
+        deeper = dense.select(F.xxhash64("key", _value(d)).alias("key"), "tail", "cls", "top")
         now = counted(deeper, f"depth-{d + 1}")
-        found.append(_pairs(now.where(F.col("n") <= REGION)))
         ends.append(now)
         dense = now.where(F.col("n") > REGION)
     if ends:
-        part = F.pmod(F.xxhash64("cls", "key"), F.ceil(F.col("n") / REGION).cast("bigint"))
-        found.append(_pairs(dense.select(F.xxhash64("key", part).alias("key"), "cls")))
         # centre of a region that had to grow: of the classes at its deepest and fullest place the one that is at such places in most trees
         places = ends[0].withColumn("d", F.lit(0))
         for d, e in enumerate(ends[1:], 1):
@@ -178,8 +195,12 @@ def candidates(classes: DataFrame, base: str) -> tuple[DataFrame, DataFrame | No
         centre = places.join(votes, "cls").groupBy("top").agg(F.max(F.struct("votes", "cls")).alias("x")).select("top", F.col("x.cls").alias("c"))
         centre.write.parquet(f"{base}/centres")  # a row a region: the join below is then free to split a hot region
         centre = spark.read.parquet(f"{base}/centres")
-        spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION).select(F.col("key").alias("top"), "cls").write.parquet(f"{base}/grown")
-        grown = spark.read.parquet(f"{base}/grown")
+        first = spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION)
+        values = [f"v{d}" for d in range(FIRST, DEPTH)]
+        first = first.select(F.col("key").alias("top"), *[_value(d).alias(v) for d, v in zip(range(FIRST, DEPTH), values)], F.xxhash64("cls", "key").alias("tie"), "cls")
+        grown = write_ordered(first, ["top"], [*values, "tie"], f"{base}/grown")
+        found.append(_neighbours(grown))
+        grown = grown.select("top", "cls")
         found.append(grown.join(centre, "top").where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")))
     out = found[0]
     for f in found[1:]:
