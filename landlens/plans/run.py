@@ -95,10 +95,15 @@ def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
 
 def main(argv: list[str] | None = None) -> None:
     """Command line (S11): ``python -m landlens.plans.run --out DIR --tax P --licences P
-    (--permits-csv P | --permits-parquet P) [--input-bytes N --cores N]``."""
+    (--permits-csv P | --permits-parquet P) [--cores N] [--input-bytes N]``.
+
+    With ``--cores`` shuffles and scans are sized to the input, also in a running
+    session.  A cluster whose settings would make partitions of several GiB is
+    refused before any work is done.
+    """
     import argparse
 
-    from landlens.session import build_session, scale_conf
+    from landlens.session import apply_conf, build_session, input_size, scale_conf, too_few_partitions
 
     ap = argparse.ArgumentParser(description="clean the raw files, build and write every result")
     ap.add_argument("--out", required=True, help="shared output folder")
@@ -109,13 +114,17 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--permits-parquet", help="raw building-permit Parquet path (older layout)")
     ap.add_argument("--multiline", action="store_true", help="quoted permit fields hold newlines (the files are still read in pieces)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
-    ap.add_argument("--input-bytes", type=int, default=None, help="input size, for partition sizing")
-    ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing")
+    ap.add_argument("--input-bytes", type=int, default=None, help="input size, for partition sizing (default: from the file listing)")
+    ap.add_argument("--cores", type=int, default=None, help="total executor cores, for partition sizing (default: the cluster's)")
     a = ap.parse_args(argv)
     from pyspark.sql import SparkSession
     existing = SparkSession.getActiveSession()
-    extra = scale_conf(a.input_bytes, a.cores) if a.input_bytes and a.cores else {}
-    spark = existing or build_session(a.master, extra=extra)
+    spark = existing or build_session(a.master)
+    size = a.input_bytes or input_size(spark, *[p for p in (a.tax, a.licences, a.permits_csv, a.permits_parquet) if p])
+    if a.cores:
+        apply_conf(spark, scale_conf(size, a.cores))
+    if problem := too_few_partitions(spark, size):
+        ap.error(problem)
     for name, path in sorted(run_all(spark, a.out, tax_path=a.tax, licences_path=a.licences,
                                      permits_csv_path=a.permits_csv,
                                      permits_parquet_path=a.permits_parquet,

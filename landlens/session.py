@@ -18,18 +18,29 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
+#: Shuffle partitions of a local session.
+LOCAL_PARTITIONS = 8
+
+
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "landlens", extra: dict | None = None) -> SparkSession:
     """Session with the settings the operators are designed for.
 
+    The number of shuffle partitions is ``shuffle_partitions`` if given, 8 for a
+    local master, and else the cluster's (``spark-defaults``, ``--conf`` or Spark's
+    200, which AQE coalesces); ``extra`` from :func:`scale_conf` sizes it to the input.
+
     AQE on (coalesces small shuffles, splits skewed join partitions), UTC,
     ANSI on (Spark 4 default; operators use ``try_*`` forms where the
     reference tolerated bad values), no web UI.  ``master=None`` leaves the
     master to the environment (``spark-submit``).
     """
     b = SparkSession.builder if master is None else SparkSession.builder.master(master)
+    if shuffle_partitions is None and (master or os.environ.get("MASTER", "")).startswith("local"):
+        shuffle_partitions = LOCAL_PARTITIONS
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = (b.appName(app_name)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -135,6 +146,37 @@ def clear_scratch(spark: SparkSession, since: int = 0) -> int:
     return discard(spark, *paths)
 
 
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> list[str]:
+    """Sets what of ``conf`` a running session can still change; returns the keys that it can't."""
+    fixed = [k for k in conf if not spark.conf.isModifiable(k)]
+    for k, v in conf.items():
+        if k not in fixed:
+            spark.conf.set(k, v)
+    return fixed
+
+
+def too_few_partitions(spark: SparkSession, input_bytes: int, partition_bytes: int = 4 << 30) -> str | None:
+    """Why a job over ``input_bytes`` should not start with the session's settings, if it should not: more than
+    ``partition_bytes`` a shuffle partition on a cluster."""
+    n = default_parallelism(spark)
+    conf = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    n = int(conf) if conf and spark.conf.get("spark.sql.adaptive.enabled") == "true" else n
+    if spark.sparkContext.master.startswith("local") or input_bytes <= n * partition_bytes:
+        return None
+    return (f"{n} shuffle partitions for {input_bytes >> 30} GiB of input; set spark.sql.shuffle.partitions "
+            "or give the input size and the number of cores")
+
+
+def input_size(spark: SparkSession, *paths: str) -> int:
+    """Bytes below the paths, from the file system's listing."""
+    jvm, conf, total = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        total += sum(fs.getContentSummary(found.getPath()).getLength() for found in fs.globStatus(path) or [])
+    return total
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20,
                max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.

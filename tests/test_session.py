@@ -27,3 +27,39 @@ def test_scratch_is_removed_since_a_mark(spark):
     spark.range(3).write.parquet(scratch_path(spark, "new"))
     assert clear_scratch(spark, since=mark) == 1 and scratch_mark() == mark
     assert spark.read.parquet(old).count() == 3
+
+
+def test_settings_of_a_running_session_and_what_it_can_not_change(spark):
+    from landlens.session import apply_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fixed = apply_conf(spark, {"spark.sql.shuffle.partitions": "77", "spark.driver.memory": "1g"})
+    assert fixed == ["spark.driver.memory"] and spark.conf.get("spark.sql.shuffle.partitions") == "77"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_few_partitions_are_refused_on_a_cluster_only(spark):
+    from landlens import session
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host"
+
+        def __init__(self, partitions, initial=None):
+            settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.enabled": "true",
+                        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": initial}
+            self.conf = type("Conf", (), {"get": lambda _, k, d=None: settings.get(k, d)})()
+
+    tb = 1 << 40
+    assert "8 shuffle partitions for 1024 GiB" in session.too_few_partitions(Cluster(8), tb)
+    assert session.too_few_partitions(Cluster(2000), tb) is None and session.too_few_partitions(Cluster(8, "2000"), tb) is None
+    assert session.too_few_partitions(spark, tb) is None
+
+
+def test_input_size_is_the_listing(spark, tmp_path):
+    from landlens.session import input_size
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"12345")
+    (tmp_path / "b.csv").write_bytes(b"123")
+    assert input_size(spark, str(tmp_path / "a"), f"{tmp_path}/*.csv") == 8 and input_size(spark, f"{tmp_path}/none*") == 0
