@@ -188,6 +188,21 @@ def learn_samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fo
     return {k: " ".join(v)[:LANGUAGE_CHARS] for k, v in out.items() if any(c.isalpha() for t in v for c in t)}
 
 
+def entropy_bound(samples: dict[str, str], margin: float = 2.0) -> float | None:
+    """Bits a character above which a text is in none of the languages; None if none was learned.
+
+    Fitted on the bounded sample: the last quarter of each language's text, in pieces
+    of 500 characters, is parsed with what comes before; ``margin`` times the worst piece.
+    """
+    cut = {k: 3 * len(v) // 4 for k, v in samples.items()}
+    learned = {k: v[:cut[k]] for k, v in samples.items() if any(c.isalpha() for c in v[:cut[k]])}
+    pieces = [samples[k][a:a + 500] for k in learned for a in range(cut[k], len(samples[k]), 500)]
+    if not pieces:
+        return None
+    bits = Parser(learned).judge(pieces)[2]
+    return None if np.isnan(bits).all() else margin * float(np.nanmax(bits))
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
              samples: dict[str, str] | None = None, rest: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits (entropy a character, null for ``und``) of every row.

@@ -90,13 +90,13 @@ def test_language_accuracy_on_held_out_rows(spark, smoke_dir):
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = spaced((text or "").translate(LOWER))
-    return {tuple(w[k:k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set()
+    return {tuple(w[k:k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
-def brute_groups(rows):
-    sets = [shingles(t) for _, t in rows]
+def brute_groups(rows, size=4):
+    sets = [shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(x):
