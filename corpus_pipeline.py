@@ -16,20 +16,50 @@ from landlens.llm.queries import PIECE_BPE, tokenizer_path
 from landlens.session import clear_scratch, discard, scratch_mark, scratch_path
 
 
+#: Bits by which a text must exceed the entropy bound in all, so that short texts, whose rate is rough, are not judged by a few characters.
+EVIDENCE_BITS = 200
+#: Words of a shingle of the near-duplicate stage.
+SHINGLE = 5
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; ``und`` goes (null, empty, no letter)."""
-    out = lang_id.identify(docs, rest=True).where(F.col("lang_pred") != lang_id.UNKNOWN)
+    """Documents in one of the languages of the labelled rows.
+
+    What goes: texts without a letter (null and empty ones too), and texts whose
+    entropy under every language is so far above what the languages' own held-out
+    text has that ``EVIDENCE_BITS`` are exceeded.  Where no language could be learned,
+    only texts without a letter go.  Repeated rows are judged alike; an empty table
+    gives an empty one.
+    """
+    samples = lang_id.learn_samples(docs, "doc_id", "text", "lang", 5)
+    bound = lang_id.entropy_bound(samples)
+    if not samples:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    out = lang_id.identify(docs, samples=samples, rest=True).where(F.col("lang_pred") != lang_id.UNKNOWN)
+    if bound is not None:
+        out = out.where((F.col("bits") - bound) * F.length("text") <= EVIDENCE_BITS)
     return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id; rows that share its id all stay.
+    """One document of each group of near duplicates (``SHINGLE``-word shingles, similarity 0.8): the one with the smallest id.
 
-    Documents without words are in no group and stay.
+    Of repeated rows (equal id and text) one stays; rows of one id with different
+    texts are documents of their own.  Documents without words are in no group and
+    all stay.  An empty table gives an empty one.
     """
-    kept = near_dup.group(docs).where("kept").select("doc_id").distinct().alias("kept")
-    rows = docs.alias("docs")
-    return rows.join(kept, F.col("docs.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi")
+    path = scratch_path(spark, "near-dup-kept")
+    near_dup.group(docs, size=SHINGLE).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    kept, rows = spark.read.parquet(path), docs.alias("docs")
+
+    def of(ids: DataFrame) -> DataFrame:
+        return rows.join(ids.select("doc_id").alias("kept"), F.col("docs.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi")
+
+    often = kept.where("n > 1")
+    if often.isEmpty():
+        return of(kept)
+    again, worded = of(often), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return of(kept.where("n = 1")).unionByName(again.where(~worded)).unionByName(again.where(worded).dropDuplicates(["doc_id", "text"]))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
