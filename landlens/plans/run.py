@@ -26,6 +26,7 @@ from landlens.operators import fanout
 from landlens.plans import jobs, views
 from landlens.session import clear_scratch, scratch_mark
 from landlens.sources import export_csv, write_ordered
+from landlens.sources.layout import bucketed_session, bucketed_tables
 
 # result name -> (separator, single file?, text for null)
 CSV_UNLOADS = {
@@ -57,8 +58,22 @@ def written_form(name: str, reg, options: views.ViewOptions) -> DataFrame:
 def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
             permits_csv_path: str | None = None, permits_parquet_path: str | None = None,
             boundaries: DataFrame | None = None,
-            options: views.ViewOptions = views.DEFAULT, multiline: bool = False) -> dict[str, str]:
-    """Clean, build and write everything; returns ``{name: output path}``."""
+            options: views.ViewOptions = views.DEFAULT, multiline: bool = False,
+            layout: str | None = None, buckets: int = 0) -> dict[str, str]:
+    """Clean, build and write everything; returns ``{name: output path}``.
+
+    With ``layout`` (a prefix of table names in the catalog) and ``buckets`` the clean tables
+    are stored by postal code first (:mod:`landlens.sources.layout`), which saves the
+    results their shuffles of them.
+    """
+    if layout and buckets:
+        with bucketed_session(spark):
+            return _run_all(spark, out, tax_path, licences_path, permits_csv_path, permits_parquet_path, boundaries, options, multiline, layout, buckets)
+    return _run_all(spark, out, tax_path, licences_path, permits_csv_path, permits_parquet_path, boundaries, options, multiline)
+
+
+def _run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str, permits_csv_path: str | None, permits_parquet_path: str | None,
+             boundaries: DataFrame | None, options: views.ViewOptions, multiline: bool, layout: str | None = None, buckets: int = 0) -> dict[str, str]:
     out, mark = out.rstrip("/"), scratch_mark()
     unchecked = boundaries is not None and "geojson" in boundaries.columns  # (name, geojson), else (name, polygons)
     tables = jobs.run_cleaning(spark, tax_path=tax_path, permits_csv_path=permits_csv_path,
@@ -67,6 +82,8 @@ def run_all(spark: SparkSession, out: str, tax_path: str, licences_path: str,
                                boundaries=boundaries if unchecked else None)
     if boundaries is not None and not unchecked:
         tables["boundaries"] = boundaries
+    if layout:
+        tables = bucketed_tables(tables, layout, buckets)
     reg = views.build_registry(spark, tables, options)
     written: dict[str, str] = {}
     for name in reg.names():

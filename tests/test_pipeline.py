@@ -133,6 +133,19 @@ def test_run_all_writes_every_result(spark, cleaned):
     assert set(area_csv.columns) >= {"local_area", "percent_change_in_land_value"}
 
 
+def test_run_all_on_a_stored_layout(spark, cleaned):
+    import os
+    from landlens.plans.run import run_all
+    raw = os.path.dirname(cleaned["property_tax"].inputFiles()[0].replace("file:", "")).rsplit("/clean", 1)[0]
+    given = dict(tax_path=f"{raw}/tax", licences_path=f"{raw}/lic", permits_csv_path=f"{raw}/permits")
+    plain = run_all(spark, scratch_path(spark, "run-plain"), **given)
+    stored = run_all(spark, scratch_path(spark, "run-layout"), layout="run_layout", buckets=3, **given)
+    for name in ("combined_by_postal_code", "property_and_permits_grouped", "investment_vs_land_value"):
+        one, two = (sorted(map(repr, spark.read.parquet(p[name]).collect())) for p in (plain, stored))
+        assert one == two
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "true"
+
+
 def test_command_line(spark, cleaned, capsys):
     import os
     from landlens.plans.run import main
