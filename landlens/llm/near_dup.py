@@ -4,15 +4,14 @@
    sets form a class and go on as one (copies are never expanded into pairs).
 2. Forest.  Each of ``TREES`` trees orders the classes by its own signature of
    ``DEPTH`` MinHash values.  Classes that agree on a prefix are a region; the depth
-   adapts to it: it starts at ``FIRST`` values and grows by one wherever more
-   than ``REGION`` classes share the prefix.
+   adapts to it: it is ``FIRST`` values, and the whole signature wherever more
+   than ``REGION`` classes share those.
 3. Candidates.  All pairs of a region of at most ``REGION`` classes.  A region that
    had to grow is sorted by signature in each tree, and every class is a candidate of the
    ``NEIGHBOURS`` that follow it, those with the longest common prefixes; so candidates
    grow with the classes, not with their square.  It is also compared with
-   the region's centre: of the classes at its deepest and fullest place, which agree
-   with its most frequent values, the one that is at such places in most trees, as the
-   original of many copies is.
+   the region's centre: the class whose next value is shared by most, over all trees, as
+   that of the original of many copies is.
 4. Confirmation.  Candidates whose signatures agree enough are compared on their full
    sets.  A class is compared with the smallest class first; pairs that other links
    have joined meanwhile need no comparison, all others get theirs.
@@ -61,7 +60,7 @@ BLOCK = 512
 #: Shingles that a tile's comparison holds as matrix columns at once.
 COLUMNS = 2048
 #: Rounds in which each class is compared with one neighbour group at a time, before all that is left is compared.
-ROUNDS = 3
+ROUNDS = 1
 
 _rng = np.random.default_rng(7)
 _MUL = _rng.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -163,43 +162,24 @@ def _neighbours(ordered: DataFrame) -> DataFrame:
 def candidates(classes: DataFrame, base: str) -> tuple[DataFrame, DataFrame | None]:
     """Distinct pairs a < b of neighbours in the forest, and top, cls of the regions that had to grow (null if none); ``classes``: cls, sign."""
     spark = classes.sparkSession
-    rows = classes.mapInArrow(_tree_rows, "key bigint, tail bigint, cls bigint")
-
-    def counted(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.parquet(f"{base}/{name}")
-        frame = spark.read.parquet(f"{base}/{name}")
-        many = frame.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        frame.join(many, "key").write.parquet(f"{base}/{name}-shared")
-        return spark.read.parquet(f"{base}/{name}-shared")
-
-    now = counted(rows, f"depth-{FIRST}").withColumn("top", F.col("key"))
-    found = [_pairs(now.where(F.col("n") <= REGION))]
+    classes.mapInArrow(_tree_rows, "key bigint, tail bigint, cls bigint").write.parquet(f"{base}/regions")
+    rows = spark.read.parquet(f"{base}/regions")
+    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows.join(many, "key").write.parquet(f"{base}/regions-shared")
+    now = spark.read.parquet(f"{base}/regions-shared")
+    found, grown = [_pairs(now.where(F.col("n") <= REGION))], None
     dense = now.where(F.col("n") > REGION)
-    ends, grown = [], None
-    for d in range(FIRST, DEPTH):
-        if dense.isEmpty():
-            break
-        deeper = dense.select(F.xxhash64("key", _value(d)).alias("key"), "tail", "cls", "top")
-        now = counted(deeper, f"depth-{d + 1}")
-        ends.append(now)
-        dense = now.where(F.col("n") > REGION)
-    if ends:
-        # centre of a region that had to grow: of the classes at its deepest and fullest place the one that is at such places in most trees
-        places = ends[0].withColumn("d", F.lit(0))
-        for d, e in enumerate(ends[1:], 1):
-            places = places.unionByName(e.withColumn("d", F.lit(d)))
-        fullest = places.groupBy("top").agg(F.max(F.struct("d", "n", "key")).alias("x")).select("top", "x.key")
-        places.join(fullest, ["top", "key"], "left_semi").select("top", "cls").write.parquet(f"{base}/places")
-        places = spark.read.parquet(f"{base}/places")
-        votes = places.groupBy("cls").agg(F.count(F.lit(1)).alias("votes"))
-        centre = places.join(votes, "cls").groupBy("top").agg(F.max(F.struct("votes", "cls")).alias("x")).select("top", F.col("x.cls").alias("c"))
-        centre.write.parquet(f"{base}/centres")  # a row a region: the join below is then free to split a hot region
-        centre = spark.read.parquet(f"{base}/centres")
-        first = spark.read.parquet(f"{base}/depth-{FIRST}-shared").where(F.col("n") > REGION)
+    if not dense.isEmpty():
         values = [f"v{d}" for d in range(FIRST, DEPTH)]
-        first = first.select(F.col("key").alias("top"), *[_value(d).alias(v) for d, v in zip(range(FIRST, DEPTH), values)], F.xxhash64("cls", "key").alias("tie"), "cls")
-        grown = write_ordered(first, ["top"], [*values, "tie"], f"{base}/grown")
+        dense = dense.select(F.col("key").alias("top"), *[_value(d).alias(v) for d, v in zip(range(FIRST, DEPTH), values)], F.xxhash64("cls", "key").alias("tie"), "cls")
+        grown = write_ordered(dense, ["top"], [*values, "tie"], f"{base}/grown")
         found.append(_neighbours(grown))
+        # centre of a region: the class that shares its next value with most classes, over all trees, as the original of many copies does
+        full = grown.groupBy("top", values[0]).agg(F.count(F.lit(1)).alias("n"))
+        votes = grown.join(full, ["top", values[0]]).groupBy("cls").agg(F.sum("n").alias("votes"))
+        centre = grown.join(votes, "cls").groupBy("top").agg(F.max(F.struct("votes", "cls")).alias("x")).select("top", F.col("x.cls").alias("c"))
+        centre.write.parquet(f"{base}/centres")  # a row a region: the join below is then free to split a hot region
+        centre = spark.read.parquet(f"{base}/centres")
         grown = grown.select("top", "cls")
         found.append(grown.join(centre, "top").where("cls <> c").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")))
     out = found[0]
@@ -414,8 +394,7 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     pairs = spark.read.parquet(f"{base}/pairs")
     if grown is not None:
         sketch.join(grown.select("cls").distinct(), "cls", "left_semi").write.parquet(f"{base}/dense-sketches")
-    forest = ["classes", "places", "centres", *(f"depth-{d}{x}" for d in range(FIRST, DEPTH + 1) for x in ("", "-shared"))]
-    discard(spark, *(f"{base}/{name}" for name in forest))
+    discard(spark, *(f"{base}/{name}" for name in ("classes", "centres", "regions", "regions-shared")))
 
     # full sets, computed again for one row of each class that has a candidate or is in a dense region
     needed = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b"))
