@@ -47,8 +47,9 @@ def words(text: Column) -> Column:
 
 
 def row_key(id_col: str, text_col: str) -> Column:
-    """Identity of a row: hash of its id and text."""
-    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+    """Identity of a row: hash of its id and text, each with whether it is null (a null adds nothing to the hash)."""
+    ident, text = F.col(id_col).cast("string"), F.col(text_col).cast("string")
+    return F.xxhash64(ident.isNull(), ident, text.isNull(), text)
 
 
 def windows(items: DataFrame, item_col: str, text_col: str, length: int) -> DataFrame:

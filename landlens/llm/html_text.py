@@ -1,10 +1,13 @@
 """HTML extraction (operator 6): page structure, then a host's suffix array.
 
 1. Page.  Markup is read as browsers read it (raw-text elements, comments, quoted
-   attributes, character references); text inside menus, headers, footers, sidebars,
+   attributes, character references, which no tag parts); text inside menus, headers, footers, sidebars,
    notices, adverts, forms, scripts, styles and reader comments, told by element, role,
-   class, id or a hidden attribute, is left out.  If a page has an article or main
-   element, only text inside one counts.
+   class, id or a hidden attribute, is left out.  A class or id tells it by its whole
+   name or by a name with words of layout (``sidebar-left``, ``site-footer``), not by any part
+   (``with-sidebar``, ``social-science``); and an element that holds most of the page's text (70 %)
+   is not left out for its name, since it is the page's wrapper, unless the name says comments or cookies.  If a page has an
+   article or main element, only text inside one counts.
 2. Host.  The token streams of a host's pages are concatenated, with separators that
    equal nothing, and their suffixes are sorted.  Neighbouring suffixes that share
    ``LENGTH`` tokens or more are occurrences of a repeated substring; one that
@@ -55,36 +58,66 @@ _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog fo
 _NAMES = frozenset("""ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs captcha comment comments cookie cookies disclaimer disqus footer
     form header login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promotion related respond
     share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets""".split())
+#: Words that stand beside those of _NAMES in the name of such an element, before or after.
+_LAYOUT = frozenset("""area bar block bottom box button buttons cell column consent container content feed fixed global group icon icons inner item items left link links list
+    main mobile outer page panel post posts primary right row secondary section site slot sticky top unit wrap wrapper""".split())
+#: A name that begins with one of these says what else is on the page.
+_SAYS = frozenset("has hide is no not show with without".split())
 _ARTICLE = frozenset(("article", "main"))
+#: Readers' words and consent texts may be most of a page and are no wrapper of it.
+_NO_WRAPPER = frozenset("comment comments cookie cookies disqus respond".split())
+#: Share of the page's text from which an element is not left out for its name.
+WRAPPER = 0.7
 
 _TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|=\s*[^>"'\s]?|["'])*)(>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_NAME = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def _left_out(name: str, attributes: str, in_article: bool) -> bool:
+def _telling(value: str) -> set[str]:
+    """The words of _NAMES by which the names of a class or id attribute tell an element to be left out."""
+    out: set[str] = set()
+    for token in value.split():
+        parts = _NAME.findall(token)
+        named = [p for p in parts if p in _NAMES]
+        if named and parts[0] not in _SAYS and (parts[-1] in _NAMES or all(p in _NAMES or p in _LAYOUT for p in parts)):
+            out.update(named)
+    return out
+
+
+def _left_out(name: str, attributes: str, in_article: bool) -> str:
+    """How an element is known to be left out: ``kind`` (element, role, hidden), ``name`` (class or id), or not at all (empty)."""
     if name in _OUTSIDE or name == "header" and not in_article:
-        return True
+        return "kind"
     if not attributes or attributes.isspace():
-        return False
+        return ""
+    by_name = False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or key == "role" and value in _ROLES or key == "style" and _HIDDEN.search(value):
-            return True
-        if key in ("class", "id") and name not in ("body", "html", *_ARTICLE) and not _NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-        if key in ("class", "id") and name == "article" and not {"comment", "comments"}.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
-
-
-def main_text(page: str) -> str:
-    """The article's text: blocks in page order, white space as one space, references decoded."""
+            return "kind"
+        if key in ("class", "id"):
+            told = _telling(value)
+            if not told.isdisjoint(_NO_WRAPPER) and name not in ("body", "html", "main"):
+                return "kind"
+            if name == "article":
+                continue
+            if name not in ("body", "html", "main"):
+                by_name |= bool(told - {"header"} if in_article else told)  # an article's own header is part of it
+    return "name" if by_name else ""
+
+
+def _read(page: str, wrappers: set[int]) -> tuple[str, dict[int, int], int]:
+    """(text, characters of text in each element left out for its name, all characters that are not left out otherwise); ``wrappers``
+    are elements, by the place of their tag, whose names do not count."""
     every: list[str] = []  # text outside left-out elements
     inner: list[str] = []  # that of it inside an article
     stack: list[str] = []
     out_at = -1  # height of the stack at which a left-out element opened
+    out_by = -1  # its place if it was for its name
+    held: dict[int, int] = {}
+    size = 0
     article = 0
     seen_article = False
     at, n = 0, len(page)
@@ -92,11 +125,17 @@ def main_text(page: str) -> str:
     match = next(tokens, None)
     while at < n:
         start = match.start() if match else n
-        if start > at and out_at < 0:
+        if start > at and (out_at < 0 or out_by >= 0):
             text = page[at:start]
-            every.append(text)
-            if article:
-                inner.append(text)
+            visible = len(text) - text.count(" ") - text.count("\n")
+            size += visible
+            if out_at >= 0:
+                held[out_by] += visible
+            else:
+                text = _html.unescape(text) if "&" in text else text
+                every.append(text)
+                if article:
+                    inner.append(text)
         if not match:
             break
         at = match.end()
@@ -123,15 +162,28 @@ def main_text(page: str) -> str:
             elif name not in _VOID:
                 if name in _ARTICLE and out_at >= 0 and not _left_out(name, attributes, False) and not set(stack[out_at:]) & {"article", "main"} and stack[out_at] in ("nav", "header", "head"):
                     out_at = -1  # a menu that was never closed does not swallow the article
-                if out_at < 0 and _left_out(name, attributes, article > 0):
-                    out_at = len(stack)
+                how = _left_out(name, attributes, article > 0) if out_at < 0 else ""
+                if how == "kind" or how == "name" and match.start() not in wrappers:
+                    out_at, out_by = len(stack), match.start() if how == "name" else -1
+                    if how == "name":
+                        held[out_by] = 0
                 stack.append(name)
                 if name in _ARTICLE:
                     article += 1
                     seen_article |= out_at < 0
         match = next(tokens, None)
-    text = "".join(inner if seen_article else every)
-    return " ".join((_html.unescape(text) if "&" in text else text).split())
+    return " ".join("".join(inner if seen_article else every).split()), held, size
+
+
+def main_text(page: str) -> str:
+    """The article's text: blocks in page order, white space as one space, references decoded."""
+    wrappers: set[int] = set()
+    while True:
+        text, held, size = _read(page, wrappers)
+        large = {place for place, n in held.items() if n > WRAPPER * size}
+        if not large:
+            return text
+        wrappers |= large  # what is inside is judged by itself
 
 
 def sorted_suffixes(tokens: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -238,3 +238,28 @@ def test_hot_host_has_one_verdict(spark, monkeypatch):
     assert not any(often in t for _, _, t, _ in whole) and sum(rare in t for _, _, t, _ in whole) == 16
     monkeypatch.setattr(html_text, "PAGES", 8)
     assert bag(tuple(r) for r in html_text.extract(pages).collect()) == whole
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div class="content with-sidebar"><p>hello world</p></div>', "hello world"),
+    ('<div class="layout no-sidebar"><p>hello</p><div class="sidebar-left">gone</div></div>', "hello"),
+    ('<div id="form-and-function">text</div>', "text"),
+    ('<p class="social-science">x</p><p>y</p>', "x y"),
+    ('<article><div class="post-header"><p>Lead</p></div><p>Body</p></article>', "Lead Body"),
+    ("&<b>lt</b>; a &amp; b&nbsp;c", "&lt; a & b c"),
+    ('<div class="site-footer">f</div><p>main</p>', "main"),
+    ('<ul class="social-links"><li>a</li></ul><p>text of the page</p>', "text of the page"),
+    ('<p>short</p><div id="comments">' + "long comment " * 50 + "</div>", "short"),
+    ('<div class="sidebar"><p>all there is on this page</p><nav>menu</nav><div class="ad-slot">ad</div></div>', "all there is on this page"),
+    ('<p>some text that is more</p><div class="notice">x</div><div class="widget">y</div>', "some text that is more"),
+])
+def test_names_tell_an_element_not_its_wrapper(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_null_ids_and_null_texts_are_different_rows(spark):
+    words = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(None, words), (words, None)], "doc_id string, text string")
+    items = spark.createDataFrame([("i", words)], "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {None: (10, 10, True), words: (0, 0, False)}
