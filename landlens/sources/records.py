@@ -8,16 +8,18 @@ line starts inside quotes is found by a prefix scan:
    at its end; two regular expressions give both ends (a quote opens a field only
    right after a separator, so counting quotes would not do).  Such a map keeps
    the state, turns it round, or sets it.
-2. Inside a piece of a file the maps are composed in order: the state before a line is
+2. A piece of a file is cut into chunks of ``CHUNK_LINES`` lines.  Inside a chunk the
+   maps are composed in order: the state before a line is
    what the last line that sets it says, turned round by each line since that turns
-   it; without such a line it depends on the state at the start of the piece.
-3. The pieces' own maps are composed in the same way, a row a piece, which gives the
-   state at the start of each piece, the number of records that start in it and the
-   record that its first lines still belong to.
+   it; without such a line it depends on the state at the start of the chunk.  A window
+   holds the rows of its group in memory, so a group is a chunk and not a piece.
+3. The chunks' own maps are composed in the same way, a row a chunk, which gives the
+   state at the start of each chunk and the record that its first lines still belong
+   to; the records that start in a chunk are counted for both states beforehand.
 4. A line that starts and ends outside is a record as it stands.  Only the lines of
    records that span lines are gathered, by record.  ``from_csv`` parses the records.
 
-The text goes through one shuffle by piece (a split of the file, 128 MB by default);
+The text goes through one shuffle by chunk of a piece (a split of the file, 128 MB by default);
 two passes read it.  A record is one row in any reader, so a record has to fit in a task: a
 quote that is never closed makes the rest of its file one field, as it does for
 ``multiLine``.  Line ends are \n or \r\n and become \n inside fields.
@@ -32,7 +34,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PIECE = ["__file", "__piece"]
+#: Lines that a window holds at a time.
+CHUNK_LINES = 4096
+_CHUNK = ["__file", "__piece", "__chunk"]
 
 
 def line_maps(line: Column, sep: str, quote: str, escape: str) -> tuple[Column, Column]:
@@ -64,30 +68,35 @@ def _states(df: DataFrame, outside: str, inside: str, order: WindowSpec, starts:
 
 
 def _lines(spark: SparkSession, paths: Sequence[str], sep: str, quote: str, escape: str) -> DataFrame:
-    """Lines with their file, piece, place, maps and the states before them for both states of the piece."""
+    """Lines with their file, piece, chunk, place and maps, and for both states of the chunk the state before
+    them (``__if``) and how many records of the chunk start up to them (``__record``)."""
     text = spark.read.option("lineSep", "\n").text(list(paths))
     line = F.regexp_replace("value", "\r$", "")
     lines = text.select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__piece"),
                         F.monotonically_increasing_id().alias("__at"), line.alias("__line"))
+    lines = lines.withColumn("__chunk", F.expr(f"__at div {CHUNK_LINES}"))
     outside, inside = line_maps(F.col("__line"), sep, quote, escape)
-    lines = lines.withColumns({"__outside": outside, "__inside": inside})
-    order = Window.partitionBy(*_PIECE).orderBy("__at")
-    return _states(lines, "__outside", "__inside", order, {"__if0": F.lit(0), "__if1": F.lit(1)})
+    lines = lines.withColumns({"__outside": outside, "__inside": inside, "__text": F.col("__line") != ""})  # before the shuffle: one of its two readers needs no text
+    order = Window.partitionBy(*_CHUNK).orderBy("__at")
+    lines = _states(lines, "__outside", "__inside", order, {"__if0": F.lit(0), "__if1": F.lit(1)})
+    here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return lines.withColumns({f"__record{s}": F.sum(((F.col(f"__if{s}") == 0) & F.col("__text")).cast("long")).over(here) for s in (0, 1)})
 
 
-def _pieces(lines: DataFrame) -> DataFrame:
-    """For each piece the state at its start and the record that its first lines belong to."""
+def _chunks(lines: DataFrame) -> DataFrame:
+    """For each chunk the state at its start and the record that its first lines belong to."""
     ends = {s: F.when(F.col(f"__last.if{s}") == 0, F.col("__last.outside")).otherwise(F.col("__last.inside")) for s in (0, 1)}
-    begins = {s: F.count_if((F.col(f"__if{s}") == 0) & (F.col("__line") != "")) for s in (0, 1)}
-    found = lines.groupBy(*_PIECE).agg(
+    found = lines.groupBy(*_CHUNK).agg(
         F.max_by(F.struct(F.col("__if0").alias("if0"), F.col("__if1").alias("if1"), F.col("__outside").alias("outside"), F.col("__inside").alias("inside")), "__at").alias("__last"),
-        *[begins[s].alias(f"__records{s}") for s in (0, 1)])
-    found = found.select(*_PIECE, "__records0", "__records1", *[ends[s].alias(f"__end{s}") for s in (0, 1)])
-    order = Window.partitionBy("__file").orderBy("__piece")
+        *[F.max(f"__record{s}").alias(f"__records{s}") for s in (0, 1)])
+    found = found.select(*_CHUNK, "__records0", "__records1", *[ends[s].alias(f"__end{s}") for s in (0, 1)])
+    order = Window.partitionBy("__file").orderBy("__piece", "__chunk")
     found = _states(found, "__end0", "__end1", order, {"__start": F.lit(0)})
     records = F.when(F.col("__start") == 0, F.col("__records0")).otherwise(F.col("__records1"))
-    owner = F.when(records > 0, F.struct(F.col("__piece").alias("piece"), records.alias("record")))
-    return found.select(*_PIECE, "__start", F.last(owner, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__owner"))
+    owner = F.when(records > 0, F.struct(F.col("__piece").alias("piece"), F.col("__chunk").alias("chunk"), records.alias("record")))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    return found.select(*_CHUNK, "__start", F.last(owner, ignorenulls=True).over(earlier).alias("__owner"),
+                        F.coalesce(F.sum(records).over(earlier), F.lit(0)).alias("__before"))
 
 
 def read_records(spark: SparkSession, path: str | Sequence[str], sep: str = ";", quote: str = '"', escape: str = "\\", header: bool = True) -> DataFrame:
@@ -97,15 +106,15 @@ def read_records(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
     """
     paths = [path] if isinstance(path, str) else list(path)
     lines = _lines(spark, paths, sep, quote, escape)
-    placed = lines.join(_pieces(lines), _PIECE)
-    placed = placed.withColumn("__state", F.when(F.col("__start") == 0, F.col("__if0")).otherwise(F.col("__if1")))
-    placed = placed.where((F.col("__state") == 1) | (F.col("__line") != ""))
-    order = Window.partitionBy(*_PIECE).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = placed.withColumn("__record", F.sum((F.col("__state") == 0).cast("long")).over(order))
-    key = F.when(F.col("__record") > 0, F.struct(F.col("__piece").alias("piece"), F.col("__record").alias("record"))).otherwise(F.col("__owner"))
+    placed = lines.join(_chunks(lines), _CHUNK)
+    first = F.col("__start") == 0
+    placed = placed.withColumns({"__state": F.when(first, F.col("__if0")).otherwise(F.col("__if1")),
+                                 "__record": F.when(first, F.col("__record0")).otherwise(F.col("__record1"))})
+    placed = placed.where((F.col("__state") == 1) | F.col("__text"))
+    key = F.when(F.col("__record") > 0, F.struct(F.col("__piece").alias("piece"), F.col("__chunk").alias("chunk"), F.col("__record").alias("record"))).otherwise(F.col("__owner"))
     placed = placed.withColumn("__key", key)
     if header:
-        placed = placed.where(~((F.col("__key.piece") == 0) & (F.col("__key.record") == 1)))
+        placed = placed.where(F.col("__before") + F.col("__record") != 1)  # the file's first record
     alone = (F.col("__state") == 0) & ~F.col("__outside")
     whole = placed.where(alone).select(F.col("__file").alias("file"), F.col("__line").alias("record"))
     parts = placed.where(~alone).groupBy("__file", "__key").agg(F.sort_array(F.collect_list(F.struct("__piece", "__at", "__line"))).alias("__lines"))
@@ -122,4 +131,4 @@ def parse_records(records: DataFrame, schema: T.StructType, sep: str = ";", quot
         schema = T.StructType([*schema.fields, T.StructField(malformed_col, T.StringType())])
         options["columnNameOfCorruptRecord"] = malformed_col
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return records.select(F.from_csv("record", ddl, options).alias("r")).select("r.*")
+    return records.select(F.inline(F.array(F.from_csv("record", ddl, options))))  # a generator: conditions on the columns don't parse the record again

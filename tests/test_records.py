@@ -5,7 +5,7 @@ import random
 import pytest
 
 from landlens.plans import jobs
-from landlens.sources import read_delimited
+from landlens.sources import read_delimited, records
 from landlens.sources.records import line_maps, read_records
 
 COLUMNS = 4
@@ -84,6 +84,25 @@ def test_pieces_of_a_file_read_as_one_task_would(spark, tmp_path, seed, end):
     assert bag(read_delimited(spark, str(tmp_path), multiline=True)) == want
 
 
+def test_a_window_holds_a_chunk_of_lines_and_chunks_join_again(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    write(tmp_path / "a.csv", rng, 400)
+    want = bag(spark.read.options(header=True, sep=";", quote='"', escape="\\", multiLine=True).csv(str(tmp_path)))
+    monkeypatch.setattr(records, "CHUNK_LINES", 5)
+    assert bag(read_delimited(spark, str(tmp_path), multiline=True)) == want
+    lines = records._lines(spark, [str(tmp_path)], ";", '"', "\\")
+    sizes = [r["count"] for r in lines.groupBy(*records._CHUNK).count().collect()]
+    assert max(sizes) == 5 and len(sizes) > 500
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert all("__chunk" in w for w in plan.splitlines() if "windowspecdefinition" in w)
+
+
+def test_a_header_over_several_chunks_is_left_out_whole(spark, tmp_path, monkeypatch):
+    (tmp_path / "h.csv").write_text('"a\n\n\n\n\nname";b\n1;2\n"x\ny";3\n')
+    monkeypatch.setattr(records, "CHUNK_LINES", 2)
+    assert sorted(r.record for r in read_records(spark, str(tmp_path / "h.csv")).collect()) == ['"x\ny";3', "1;2"]
+
+
 def test_doubled_quotes_a_given_schema_and_malformed_records(spark, tmp_path):
     (tmp_path / "q.csv").write_text('k,t\n1,"say ""hi""\nthere"\n2,plain\n3\n4,"a",b\n"5","\n"\n')
     df = read_delimited(spark, str(tmp_path / "q.csv"), sep=",", escape='"', multiline=True)
