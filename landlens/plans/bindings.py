@@ -263,8 +263,8 @@ def raw_building_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    area = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select("s_suppkey", "n_name")
-    j = li.join(area, li["l_suppkey"] == area["s_suppkey"], "left")
+    # one by one: Spark takes the size of a join as the product of its sides and would shuffle all lines for suppliers with their nation
+    j = li.join(s, li["l_suppkey"] == s["s_suppkey"], "left").join(n, F.col("s_nationkey") == n["n_nationkey"], "left")
     k, ln = F.col("l_suppkey"), F.col("l_linenumber")
     code = F.concat(F.lit("V"), _s(k % 10), F.lit("E "), _s(ln), F.lit("T"), _s(k % 7))
     address = (F.when(ln == 1, F.lit(None).cast("string"))                       # dropped

@@ -406,14 +406,18 @@ def q_views_cascade(s, d):
     return publish(out.withColumn("dropped", F.lit(",".join(gone))))
 
 
+#: Raw files of the batch job, and what a task reads of them (compressed: about a file).
+RAW_FILE_ROWS, RAW_SPLIT_BYTES = 500_000, 16 << 20
+
+
 def q_batch_clean(s, d):
     """The cleaning jobs by their parameters, written and read back: rows, outcomes and contract audit of all four tables."""
     base = scratch_path(s, "batch-clean")
-    B.raw_property_tax(s, d).write.parquet(f"{base}/raw/tax")
-    B.raw_business_licenses(s, d).write.parquet(f"{base}/raw/licences")
-    export_csv(B.raw_building_permits(s, d), f"{base}/raw/permits", sep=";")
+    for raw, rows in (("tax", B.raw_property_tax(s, d)), ("licences", B.raw_business_licenses(s, d))):
+        rows.write.option("compression", "zstd").option("maxRecordsPerFile", RAW_FILE_ROWS).parquet(f"{base}/raw/{raw}")
+    export_csv(B.raw_building_permits(s, d), f"{base}/raw/permits", sep=";", compression="gzip", file_rows=RAW_FILE_ROWS)
     tables = jobs.run_cleaning(s, tax_path=f"{base}/raw/tax", licences_path=f"{base}/raw/licences", permits_csv_path=f"{base}/raw/permits",
-                               target=f"{base}/clean", boundaries=B.raw_boundaries(s, d))
+                               target=f"{base}/clean", boundaries=B.raw_boundaries(s, d), split_bytes=RAW_SPLIT_BYTES)
     out = []
     for n, rows in tables.items():
         gone = jobs.rejected(s, f"{base}/clean", n)

@@ -21,6 +21,7 @@ from landlens.operators import clean
 from landlens.operators.boundaries import check_boundaries
 from landlens.plans import loads
 from landlens.plans.loads import MALFORMED
+from landlens.session import conf_for
 from landlens.sources import readers
 
 
@@ -115,7 +116,7 @@ def permits_view_table(permits: DataFrame) -> DataFrame:
 def run_cleaning(spark: SparkSession, tax_path: str | None = None, permits_csv_path: str | None = None,
                  permits_parquet_path: str | None = None, licences_path: str | None = None,
                  target: str | None = None, mode: str = "overwrite", multiline: bool = False,
-                 boundaries: DataFrame | None = None) -> dict[str, DataFrame]:
+                 boundaries: DataFrame | None = None, split_bytes: int | None = None) -> dict[str, DataFrame]:
     """Run the cleaning jobs whose inputs are given (S11: plain arguments).
 
     With ``target`` (a folder on shared storage) each table is written as
@@ -124,6 +125,8 @@ def run_cleaning(spark: SparkSession, tax_path: str | None = None, permits_csv_p
     (:mod:`landlens.plans.loads`): its clean rows are in ``outcome=kept``, its rejected
     ones beside them (``rejected``); the counted outcomes (``outcomes/``) and the
     contract audit (``audit/``) come from that write.  ``boundaries`` are (name, geojson).
+    ``split_bytes`` limits what a task reads of raw files that are much smaller than their
+    rows (compressed ones): copies are first collapsed in its memory.
     Otherwise lazy frames are returned.
     """
     raw: dict[str, tuple[DataFrame, str]] = {}
@@ -145,7 +148,8 @@ def run_cleaning(spark: SparkSession, tax_path: str | None = None, permits_csv_p
             out["boundaries"] = check_boundaries(boundaries).where("reason IS NULL").select("name", "polygons")
         return out
     target, out = target.rstrip("/"), {}
-    loaded = {name: loads.run_load(df, loads.LOADS[load], f"{target}/{name}", mode) for name, (df, load) in raw.items()}
+    with conf_for(spark, {"spark.sql.files.maxPartitionBytes": str(split_bytes)} if split_bytes else {}):
+        loaded = {name: loads.run_load(df, loads.LOADS[load], f"{target}/{name}", mode) for name, (df, load) in raw.items()}
     if boundaries is not None:
         loaded["boundaries"] = loads.run_boundaries(boundaries, f"{target}/boundaries", mode)
     for name, parts in loaded.items():

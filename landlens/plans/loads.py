@@ -28,11 +28,14 @@ from landlens.contracts import (
 )
 from landlens.functions.text import extract_pattern
 from landlens.operators import boundaries, clean
+from landlens.session import conf_for
 
 MALFORMED = "__malformed"
 #: Rows for each 63-bit word of the key sketch: the fewer, the fewer rows are compared and the more words are shuffled.
 ROWS_A_WORD = 4
 _BITS = 63
+#: Both outcomes are written side by side; without this Spark sorts all rows by outcome (and spills them) for one file at a time.
+WRITE_CONF = {"spark.sql.maxConcurrentOutputFileWriters": "2"}
 _COPIES, _REASON, _RAW, OUTCOME = "__copies", "__reason", "__raw", "outcome"
 
 
@@ -136,7 +139,8 @@ def _observed_write(rows: DataFrame, name: str, metrics: dict[str, Column], path
     """Writes ``rows`` by outcome; what the write counted, and the schema of what was written."""
     observation = Observation(f"load {name}")
     seen = rows.observe(observation, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"m{i}") for i, c in enumerate(metrics.values())]).drop(*without)
-    seen.write.mode(mode).partitionBy(OUTCOME).parquet(path)
+    with conf_for(rows.sparkSession, WRITE_CONF):
+        seen.write.mode(mode).option("compression", "zstd").partitionBy(OUTCOME).parquet(path)
     counted = observation.get
     return {m: counted[f"m{i}"] for i, m in enumerate(metrics)}, seen.schema
 

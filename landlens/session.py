@@ -14,6 +14,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -155,6 +157,19 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> list[str]:
     return fixed
 
 
+@contextmanager
+def conf_for(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """The session with ``conf`` while the block runs; what was set before is set again."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def too_few_partitions(spark: SparkSession, input_bytes: int, partition_bytes: int = 4 << 30) -> str | None:
     """Why a job over ``input_bytes`` should not start with the session's settings, if it should not: more than
     ``partition_bytes`` a shuffle partition on a cluster."""

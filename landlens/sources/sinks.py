@@ -40,7 +40,8 @@ def csv_writer(df: DataFrame, sep: str = ",", header: bool = True, null_text: st
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False,
-               header: bool = True, null_text: str | None = None) -> None:
+               header: bool = True, null_text: str | None = None, compression: str | None = None,
+               file_rows: int | None = None) -> None:
     """CSV export, parallel (one file per partition) or as a single file.
 
     ``single_file`` moves the finished rows through one writing task
@@ -49,9 +50,13 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = Fal
     Quotes and escapes use the same settings as
     :func:`landlens.sources.readers.read_delimited`; an empty text is written as
     ``""`` and a null as nothing, so text holding the separator, quotes, newlines
-    (with ``multiline``) or nothing reads back unchanged by ``read_result``.
+    (with ``multiline``) or nothing reads back unchanged by ``read_result``.  A
+    compressed file (``compression="gzip"``) is read by one task: ``file_rows`` limits its rows.
     """
-    csv_writer(df.repartition(1) if single_file else df, sep, header, null_text).csv(path)
+    w = csv_writer(df.repartition(1) if single_file else df, sep, header, null_text)
+    for option, value in (("compression", compression), ("maxRecordsPerFile", file_rows)):
+        w = w if value is None else w.option(option, value)
+    w.csv(path)
 
 
 def heat_map_feed(v12: DataFrame) -> DataFrame:
