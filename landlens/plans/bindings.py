@@ -137,8 +137,9 @@ def business_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select("c_custkey", "n_name")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(cn, F.col("o_custkey") == cn["c_custkey"], "left")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    # one by one: Spark takes the size of a join as the product of its sides and would shuffle all lines for customers with their nation
+    j = j.join(c, j["o_custkey"] == c["c_custkey"], "left").join(n, F.col("c_nationkey") == n["n_nationkey"], "left")
     return j.select(
         (F.year("l_shipdate") - 2000).cast("int").alias("FOLDER_YEAR"),
         F.col("l_linestatus").alias("STATUS"),

@@ -32,7 +32,7 @@ from landlens.session import scratch_path
 from landlens.plans.run import ORDERED
 from landlens.sources.publish import publish as publish_run
 from landlens.sources import (
-    AuditFailed, declare_table, export_csv, heat_map_feed, published, read_delimited, read_ordered, read_result, write_ordered, write_table,
+    AuditFailed, declare_table, export_csv, heat_map_feed, published, read_delimited, read_ordered, read_result, stage, write_ordered, write_table,
 )
 
 OPT = views.ViewOptions(zoning_area=B.ZONING_AREA_T, zoning_postal=B.ZONING_POSTAL_T,
@@ -369,7 +369,8 @@ def q_table_load(s, d):
 
 def q_published_load(s, d):
     """Licences loaded by runs: one loaded twice, one replaced, one whose audit fails and that is not seen."""
-    lic, place = _lic(s, d).select(*BUSINESS_LICENSES.columns), scratch_path(s, "published")
+    place = scratch_path(s, "published")
+    lic = stage(_lic(s, d).select(*BUSINESS_LICENSES.columns), scratch_path(s, "published-rows"))
 
     def load(rows: DataFrame, run: str) -> None:
         publish_run(rows, place, run, lambda written: clean.audit(written, BUSINESS_LICENSES.required))

@@ -6,9 +6,9 @@ from landlens.sources.publish import AuditFailed, publish, publish_view, publish
 from landlens.sources.readers import (
     boundaries_from_geojson, read_delimited, read_parquet, read_result,
 )
-from landlens.sources.sinks import declare_table, export_csv, heat_map_feed, write_table
+from landlens.sources.sinks import declare_table, export_csv, heat_map_feed, stage, write_table
 
 __all__ = ["ViewRegistry", "boundaries_from_geojson", "read_delimited", "read_parquet",
-           "read_result", "declare_table", "export_csv", "heat_map_feed", "write_table",
+           "read_result", "declare_table", "export_csv", "heat_map_feed", "stage", "write_table",
            "read_manifest", "read_ordered", "write_ordered",
            "AuditFailed", "publish", "publish_view", "published", "vacuum"]

@@ -32,6 +32,12 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
         df.write.mode(mode).format("parquet").saveAsTable(name)
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once below ``path`` (Parquet, zstd) and read from there: for a frame that several loads take rows from."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def csv_writer(df: DataFrame, sep: str = ",", header: bool = True, null_text: str | None = None) -> DataFrameWriter:
     """The writer of all CSV exports: quotes and escapes as in ``read_delimited``, an empty text as ``""``, a null as ``null_text`` or nothing."""
     w = (df.write.mode("overwrite").option("header", header).option("sep", sep)
