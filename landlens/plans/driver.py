@@ -361,7 +361,7 @@ def q_table_load(s, d):
     """Declared from its contract, loaded, and loaded again with a part of the rows appended."""
     name = f"landlens_licences_{uuid.uuid4().hex}"
     declare_table(s, name, BUSINESS_LICENSES, location=scratch_path(s, "table-load"))
-    lic = _lic(s, d).select(*BUSINESS_LICENSES.columns)
+    lic = stage(_lic(s, d).select(*BUSINESS_LICENSES.columns), scratch_path(s, "table-load-rows"))
     write_table(lic, name, mode="append")
     write_table(lic.where("LOCAL_AREA IS NULL"), name, mode="append")
     return s.table(name)

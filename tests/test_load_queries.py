@@ -43,7 +43,7 @@ def counted(spark, monkeypatch):
     return built
 
 
-@pytest.mark.parametrize("query", ["published_load"])
+@pytest.mark.parametrize("query", ["table_load", "published_load"])
 def test_rows_of_several_loads_are_built_once(spark, tables, counted, query):
     n = B.business_licenses(spark, tables).count()
     got = driver.QUERIES[query](spark, tables)
