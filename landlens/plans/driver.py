@@ -28,7 +28,7 @@ from landlens.plans import jobs
 from landlens.plans import views
 from landlens.plans import oracle as O
 from landlens.plans.oracle import money, with_ctes
-from landlens.session import scratch_path
+from landlens.session import discard, scratch_path
 from landlens.plans.run import ORDERED
 from landlens.sources.publish import publish as publish_run
 from landlens.sources import (
@@ -463,11 +463,13 @@ def q_clean_permits_job(s, d):
 
 
 def q_clean_permits_multiline_job(s, d):
-    """The permit job on one file whose addresses hold newlines, separators and quotes, read in pieces."""
+    """The permit job on one file whose addresses hold newlines, separators and quotes, read in pieces; its rows are kept and the file is not."""
     raw, path = B.raw_building_permits(s, d), scratch_path(s, "raw-permits-lines")
     second = F.concat("Address", F.lit('\nrear; "lane"\n'), "PermitNumber")
     export_csv(raw.withColumn("Address", F.when(F.col("PermitCategory") == "C4", second).otherwise(F.col("Address"))), path, sep=";", single_file=True)
-    return publish(jobs.clean_building_permits(read_delimited(s, path, sep=";", multiline=True, malformed_col=jobs.MALFORMED)))
+    lines = stage(read_delimited(s, path, sep=";", multiline=True, malformed_col=jobs.MALFORMED), scratch_path(s, "permit-lines"))
+    discard(s, path)
+    return publish(jobs.clean_building_permits(lines))
 
 
 AREA_MAP_YEAR = 1998

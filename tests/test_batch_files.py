@@ -5,9 +5,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from landlens.plans import jobs, loads
+from landlens.plans import driver, jobs, loads
 from landlens.session import conf_for
-from landlens.sources import export_csv, read_delimited
+from landlens.sources import export_csv, read_delimited, sinks
 
 
 def test_compressed_exports_are_cut_by_rows_and_read_back(spark, tmp_path):
@@ -18,6 +18,43 @@ def test_compressed_exports_are_cut_by_rows_and_read_back(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
 
 
+def test_a_single_file_is_joined_from_parts_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "PART_ROWS", 300)
+    rows = spark.range(0, 2500, 1, 3).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 2 == 0, F.lit('a; "b"\nc')).alias("t"))
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "part-00007.csv").write_text("from an earlier run")
+    spark.sparkContext.setJobGroup("single", "single")
+    try:
+        export_csv(rows, str(tmp_path / "x"), sep=";", single_file=True)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("single")] == [1, 1]
+    assert sorted(f for f in os.listdir(tmp_path / "x") if not f.startswith(".")) == ["_SUCCESS", "part-00000.csv"]
+    text = (tmp_path / "x" / "part-00000.csv").read_text()
+    assert text == "k;t\n" + "".join(f'{i};' + ('"a; \\"b\\"\nc"' if i % 2 == 0 else "") + "\n" for i in range(2500))
+    export_csv(rows.limit(0), str(tmp_path / "x"), single_file=True)
+    assert (tmp_path / "x" / "part-00000.csv").read_text() == "k,t\n"
+    export_csv(rows.limit(1), str(tmp_path / "x"), single_file=True, header=False, null_text="none")
+    assert (tmp_path / "x" / "part-00000.csv").read_text() == '0,"a; \\"b\\"\nc"\n'
+
+
+def test_the_multiline_job_keeps_rows_and_not_the_file(spark, tmp_path, monkeypatch):
+    days = "TIMESTAMP'1998-02-03 00:00:00'"
+    spark.sql(f"""SELECT id div 7 AS l_orderkey, id % 5 AS l_suppkey, CAST(id % 7 + 1 AS INT) AS l_linenumber, id * 1.25D AS l_extendedprice,
+                  'N' AS l_returnflag, 'O' AS l_linestatus, {days} AS l_shipdate FROM range(700)""").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT id AS s_suppkey, CAST(id % 2 AS INT) AS s_nationkey FROM range(4)").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.sql("SELECT CAST(id AS INT) AS n_nationkey, concat('N', id) AS n_name FROM range(2)").write.parquet(str(tmp_path / "nation.parquet"))
+    paths, real = [], driver.scratch_path
+    monkeypatch.setattr(driver, "scratch_path", lambda s, name: paths.append(real(s, name)) or paths[-1])
+    got = driver.QUERIES["clean_permits_multiline_job"](spark, str(tmp_path))
+    raw, kept = (p.removeprefix("file:") for p in paths)
+    assert not os.path.exists(raw) and all(kept in f for f in got.inputFiles())
+    rows = got.collect()
+    assert len(rows) == 480  # of 700: no address in 100, no area for a fifth of the others
+    assert {r.address.count("\n") for r in rows if r.permit_category == "C4"} == {2} and {r.permit_category for r in rows} == {f"C{i}" for i in range(2, 8)}
+
+
 def test_outcomes_are_written_without_a_sort_and_the_session_keeps_its_settings(spark, tmp_path):
     raw = spark.createDataFrame([(i, None if i % 3 == 0 else "x") for i in range(30)], "k int, t string")
     rows = raw.withColumn(loads.OUTCOME, F.when(F.col("t").isNull(), "rejected").otherwise("kept"))

@@ -1,10 +1,12 @@
 """Files with newlines inside quoted fields, read in pieces."""
 
 import random
+import re
 
 import pytest
 
 from landlens.plans import jobs
+from landlens.session import conf_for
 from landlens.sources import read_delimited, records
 from landlens.sources.records import line_maps, read_records
 
@@ -103,6 +105,34 @@ def test_a_header_over_several_chunks_is_left_out_whole(spark, tmp_path, monkeyp
     assert sorted(r.record for r in read_records(spark, str(tmp_path / "h.csv")).collect()) == ['"x\ny";3', "1;2"]
 
 
+def test_the_text_goes_through_no_shuffle(spark, tmp_path):
+    write(tmp_path / "a.csv", random.Random(5), 300)
+    df = read_records(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    by = {re.sub(r"#\d+L?", "", d.split("), ")[0]).rsplit(", ", 1)[0] for d in dealt}
+    assert by == {"__file", "__file, _groupingexpression"}  # a row a piece; lines of records that lie in several pieces, by record
+    assert df.count() == 351
+
+
+@pytest.mark.parametrize("size", [7, 40])
+def test_records_over_pieces_headers_over_pieces_and_a_quote_that_stays_open(spark, tmp_path, size):
+    texts = {"header": '"a\n\n\n\n\n\n\n\nname";b\n1;2\n"x\n\ny";3\n\n\n4;5\n', "only": '"a\n\n\n\n\n\n\n\nname";"b\nc"',
+             "turned": 'a;b\n1;"\n";"\n";"2\n3;";4\n', "empty": "", "lines": "\n\n\n\n\n\n\n\n\n\n",
+             "latin": 'a;b\n\xe9;"\xe9\n\xe9"\n', "returns": 'a;b\r\n1;"x\r\n\r\ny"\r\n\r\n2;3\r\n', "open": 'a;b\n1;2\n3;"never\nclosed\n\n4;5\n6;7'}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode("latin-1"))
+    want = {"header": ["1;2", '"x\n\ny";3', "4;5"], "turned": ['1;"\n";"\n";"2\n3;";4'], "latin": ['\ufffd;"\ufffd\n\ufffd"'],
+            "returns": ['1;"x\n\ny"', "2;3"], "open": ["1;2", '3;"never\nclosed\n\n4;5\n6;7']}
+    with conf_for(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.execution.arrow.maxRecordsPerBatch": "3", "spark.sql.files.openCostInBytes": "0"}):
+        got = {}
+        for r in read_records(spark, str(tmp_path)).collect():
+            got.setdefault(r.file.rsplit("/", 1)[1], []).append(r.record)
+        headers = {r.record for r in read_records(spark, str(tmp_path / "only"), header=False).collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert headers == {'"a\n\n\n\n\n\n\n\nname";"b\nc"'}
+
+
 def test_doubled_quotes_a_given_schema_and_malformed_records(spark, tmp_path):
     (tmp_path / "q.csv").write_text('k,t\n1,"say ""hi""\nthere"\n2,plain\n3\n4,"a",b\n"5","\n"\n')
     df = read_delimited(spark, str(tmp_path / "q.csv"), sep=",", escape='"', multiline=True)
