@@ -42,7 +42,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
 
     ``multiline=True`` lets quoted fields hold newlines (free-text addresses); the
     file is still read in pieces by many tasks (:mod:`landlens.sources.records`), at
-    the price of a shuffle.  Empty fields decide how many
+    the price of reading it three times.  Empty fields decide how many
     rows a later null-drop removes (Q16): an unquoted empty field always reads as
     null in Spark's CSV source; a quoted empty field ``""`` reads as null too by
     default, or as ``''`` with ``empty_as_null=False``.  ``malformed_col`` adds a
